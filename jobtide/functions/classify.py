@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import fixed
-from .core import ColumnOrName, any_word, col, collapse, contains_any
+from .core import ColumnOrName, any_word, bind, col, collapse, contains_any
 from .text import strip_html
 
 
@@ -20,15 +20,24 @@ def years_required(text: ColumnOrName) -> Column:
     return F.when(low.contains("year") | low.contains("yr"), F.array_min(years))
 
 
+def shortest(words: list[str]) -> list[str]:
+    """Keywords that hold no other keyword of the list, sorted.
+
+    Where a longer keyword occurs the shorter one inside it occurs as well, so
+    these alone decide.
+    """
+    return sorted(w for w in words if not any(o != w and o in w for o in words))
+
+
 def first_keyword(text: Column, classes: dict[str, list[str]]) -> Column:
     """First class (in order) with a keyword inside the text, as `class|keyword`.
 
-    Plain substring search. Within a class keywords are tried in sorted order,
-    so the keyword reported is well defined.
+    Plain substring search. Within a class the keyword reported is the first of
+    the shortest ones in sorted order, so it is well defined.
     """
     hit = None
     for name, words in classes.items():
-        for word in sorted(words):
+        for word in shortest(words):
             branch = F.lit(f"{name}|{word}")
             hit = (F.when(text.contains(word), branch) if hit is None
                    else hit.when(text.contains(word), branch))
@@ -51,75 +60,89 @@ def entry_friendly(level: Column, years: Column, max_entry: int = 2, strict: boo
     )
 
 
-def classify(
-    df: DataFrame,
-    title: str = "title",
-    description: str = "description",
-    location: str | None = "location",
-    job_type_hint: str | None = None,
+def classification(
+    title: ColumnOrName,
+    description: ColumnOrName,
+    location: ColumnOrName | None = None,
+    job_type_hint: ColumnOrName | None = None,
     max_entry_years: int = 2,
     strict_entry: bool = False,
-    out: str = "class",
-) -> DataFrame:
-    """Add the classification struct.
+) -> Column:
+    """Struct of experience_level, job_type, remote_type, entry_friendly,
+    years_required, confidence and signals.
 
-    Fields: experience_level, job_type, remote_type, entry_friendly,
-    years_required, confidence, signals.
+    The steps hand their results on as bound values. Plain intermediate columns
+    would be copied into every filter on the outcome, again and again.
     """
     empty = F.lit("")
-    low = lambda c: F.lower(F.coalesce(col(c), empty)) if c else empty
-    df = df.withColumn("_t", low(title)).withColumn("_all", F.concat_ws(" ", low(title), low(description)))
-    df = df.withColumn("_years", years_required("_all"))
-    by_title = first_keyword(F.col("_t"), fixed.LEVEL_KEYWORDS)
-    by_text = first_keyword(F.col("_all"), fixed.LEVEL_KEYWORDS)
-    df = df.withColumn("_lt", by_title)
-    df = df.withColumn("_ld", F.when(F.col("_lt").isNull(), by_text))
-    df = df.withColumn("_ly", F.when(F.coalesce("_lt", "_ld").isNull(),
-                                     level_from_years(F.col("_years"), max_entry_years)))
-    if job_type_hint:
-        hint = F.lower(col(job_type_hint))
-        hinted = F.coalesce(*[
-            F.when(contains_any(hint, fixed.JOB_TYPE_KEYWORDS[k]), F.lit(k))
-            for k in fixed.JOB_TYPE_HINT_ORDER])
-        hint_signal = F.when(F.col("_jh").isNotNull(), F.concat(F.lit("hint="), col(job_type_hint)))
-    else:
-        hinted, hint_signal = F.lit(None).cast("string"), F.lit(None).cast("string")
-    df = df.withColumn("_jh", hinted)
-    df = df.withColumn("_jk", F.when(
-        F.col("_jh").isNull(), first_keyword(F.col("_all"), fixed.JOB_TYPE_KEYWORDS)))
-    df = df.withColumn("_rk", first_keyword(F.concat_ws(" ", "_all", low(location)),
-                                            fixed.REMOTE_KEYWORDS))
+    nothing = F.lit(None).cast("string")
+    low = lambda c: F.lower(F.coalesce(col(c), empty)) if c is not None else empty
     kind = lambda c: F.substring_index(c, "|", 1)
     word = lambda c: F.substring_index(c, "|", -1)
-    level = F.coalesce(kind("_lt"), kind("_ld"), F.col("_ly"), F.lit("unknown"))
-    years_text = F.col("_years").cast("string")
-    band = F.when(F.col("_ly") == "staff", "staff+").otherwise(F.col("_ly"))
-    signals = F.array_compact(F.array(
-        F.when(F.col("_years") != 0, F.concat(F.lit("years_required="), years_text)),
-        F.concat(F.lit("title_keyword="), word("_lt")),
-        F.concat(F.lit("desc_keyword="), word("_ld")),
-        F.concat(F.lit("years_based="), band, F.lit("("), years_text, F.lit(")")),
-        hint_signal,
-        F.concat(F.lit("keyword="), word("_jk")),
-        F.concat(F.lit("remote_keyword="), word("_rk")),
-    ))
-    df = df.withColumn("_sig", signals).withColumn("_lev", level)
-    in_title = F.size(F.filter("_sig", lambda s: s.contains("title")))
-    confidence = F.least(
-        F.when(col(description).isNotNull(), 0.5).otherwise(0.3)
-        + F.least(F.size("_sig") * 0.1, F.lit(0.4)) + F.least(in_title * 0.1, F.lit(0.2)),
-        F.lit(1.0))
-    result = F.struct(
-        F.col("_lev").alias("experience_level"),
-        F.coalesce("_jh", kind("_jk"), F.lit("unknown")).alias("job_type"),
-        F.coalesce(kind("_rk"), F.lit("unknown")).alias("remote_type"),
-        entry_friendly(F.col("_lev"), F.col("_years"), max_entry_years, strict_entry).alias("entry_friendly"),
-        F.col("_years").alias("years_required"),
-        F.round(confidence, 2).alias("confidence"),
-        F.col("_sig").alias("signals"),
-    )
-    return df.withColumn(out, result).drop(
-        "_t", "_all", "_years", "_lt", "_ld", "_ly", "_jh", "_jk", "_rk", "_sig", "_lev")
+    by_title = lambda t: first_keyword(t, fixed.LEVEL_KEYWORDS)
+    if job_type_hint is not None:
+        hint = F.lower(col(job_type_hint))
+        hinted = F.coalesce(*[F.when(contains_any(hint, fixed.JOB_TYPE_KEYWORDS[k]), F.lit(k))
+                              for k in fixed.JOB_TYPE_HINT_ORDER])
+        spoken = F.concat(F.lit("hint="), col(job_type_hint))
+    else:
+        hinted, spoken = nothing, nothing
+
+    texts = F.struct(low(title).alias("head"),
+                     F.concat_ws(" ", low(title), low(description)).alias("all"),
+                     low(location).alias("place"))
+
+    def find(x: Column) -> Column:
+        return F.struct(
+            x["all"].alias("all"), by_title(x["head"]).alias("lt"), years_required(x["all"]).alias("years"),
+            hinted.alias("jh"),
+            first_keyword(F.concat_ws(" ", x["all"], x["place"]), fixed.REMOTE_KEYWORDS).alias("rk"))
+
+    def widen(x: Column) -> Column:
+        return F.struct(
+            x["lt"].alias("lt"), x["years"].alias("years"), x["jh"].alias("jh"), x["rk"].alias("rk"),
+            F.when(x["lt"].isNull(), by_title(x["all"])).alias("ld"),
+            F.when(x["jh"].isNull(), first_keyword(x["all"], fixed.JOB_TYPE_KEYWORDS)).alias("jk"))
+
+    def settle(x: Column) -> Column:
+        band = F.when(F.coalesce(x["lt"], x["ld"]).isNull(), level_from_years(x["years"], max_entry_years))
+        years = x["years"].cast("string")
+        signals = F.array_compact(F.array(
+            F.when(x["years"] != 0, F.concat(F.lit("years_required="), years)),
+            F.concat(F.lit("title_keyword="), word(x["lt"])),
+            F.concat(F.lit("desc_keyword="), word(x["ld"])),
+            F.concat(F.lit("years_based="), F.when(band == "staff", "staff+").otherwise(band),
+                     F.lit("("), years, F.lit(")")),
+            F.when(x["jh"].isNotNull(), spoken),
+            F.concat(F.lit("keyword="), word(x["jk"])),
+            F.concat(F.lit("remote_keyword="), word(x["rk"]))))
+        return F.struct(
+            F.coalesce(kind(x["lt"]), kind(x["ld"]), band, F.lit("unknown")).alias("level"),
+            F.coalesce(x["jh"], kind(x["jk"]), F.lit("unknown")).alias("job"),
+            F.coalesce(kind(x["rk"]), F.lit("unknown")).alias("remote"),
+            x["years"].alias("years"), signals.alias("signals"))
+
+    def result(x: Column) -> Column:
+        in_title = F.size(F.filter(x["signals"], lambda s: s.contains("title")))
+        confidence = F.least(
+            F.when(col(description).isNotNull(), 0.5).otherwise(0.3)
+            + F.least(F.size(x["signals"]) * 0.1, F.lit(0.4)) + F.least(in_title * 0.1, F.lit(0.2)),
+            F.lit(1.0))
+        return F.struct(
+            x["level"].alias("experience_level"), x["job"].alias("job_type"), x["remote"].alias("remote_type"),
+            entry_friendly(x["level"], x["years"], max_entry_years, strict_entry).alias("entry_friendly"),
+            x["years"].alias("years_required"), F.round(confidence, 2).alias("confidence"),
+            x["signals"].alias("signals"))
+
+    return bind(bind(bind(bind(texts, find), widen), settle), result)
+
+
+def classify(df: DataFrame, title: str = "title", description: str = "description",
+             location: str | None = "location", job_type_hint: str | None = None,
+             max_entry_years: int = 2, strict_entry: bool = False, out: str = "class") -> DataFrame:
+    """Add the classification struct to a table."""
+    return df.withColumn(out, classification(title, description, location, job_type_hint,
+                                             max_entry_years, strict_entry))
 
 
 def fill_from_class(df: DataFrame, cls: str = "class") -> DataFrame:
@@ -138,8 +161,7 @@ def fill_from_class(df: DataFrame, cls: str = "class") -> DataFrame:
 
 def entry_level_only(df: DataFrame, title: str = "title", description: str = "description", **options) -> DataFrame:
     """Keep the postings that suit beginners, with the input columns unchanged."""
-    return (classify(df, title, description, location=None, out="_class", **options)
-            .filter("_class.entry_friendly").drop("_class"))
+    return df.filter(classification(title, description, **options)["entry_friendly"])
 
 
 def least_years(text: Column) -> Column:

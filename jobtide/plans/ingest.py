@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.classify import classify, fill_from_class
-from ..functions.normalize import location_label, normalize_title, with_location
+from ..functions.normalize import location_label, normalize_title, parse_location
 from ..functions.salary import annualize_salary
 from ..functions.text import content_hash
 from ..operators.aggregate import batch_statistics, run_statistics
@@ -19,7 +19,7 @@ from ..operators.similarity import find_near_duplicates
 
 def normalise(jobs: DataFrame) -> DataFrame:
     """Normalised title, location and salary; a remote location sets a missing remote type."""
-    df = with_location(jobs.withColumn("title", normalize_title("title")), "location", "_place")
+    df = jobs.withColumn("title", normalize_title("title")).withColumn("_place", parse_location("location"))
     has_place = F.coalesce("location", F.lit("")) != ""
     has_salary = (F.coalesce("salary_min", F.lit(0)) != 0) | (F.coalesce("salary_max", F.lit(0)) != 0)
     df = df.withColumn("_pay", F.when(has_salary, annualize_salary(
