@@ -6,7 +6,7 @@ import importlib
 
 from . import base
 
-MODULES = ["rows"]
+MODULES = ["rows", "texts", "joins"]
 
 
 def _load() -> None:

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.classify import classify, entry_level_only
+from ..functions.classify import classify
 from ..functions.core import any_word
 from ..operators import aggregate, filters, keyed, quality
 from . import base
@@ -300,17 +300,6 @@ def f19(spark, folder):
     return filters.active_companies(companies(spark, folder))
 
 
-@query("f20_entry_level_filter", needs="docs", sql="""
-with y as (select id, list_min(list_filter(list_transform(regexp_extract_all(lower(title || ' ' || description),
-    '([0-9]+)\\+?\\s*(?:years?|yrs?)(?:\\s+of)?\\s+(?:experience|exp)', 1), lambda x: try_cast(x as int)), lambda x: x between 0 and 30)) as y
-  from docs where title = 'Intern, Platform')
-select id, true as kept from y
-""")
-def f20(spark, folder):
-    rows = docs(spark, folder).select("id", "title", "description")
-    return entry_level_only(rows).filter("title = 'Intern, Platform'").select("id", F.lit(True).alias("kept"))
-
-
 @query("f21_company_extract", needs="companies vacancies", sql="""
 select name, website, github from companies c where not ignore and github_verified and
   (alias in (select alias from vacancies where language = 'rust') or foundation_member)
@@ -495,12 +484,12 @@ def w3(spark, folder):
 
 
 @query("w4_pinned_first", needs="companies", sql="""
-select name, pinned and github_verified as pinned from companies order by 2 desc, id desc limit 60
+select name, pinned and github_verified as pinned from companies order by 2 desc, id desc
 """)
 def w4(spark, folder):
     rows = companies(spark, folder)
     pinned = F.col("pinned") & F.col("github_verified")
-    return keyed.pinned_first(rows, pinned, [F.col("id").desc()]).limit(60).select("name", pinned.alias("pinned"))
+    return keyed.pinned_first(rows, pinned, [F.col("id").desc()]).select("name", pinned.alias("pinned"))
 
 
 @query("w5_top_k", needs="jobs", sql="select id, salary_max from jobs order by salary_max desc nulls last, id limit 256")
