@@ -3,9 +3,10 @@
 Texts become unit vectors of smooth TF-IDF weights. Two vectors with cosine of
 at least `t` must share a term among the rarest terms that hold all but `t` of a
 vector's length, so only those leading terms are used to bring candidates
-together. Equal texts are collapsed before anything is compared. A term that many
-vectors lead with is split into blocks of bounded size on both sides; each block
-yields one best match per query and never a list of pairs.
+together. Equal texts are collapsed before anything is compared. Leading terms are
+spread over buckets, and a bucket that many vectors share is split into blocks of
+bounded size on both sides. A block scores the vectors that share a leading term
+and yields one best match per query, never a list of pairs.
 """
 
 from __future__ import annotations
@@ -18,9 +19,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import fold, strip_html
+from ..session import work_path
 
 TOKEN = r"[\p{L}\p{N}_]{2,}"
-BLOCK = 512
+BLOCK = 4096
+TEXTS_PER_BUCKET = 2000
 SLACK = 1e-9
 
 
@@ -41,90 +44,133 @@ def terms(text: Column, stop_words: Sequence[str] = (), bigrams: bool = True) ->
     return F.transform(F.array(words), with_pairs)[0]
 
 
-def distinct_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """One row per distinct text: its smallest key, its number of copies, the text."""
-    return (docs.groupBy(F.sha2(text, 256).alias("text_hash"))
-            .agg(F.min(key).alias("doc"), F.count("*").alias("copies"), F.first(text).alias("text")))
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """Write a table that several steps read, and read it back."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def term_counts(texts: DataFrame, stop_words: Sequence[str], bigrams: bool) -> DataFrame:
-    """Occurrences of each term in each distinct text."""
-    words = texts.select("doc", "copies", F.explode(terms(F.col("text"), stop_words, bigrams)).alias("term"))
-    return words.groupBy("doc", "copies", "term").agg(F.count("*").alias("tf"))
+    """Occurrences of each term in each distinct text of each side.
+
+    Equal texts become one: `doc` is their smallest key and `copies` their number.
+    Terms are counted where the texts were collapsed, without another shuffle. A
+    text without terms keeps one row with a null term.
+    """
+    distinct = texts.groupBy("side", F.sha2("text", 256).alias("text_hash")).agg(
+        F.min("id").alias("doc"), F.count("*").alias("copies"), F.first("text").alias("text"))
+    keys = ["side", "text_hash", "doc", "copies"]
+    words = distinct.select(*keys, F.explode_outer(terms(F.col("text"), stop_words, bigrams)).alias("term"))
+    return words.groupBy(*keys, "term").agg(F.count("*").alias("tf"))
 
 
 def term_weights(counts: DataFrame, total: Column, max_features: int | None) -> DataFrame:
-    """Document frequency and idf `ln((1 + n) / (1 + df)) + 1` of each kept term.
+    """Number, document frequency and idf `ln((1 + n) / (1 + df)) + 1` of each kept term.
 
-    With `max_features` only the terms that occur most often stay.
+    With `max_features` only the terms that occur most often stay. Terms are
+    numbered inside hash ranges, so that no step sees the whole vocabulary.
     """
     stats = counts.groupBy("term").agg(
         F.sum("copies").alias("df"), F.sum(F.col("tf") * F.col("copies")).alias("uses"))
     if max_features:
         stats = stats.orderBy(F.col("uses").desc(), "term").limit(max_features)
-    return stats.select("term", "df", (F.log((1 + total) / (1 + F.col("df"))) + 1).alias("idf"))
+    part = F.pmod(F.xxhash64("term"), F.lit(4096))
+    place = F.row_number().over(Window.partitionBy("part").orderBy("term"))
+    return stats.withColumn("part", part).select(
+        "term", (F.col("part") * (1 << 40) + place).alias("tid"), "df",
+        (F.log((1 + total) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
-def unit_vectors(counts: DataFrame, weights: DataFrame) -> DataFrame:
-    """Weights of length one per text: doc, term, df, w."""
-    raw = counts.join(weights, "term").select("doc", "term", "df", (F.col("tf") * F.col("idf")).alias("x"))
-    norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("doc")))
-    return raw.select("doc", "term", "df", (F.col("x") / norm).alias("w"))
+def leading_terms(counts: DataFrame, weights: DataFrame, threshold: float) -> DataFrame:
+    """Unit vector of each text as arrays, with the number of its leading terms.
 
+    Terms stand rarest first. A term leads when the vector from it onwards is
+    still at least `threshold` long.
+    """
+    keys = ["side", "text_hash", "doc"]
+    raw = counts.join(weights, "term").select(*keys, "tid", "df", (F.col("tf") * F.col("idf")).alias("x"))
+    whole = Window.partitionBy(*keys)
+    rest = whole.orderBy("df", "tid").rowsBetween(0, Window.unboundedFollowing)
+    unit = raw.withColumn("w", F.col("x") / F.sqrt(F.sum(F.col("x") * F.col("x")).over(whole)))
+    flagged = unit.withColumn("lead", F.sqrt(F.sum(F.col("w") * F.col("w")).over(rest)) >= threshold - SLACK)
+    vectors = flagged.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct("df", "tid", "w"))).alias("v"), F.count_if("lead").alias("leads"))
+    return vectors.select(*keys, F.col("v.tid").alias("tids"), F.col("v.w").alias("ws"), "leads")
 
-def leading_terms(vectors: DataFrame, threshold: float) -> DataFrame:
-    """Each vector once, as arrays, with the rarest terms it must share with a match."""
-    rest = Window.partitionBy("doc").orderBy("df", "term").rowsBetween(0, Window.unboundedFollowing)
-    tail = F.sqrt(F.sum(F.col("w") * F.col("w")).over(rest))
-    flagged = vectors.withColumn("lead", tail >= threshold - SLACK)
-    return flagged.groupBy("doc").agg(
-        F.collect_list("term").alias("terms"), F.collect_list("w").alias("weights"),
-        F.collect_list(F.when(F.col("lead"), F.col("term"))).alias("leads"))
+
+def _rows(side: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Vectors of a block end to end: start of each, term numbers, weights."""
+    sizes = side["tids"].map(len).to_numpy()
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    return starts, np.concatenate(side["tids"].to_list()), np.concatenate(side["ws"].to_list())
 
 
 def _block_best(threshold: float):
     def best(queries: pd.DataFrame, refs: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query": [], "ref": [], "score": []})
         if queries.empty or refs.empty:
-            return empty
-        names = pd.unique(np.concatenate([*queries["terms"], *refs["terms"]]))
-        place = {name: i for i, name in enumerate(names)}
-
-        def matrix(rows: pd.DataFrame) -> np.ndarray:
-            out = np.zeros((len(rows), len(names)))
-            for i, (ts, ws) in enumerate(zip(rows["terms"], rows["weights"])):
-                out[i, [place[t] for t in ts]] = ws
-            return out
-
+            return pd.DataFrame({"query": [], "ref": [], "score": []})
         refs = refs.sort_values("doc", kind="stable")
-        scores = np.round(matrix(queries) @ matrix(refs).T, 12)
-        top = scores.argmax(axis=1)
-        value = scores[np.arange(len(queries)), top]
-        hit = value >= threshold - SLACK
-        return pd.DataFrame({"query": queries["doc"].to_numpy()[hit],
-                             "ref": refs["doc"].to_numpy()[top[hit]], "score": value[hit]})
+        starts, tids, ws = _rows(refs)
+        names, cols = np.unique(tids, return_inverse=True)
+        # Which references lead with a term: sorted by term, found by bisection.
+        leads = np.concatenate([t[:n] for t, n in zip(refs["tids"], refs["leads"])])
+        owners = np.repeat(np.arange(len(refs)), refs["leads"].to_numpy())
+        order = np.argsort(leads, kind="stable")
+        leads, owners = leads[order], owners[order]
+        dense = np.zeros(len(names))
+        found = []
+        for doc, q_tids, q_ws, n in zip(queries["doc"], queries["tids"], queries["ws"], queries["leads"]):
+            lo, hi = np.searchsorted(leads, q_tids[:n], "left"), np.searchsorted(leads, q_tids[:n], "right")
+            near = [owners[a:b] for a, b in zip(lo, hi) if a < b]
+            if not near:
+                continue
+            near = np.unique(np.concatenate(near))
+            at = np.minimum(np.searchsorted(names, q_tids), len(names) - 1)
+            known = names[at] == q_tids
+            dense[at[known]] = q_ws[known]
+            sizes = starts[near + 1] - starts[near]
+            inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            entry = np.repeat(starts[near], sizes) + inside
+            scores = np.add.reduceat(ws[entry] * dense[cols[entry]], np.cumsum(sizes) - sizes)
+            dense[at[known]] = 0.0
+            scores = np.round(scores, 12)
+            top = scores.argmax()
+            if scores[top] >= threshold - SLACK:
+                found.append((doc, refs["doc"].iloc[near[top]], scores[top]))
+        return pd.DataFrame(found, columns=["query", "ref", "score"])
 
     return best
 
 
-def best_pairs(queries: DataFrame, refs: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
-    """Best reference of each query vector with cosine of at least `threshold`."""
-    q = queries.select("doc", "terms", "weights", F.explode("leads").alias("lead"))
-    r = refs.select("doc", "terms", "weights", F.explode("leads").alias("lead"))
+def best_pairs(queries: DataFrame, refs: DataFrame, threshold: float, texts: Column,
+               block: int = BLOCK, per_bucket: int = TEXTS_PER_BUCKET) -> DataFrame:
+    """Best reference of each query vector with cosine of at least `threshold`.
+
+    `texts` is the number of texts on both sides and sets the number of buckets.
+    """
+    buckets = F.greatest(F.ceil(texts / per_bucket), F.lit(1))
+
+    def spread(side: DataFrame) -> DataFrame:
+        lead = F.slice("tids", F.lit(1), F.col("leads"))
+        return side.withColumn("buckets", buckets).withColumn("bucket", F.explode(F.array_distinct(
+            F.transform(lead, lambda t: F.pmod(F.xxhash64(t), F.col("buckets")))))).drop("buckets")
+
+    # Fresh column identities: both sides may come from one table.
+    q, r = (spread(side.drop("text_hash").toDF("doc", "tids", "ws", "leads")) for side in (queries, refs))
 
     def blocks(side: DataFrame, name: str) -> DataFrame:
-        return side.groupBy("lead").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
+        return side.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
 
-    # The blocks of each term; terms that only one side leads with drop out.
-    sizes = blocks(q, "q_blocks").join(blocks(r, "r_blocks"), "lead")
+    sizes = blocks(q, "q_blocks").join(blocks(r, "r_blocks"), "bucket")
 
     def place(side: DataFrame, own: str, other: str, own_block: str, other_block: str) -> DataFrame:
-        return (side.join(sizes, "lead")
+        return (side.join(sizes, "bucket")
                 .withColumn(own_block, F.pmod(F.xxhash64("doc"), F.col(own)).cast("int"))
                 .withColumn(other_block, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
                 .drop("q_blocks", "r_blocks"))
 
-    keys = ["lead", "qb", "rb"]
+    keys = ["bucket", "qb", "rb"]
     found = (
         place(q, "q_blocks", "r_blocks", "qb", "rb").groupBy(*keys)
         .cogroup(place(r, "r_blocks", "q_blocks", "rb", "qb").groupBy(*keys))
@@ -145,33 +191,29 @@ def find_near_duplicates(new: DataFrame, existing: DataFrame, *, threshold: floa
     `fit_on_both`. Nothing matches while the corpus is smaller than `min_corpus`.
     """
     clean = strip_html(text) if strip_tags else F.coalesce(F.col(text), F.lit(""))
-    keep_ref = F.length("text") > min_length
-    keep_new = F.length("text") >= max(min_length, 1)
-    refs = existing.select(F.col("id").alias("id"), clean.alias("text")).filter(keep_ref)
-    asked = new.select(F.col("id").alias("id"), clean.alias("text")).filter(keep_new)
-    corpus = refs.unionByName(asked) if fit_on_both else refs
-    total = corpus.agg(F.count("*")).scalar()
-    ref_texts, new_texts = distinct_texts(refs, "id", "text"), distinct_texts(asked, "id", "text")
-    ref_counts = term_counts(ref_texts, stop_words, bigrams)
-    new_counts = term_counts(new_texts, stop_words, bigrams)
-    fitted = ref_counts.unionByName(new_counts) if fit_on_both else ref_counts
-    weights = term_weights(fitted, total, max_features)
+    refs = existing.select("id", clean.alias("text")).filter(F.length("text") > min_length)
+    asked = new.select("id", clean.alias("text")).filter(F.length("text") >= max(min_length, 1))
+    both = refs.withColumn("side", F.lit("ref")).unionByName(asked.withColumn("side", F.lit("new")))
+    counts = kept(term_counts(both, stop_words, bigrams), "term-counts")
+    heads = counts.select("side", "text_hash", "doc", "copies").distinct()
+    corpus = heads if fit_on_both else heads.filter("side = 'ref'")
+    total = corpus.agg(F.coalesce(F.sum("copies"), F.lit(0))).scalar()
+    texts = heads.agg(F.count("*")).scalar()
+    used = counts.filter("term is not null")
+    fitted = used if fit_on_both else used.filter("side = 'ref'")
+    vectors = kept(leading_terms(used, term_weights(fitted, total, max_features), threshold), "vectors")
+    vectors = vectors.filter(total >= min_corpus)
+    asked_vectors, ref_vectors = (vectors.filter(F.col("side") == s).drop("side") for s in ("new", "ref"))
     # Equal texts need no search: their cosine is one.
-    equal = (new_texts.filter(total >= min_corpus).select("text_hash", F.col("doc").alias("query"))
-             .join(ref_texts.select("text_hash", F.col("doc").alias("ref")), "text_hash")
-             .join(new_counts.join(weights, "term", "left_semi")
-                   .select(F.col("doc").alias("query")).distinct(), "query", "left_semi")
-             .select("query", "ref", F.lit(1.0).alias("score")))
-    open_counts = new_counts.filter(total >= min_corpus).join(
-        ref_texts.join(new_texts.select("text_hash", F.col("doc").alias("_q")), "text_hash")
-        .select(F.col("_q").alias("doc")), "doc", "left_anti")
-    pairs = best_pairs(leading_terms(unit_vectors(open_counts, weights), threshold),
-                       leading_terms(unit_vectors(ref_counts, weights), threshold), threshold)
-    by_text = equal.unionByName(pairs)
+    equal = asked_vectors.select("text_hash", F.col("doc").alias("query")).join(
+        ref_vectors.select("text_hash", F.col("doc").alias("ref")), "text_hash").select(
+        "query", "ref", F.lit(1.0).alias("score"))
+    pairs = best_pairs(asked_vectors.join(ref_vectors.select("text_hash"), "text_hash", "left_anti"),
+                       ref_vectors, threshold, texts)
     # Every copy of a query text gets the match of its representative.
     members = asked.select("id", F.sha2("text", 256).alias("text_hash")).join(
-        new_texts.select("text_hash", F.col("doc").alias("query")), "text_hash")
-    return members.join(by_text, "query").select(
+        heads.filter("side = 'new'").select("text_hash", F.col("doc").alias("query")), "text_hash")
+    return members.join(equal.unionByName(pairs), "query").select(
         F.col("id").alias("duplicate_id"), F.col("ref").alias("original_id"),
         F.lit("tfidf").alias("match_type"), F.col("score").alias("similarity"))
 
