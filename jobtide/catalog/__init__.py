@@ -6,7 +6,7 @@ import importlib
 
 from . import base
 
-MODULES = ["rows", "texts", "joins"]
+MODULES = ["rows", "texts", "joins", "states", "reports", "landed"]
 
 
 def _load() -> None:

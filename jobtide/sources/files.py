@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..operators.keyed import keep_last
+from .sinks import CSV
 
 LEGACY = ["short_description", "scrape_date"]
 
@@ -37,7 +38,7 @@ def read_master_csv(spark: SparkSession, path: str, legacy: bool = False) -> Dat
     """Master list from CSV. `legacy` files carry the two extra columns at their end."""
     columns = fixed.MASTER_COLUMNS + (LEGACY if legacy else [])
     schema = ", ".join(f"`{c}` string" for c in columns)
-    raw = spark.read.csv(path, schema=schema, header=True, multiLine=True, escape='"', enforceSchema=False)
+    raw = spark.read.csv(path, schema=schema, multiLine=True, enforceSchema=False, **CSV)
     return decode_master(raw)
 
 

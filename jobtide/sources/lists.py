@@ -16,7 +16,7 @@ CLOSED, NO_SPONSOR, CITIZEN, TOP_COMPANY, DEGREE = "🔒", "🛂", "🇺🇸", "
 
 
 def _cells(row: Column) -> Column:
-    return F.transform(F.regexp_extract_all(row, F.lit(r"(?s)<td[^>]*>(.*?)</td>"), F.lit(1)), F.trim)
+    return F.transform(F.regexp_extract_all(row, F.lit(r"(?s)<td[^>]*>(.*?)</td>"), F.lit(1)), lambda p: F.trim(p))
 
 
 def _label(cell: Column) -> Column:
@@ -62,7 +62,7 @@ def ingest_markdown_lists(texts: DataFrame, key: str = "page_id", text: str = "t
     """Rows of five-column Markdown tables, heads and rules left out."""
     lines = F.filter(F.split(F.col(text), r"\r?\n"), lambda x: x.startswith("|"))
     cells = F.transform(lines, lambda x: F.transform(
-        F.split(F.regexp_replace(F.regexp_replace(x, r"^\|", ""), r"\|\s*$", ""), r"\|"), F.trim))
+        F.split(F.regexp_replace(F.regexp_replace(x, r"^\|", ""), r"\|\s*$", ""), r"\|"), lambda p: F.trim(p)))
     body = F.filter(cells, lambda c: (F.size(c) >= 5) & (c[0] != "Company") & ~c[0].rlike(r"^:?-+:?$"))
     plain = lambda c: F.trim(F.regexp_replace(F.regexp_replace(
         c, r"\[([^\]]*)\]\([^)]*\)", "$1"), r"\*\*|🔒|🛂|🇺🇸", ""))

@@ -11,6 +11,7 @@ from ..functions import fixed
 from ..functions.text import block_list_text
 from ..operators.quality import valid_master_rows
 
+CSV = dict(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 ISO = "yyyy-MM-dd'T'HH:mm:ss"
 
 
@@ -31,7 +32,7 @@ def csv_rows(rows: DataFrame, include_source: bool = True, include_description:
 
 
 def export_csv(rows: DataFrame, path: str, **options) -> None:
-    csv_rows(rows, **options).write.mode("errorifexists").csv(path, header=True, escape='"')
+    csv_rows(rows, **options).write.mode("errorifexists").csv(path, **CSV)
 
 
 def export_metadata(rows: DataFrame, filters: dict, exported_at: datetime) -> DataFrame:
@@ -62,7 +63,7 @@ def master_rows(rows: DataFrame) -> DataFrame:
 
 
 def write_master_csv(rows: DataFrame, path: str) -> None:
-    master_rows(rows).write.mode("errorifexists").csv(path, header=True, escape='"')
+    master_rows(rows).write.mode("errorifexists").csv(path, **CSV)
 
 
 def block_list_rows(rows: DataFrame) -> DataFrame:

@@ -163,7 +163,7 @@ GOOGLE = "array<string>"
 def _google(df: DataFrame, as_of: Column) -> DataFrame:
     """Postings arrive as a list whose places have fixed meanings."""
     at = lambda i: F.get(F.col("j"), F.lit(i))
-    df = df.withColumn("_parts", F.transform(F.split(at(2), ","), F.trim))
+    df = df.withColumn("_parts", F.transform(F.split(at(2), ","), lambda p: F.trim(p)))
     many = at(2).contains(",")
     part = lambda i: F.get("_parts", F.lit(i))
     text = at(19)
@@ -271,7 +271,7 @@ def ingest_search_response(raw: DataFrame, item_type: str = "com.linkedin.voyage
 
 def detail_line(c: str) -> Column:
     """Location, repost age and applicants of a dotted detail line."""
-    parts = F.transform(F.split(F.col(c), "·"), F.trim)
+    parts = F.transform(F.split(F.col(c), "·"), lambda p: F.trim(p))
     unknown = F.lit("Unknown")
     several = F.size(parts) >= 2
     return F.struct(
