@@ -6,7 +6,7 @@ import importlib
 
 from . import base
 
-MODULES = ["rows", "texts", "joins", "states", "reports", "landed"]
+MODULES = ["rows", "texts", "joins", "states", "reports", "landed", "search", "streams"]
 
 
 def _load() -> None:

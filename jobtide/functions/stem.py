@@ -11,6 +11,7 @@ from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 # Suffix rules of steps 2, 3 and 4.
@@ -85,6 +86,6 @@ def stem(word: str) -> str:
     return word
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def stem_words(words: pd.Series) -> pd.Series:
     return words.map(lambda ws: None if ws is None else [stem(w) for w in ws])

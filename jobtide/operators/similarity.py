@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import fold, strip_html
-from ..session import work_path
+from ..session import kept
 
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 BLOCK = 4096
@@ -44,13 +44,6 @@ def terms(text: Column, stop_words: Sequence[str] = (), bigrams: bool = True) ->
     return F.transform(F.array(words), with_pairs)[0]
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """Write a table that several steps read, and read it back."""
-    path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def term_counts(texts: DataFrame, stop_words: Sequence[str], bigrams: bool) -> DataFrame:
     """Occurrences of each term in each distinct text of each side.
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.classify import classify, fill_from_class
+from ..functions.classify import classification, fill_from_class
 from ..functions.normalize import location_label, normalize_title, parse_location
 from ..functions.salary import annualize_salary
 from ..functions.text import content_hash
@@ -17,11 +17,16 @@ from ..operators.lifecycle import upsert_jobs
 from ..operators.similarity import find_near_duplicates
 
 
-def normalise(jobs: DataFrame) -> DataFrame:
-    """Normalised title, location and salary; a remote location sets a missing remote type."""
-    df = jobs.withColumn("title", normalize_title("title")).withColumn("_place", parse_location("location"))
-    has_place = F.coalesce("location", F.lit("")) != ""
-    has_salary = (F.coalesce("salary_min", F.lit(0)) != 0) | (F.coalesce("salary_max", F.lit(0)) != 0)
+def normalise(jobs: DataFrame, rows: Column | None = None) -> DataFrame:
+    """Normalised title, location and salary; a remote location sets a missing remote type.
+
+    With `rows` only the rows that meet the condition change.
+    """
+    rows = F.lit(True) if rows is None else rows
+    df = jobs.withColumn("title", F.when(rows, normalize_title("title")).otherwise(F.col("title")))
+    has_place = rows & (F.coalesce("location", F.lit("")) != "")
+    df = df.withColumn("_place", F.when(has_place, parse_location("location")))
+    has_salary = rows & ((F.coalesce("salary_min", F.lit(0)) != 0) | (F.coalesce("salary_max", F.lit(0)) != 0))
     df = df.withColumn("_pay", F.when(has_salary, annualize_salary(
         "salary_min", "salary_max", F.lit("yearly"), F.coalesce("salary_currency", F.lit("USD")))))
     pay = lambda field, old: F.when(has_salary, F.col(f"_pay.{field}")).otherwise(F.col(old))
@@ -60,8 +65,11 @@ def process(raw: DataFrame, base: DataFrame, sources: DataFrame, near: bool = Fa
     matched = matches.select(F.col("duplicate_id").alias("id"), F.lit(True).alias("_dup")).distinct()
     told = rows.join(matched, "id", "left").withColumn(
         "outcome", F.when(F.col("_no"), "blocked").when(F.col("_dup"), "skipped").otherwise("accepted"))
-    done = fill_from_class(classify(normalise(told.drop("_no", "_dup", "id"))))
-    return done.withColumn("level", F.col("class.experience_level")).drop("class").withColumn(
+    accepted = F.col("outcome") == "accepted"
+    # Rejected rows keep their raw fields; their text is never looked at.
+    done = normalise(told.drop("_no", "_dup", "id"), accepted).withColumn(
+        "class", F.when(accepted, classification("title", "description", "location")))
+    return fill_from_class(done).withColumn("level", F.col("class.experience_level")).drop("class").withColumn(
         "content_hash", content_hash("title", "company", "location"))
 
 
@@ -73,7 +81,7 @@ def next_table(processed: DataFrame, base: DataFrame, now: datetime) -> DataFram
 def outcomes(processed: DataFrame, base: DataFrame) -> DataFrame:
     """Accepted rows told apart as inserted (first of an unknown hash) or updated."""
     first = processed.filter("outcome = 'accepted'").groupBy("content_hash").agg(F.min("seq").alias("_first"))
-    known = base.select("content_hash").withColumn("_known", F.lit(True))
+    known = base.select("content_hash").distinct().withColumn("_known", F.lit(True))
     told = processed.join(first, "content_hash", "left").join(known, "content_hash", "left")
     new = F.col("_known").isNull() & (F.col("seq") == F.col("_first"))
     return told.withColumn("outcome", F.when(F.col("outcome") != "accepted", F.col("outcome"))

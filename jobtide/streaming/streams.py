@@ -148,7 +148,8 @@ def toggle_stream(events: DataFrame, user: str, key: str, ts: str = "ts", value:
                 rows.append((names[0], names[1], getattr(event, ts), now, 1 if now else -1))
                 active = now
         state.update((active,))
-        yield pd.DataFrame(rows, columns=[user, key, "ts", "active", "diff"])
+        if rows:
+            yield pd.DataFrame(rows, columns=[user, key, "ts", "active", "diff"])
 
     return events.groupBy(user, key).applyInPandasWithState(
         changes, CHANGES.format(user=user, key=key), "active boolean", "append", GroupStateTimeout.NoTimeout)
