@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import fixed
-from .core import ColumnOrName, any_word, bind, col, collapse, contains_any
+from .core import ColumnOrName, any_word, bind, col, collapse, contains_any, literal_array
 from .text import strip_html
 
 
@@ -35,13 +35,12 @@ def first_keyword(text: Column, classes: dict[str, list[str]]) -> Column:
     Plain substring search. Within a class the keyword reported is the first of
     the shortest ones in sorted order, so it is well defined.
     """
-    hit = None
-    for name, words in classes.items():
-        for word in shortest(words):
-            branch = F.lit(f"{name}|{word}")
-            hit = (F.when(text.contains(word), branch) if hit is None
-                   else hit.when(text.contains(word), branch))
-    return hit
+    def inside(name: str) -> Column:
+        words = literal_array(shortest(classes[name]))
+        first = F.filter(words, lambda w: text.contains(w))[0]
+        return F.when(F.exists(words, lambda w: text.contains(w)), F.concat(F.lit(f"{name}|"), first))
+
+    return F.coalesce(*[inside(name) for name in classes])
 
 
 def level_from_years(years: Column, max_entry: int) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,9 +14,26 @@ def col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _sql(value: object) -> str:
+    """A constant as SQL text."""
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"{value!r}D" if isinstance(value, float) else repr(value)
+
+
 def literal_map(values: Mapping[str, object]) -> Column:
-    """A constant map column."""
-    return F.create_map(*[F.lit(x) for kv in values.items() for x in kv])
+    """A constant map column, handed to Spark as one expression."""
+    return F.expr("map(" + ", ".join(_sql(x) for kv in values.items() for x in kv) + ")")
+
+
+def literal_array(values: Iterable[object]) -> Column:
+    """A constant array column, handed to Spark as one expression."""
+    return F.expr("array(" + ", ".join(_sql(x) for x in values) + ")")
+
+
+def one_of(c: Column, values: Iterable[str]) -> Column:
+    """Membership in a longer fixed list; null counts as no member."""
+    return F.coalesce(F.array_contains(literal_array(values), c), F.lit(False))
 
 
 def lookup(values: Mapping[str, object], key: Column) -> Column:
@@ -46,6 +63,8 @@ def blank(c: ColumnOrName) -> Column:
 
 def contains_any(text: Column, words: list[str]) -> Column:
     """Whether text holds one of the words; stops at the first hit."""
+    if len(words) > 3:
+        return F.exists(literal_array(words), lambda w: text.contains(w))
     hit = text.contains(words[0])
     for word in words[1:]:
         hit = hit | text.contains(word)

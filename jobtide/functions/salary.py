@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed
-from .core import ColumnOrName, bind, col, contains_any, group, lookup
+from .core import ColumnOrName, bind, col, contains_any, group, lookup, one_of
 from .normalize import number_text
 
 PER_YEAR = {name: times for name, _, times in fixed.PERIOD_MARKS} | {"unknown": 1}
@@ -24,7 +24,7 @@ def pay_period(c: ColumnOrName) -> Column:
 
 def known_currency(c: ColumnOrName) -> Column:
     code = F.upper(F.coalesce(col(c), F.lit("")))
-    return F.when(code.isin(list(fixed.CURRENCY_RATES)), code).otherwise("USD")
+    return F.when(one_of(code, fixed.CURRENCY_RATES), code).otherwise("USD")
 
 
 def annual_usd(amount: ColumnOrName, period: ColumnOrName, currency: ColumnOrName) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed
-from .core import ColumnOrName, col, collapse, strip
+from .core import ColumnOrName, col, collapse, literal_array, strip
 
 EMAIL = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
 
@@ -160,7 +160,7 @@ def block_list_text(c: ColumnOrName, limit: int = 150) -> Column:
 def alias_equal(left: ColumnOrName, right: ColumnOrName) -> Column:
     """Same alias once hyphens, dots and one shared ending are ignored."""
     a, b = (F.regexp_replace(F.lower(col(c)), r"[-.]", "") for c in (left, right))
-    endings = F.array(*[F.lit(e) for e in fixed.ALIAS_ENDINGS])
+    endings = literal_array(fixed.ALIAS_ENDINGS)
 
     def cut(text: Column, ending: Column) -> Column:
         size = F.length(text) - F.length(ending)

@@ -26,7 +26,7 @@ def local_session(cores: str = "8", **extra: str) -> SparkSession:
     """A local session for tests and benchmarks; clusters bring their own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]").appName("jobtide")
-        .config("spark.ui.enabled", "false")
+        .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", "8")
     )
