@@ -330,15 +330,15 @@ def k6(spark, folder):
 @query("k7_alert_rows", needs="jobs", sql="""
 select id, 'New ' || case when contains(lower(title), 'intern') then 'Internship' else 'Job' end || ' at ' || company || ':' || chr(10) || '  Job Title: ' || title || chr(10)
   || '  Location: ' || coalesce(location, '?') || chr(10) || '  Link: ' || url || chr(10) || '  Found At: now' || chr(10) || '  Posted At: ' || strftime(posted_date, '%Y-%m-%d') || chr(10) || '  Apply Clicks: N/A' as message,
-  case when source_id % 2 = 0 then 'simplify' else 'linkedin' end || case when contains(lower(title), 'intern') then '_internships' else '_jobs' end as route from jobs
+  case when source_id % 2 = 0 then 'openboard' else 'network' end || case when contains(lower(title), 'intern') then '_internships' else '_jobs' end as route from jobs
 """)
 def k7(spark, folder):
     rows = jobs(spark, folder).select(
-        F.concat(F.when(F.col("source_id") % 2 == 0, "simplify-").otherwise("board-"), F.col("id").cast("string")).alias("key"),
+        F.concat(F.when(F.col("source_id") % 2 == 0, "openboard-").otherwise("board-"), F.col("id").cast("string")).alias("key"),
         "company", F.col("title").alias("job_title"), F.coalesce("location", F.lit("?")).alias("location"), "url",
         F.lit("now").alias("found_at"), F.date_format("posted_date", "yyyy-MM-dd").alias("posted_time"),
         F.lit(None).cast("string").alias("apply_clicks"), F.lower("title").contains("intern").alias("is_internship"))
-    out = sinks.alert_rows(rows)
+    out = sinks.alert_rows(rows, "openboard", "network")
     return out.select(F.regexp_extract("key", r"-(\d+)$", 1).cast("long").alias("id"), "message", "route")
 
 

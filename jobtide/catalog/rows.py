@@ -251,8 +251,8 @@ def f14(spark, folder):
 
 
 @query("f15_fresh_board_rows", needs="jobs", sql="""
-select title as job_title, company, location, 'https://simplify.jobs/p/' || cast(id as string) || '/' || lower(replace(title, ' ', '-')) as url,
-  'simplify-' || cast(id as string) as key, cast(epoch(posted_date) as bigint) as updated_date
+select title as job_title, company, location, 'https://board.example/p/' || cast(id as string) || '/' || lower(replace(title, ' ', '-')) as url,
+  'openboard-' || cast(id as string) as key, cast(epoch(posted_date) as bigint) as updated_date
 from (select id, title, company, coalesce(location, 'Unknown Location') as location, posted_date from jobs)
 where posted_date >= timestamp '2001-08-02' - interval 14 days
 """)
@@ -261,7 +261,7 @@ def f15(spark, folder):
         F.col("id").cast("string").alias("id"), "title", F.col("company").alias("company_name"),
         F.array("location", F.lit("elsewhere")).alias("locations"),
         F.unix_timestamp("posted_date").alias("updated_date"))
-    return filters.fresh_board_rows(rows, int(datetime(2001, 8, 2).timestamp() - datetime(1970, 1, 1).timestamp()), "simplify")
+    return filters.fresh_board_rows(rows, 996_710_400, "openboard", "https://board.example/p/")
 
 
 @query("f16_companies_for_language", needs="companies codes vacancies", sql="""

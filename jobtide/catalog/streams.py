@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.text import content_hash
 from ..operators import aggregate
 from ..plans import ingest
-from ..plans.funnel import run_funnel
+from ..plans.master import update_master
 from ..session import configure, kept, work_path
 from ..streaming import streams
 from .base import DOCS, VIEWS, docs, query, sources
@@ -176,11 +176,11 @@ def p2(spark, folder):
     return aggregate.batch_statistics(ingest.run_report(processed, stored))
 
 
-FUNNEL = {"status": "case when id % 9 = 0 then 'REJECTED' else 'NEW' end", "company": "lang",
+LIST_COLUMNS = {"status": "case when id % 9 = 0 then 'REJECTED' else 'NEW' end", "company": "lang",
           "remoteness": "case when id % 2 = 0 then 'UNKNOWN' else 'FULLY_REMOTE' end"}
 
 
-@query("p3_funnel", needs="docs", sql="""
+@query("p3_master_update", needs="docs", sql="""
 with rows as (select id, source_id, key_id, title, description, lang as company, case when id % 9 = 0 then 'REJECTED' else 'NEW' end as status,
   cast(date '2001-01-01' + cast(id * 37 % 300 as int) as timestamp) as post_date from docs),
 kept as (select * from rows where status = 'NEW' and post_date >= timestamp '2001-02-01'),
@@ -194,10 +194,10 @@ union all select id, key_id, title, post_date, false from kept where source_id %
 """)
 def p3(spark, folder):
     rows = docs(spark, folder).select(
-        "id", "source_id", "key_id", "title", "description", F.expr(FUNNEL["company"]).alias("company"), F.expr(FUNNEL["status"]).alias("status"),
-        F.expr(FUNNEL["remoteness"]).alias("remoteness"),
+        "id", "source_id", "key_id", "title", "description", F.expr(LIST_COLUMNS["company"]).alias("company"), F.expr(LIST_COLUMNS["status"]).alias("status"),
+        F.expr(LIST_COLUMNS["remoteness"]).alias("remoteness"),
         F.expr("cast(date_add(date '2001-01-01', cast(id * 37 % 300 as int)) as timestamp)").alias("post_date"))
     blocked = rows.filter("id < 0").select("key_id", "title", "status")
-    new_list, _, _ = run_funnel(rows.filter(f"not ({NEW_DOCS})").drop("source_id"), rows.filter(NEW_DOCS).drop("source_id"), blocked,
+    new_list, _, _ = update_master(rows.filter(f"not ({NEW_DOCS})").drop("source_id"), rows.filter(NEW_DOCS).drop("source_id"), blocked,
                                 blocked.select("key_id"), oldest=datetime(2001, 2, 1))
     return new_list.select("id", "key_id", "title", "post_date", "updated")

@@ -213,14 +213,14 @@ def relevant_jobs(jobs: DataFrame, title: str = "title") -> DataFrame:
     return jobs.filter(relevant_title(title))
 
 
-def fresh_board_rows(rows: DataFrame, as_of_epoch: int, board: str, days: int = 14) -> DataFrame:
+def fresh_board_rows(rows: DataFrame, as_of_epoch: int, board: str, base: str, days: int = 14) -> DataFrame:
     """Rows updated within the last days, with first location, link and key."""
     slug = F.lower(F.replace(F.col("title"), F.lit(" "), F.lit("-")))
     return rows.filter(F.col("updated_date") >= as_of_epoch - days * 86400).select(
         F.col("title").alias("job_title"),
         F.coalesce("company_name", F.lit("Unknown Company")).alias("company"),
         F.coalesce(F.get("locations", F.lit(0)), F.lit("Unknown Location")).alias("location"),
-        F.concat(F.lit(f"https://{board}.jobs/p/"), "id", F.lit("/"), slug).alias("url"),
+        F.concat(F.lit(base), "id", F.lit("/"), slug).alias("url"),
         "updated_date", F.concat(F.lit(f"{board}-"), "id").alias("key"))
 
 

@@ -14,7 +14,7 @@ from ..operators.lifecycle import grow_block_list, update_if_newer
 from ..operators.similarity import match_incoming
 
 
-def run_funnel(master: DataFrame, scraped: DataFrame, block_list: DataFrame, known: DataFrame, *,
+def update_master(master: DataFrame, scraped: DataFrame, block_list: DataFrame, known: DataFrame, *,
                oldest: datetime | None = None, blocked_companies: tuple[str, ...] = (),
                remoteness: str = "ANY", threshold: float = 0.75) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Next master list, the match table, and the grown block list.

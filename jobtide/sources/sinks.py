@@ -84,8 +84,11 @@ def sitemap_rows(companies: DataFrame, vacancies: DataFrame, host: str, section:
         F.coalesce(F.date_format("_last", "yyyy-MM-dd"), F.lit("2025-01-01")).alias("lastmod"))
 
 
-def alert_rows(fresh: DataFrame) -> DataFrame:
-    """Message text and route of each newly seen posting."""
+def alert_rows(fresh: DataFrame, board: str, other: str) -> DataFrame:
+    """Message text and route of each newly seen posting.
+
+    Keys that name `board` take its route, all others the one of `other`.
+    """
     kind = F.when(F.col("is_internship"), "Internship").otherwise("Job")
     line = lambda label, c: F.concat(F.lit(f"\n  {label}: "), c)
     text = F.concat(
@@ -93,13 +96,13 @@ def alert_rows(fresh: DataFrame) -> DataFrame:
         line("Location", F.col("location")), line("Link", F.col("url")), line("Found At", F.col("found_at")),
         line("Posted At", F.col("posted_time")),
         line("Apply Clicks", F.coalesce(F.col("apply_clicks"), F.lit("N/A"))))
-    board = F.when(F.col("key").contains("simplify"), "simplify").otherwise("linkedin")
-    return fresh.select("key", text.alias("message"), route(board, F.col("is_internship")).alias("route"))
+    feed = F.when(F.col("key").contains(board), board).otherwise(other)
+    return fresh.select("key", text.alias("message"), route(feed, F.col("is_internship")).alias("route"))
 
 
 def route(board: Column, internship: Column) -> Column:
     return F.concat(board, F.when(internship, "_internships").otherwise("_jobs"))
 
 
-def write_alerts(fresh: DataFrame, path: str) -> None:
-    alert_rows(fresh).write.mode("append").partitionBy("route").json(path)
+def write_alerts(fresh: DataFrame, path: str, board: str, other: str) -> None:
+    alert_rows(fresh, board, other).write.mode("append").partitionBy("route").json(path)
