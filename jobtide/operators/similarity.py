@@ -4,9 +4,10 @@ Texts become unit vectors of smooth TF-IDF weights. Two vectors with cosine of
 at least `t` must share a term among the rarest terms that hold all but `t` of a
 vector's length, so only those leading terms are used to bring candidates
 together. Equal texts are collapsed before anything is compared. Leading terms are
-spread over buckets, and a bucket that many vectors share is split into blocks of
-bounded size on both sides. A block scores the vectors that share a leading term
-and yields one best match per query, never a list of pairs.
+spread over buckets (one bucket while that ships less), and a bucket is split into
+blocks of bounded size on both sides. A block yields one best match per query, never
+a list of pairs; inside it, vectors whose leading terms leave no room for the
+threshold are not scored in full.
 """
 
 from __future__ import annotations
@@ -18,12 +19,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.core import bind
 from ..functions.text import fold, strip_html
 from ..session import kept
 
 TOKEN = r"[\p{L}\p{N}_]{2,}"
-BLOCK = 4096
-TEXTS_PER_BUCKET = 2000
+BLOCK = 2048
 SLACK = 1e-9
 
 
@@ -44,6 +45,10 @@ def terms(text: Column, stop_words: Sequence[str] = (), bigrams: bool = True) ->
     return F.transform(F.array(words), with_pairs)[0]
 
 
+def text_key(text: str) -> Column:
+    return F.unhex(F.sha2(text, 256))
+
+
 def term_counts(texts: DataFrame, stop_words: Sequence[str], bigrams: bool) -> DataFrame:
     """Occurrences of each term in each distinct text of each side.
 
@@ -51,7 +56,7 @@ def term_counts(texts: DataFrame, stop_words: Sequence[str], bigrams: bool) -> D
     Terms are counted where the texts were collapsed, without another shuffle. A
     text without terms keeps one row with a null term.
     """
-    distinct = texts.groupBy("side", F.sha2("text", 256).alias("text_hash")).agg(
+    distinct = texts.groupBy("side", text_key("text").alias("text_hash")).agg(
         F.min("id").alias("doc"), F.count("*").alias("copies"), F.first("text").alias("text"))
     keys = ["side", "text_hash", "doc", "copies"]
     words = distinct.select(*keys, F.explode_outer(terms(F.col("text"), stop_words, bigrams)).alias("term"))
@@ -82,75 +87,126 @@ def leading_terms(counts: DataFrame, weights: DataFrame, threshold: float) -> Da
     still at least `threshold` long.
     """
     keys = ["side", "text_hash", "doc"]
-    raw = counts.join(weights, "term").select(*keys, "tid", "df", (F.col("tf") * F.col("idf")).alias("x"))
-    whole = Window.partitionBy(*keys)
-    rest = whole.orderBy("df", "tid").rowsBetween(0, Window.unboundedFollowing)
-    unit = raw.withColumn("w", F.col("x") / F.sqrt(F.sum(F.col("x") * F.col("x")).over(whole)))
-    flagged = unit.withColumn("lead", F.sqrt(F.sum(F.col("w") * F.col("w")).over(rest)) >= threshold - SLACK)
-    vectors = flagged.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("df", "tid", "w"))).alias("v"), F.count_if("lead").alias("leads"))
-    return vectors.select(*keys, F.col("v.tid").alias("tids"), F.col("v.w").alias("ws"), "leads")
-
-
-def _rows(side: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Vectors of a block end to end: start of each, term numbers, weights."""
-    sizes = side["tids"].map(len).to_numpy()
-    starts = np.concatenate([[0], np.cumsum(sizes)])
-    return starts, np.concatenate(side["tids"].to_list()), np.concatenate(side["ws"].to_list())
+    rows = counts.join(weights, "term").select(*keys, "tid", "df", (F.col("tf") * F.col("idf")).alias("x"))
+    vectors = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("df", "tid", "x"))).alias("v"))
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, e: a + e["x"] * e["x"]))
+    unit = bind(length, lambda n: F.transform("v", lambda e: e["x"] / n))
+    vectors = vectors.select(*keys, F.col("v.df").alias("dfs"), F.col("v.tid").alias("tids"), unit.alias("ws"))
+    spent = 1 - (threshold - SLACK) ** 2
+    start = F.struct(F.lit(0.0).alias("before"), F.lit(0).alias("n"))
+    leads = F.aggregate("ws", start, lambda a, w: F.struct(
+        (a["before"] + w * w).alias("before"),
+        F.when(a["before"] <= spent, a["n"] + 1).otherwise(a["n"]).alias("n")))["n"]
+    return vectors.withColumn("leads", leads)
+
+
+class _Block:
+    """Vectors of one side of a block, end to end, terms as ranks (rarest first)."""
+
+    def __init__(self, rows: pd.DataFrame):
+        self.docs = rows["doc"].to_numpy()
+        self.leads = rows["leads"].to_numpy()
+        sizes = rows["tids"].map(len).to_numpy()
+        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+        self.tids = np.concatenate(rows["tids"].to_list())
+        self.dfs = np.concatenate(rows["dfs"].to_list())
+        self.ws = np.concatenate(rows["ws"].to_list())
+        # Squared length up to each entry, over the whole block.
+        self.mass = np.concatenate([[0.0], np.cumsum(self.ws * self.ws)])
+
+    def entries(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Entry numbers of some rows and where each row begins among them."""
+        sizes = self.starts[rows + 1] - self.starts[rows]
+        first = np.cumsum(sizes) - sizes
+        return np.repeat(self.starts[rows], sizes) + np.arange(sizes.sum()) - np.repeat(first, sizes), first
+
+
+def _rank_terms(*blocks: _Block) -> int:
+    """Give every entry the rank of its term by (document frequency, number)."""
+    tids = np.concatenate([b.tids for b in blocks])
+    dfs = np.concatenate([b.dfs for b in blocks])
+    names, first, inverse = np.unique(tids, return_index=True, return_inverse=True)
+    rank = np.empty(len(names), dtype=np.int64)
+    rank[np.lexsort((names, dfs[first]))] = np.arange(len(names))
+    ranks = rank[inverse]
+    at = 0
+    for b in blocks:
+        b.ranks = ranks[at:at + len(b.tids)]
+        b.last = b.ranks[b.starts[:-1] + b.leads - 1]
+        at += len(b.tids)
+    return len(names)
 
 
 def _block_best(threshold: float):
+    floor = threshold - SLACK
+
     def best(queries: pd.DataFrame, refs: pd.DataFrame) -> pd.DataFrame:
         if queries.empty or refs.empty:
             return pd.DataFrame({"query": [], "ref": [], "score": []})
         refs = refs.sort_values("doc", kind="stable")
-        starts, tids, ws = _rows(refs)
-        names, cols = np.unique(tids, return_inverse=True)
-        # Which references lead with a term: sorted by term, found by bisection.
-        leads = np.concatenate([t[:n] for t, n in zip(refs["tids"], refs["leads"])])
-        owners = np.repeat(np.arange(len(refs)), refs["leads"].to_numpy())
-        order = np.argsort(leads, kind="stable")
-        leads, owners = leads[order], owners[order]
-        dense = np.zeros(len(names))
+        q, r = _Block(queries), _Block(refs)
+        n_terms = _rank_terms(q, r)
+        n_refs = len(r.docs)
+        # Postings of the references' leading terms, by rank.
+        row_of = np.repeat(np.arange(n_refs), np.diff(r.starts))
+        leading = np.arange(len(r.ws)) - np.repeat(r.starts[:-1], np.diff(r.starts)) < r.leads[row_of]
+        order = np.argsort(r.ranks[leading], kind="stable")
+        owner, weight = row_of[leading][order], r.ws[leading][order]
+        offset = np.searchsorted(r.ranks[leading][order], np.arange(n_terms + 1))
+        keyed = row_of * n_terms + r.ranks
+        dense = np.zeros(n_terms)
         found = []
-        for doc, q_tids, q_ws, n in zip(queries["doc"], queries["tids"], queries["ws"], queries["leads"]):
-            lo, hi = np.searchsorted(leads, q_tids[:n], "left"), np.searchsorted(leads, q_tids[:n], "right")
-            near = [owners[a:b] for a, b in zip(lo, hi) if a < b]
-            if not near:
+        for i, here in enumerate(queries["here"]):
+            lo, hi = q.starts[i], q.starts[i + 1]
+            ranks, ws = q.ranks[lo:hi], q.ws[lo:hi]
+            lead = ranks[:q.leads[i]]
+            sizes = offset[lead + 1] - offset[lead]
+            if not sizes.any():
+                continue
+            spot = np.repeat(offset[lead], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            shared = np.bincount(owner[spot], weight[spot] * np.repeat(ws[:q.leads[i]], sizes), n_refs)
+            inside = np.repeat(np.isin(q.tids[lo:lo + q.leads[i]], here), sizes)
+            near = np.unique(owner[spot[inside]])
+            # All shared terms up to the earlier of the two last leading terms are
+            # counted in `shared`; what follows is bounded by the lengths left.
+            edge = np.minimum(q.last[i], r.last[near])
+            mass = np.concatenate([[0.0], np.cumsum(ws * ws)])
+            q_left = 1 - mass[np.searchsorted(ranks, edge, "right")]
+            r_left = 1 - (r.mass[np.searchsorted(keyed, near * n_terms + edge, "right")] - r.mass[r.starts[near]])
+            room = np.sqrt(np.maximum(q_left, 0) * np.maximum(r_left, 0))
+            near = near[shared[near] + room >= floor - SLACK]
+            if not len(near):
                 continue
-            near = np.unique(np.concatenate(near))
-            at = np.minimum(np.searchsorted(names, q_tids), len(names) - 1)
-            known = names[at] == q_tids
-            dense[at[known]] = q_ws[known]
-            sizes = starts[near + 1] - starts[near]
-            inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            entry = np.repeat(starts[near], sizes) + inside
-            scores = np.add.reduceat(ws[entry] * dense[cols[entry]], np.cumsum(sizes) - sizes)
-            dense[at[known]] = 0.0
-            scores = np.round(scores, 12)
+            dense[ranks] = ws
+            entry, first = r.entries(near)
+            scores = np.round(np.add.reduceat(r.ws[entry] * dense[r.ranks[entry]], first), 12)
+            dense[ranks] = 0.0
             top = scores.argmax()
-            if scores[top] >= threshold - SLACK:
-                found.append((doc, refs["doc"].iloc[near[top]], scores[top]))
+            if scores[top] >= floor:
+                found.append((q.docs[i], r.docs[near[top]], scores[top]))
         return pd.DataFrame(found, columns=["query", "ref", "score"])
 
     return best
 
 
-def best_pairs(queries: DataFrame, refs: DataFrame, threshold: float, texts: Column,
-               block: int = BLOCK, per_bucket: int = TEXTS_PER_BUCKET) -> DataFrame:
+def best_pairs(vectors: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
     """Best reference of each query vector with cosine of at least `threshold`.
 
-    `texts` is the number of texts on both sides and sets the number of buckets.
+    `vectors` holds both sides (`new` and `ref`). With one bucket a vector is sent
+    to every block of the other side; with many, once per leading term. The cheaper
+    of the two is taken.
     """
-    buckets = F.greatest(F.ceil(texts / per_bucket), F.lit(1))
-
-    def spread(side: DataFrame) -> DataFrame:
-        lead = F.slice("tids", F.lit(1), F.col("leads"))
-        return side.withColumn("buckets", buckets).withColumn("bucket", F.explode(F.array_distinct(
-            F.transform(lead, lambda t: F.pmod(F.xxhash64(t), F.col("buckets")))))).drop("buckets")
-
-    # Fresh column identities: both sides may come from one table.
-    q, r = (spread(side.drop("text_hash").toDF("doc", "tids", "ws", "leads")) for side in (queries, refs))
+    texts, leads = (vectors.agg(F.coalesce(c, F.lit(0))).scalar() for c in (F.count("*"), F.sum("leads")))
+    many = texts / block > leads / F.greatest(texts, F.lit(1))
+    sized = vectors.drop("text_hash").withColumn(
+        "buckets", F.when(many, F.ceil(leads / block)).otherwise(F.lit(1)).cast("long"))
+    lead = F.slice("tids", F.lit(1), F.col("leads"))
+    bucket_of = lambda t: F.pmod(F.xxhash64(t), F.col("buckets"))
+    spread = sized.withColumn("bucket", F.explode(F.array_distinct(F.transform(lead, bucket_of))))
+    spread = spread.withColumn("here", F.filter(lead, lambda t: bucket_of(t) == F.col("bucket"))).drop("buckets")
+    # Fresh column identities: both sides come from one table.
+    q, r = (spread.filter(F.col("side") == s).drop("side").toDF("doc", "dfs", "tids", "ws", "leads", "bucket", "here")
+            for s in ("new", "ref"))
 
     def blocks(side: DataFrame, name: str) -> DataFrame:
         return side.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
@@ -191,20 +247,18 @@ def find_near_duplicates(new: DataFrame, existing: DataFrame, *, threshold: floa
     heads = counts.select("side", "text_hash", "doc", "copies").distinct()
     corpus = heads if fit_on_both else heads.filter("side = 'ref'")
     total = corpus.agg(F.coalesce(F.sum("copies"), F.lit(0))).scalar()
-    texts = heads.agg(F.count("*")).scalar()
     used = counts.filter("term is not null")
     fitted = used if fit_on_both else used.filter("side = 'ref'")
     vectors = kept(leading_terms(used, term_weights(fitted, total, max_features), threshold), "vectors")
     vectors = vectors.filter(total >= min_corpus)
-    asked_vectors, ref_vectors = (vectors.filter(F.col("side") == s).drop("side") for s in ("new", "ref"))
+    asked_hashes, ref_hashes = (vectors.filter(F.col("side") == s).select("text_hash", F.col("doc").alias(n))
+                                for s, n in (("new", "query"), ("ref", "ref")))
     # Equal texts need no search: their cosine is one.
-    equal = asked_vectors.select("text_hash", F.col("doc").alias("query")).join(
-        ref_vectors.select("text_hash", F.col("doc").alias("ref")), "text_hash").select(
-        "query", "ref", F.lit(1.0).alias("score"))
-    pairs = best_pairs(asked_vectors.join(ref_vectors.select("text_hash"), "text_hash", "left_anti"),
-                       ref_vectors, threshold, texts)
+    equal = asked_hashes.join(ref_hashes, "text_hash").select("query", "ref", F.lit(1.0).alias("score"))
+    done = equal.select(F.col("query").alias("doc"), F.lit("new").alias("side"))
+    pairs = best_pairs(vectors.join(done, ["doc", "side"], "left_anti").select(*vectors.columns), threshold)
     # Every copy of a query text gets the match of its representative.
-    members = asked.select("id", F.sha2("text", 256).alias("text_hash")).join(
+    members = asked.select("id", text_key("text").alias("text_hash")).join(
         heads.filter("side = 'new'").select("text_hash", F.col("doc").alias("query")), "text_hash")
     return members.join(equal.unionByName(pairs), "query").select(
         F.col("id").alias("duplicate_id"), F.col("ref").alias("original_id"),
