@@ -105,8 +105,8 @@ def t6(spark, folder):
     path, checkpoint = _paths(spark, "toggles")
     events = event_stream(spark, folder).filter("event_type in ('signup', 'purchase', 'error')").selectExpr(
         "event_id", "ts", "user_id", "entity", "event_type in ('signup', 'purchase') as active")
-    rows = streams.drain_to(streams.toggle_stream(events, "user_id", "entity"), path, checkpoint, "append")
-    return rows.groupBy("entity").agg(F.count("*").alias("changes"), F.sum("diff").alias("user_count"))
+    streams.drain(events, streams.toggle_step(path, ["user_id", "entity"]), checkpoint, "append")
+    return spark.read.parquet(path).groupBy("entity").agg(F.count("*").alias("changes"), F.sum("diff").alias("user_count"))
 
 
 # Whole plans.

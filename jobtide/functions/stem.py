@@ -1,13 +1,12 @@
 """English suffix stripping after Porter (1980), as an Arrow-batched UDF.
 
 The only per-word Python code of the package. It runs inside tasks on arrays of
-words and remembers the stems of the words it has met.
+words and remembers the stems of the words of a batch.
 """
 
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -46,7 +45,6 @@ def _longest(word: str, suffixes) -> str | None:
     return max(hits, key=len) if hits else None
 
 
-@lru_cache(maxsize=200_000)
 def stem(word: str) -> str:
     """Stem of a lower-case word."""
     if len(word) <= 2 or not word.isascii() or not word.isalpha():
@@ -88,4 +86,11 @@ def stem(word: str) -> str:
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def stem_words(words: pd.Series) -> pd.Series:
-    return words.map(lambda ws: None if ws is None else [stem(w) for w in ws])
+    known: dict[str, str] = {}
+
+    def look_up(word: str) -> str:
+        if word not in known:
+            known[word] = stem(word)
+        return known[word]
+
+    return words.map(lambda ws: None if ws is None else [look_up(w) for w in ws])

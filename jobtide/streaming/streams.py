@@ -7,15 +7,13 @@ executor or driver never counts anything twice.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.dedup import new_postings
-from ..operators.keyed import keep_first
+from ..operators.keyed import keep_first, with_previous
 
 BatchStep = Callable[[DataFrame, int], None]
 
@@ -131,25 +129,24 @@ def online_stream(events: DataFrame, user: str = "user_id", ts: str = "ts", dela
             .agg(F.max(ts).alias("last_seen")).select(user, F.col("w.start").alias("hour"), "last_seen"))
 
 
-CHANGES = "{user} long, {key} long, ts timestamp, active boolean, diff int"
+def toggle_step(path: str, keys: Sequence[str], ts: str = "ts", value: str = "active",
+                tie: str = "event_id") -> BatchStep:
+    """On/off events that really change a state, with +1 or -1, as a change log.
 
-
-def toggle_stream(events: DataFrame, user: str, key: str, ts: str = "ts", value: str = "active") -> DataFrame:
-    """On/off events that really change a user's state, with +1 or -1.
-
-    The state holds one flag per user and entity.
+    The state of a key is its last change in the log. Within a batch rows are
+    compared per key and hour, so a busy key is spread over tasks.
     """
-    def changes(names, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        active = state.get[0] if state.exists else None
-        rows = []
-        for event in pd.concat(list(chunks)).sort_values([ts, "event_id"]).itertuples():
-            now = bool(getattr(event, value))
-            if active is None or now != active:
-                rows.append((names[0], names[1], getattr(event, ts), now, 1 if now else -1))
-                active = now
-        state.update((active,))
-        if rows:
-            yield pd.DataFrame(rows, columns=[user, key, "ts", "active", "diff"])
-
-    return events.groupBy(user, key).applyInPandasWithState(
-        changes, CHANGES.format(user=user, key=key), "active boolean", "append", GroupStateTimeout.NoTimeout)
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.withColumn("_hour", F.date_trunc("hour", ts))
+        marked = with_previous(rows, keys, [ts, tie], value, "_hour", "_before").drop("_hour")
+        if batch_id > 0:
+            log = spark.read.parquet(path).filter(F.col("batch") < batch_id)
+            state = log.groupBy(*keys).agg(F.max_by(value, F.struct("batch", ts, tie)).alias("_state"))
+            marked = marked.join(state, list(keys), "left").withColumn(
+                "_before", F.coalesce("_before", "_state")).drop("_state")
+        changed = F.col("_before").isNull() | (F.col("_before") != F.col(value))
+        out = marked.filter(changed).withColumn("diff", F.when(F.col(value), 1).otherwise(-1))
+        out.select(*keys, ts, tie, value, "diff").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return step

@@ -54,7 +54,10 @@ def test_toggles_equal_the_batch_result(spark, tmp_path):
     data = [(i, start + timedelta(minutes=i), i % 3, i % 2, i * 11 % 5 < 2) for i in range(200)]
     for f in range(4):
         spark.createDataFrame(data[f * 50:(f + 1) * 50], SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
-    out = streams.drain_to(streams.toggle_stream(events(spark, f"{tmp_path}/in"), "user_id", "entity"), f"{tmp_path}/out", f"{tmp_path}/cp", "append")
+    step = streams.toggle_step(f"{tmp_path}/out", ["user_id", "entity"])
+    streams.drain(events(spark, f"{tmp_path}/in"), step, f"{tmp_path}/cp", "append")
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert out.select("batch").distinct().count() > 1
     state = lifecycle.switch_state(spark.createDataFrame(data, SCHEMA), ["user_id", "entity"])
     got = out.groupBy("user_id", "entity").agg(F.max_by("active", "ts").alias("active"), F.max("ts").alias("updated_at"))
     assert rows(got.select("user_id", "entity", "active", "updated_at")) == rows(state.select("user_id", "entity", "active", "updated_at"))
