@@ -269,3 +269,15 @@ def d7(spark, folder):
     incoming = rest.filter(NEW_DOCS).unionByName(again).unionByName(blank(marked.filter(NEW_DOCS)))
     found = similarity.match_incoming(master, incoming, marked.filter(NEW_DOCS).select("key_id"))
     return found.select("duplicate_id", "original_id", "match_type", F.round("similarity", 6).alias("similarity"))
+
+
+@query("j11_similarity_join", sql=TFIDF_SQL.format(
+    clean="select doc_id as id, 'd' as k, text from documents union all select item_id, 'b', text from benchmark", new="k = 'b'", least=0, stop="''",
+    grams="ws", corpus="select * from e", fitted="side = 'e'", top="", threshold=0.3))
+def j11(spark, folder):
+    """Each benchmark passage with the closest document, at a low threshold."""
+    items = table(spark, folder, "benchmark").select(F.col("item_id").alias("id"), "text")
+    rows = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text")
+    found = similarity.find_near_duplicates(items, rows, threshold=0.3, max_features=None, bigrams=False, min_length=0,
+                                            text="text", strip_tags=False)
+    return found.select("duplicate_id", "original_id", F.round("similarity", 6).alias("similarity"))

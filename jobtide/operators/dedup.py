@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.core import blank
+from ..functions.core import blank, lookup
 from ..functions.text import alias_equal, normalize_url
 from .keyed import keep_first
 from .similarity import find_near_duplicates
@@ -41,10 +41,12 @@ def find_exact_duplicates(new: DataFrame, existing: DataFrame, order: str = "id"
     """
     keys = match_keys(new, "id").withColumnRenamed("id", "duplicate_id")
     hits = keys.join(match_index(existing, order), ["rank", "kind", "key"])
+    # Plain numbers only, so that the aggregate hashes and needs no sort.
     best = hits.groupBy("duplicate_id").agg(
-        F.min(F.struct("rank", "original_id", "kind")).alias("_b"))
-    return best.select("duplicate_id", F.col("_b.original_id").alias("original_id"),
-                       F.col("_b.kind").alias("match_type"), F.lit(1.0).alias("similarity"))
+        F.min("rank").alias("rank"), F.min_by("original_id", "rank").alias("original_id"))
+    kinds = {rank: kind for kind, rank in RANKS.items()}
+    return best.select("duplicate_id", "original_id", lookup(kinds, F.col("rank")).alias("match_type"),
+                       F.lit(1.0).alias("similarity"))
 
 
 def find_all_duplicates(new: DataFrame, existing: DataFrame, near: bool = True,
