@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.text import content_hash
-from ..session import configure
+from ..session import configure, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -142,7 +142,20 @@ def _select(columns: dict[str, str]) -> str:
 
 
 def jobs(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "orders").join(
+    return _jobs_of(table(spark, folder, "orders"), spark, folder)
+
+
+def heavy_jobs(spark: SparkSession, folder: str) -> DataFrame:
+    """Jobs for queries that spend their time on each row."""
+    return _jobs_of(spread(table(spark, folder, "orders")), spark, folder)
+
+
+def heavy_docs(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "documents")).selectExpr(*[f"{e} as {n}" for n, e in DOCS.items()])
+
+
+def _jobs_of(orders: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
+    rows = orders.join(
         table(spark, folder, "customer").selectExpr("c_custkey as o_custkey", "c_name"), "o_custkey")
     return rows.selectExpr(*[f"{e} as {n}" for n, e in JOBS.items()]).withColumn(
         "content_hash", content_hash("title", "company", "location"))

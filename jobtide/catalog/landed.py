@@ -14,7 +14,8 @@ from ..plans import compile as site_plan
 from ..plans.export import export_rows
 from ..session import work_path
 from ..sources import boards, files, lists, sinks, sites
-from .base import jobs, query, sources, table
+from .base import heavy_jobs as jobs
+from .base import query, sources, table
 from .rows import master
 from .texts import TAGLESS
 

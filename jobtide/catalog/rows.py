@@ -59,7 +59,7 @@ where case when level in ('intern', 'entry') then true
 group by level
 """)
 def flagship(spark, folder):
-    rows = classify(jobs(spark, folder), location=None)
+    rows = classify(base.heavy_jobs(spark, folder), location=None)
     friendly = F.col("class.entry_friendly")
     # Counted under a condition: a filter on the struct would be pushed below it
     # and classify every row a second time.

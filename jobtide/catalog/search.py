@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import search
 from ..session import kept
-from .base import docs, query
+from .base import heavy_docs as docs
+from .base import query
 
 POSTED_SQL = "cast(date '2001-01-01' + cast(id % 300 as int) as timestamp) as posted_date"
 TOKENS = "regexp_extract_all(strip_accents(lower({0})), '[\\p{{L}}\\p{{N}}]+')"

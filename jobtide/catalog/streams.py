@@ -12,10 +12,10 @@ from ..plans import ingest
 from ..plans.master import update_master
 from ..session import configure, kept, work_path
 from ..streaming import streams
-from .base import DOCS, VIEWS, docs, query, sources
+from .base import DOCS, VIEWS, docs, heavy_jobs, query, sources
 from .joins import NEW_DOCS, TFIDF_SQL
 from .reports import DAILY_SQL
-from .states import NEW_SQL, OLD_SQL, SWITCHES, _tables
+from .states import NEW, NEW_SQL, OLD, OLD_SQL, SWITCHES
 from .texts import CLASS_SQL, LOC_VALUES
 
 EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
@@ -137,7 +137,8 @@ c as (select h.id, h.source_id, h.hash, cls.experience_level as level, h.hash no
 
 
 def _plan(spark, folder):
-    stored, batch = _tables(spark, folder)
+    rows = heavy_jobs(spark, folder)
+    stored, batch = rows.filter(F.col("posted_date") < F.lit(OLD)), rows.filter(F.col("posted_date") >= F.lit(NEW))
     return kept(ingest.process(batch, stored, sources(spark, folder)), "processed"), stored
 
 

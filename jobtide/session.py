@@ -54,6 +54,16 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Share the rows of a table of few files among the cores.
+
+    Meant for tables that costly row rules follow. A table of many files is read by
+    many tasks anyway and passes unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """Write a table that several steps read, and read it back.
 
