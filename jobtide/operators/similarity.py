@@ -24,7 +24,7 @@ from ..functions.text import fold, strip_html
 from ..session import kept
 
 TOKEN = r"[\p{L}\p{N}_]{2,}"
-BLOCK = 2048
+BLOCK = 1024
 SLACK = 1e-9
 
 
