@@ -38,12 +38,15 @@ def local_session(cores: str = "8", **extra: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
+    """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
 
-    A temporary folder is used only where the cluster names none, as in tests.
+    A session in one local process (as in tests) may go without; a cluster must name a folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="jobtide-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
