@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalog import base
 from ..session import configure
-from . import packing, simhash, substring, tokens
+from . import ngrams, packing, simhash, substring, tokens
 
 QUERIES: dict[str, base.Query] = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +23,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remainder(modulus: int) -> Column:
+    """crc32 of the id as text, modulo a number; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string")) % modulus
+
+
+@query
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's score under the model of those that are not held out."""
+    return ngrams.score(table(spark, sf_dir, "documents"), remainder(10) == 0)
+
+
 @query
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every distinct length with its sums."""

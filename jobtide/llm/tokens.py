@@ -55,12 +55,14 @@ def suffix_sums(histogram: DataFrame) -> DataFrame:
 
 def truncated_totals(histogram: DataFrame, limits: list[int]) -> DataFrame:
     """The corpus total for any context limits: one row per limit, from one pass over the histogram."""
-    cut = histogram.agg(*[F.coalesce(F.sum(F.least("tokens", F.lit(x)) * F.col("n_docs")), F.lit(0)).alias(str(x)) for x in limits])
-    return cut.unpivot([], [str(x) for x in limits], "_limit", "total").select(F.col("_limit").cast("long").alias("context_limit"), "total")
+    cut = histogram.agg(*[F.coalesce(F.sum(F.least("tokens", F.lit(x)) * F.col("n_docs")), F.lit(0)).alias(f"_{i}") for i, x in enumerate(limits)])
+    rows = F.explode(F.array(*[F.struct(F.lit(x).cast("long").alias("context_limit"), F.col(f"_{i}").alias("total")) for i, x in enumerate(limits)]))
+    return cut.select(rows.alias("_x")).select("_x.*")
 
 
 def quantiles(sums: DataFrame, shares: list[float]) -> DataFrame:
     """For each share the smallest length that at least that share of the documents does not exceed."""
     total = F.col("docs_from") + F.col("docs_to") - F.col("n_docs")
-    found = sums.agg(*[F.min(F.when(F.col("docs_to") >= F.lit(q) * total, F.col("tokens"))).alias(str(q)) for q in shares])
-    return found.unpivot([], [str(q) for q in shares], "_share", "tokens").select(F.col("_share").cast("double").alias("share"), "tokens")
+    found = sums.agg(*[F.min(F.when(F.col("docs_to") >= F.lit(q) * total, F.col("tokens"))).alias(f"_{i}") for i, q in enumerate(shares)])
+    rows = F.explode(F.array(*[F.struct(F.lit(q).alias("share"), F.col(f"_{i}").alias("tokens")) for i, q in enumerate(shares)]))
+    return found.select(rows.alias("_x")).select("_x.*")
