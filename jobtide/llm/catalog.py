@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import base
 from ..session import configure
-from . import ngrams, packing, simhash, substring, tokens
+from . import decontaminate, licenses, neighbours, ngrams, packing, pii, simhash, substring, tokens, toxicity
 
 QUERIES: dict[str, base.Query] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +28,12 @@ def remainder(modulus: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % modulus
 
 
+@query
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's personal data."""
+    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
 @query
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text's score under the model of those that are not held out."""
@@ -40,6 +46,16 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.suffix_sums(tokens.length_histogram(table(spark, sf_dir, "documents")))
 
 
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's score; rows with remainder 0 teach nothing."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), remainder(5) != 0)
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", F.coalesce(remainder(5) == 0, F.lit(False)).alias("held_out"), F.col("toxicity").alias("score"),
+                         (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stays of every document."""
@@ -59,6 +75,27 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 
+@query
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest rows of each fiftieth one."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every place of a benchmark item in a document."""
+    return decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's licence statements."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op10_licenses"] = licenses.sql_twin()
+
+
 def queries() -> dict[str, base.Query]:
     return dict(QUERIES)
 
