@@ -1,6 +1,6 @@
 """Questions and answers between blocks of documents and buckets of keys.
 
-Documents are dealt into blocks of bounded size. Each block asks every bucket about the distinct
+Consecutive documents form blocks of bounded size. Each block asks every bucket about the distinct
 keys it holds, a bucket sees all blocks' keys of its share of the key space, and answers each block.
 What travels is one packed row per block and bucket, never more rows than keys; a key that fills
 a third of the corpus is asked once per block. Any task can be run again.
@@ -8,10 +8,11 @@ a third of the corpus is asked once per block. Any task can be run again.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,15 +22,48 @@ ASK_ARROW = pa.schema([("_bucket", pa.int32()), ("_block", pa.int64()), ("payloa
 ANSWER_ARROW = pa.schema([("_block", pa.int64()), ("_bucket", pa.int32()), ("reply", pa.binary())])
 
 
-def blocked(docs: DataFrame, columns: list[str], text: str, block_bytes: int) -> tuple[DataFrame, int]:
-    """The columns with a block number, dealt by it, and the number of blocks.
+def blocked(docs: DataFrame, text: str, block_bytes: int) -> tuple[DataFrame, int]:
+    """The rows in compressed blocks of consecutive rows, dealt by block number, and the number of buckets to ask.
 
-    The block follows from the first column and the text's length, so that rows which share an id still spread.
+    A block belongs to one task of the scan and holds about `block_bytes` of text, one long text at least. The table should be a stored
+    one, so that a task that is run again reads the same rows in the same order.
     """
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    n = int(total // block_bytes) + 1
-    block = F.pmod(F.xxhash64(F.col(columns[0]), F.length(text)), F.lit(n))
-    return docs.select(*[F.col(c) for c in columns], block.alias("_block")).repartition("_block"), n
+    at = docs.columns.index(text)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        first = TaskContext.get().partitionId() << 32
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+
+        def block(number: int, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, parts[0].schema, options=options) as out:
+                out.write_table(pa.Table.from_batches(parts).combine_chunks())
+            return pa.RecordBatch.from_arrays([pa.array([first + number], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["_block", "packed"])
+
+        number, parts, size = 0, [], 0
+        for batch in batches:
+            lengths = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+            start = 0
+            for row, n in enumerate(lengths.tolist()):
+                size += n
+                if size >= block_bytes:
+                    parts.append(batch.slice(start, row + 1 - start))
+                    yield block(number, parts)
+                    number, parts, size, start = number + 1, [], 0, row + 1
+            if start < batch.num_rows:
+                parts.append(batch.slice(start))
+        if parts:
+            yield block(number, parts)
+
+    return docs.mapInArrow(pack, "_block long, packed binary").repartition("_block"), int(total // block_bytes) + 1
+
+
+def rows(table: pa.Table) -> pa.Table:
+    """The rows of a block."""
+    return pa.concat_tables([pa.ipc.open_stream(x.as_buffer()).read_all() for x in table["packed"]])
 
 
 def by_bucket(keys: np.ndarray, buckets: int) -> list[np.ndarray]:

@@ -5,23 +5,27 @@ from __future__ import annotations
 import numpy as np
 
 _ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
-_CHUNK = 64  # bytes of the upper bits between two directory entries
+_CHUNK = 16  # bytes of the upper bits between two directory entries
 
 
 def _pick(bits: np.ndarray, before: np.ndarray, k: np.ndarray, one: bool) -> np.ndarray:
     """Places of the k-th ones (or zeros) by the directory, then bytes, then bits."""
-    block = np.searchsorted(before, k, "right") - 1
-    left = k - before[block]
-    rows = np.minimum(block[:, None] * _CHUNK + np.arange(_CHUNK)[None, :], len(bits) - 1)
-    part = bits[rows]
-    have = _ONES[part].astype(np.int64) if one else 8 - _ONES[part].astype(np.int64)
-    total = np.cumsum(have, axis=1)
-    byte = (total <= left[:, None]).sum(axis=1)
-    place = np.arange(len(k))
-    left = left - (total[place, byte] - have[place, byte])
-    bit = np.unpackbits(part[place, byte][:, None], axis=1, bitorder="little")
-    seen = np.cumsum(bit if one else 1 - bit, axis=1)
-    return (block * _CHUNK + byte) * 8 + (seen <= left[:, None]).sum(axis=1)
+    out = np.empty(len(k), np.int64)
+    lines = bits.reshape(-1, _CHUNK)
+    for at in range(0, len(k), 1 << 14):
+        part = k[at : at + (1 << 14)]
+        block = np.searchsorted(before, part, "right") - 1
+        left = (part - before[block]).astype(np.int16)
+        line = lines[block]
+        have = _ONES[line] if one else 8 - _ONES[line]
+        total = np.cumsum(have, axis=1, dtype=np.int16)
+        byte = np.minimum((total <= left[:, None]).sum(axis=1), _CHUNK - 1)
+        row = np.arange(len(part))
+        left = left - (total[row, byte] - have[row, byte])
+        bit = np.unpackbits(line[row, byte][:, None], axis=1, bitorder="little")
+        seen = np.cumsum(bit if one else 1 - bit, axis=1, dtype=np.int16)
+        out[at : at + (1 << 14)] = (block * _CHUNK + byte) * 8 + (seen <= left[:, None]).sum(axis=1)
+    return out
 
 
 class EliasFano:

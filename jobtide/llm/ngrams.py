@@ -19,8 +19,8 @@ from .words import Hasher, mix, text_bytes
 ORDER, PRIOR = 2, 8.0
 END = np.uint64(0x5851F42D4C957F2D)  # the end mark, beside all word hashes
 BLOCK_BYTES = 8 << 20
-STEPS = 4096.0  # steps of a quantised log10 probability
-SUCCESSOR_BITS = 44
+STEPS, LACKING = 36.0, 255  # steps of a quantised log10 probability (one byte: to 1e-7), and the code of what a trie lacks
+SUCCESSOR_BITS = 40
 ADD = 0.1
 
 
@@ -60,22 +60,28 @@ class Level:
         self.codes = views[6]
 
     def find(self, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """The code of each pair, 65535 where the trie lacks it."""
-        out = np.full(len(contexts), 65535, np.uint16)
-        at = self.contexts.successor(contexts)
-        have = np.flatnonzero(at < self.contexts.n)
-        have = have[self.contexts.get(at[have]) == contexts[have]]
-        end = self.pointers.get(at[have] + 1).astype(np.int64)
-        wanted = (at[have].astype(np.uint64) << np.uint64(self.bits)) | words[have]
+        """The code of each pair, `LACKING` where the trie lacks it. Neighbours of equal context share its search."""
+        out = np.full(len(contexts), LACKING, np.uint8)
+        if not len(contexts) or not self.contexts.n:
+            return out
+        new = np.concatenate(([True], contexts[1:] != contexts[:-1]))
+        run, different = np.cumsum(new) - 1, contexts[new]
+        at = self.contexts.successor(different)
+        known = at < self.contexts.n
+        known[known] = self.contexts.get(at[known]) == different[known]
+        end = np.zeros(len(at), np.int64)
+        end[known] = self.pointers.get(at[known] + 1)
+        have = np.flatnonzero(known[run])
+        wanted = (at[run[have]].astype(np.uint64) << np.uint64(self.bits)) | words[have]
         place = self.successors.successor(wanted)
-        ok = place < end
+        ok = place < end[run[have]]
         ok[ok] = self.successors.get(place[ok]) == wanted[ok]
         out[have[ok]] = self.codes[place[ok]]
         return out
 
 
 def quantised(p: np.ndarray) -> np.ndarray:
-    return np.minimum(np.rint(-np.log10(p) * STEPS), 65534).astype(np.uint16)
+    return np.minimum(np.rint(-np.log10(p) * STEPS), LACKING - 1).astype(np.uint8)
 
 
 def unquantised(codes: np.ndarray) -> np.ndarray:
@@ -133,42 +139,53 @@ def _count_words(payloads: list[bytes]) -> list[bytes]:
     return out
 
 
-GRAM_KINDS = ["<u8", "<u8", "<u4", "<i8"]
+_LOW = np.uint64((1 << SUCCESSOR_BITS) - 1)
 
 
-def _trie(prior: float, more: bool):
-    """Builds the level of a bucket's grams and looks up every block's grams in it."""
-    low = np.uint64((1 << SUCCESSOR_BITS) - 1)
+def _pack_grams(contexts: np.ndarray, words: np.ndarray, counts: np.ndarray, before: np.ndarray, echo: bytes) -> bytes:
+    """Grams in order of context and word: each context once with its count and number of words, words in five bytes."""
+    new = np.flatnonzero(np.concatenate(([True], contexts[1:] != contexts[:-1])))
+    runs = np.diff(np.append(new, len(contexts)))
+    low = words & _LOW
+    parts = [contexts[new].astype("<u8"), before[new].astype("<i8"), runs.astype("<u4"), (low & np.uint64(0xFFFFFFFF)).astype("<u4"),
+             (low >> np.uint64(32)).astype("u1"), counts.astype("<u4")]
+    return np.array([len(contexts), len(new), len(echo)], "<u4").tobytes() + b"".join(p.tobytes() for p in parts) + echo
+
+
+def _unpack_grams(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
+    n, different, extra = np.frombuffer(payload, "<u4", 3).tolist()
+    at, out = 12, []
+    for kind, size in (("<u8", different), ("<i8", different), ("<u4", different), ("<u4", n), ("u1", n), ("<u4", n)):
+        out.append(np.frombuffer(payload, kind, size, at))
+        at += out[-1].nbytes
+    contexts, before, runs, low, high, counts = out
+    return np.repeat(contexts, runs), low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32)), counts, np.repeat(before, runs), payload[at : at + extra]
 
+
+def _trie(prior: float, more: bool):
+    """Builds the level of a bucket's grams and looks up its different grams, for all blocks at once."""
     def answer(payloads: list[bytes]) -> list[bytes]:
-        parts = [_unpack(p, GRAM_KINDS) for p in payloads]
-        contexts, words, counts, before = (np.concatenate(c) for c in zip(*(p[0] for p in parts), strict=True))
+        parts = [_unpack_grams(p) for p in payloads]
+        sizes, echoes = [len(p[0]) for p in parts], [p[4] for p in parts]
+        contexts, words, counts, before = (np.concatenate([p[i] for p in parts]) for i in range(4))
+        del parts
         order = np.lexsort((words, contexts))
-        c, w = contexts[order], words[order] & low
-        new = np.ones(len(c), bool)
-        new[1:] = (c[1:] != c[:-1]) | (words[order][1:] != words[order][:-1])
+        contexts, words = contexts[order], words[order]
+        new = np.concatenate(([True], (contexts[1:] != contexts[:-1]) | (words[1:] != words[:-1])))[: len(order)]
         first = np.flatnonzero(new)
-        total = np.add.reduceat(counts[order].astype(np.int64), first) if len(first) else first
-        seen = np.flatnonzero(total > 0)
-        at = first[seen]
-        rank = np.lexsort((w[at], c[at]))
-        at, n = at[rank], total[seen][rank]
+        total = np.add.reduceat(counts[order].astype(np.int64), first)
+        contexts, words, before = contexts[first], words[first], before[order[first]]
+        seen = total > 0
         with tempfile.TemporaryDirectory() as folder:
-            level = Level(c[at], w[at], quantised(n / (before[order][at] + prior)), folder)
-            out = []
-            for (own, echo) in parts:
-                codes = level.find(own[0], own[1] & low)
-                out.append(np.array([len(codes), len(echo)], "<u4").tobytes() + codes.tobytes() + echo)
+            level = Level(contexts[seen], words[seen], quantised(total[seen] / (before[seen] + prior)), folder)
+            codes = level.find(contexts, words)
             del level
-        if more:  # the next level's contexts need exact counts
-            where = np.empty(len(order), np.int64)
-            where[order] = np.cumsum(new) - 1
-            full, done = total[where], 0
-            for i, (own, echo) in enumerate(parts):
-                extra = full[done : done + len(own[0])].astype("<i8").tobytes()
-                done += len(own[0])
-                codes = out[i][8 : 8 + 2 * len(own[0])]
-                out[i] = np.array([len(own[0]), len(echo) + len(extra)], "<u4").tobytes() + codes + extra + echo
+        where = np.empty(len(order), np.int64)
+        where[order] = np.cumsum(new) - 1
+        out = []
+        for mine, echo in zip(np.split(where, np.cumsum(sizes)[:-1]), echoes, strict=True):
+            extra = total[mine].astype("<i8").tobytes() if more else b""  # the next level's contexts need exact counts
+            out.append(np.array([len(mine), len(extra) + len(echo)], "<u4").tobytes() + codes[mine].tobytes() + extra + echo)
         return out
 
     return answer
@@ -212,7 +229,7 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, prior: float =
         raise ValueError("order must be at least 1")
     held = F.coalesce(held_out, F.lit(False)).alias("held_out")
     picked = docs.select("doc_id", "text", held)
-    dealt, buckets = blocks.blocked(picked, ["doc_id", "text", "held_out"], "text", block_bytes)
+    dealt, buckets = blocks.blocked(picked, "text", block_bytes)
     total, different = _word_totals(picked, "text", F.col("held_out"), buckets)
     norm, hot = total + ADD * (different + 1), total / (4 * buckets)
 
@@ -220,7 +237,7 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, prior: float =
         return _Tokens(text_bytes(table["text"]), table["held_out"].to_numpy(zero_copy_only=False).astype(bool))
 
     def ask_words(key: tuple, table: pa.Table) -> pa.Table:
-        tokens = tokens_of(table)
+        tokens = tokens_of(blocks.rows(table))
         words, _, counts = _sums(tokens.token, tokens.trains)
         return blocks.asked([(i, key[0].as_py(), _pack([words, counts.astype("<u4")], at))
                              for i, at in enumerate(blocks.by_bucket(words, buckets)) if len(at)])
@@ -233,7 +250,7 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, prior: float =
         for level in range(upto, 1, -1):  # the innermost echo is the words' answer
             grams, codes, extra, inner = _gram_keys(tokens, level), {}, {}, {}
             for bucket, reply in chain.items():
-                (got,), echo = _unpack(reply, ["<u2"])
+                (got,), echo = _unpack(reply, ["u1"])
                 if level < order:
                     extra[bucket], echo = np.frombuffer(echo[: 8 * len(got)], "<i8"), echo[8 * len(got) :]
                 codes[bucket] = got
@@ -248,13 +265,13 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, prior: float =
         for level, (grams, codes, extra) in zip(range(2, upto + 1), reversed(layers), strict=True):
             at, context, word, pairs, back = grams
             c_context = _context_counts(tokens, c_gram, at, total_ends)
-            code, full = np.full(len(pairs[0]), 65535, np.uint16), np.zeros(len(pairs[0]), np.int64)
+            code, full = np.full(len(pairs[0]), LACKING, np.uint8), np.zeros(len(pairs[0]), np.int64)
             for bucket, places in _gram_buckets(pairs, _first(c_context, back, len(pairs[0]))):
                 code[places] = codes[bucket]
                 if bucket in extra:
                     full[places] = extra[bucket]
             mine = code[back]
-            part = np.where(mine == 65535, 0.0, unquantised(mine))
+            part = np.where(mine == LACKING, 0.0, unquantised(mine))
             p, c_next = p.copy(), np.zeros(len(p), np.int64)
             p[at] = part + prior / (c_context + prior) * p[at]
             c_next[at] = full[back]
@@ -276,10 +293,11 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, prior: float =
     def _gram_buckets(pairs: tuple[np.ndarray, np.ndarray], c_context: np.ndarray):
         """(bucket, places) of distinct grams; the bucket follows from the context, or from the gram if the context is hot."""
         key = np.where(c_context > hot, mix(joined(pairs[0], pairs[1])), mix(pairs[0]))
-        sort = np.lexsort((pairs[1], pairs[0], key))
+        sort = np.argsort(key, kind="stable")
         for bucket, at in enumerate(blocks.by_bucket(key[sort], buckets)):
             if len(at):
-                yield bucket, sort[at]
+                places = sort[at]
+                yield bucket, places[np.lexsort((pairs[1][places] & _LOW, pairs[0][places]))]
 
     def _context_counts(tokens: _Tokens, c_gram: np.ndarray, at: np.ndarray, ends: int) -> np.ndarray:
         """The training count of each token's context: the count of the gram that ends one token before."""
@@ -290,7 +308,7 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, prior: float =
         def run(key: tuple, table: pa.Table, got: pa.Table) -> pa.Table:
             if not table.num_rows:
                 return blocks.asked([])
-            tokens, said = tokens_of(table), blocks.replies(got)
+            tokens, said = tokens_of(blocks.rows(table)), blocks.replies(got)
             _, _, c_gram, _ = state(tokens, said, level - 1)
             at, context, word, pairs, back = _gram_keys(tokens, level)
             c_context = _context_counts(tokens, c_gram, at, total_ends)
@@ -298,7 +316,7 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, prior: float =
             each = _first(c_context, back, len(pairs[0])).astype("<i8")
             rows, left = [], said
             for bucket, places in _gram_buckets(pairs, each):
-                rows.append((bucket, key[0].as_py(), _pack([*pairs, mine, each], places, _chain(left))))
+                rows.append((bucket, key[0].as_py(), _pack_grams(pairs[0][places], pairs[1][places], mine[places], each[places], _chain(left))))
                 left = {}
             return blocks.asked(rows)
 
@@ -307,6 +325,7 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, prior: float =
     def finish(key: tuple, table: pa.Table, got: pa.Table) -> pa.Table:
         if not table.num_rows:
             return out_schema.empty_table()
+        table = blocks.rows(table)
         tokens = tokens_of(table)
         known, p, _, _ = state(tokens, blocks.replies(got), order)
         base, n = np.log10((known + ADD) / norm), len(tokens.n)

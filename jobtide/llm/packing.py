@@ -16,7 +16,7 @@ from .encode import DEFAULT_TOKENIZER, encoder, slices
 from .words import text_bytes
 
 WINDOW = 2048
-RANGE_ROWS = 50_000
+RANGE_ROWS = 10_000
 
 
 def best_fill(counts: dict[int, int], capacity: int, first: int) -> tuple[dict[int, int], int]:

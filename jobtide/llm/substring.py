@@ -104,7 +104,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, period: int = PERIOD,
     if not covers(period, cover) or period > window:
         raise ValueError("the cover must hold every difference modulo the period, and the period must fit the window")
     width = window - period + 1
-    dealt, buckets = blocks.blocked(docs, ["doc_id", "text"], "text", block_bytes)
+    dealt, buckets = blocks.blocked(docs.select("doc_id", "text"), "text", block_bytes)
     anchor_kinds, window_kinds = ["<u8", "u1"], ["<u8", "<u4", "u1"]
 
     def anchors(words: _Words) -> tuple[np.ndarray, np.ndarray]:
@@ -112,14 +112,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, period: int = PERIOD,
         return at, words.runs(width)[at] if len(at) else np.zeros(0, np.uint64)
 
     def ask_anchors(key: tuple, table: pa.Table) -> pa.Table:
-        _, hashes = anchors(_Words(text_bytes(table["text"])))
+        _, hashes = anchors(_Words(text_bytes(blocks.rows(table)["text"])))
         keys, times = np.unique(hashes, return_counts=True)
         return _split(keys, [np.minimum(times, 2).astype("u1")], buckets, key[0].as_py())
 
     def ask_windows(key: tuple, table: pa.Table, got: pa.Table) -> pa.Table:
         if not table.num_rows or not got.num_rows:
             return blocks.asked([])
-        words = _Words(text_bytes(table["text"]))
+        words = _Words(text_bytes(blocks.rows(table)["text"]))
         at, hashes = anchors(words)
         keys = np.unique(hashes)
         shared, said = np.zeros(len(keys), bool), blocks.replies(got)
@@ -138,7 +138,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, period: int = PERIOD,
         return _split(full[first], [check[first], np.minimum(times, 2).astype("u1")], buckets, key[0].as_py())
 
     def cut(key: tuple, table: pa.Table, got: pa.Table) -> pa.Table:
-        words = _Words(text_bytes(table["text"]))
+        rows = blocks.rows(table)
+        words = _Words(text_bytes(rows["text"]))
         gone = np.zeros(len(words.hashes) + 1, np.int32)
         said = [np.frombuffer(x, "<u8") for x in got["reply"].to_pylist()]
         twice = np.unique(np.concatenate(said)) if said else np.zeros(0, np.uint64)
@@ -159,7 +160,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, period: int = PERIOD,
                 texts.append(b" ".join([words.data[s:e] for s, e in zip(words.starts[stay].tolist(), words.ends[stay].tolist(), strict=True)]))
             else:
                 texts.append(b" ".join(words.data[words.starts[a] : words.ends[b - 1]].split()) if b > a else b"")
-        return pa.Table.from_arrays([table["doc_id"], pa.array(words.n.astype(np.int64)), pa.array(removed.astype(np.int64)),
+        return pa.Table.from_arrays([rows["doc_id"], pa.array(words.n.astype(np.int64)), pa.array(removed.astype(np.int64)),
                                      pa.array(texts, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "kept_text"])
 
     by_block = dealt.groupBy("_block")

@@ -59,7 +59,7 @@ def test_scores(docs, rows, order, block_bytes):
     assert [g[:5] for g in got] == [e[:5] for e in expected]
     for g, e in zip(got, expected):
         assert g[5] == pytest.approx(e[5], rel=1e-9)
-        assert g[6] == pytest.approx(e[6], rel=2e-3)  # quantised
+        assert g[6] == pytest.approx(e[6], rel=0.02)  # quantised
 
 
 def test_empty_and_untrained(no_docs, docs):
