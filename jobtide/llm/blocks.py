@@ -63,6 +63,7 @@ def blocked(docs: DataFrame, text: str, block_bytes: int) -> tuple[DataFrame, in
 
 def rows(table: pa.Table) -> pa.Table:
     """The rows of a block."""
+    pa.default_memory_pool().release_unused()
     return pa.concat_tables([pa.ipc.open_stream(x.as_buffer()).read_all() for x in table["packed"]])
 
 
@@ -81,6 +82,7 @@ def answers(questions: DataFrame, answer: Callable[[list[bytes]], list[bytes]])
     """Each bucket's payloads go to `answer` together, sorted by block; its replies go back to the blocks."""
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("_block")
+        pa.default_memory_pool().release_unused()
         return pa.Table.from_arrays([table["_block"], table["_bucket"],
                                      pa.array(answer(table["payload"].to_pylist()), pa.binary())], schema=ANSWER_ARROW)
 

@@ -18,7 +18,7 @@ from .words import Hasher, mix, text_bytes
 
 ORDER, PRIOR = 2, 8.0
 END = np.uint64(0x5851F42D4C957F2D)  # the end mark, beside all word hashes
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 5 << 20
 STEPS, LACKING = 36.0, 255  # steps of a quantised log10 probability (one byte: to 1e-7), and the code of what a trie lacks
 SUCCESSOR_BITS = 40
 ADD = 0.1
@@ -109,6 +109,16 @@ class _Tokens:
         return at, context, self.token[at]
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """The lowest bytes of all numbers, then the next ones: small counts then compress in the shuffle."""
+    return np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), numbers.itemsize).T.tobytes()
+
+
+def _read_planes(data: bytes, kind: str, n: int, at: int = 0) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8, n * size, at).reshape(size, n).T).view(kind).reshape(n)
+
+
 def _pack(arrays: list[np.ndarray], at: np.ndarray, echo: bytes = b"") -> bytes:
     return np.array([len(at), len(echo)], "<u4").tobytes() + b"".join(np.ascontiguousarray(a[at]).tobytes() for a in arrays) + echo
 
@@ -134,7 +144,7 @@ def _count_words(payloads: list[bytes]) -> list[bytes]:
     out, at = [], 0
     for words, _ in parts:
         got = counts[where[at : at + len(words)]]
-        out.append(np.array([len(got), 0], "<u4").tobytes() + got.astype("<i8").tobytes())
+        out.append(np.array([len(got), 0], "<u4").tobytes() + _planes(got.astype("<i8")))
         at += len(words)
     return out
 
@@ -147,16 +157,16 @@ def _pack_grams(contexts: np.ndarray, words: np.ndarray, counts: np.ndarray, bef
     new = np.flatnonzero(np.concatenate(([True], contexts[1:] != contexts[:-1])))
     runs = np.diff(np.append(new, len(contexts)))
     low = words & _LOW
-    parts = [contexts[new].astype("<u8"), before[new].astype("<i8"), runs.astype("<u4"), (low & np.uint64(0xFFFFFFFF)).astype("<u4"),
-             (low >> np.uint64(32)).astype("u1"), counts.astype("<u4")]
-    return np.array([len(contexts), len(new), len(echo)], "<u4").tobytes() + b"".join(p.tobytes() for p in parts) + echo
+    parts = [contexts[new].astype("<u8").tobytes(), _planes(before[new].astype("<i8")), _planes(runs.astype("<u4")),
+             (low & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), (low >> np.uint64(32)).astype("u1").tobytes(), _planes(counts.astype("<u4"))]
+    return np.array([len(contexts), len(new), len(echo)], "<u4").tobytes() + b"".join(parts) + echo
 
 
 def _unpack_grams(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
     n, different, extra = np.frombuffer(payload, "<u4", 3).tolist()
     at, out = 12, []
-    for kind, size in (("<u8", different), ("<i8", different), ("<u4", different), ("<u4", n), ("u1", n), ("<u4", n)):
-        out.append(np.frombuffer(payload, kind, size, at))
+    for kind, size, flat in (("<u8", different, True), ("<i8", different, False), ("<u4", different, False), ("<u4", n, True), ("u1", n, True), ("<u4", n, False)):
+        out.append(np.frombuffer(payload, kind, size, at) if flat else _read_planes(payload, kind, size, at))
         at += out[-1].nbytes
     contexts, before, runs, low, high, counts = out
     return np.repeat(contexts, runs), low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32)), counts, np.repeat(before, runs), payload[at : at + extra]
@@ -259,7 +269,7 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, prior: float =
             chain = inner
         for bucket, at in enumerate(blocks.by_bucket(words, buckets)):
             if len(at):
-                counts[at] = _unpack(chain[bucket], ["<i8"])[0][0]
+                counts[at] = _read_planes(chain[bucket], "<i8", len(at), 8)
         known = counts[where]
         p, c_gram = (known + ADD) / norm, known
         for level, (grams, codes, extra) in zip(range(2, upto + 1), reversed(layers), strict=True):
