@@ -22,7 +22,7 @@ from .words import Hasher, mix, text_bytes, window_hashes
 
 DECAY, SPAN = 0.6, 7
 LANDMARKS, WINDOW = 160, 16
-SAMPLE = 4_000  # labelled rows of each class that the fit may use
+SAMPLE = 2_000  # labelled rows of each class that the fit may use
 ROUNDS, NEGATIVES = 4, 6_000
 _EDGE = 31
 _LOOK_ALIKE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}  # fixed values
@@ -120,6 +120,11 @@ def margins(letters: np.ndarray, sizes: np.ndarray, weights: np.ndarray, bias: f
     """The machine's margin of each word: that of its best window."""
     if not len(sizes):
         return np.zeros(0)
+    if len(sizes) > 1 << 15:  # in parts, to bound memory
+        cuts = np.arange(0, len(sizes), 1 << 15)
+        ends = np.append(cuts[1:], len(sizes))
+        at = np.concatenate(([0], np.cumsum(sizes)))
+        return np.concatenate([margins(letters[at[a] : at[b]], sizes[a:b], weights, bias) for a, b in zip(cuts, ends, strict=True)])
     text, size, word = windows(letters, sizes)
     dot, norm = np.zeros(len(size)), np.zeros(len(size))
     for owner, code, weight in subsequences(text, size):
@@ -155,8 +160,8 @@ def _vectors(words: list[bytes]) -> np.ndarray:
 def _kernel(words: list[bytes], landmarks: np.ndarray) -> np.ndarray:
     """The kernel of each word with each landmark."""
     rows, out = np.ascontiguousarray(landmarks.T), np.zeros((len(words), len(landmarks)))
-    for at in range(0, len(words), 400):
-        for owner, code, weight in _gaps(words[at : at + 400]):
+    for at in range(0, len(words), 200):
+        for owner, code, weight in _gaps(words[at : at + 200]):
             if len(owner):
                 new = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
                 out[at + owner[new]] = np.add.reduceat(rows[code] * weight[:, None].astype(np.float32), new, axis=0)
