@@ -63,10 +63,20 @@ def blocked(docs: DataFrame, text: str, block_bytes: int) -> tuple[DataFrame, in
 
 def rows(table: pa.Table) -> pa.Table:
     """The rows of a block."""
-    pa.default_memory_pool().release_unused()
+    release()
     return pa.concat_tables([pa.ipc.open_stream(x.as_buffer()).read_all() for x in table["packed"]])
 
 
+def release() -> None:
+    """Gives freed memory back, as workers live on between tasks."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def by_bucket(keys: np.ndarray, buckets: int) -> list[np.ndarray]:
     """For each bucket the places of its keys in `keys`, which are sorted hashes."""
     cuts = np.searchsorted(keys, np.array([(i << 64) // buckets for i in range(1, buckets)], np.uint64))
@@ -82,7 +92,7 @@ def answers(questions: DataFrame, answer: Callable[[list[bytes]], list[bytes]])
     """Each bucket's payloads go to `answer` together, sorted by block; its replies go back to the blocks."""
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("_block")
-        pa.default_memory_pool().release_unused()
+        release()
         return pa.Table.from_arrays([table["_block"], table["_bucket"],
                                      pa.array(answer(table["payload"].to_pylist()), pa.binary())], schema=ANSWER_ARROW)
 

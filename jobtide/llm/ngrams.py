@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from . import blocks
 from .eliasfano import EliasFano
+from .encode import slices
 from .words import Hasher, mix, text_bytes
 
 ORDER, PRIOR = 2, 8.0
@@ -205,10 +206,14 @@ def _word_totals(docs: DataFrame, text: str, held: Column, buckets: int) -> tupl
     """Number of training tokens, and of different ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, out = text_bytes(batch.column(0)), batch.column(1).to_numpy(zero_copy_only=False)
-            tokens = _Tokens(texts, out.astype(bool))
-            words = np.unique(tokens.token[tokens.trains])
-            rows = [(i, int(tokens.trains.sum()) if i == 0 else 0, words[at].tobytes()) for i, at in enumerate(blocks.by_bucket(words, buckets))]
+            texts, out = text_bytes(batch.column(0)), batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            n, found = 0, [np.zeros(0, np.uint64)]
+            for part in slices(texts):
+                tokens = _Tokens(texts[part], out[part])
+                n += int(tokens.trains.sum())
+                found.append(np.unique(tokens.token[tokens.trains]))
+            words = np.unique(np.concatenate(found))
+            rows = [(i, n if i == 0 else 0, words[at].tobytes()) for i, at in enumerate(blocks.by_bucket(words, buckets))]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()),
                                               pa.array([r[2] for r in rows], pa.binary())], names=["bucket", "tokens", "words"])
 
@@ -240,6 +245,7 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, prior: float =
     held = F.coalesce(held_out, F.lit(False)).alias("held_out")
     picked = docs.select("doc_id", "text", held)
     dealt, buckets = blocks.blocked(picked, "text", block_bytes)
+    buckets *= 2  # a bucket's trie takes more room than a block's words
     total, different = _word_totals(picked, "text", F.col("held_out"), buckets)
     norm, hot = total + ADD * (different + 1), total / (4 * buckets)
 
