@@ -177,13 +177,13 @@ def f10(spark, folder):
 
 
 @query("f11_changed_since", needs="jobs", sql="""
-select id, last_seen_at from jobs where last_seen_at > timestamp '2001-06-01'
+select id, updated_at from jobs where updated_at > timestamp '2001-06-01'
   and id in (select o_orderkey from orders where o_orderstatus = 'F')
-order by last_seen_at desc, id desc limit 100
+order by updated_at desc, id desc limit 100
 """)
 def f11(spark, folder):
     wanted = table(spark, folder, "orders").filter("o_orderstatus = 'F'").selectExpr("o_orderkey as id")
-    return filters.changed_since(jobs(spark, folder), wanted, datetime(2001, 6, 1)).select("id", "last_seen_at")
+    return filters.changed_since(jobs(spark, folder), wanted, datetime(2001, 6, 1), limit=100).select("id", "updated_at")
 
 
 MASTER_STATUS = base.pick("o_orderkey", "NEW", "APPLIED", "ARCHIVE", "INTERVIEWING", "DELETE", "INTERESTED", "REJECTED", "OLD")

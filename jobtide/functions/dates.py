@@ -17,7 +17,7 @@ def relative_date(c: ColumnOrName, as_of: ColumnOrName) -> Column:
     """Date meant by an age text such as `3 days`, `+30d` or `yesterday`.
 
     Hours are tried first, then days, months, years. Text without an age counts
-    as today.
+    as today, an age of ten digits or more as unknown.
     """
     text, now = col(c), col(as_of)
 
@@ -27,7 +27,7 @@ def relative_date(c: ColumnOrName, as_of: ColumnOrName) -> Column:
     hours, days = count(rf"(\d+){GAP}(?:hour|hr|heure)"), count(rf"(\d+){GAP}(?:day|d|jour)")
     months, years = count(rf"(\d+){GAP}month"), count(rf"(\d+){GAP}year")
     return (
-        F.when(text.isNull(), F.lit(None).cast("date"))
+        F.when(text.isNull() | text.rlike(rf"\d{{10,}}{GAP}(?:hour|hr|heure|day|d|jour|month|year)"), F.lit(None).cast("date"))
         .when(hours.isNotNull(), F.to_date(F.timestamp_seconds(F.unix_timestamp(now) - hours * 3600)))
         .when(days.isNotNull(), F.date_sub(F.to_date(now), days))
         .when(months.isNotNull(), F.to_date(F.add_months(now, -months)))

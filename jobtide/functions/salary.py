@@ -28,10 +28,10 @@ def known_currency(c: ColumnOrName) -> Column:
 
 
 def annual_usd(amount: ColumnOrName, period: ColumnOrName, currency: ColumnOrName) -> Column:
-    """Yearly dollars to the nearest thousand, half to even; null unless positive."""
+    """Yearly dollars to the nearest thousand, half to even; null unless positive, and beyond an int."""
     dollars = col(amount).cast("double") * lookup(fixed.CURRENCY_RATES, col(currency))
     yearly = dollars * lookup(PER_YEAR, col(period))
-    return F.when(col(amount) > 0, (F.bround(yearly / 1000, 0) * 1000).cast("int"))
+    return F.when(col(amount) > 0, (F.bround(yearly / 1000, 0) * 1000).try_cast("int"))
 
 
 def annualize_salary(low: ColumnOrName, high: ColumnOrName, period: ColumnOrName,

@@ -161,17 +161,19 @@ def filter_jobs(jobs: DataFrame, *, companies: Sequence[str] = (), statuses: Seq
     return jobs.filter(_both(conditions))
 
 
-def recent_jobs(jobs: DataFrame, as_of: datetime, days: int = 7, limit: int = 50) -> DataFrame:
-    """Newest unarchived jobs of the last days."""
+def recent_jobs(jobs: DataFrame, as_of: datetime, days: int = 7, limit: int | None = None) -> DataFrame:
+    """Newest unarchived jobs of the last days; all of them unless a page size is given."""
     since = F.lit(as_of) - F.make_dt_interval(F.lit(days))
-    return (jobs.filter((F.col("posted_date") >= since) & ~F.col("archived"))
-            .orderBy(F.col("posted_date").desc(), F.col("id").desc()).limit(limit))
+    found = (jobs.filter((F.col("posted_date") >= since) & ~F.col("archived"))
+             .orderBy(F.col("posted_date").desc(), F.col("id").desc()))
+    return found if limit is None else found.limit(limit)
 
 
-def changed_since(jobs: DataFrame, ids: DataFrame, since: datetime, limit: int = 100) -> DataFrame:
-    """Wanted jobs changed after a moment, newest first."""
-    return (jobs.filter(F.col("last_seen_at") > F.lit(since)).join(ids.select("id"), "id", "left_semi")
-            .orderBy(F.col("last_seen_at").desc(), F.col("id").desc()).limit(limit))
+def changed_since(jobs: DataFrame, ids: DataFrame, since: datetime, limit: int | None = None) -> DataFrame:
+    """Wanted jobs changed after a moment, newest first; all of them unless a page size is given."""
+    found = (jobs.filter(F.col("updated_at") > F.lit(since)).join(ids.select("id"), "id", "left_semi")
+             .orderBy(F.col("updated_at").desc(), F.col("id").desc()))
+    return found if limit is None else found.limit(limit)
 
 
 def reject_reason(jobs: DataFrame, *, blocked_companies: Sequence[str] = (),

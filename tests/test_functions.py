@@ -168,3 +168,13 @@ def test_stems():
              "allowance": "allow", "adjustment": "adjust", "adoption": "adopt", "effective": "effect", "probate": "probat",
              "rate": "rate", "cease": "ceas", "controll": "control", "roll": "roll", "engineers": "engin"}
     assert {w: stem(w) for w in pairs} == pairs
+
+
+def test_huge_amounts_and_ages_are_null(values):
+    from datetime import datetime
+
+    from jobtide.functions import dates, salary
+
+    rows = [(10**11, "99999999999 days", datetime(2024, 5, 1))]
+    got = values(rows, "a bigint, t string, n timestamp", salary.annual_usd("a", F.lit("HOURLY"), F.lit("USD")), dates.relative_date("t", "n"))
+    assert got == [(None, None)]
