@@ -23,7 +23,7 @@ ANSWER_ARROW = pa.schema([("_block", pa.int64()), ("_bucket", pa.int32()), ("rep
 
 
 def blocked(docs: DataFrame, text: str, block_bytes: int) -> tuple[DataFrame, int]:
-    """The rows in compressed blocks of consecutive rows, dealt by block number, and the number of buckets to ask.
+    """The rows in compressed blocks of consecutive rows, and the number of buckets to ask.
 
     A block belongs to one task of the scan and holds about `block_bytes` of text, one long text at least. The table should be a stored
     one, so that a task that is run again reads the same rows in the same order.
@@ -58,7 +58,7 @@ def blocked(docs: DataFrame, text: str, block_bytes: int) -> tuple[DataFrame, in
         if parts:
             yield block(number, parts)
 
-    return docs.mapInArrow(pack, "_block long, packed binary").repartition("_block"), int(total // block_bytes) + 1
+    return docs.mapInArrow(pack, "_block long, packed binary"), int(total // block_bytes) + 1
 
 
 def rows(table: pa.Table) -> pa.Table:
@@ -88,13 +88,17 @@ def asked(rows: list[tuple[int, int, bytes]]) -> pa.Table:
                                  pa.array([r[2] for r in rows], pa.binary())], schema=ASK_ARROW)
 
 
-def answers(questions: DataFrame, answer: Callable[[list[bytes]], list[bytes]]) -> DataFrame:
-    """Each bucket's payloads go to `answer` together, sorted by block; its replies go back to the blocks."""
+def answers(questions: DataFrame, answer: Callable[[list[bytes]], list[bytes]], totals: bool = False) -> DataFrame:
+    """Each bucket's payloads go to `answer` together, sorted by block; its replies go back to the blocks.
+
+    With `totals`, `answer` returns one more piece: the bucket's totals, in a row of block -1.
+    """
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("_block")
         release()
-        return pa.Table.from_arrays([table["_block"], table["_bucket"],
-                                     pa.array(answer(table["payload"].to_pylist()), pa.binary())], schema=ANSWER_ARROW)
+        said, of = answer(table["payload"].to_pylist()), table["_block"].to_pylist()
+        return pa.Table.from_arrays([pa.array(of + [-1] * totals, pa.int64()), pa.array(table["_bucket"].to_pylist()[:1] * len(said), pa.int32()),
+                                     pa.array(said, pa.binary())], schema=ANSWER_ARROW)
 
     return questions.groupBy("_bucket").applyInArrow(run, ANSWER)
 

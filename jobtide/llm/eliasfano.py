@@ -4,27 +4,24 @@ from __future__ import annotations
 
 import numpy as np
 
-_ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
-_CHUNK = 16  # bytes of the upper bits between two directory entries
+_WORD = 64  # bits of the upper halves between two directory entries
 
 
-def _pick(bits: np.ndarray, before: np.ndarray, k: np.ndarray, one: bool) -> np.ndarray:
-    """Places of the k-th ones (or zeros) by the directory, then bytes, then bits."""
+def _pick(words: np.ndarray, before: np.ndarray, k: np.ndarray, one: bool) -> np.ndarray:
+    """Places of the k-th ones (or zeros): the directory gives the word, halving gives the bit."""
     out = np.empty(len(k), np.int64)
-    lines = bits.reshape(-1, _CHUNK)
-    for at in range(0, len(k), 1 << 14):
-        part = k[at : at + (1 << 14)]
+    for at in range(0, len(k), 1 << 16):
+        part = k[at : at + (1 << 16)]
         block = np.searchsorted(before, part, "right") - 1
-        left = (part - before[block]).astype(np.int16)
-        line = lines[block]
-        have = _ONES[line] if one else 8 - _ONES[line]
-        total = np.cumsum(have, axis=1, dtype=np.int16)
-        byte = np.minimum((total <= left[:, None]).sum(axis=1), _CHUNK - 1)
-        row = np.arange(len(part))
-        left = left - (total[row, byte] - have[row, byte])
-        bit = np.unpackbits(line[row, byte][:, None], axis=1, bitorder="little")
-        seen = np.cumsum(bit if one else 1 - bit, axis=1, dtype=np.int16)
-        out[at : at + (1 << 14)] = (block * _CHUNK + byte) * 8 + (seen <= left[:, None]).sum(axis=1)
+        left = (part - before[block]).astype(np.uint8)
+        word = words[block] if one else ~words[block]
+        bit = np.zeros(len(part), np.uint64)
+        for half in (32, 16, 8, 4, 2, 1):
+            have = np.bitwise_count((word >> bit) & np.uint64((1 << half) - 1))
+            beyond = left >= have
+            left -= have * beyond
+            bit += beyond * np.uint64(half)
+        out[at : at + (1 << 16)] = block * _WORD + bit.astype(np.int64)
     return out
 
 
@@ -33,10 +30,10 @@ class EliasFano:
 
     def __init__(self, n: int, low: int, upper: np.ndarray, lower: np.ndarray) -> None:
         self.n, self.low, self.upper, self.lower = n, low, upper, lower
-        ones = np.add.reduceat(_ONES[upper].astype(np.int64), np.arange(0, len(upper), _CHUNK)) if len(upper) else np.zeros(0, np.int64)
-        whole = np.full(len(ones), 8 * _CHUNK, np.int64)
-        self.ones = np.concatenate(([0], np.cumsum(ones)))[:-1]
-        self.zeros = np.concatenate(([0], np.cumsum(whole - ones)))[:-1]
+        self.words = upper.view(np.uint64)
+        ones = np.bitwise_count(self.words).astype(np.int64)
+        self.ones = np.cumsum(ones) - ones
+        self.zeros = np.arange(len(ones)) * _WORD - self.ones
 
     @classmethod
     def of(cls, values: np.ndarray, bits: int) -> EliasFano:
@@ -44,7 +41,7 @@ class EliasFano:
         low = max(0, bits - max(1, n).bit_length())
         high = (values >> np.uint64(low)).astype(np.int64)
         size = n + (int(high[-1]) if n else 0) + 2
-        size += -size % (8 * _CHUNK)  # whole chunks; the rest is zeros
+        size += -size % _WORD  # whole words; the rest is zeros
         unary = np.zeros(size, np.uint8)
         unary[high + np.arange(n)] = 1
         rest = values & np.uint64((1 << low) - 1)
@@ -67,7 +64,7 @@ class EliasFano:
         """The numbers at these places."""
         if not len(i):
             return np.zeros(0, np.uint64)
-        high = (_pick(self.upper, self.ones, i, True) - i).astype(np.uint64)
+        high = (_pick(self.words, self.ones, i, True) - i).astype(np.uint64)
         return (high << np.uint64(self.low)) | self._lower(i)
 
     def successor(self, x: np.ndarray) -> np.ndarray:
@@ -81,8 +78,8 @@ class EliasFano:
             return out
         begin = np.zeros(len(high), np.int64)
         some = high > 0
-        begin[some] = _pick(self.upper, self.zeros, high[some] - 1, False) - (high[some] - 1)
-        end = _pick(self.upper, self.zeros, high, False) - high
+        begin[some] = _pick(self.words, self.zeros, high[some] - 1, False) - (high[some] - 1)
+        end = _pick(self.words, self.zeros, high, False) - high
         go = np.arange(len(high))
         while len(go):  # the numbers of equal upper half are few
             go = go[begin[go] < end[go]]

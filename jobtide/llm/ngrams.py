@@ -12,14 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import kept
 from . import blocks
 from .eliasfano import EliasFano
-from .encode import slices
 from .words import Hasher, mix, text_bytes
 
 ORDER, PRIOR = 2, 8.0
 END = np.uint64(0x5851F42D4C957F2D)  # the end mark, beside all word hashes
-BLOCK_BYTES = 5 << 20
+BLOCK_BYTES = 8 << 20
 STEPS, LACKING = 36.0, 255  # steps of a quantised log10 probability (one byte: to 1e-7), and the code of what a trie lacks
 SUCCESSOR_BITS = 40
 ADD = 0.1
@@ -43,9 +43,9 @@ class Level:
         number = np.cumsum(new) - 1
         first = np.append(np.flatnonzero(new), len(contexts)).astype(np.uint64)
         self.bits = SUCCESSOR_BITS
-        kept = (number.astype(np.uint64) << np.uint64(self.bits)) | words
+        stored = (number.astype(np.uint64) << np.uint64(self.bits)) | words
         pieces = [EliasFano.of(contexts[new], 64), EliasFano.of(first, max(1, len(contexts)).bit_length() + 1),
-                  EliasFano.of(kept, self.bits + max(1, int(new.sum())).bit_length())]
+                  EliasFano.of(stored, self.bits + max(1, int(new.sum())).bit_length())]
         self.path = os.path.join(folder, "level")
         with open(self.path, "wb") as out:
             for array in [*(a for p in pieces for a in (p.upper, p.lower)), codes]:
@@ -111,26 +111,27 @@ class _Tokens:
 
 
 def _planes(numbers: np.ndarray) -> bytes:
-    """The lowest bytes of all numbers, then the next ones: small counts then compress in the shuffle."""
-    return np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), numbers.itemsize).T.tobytes()
+    """The lowest bytes of all numbers, then the next ones, compressed; small counts take little room."""
+    raw = np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), numbers.itemsize).T.tobytes()
+    packed = pa.compress(raw, codec="zstd", asbytes=True)
+    return np.array([len(packed)], "<u4").tobytes() + packed
 
 
-def _read_planes(data: bytes, kind: str, n: int, at: int = 0) -> np.ndarray:
+def _read_planes(data: bytes, kind: str, n: int, at: int) -> tuple[np.ndarray, int]:
+    """The numbers, and where the next piece begins."""
     size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8, n * size, at).reshape(size, n).T).view(kind).reshape(n)
+    end = at + 4 + int(np.frombuffer(data, "<u4", 1, at)[0])
+    raw = pa.decompress(data[at + 4 : end], decompressed_size=n * size, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, n).T).view(kind).reshape(n), end
 
 
-def _pack(arrays: list[np.ndarray], at: np.ndarray, echo: bytes = b"") -> bytes:
-    return np.array([len(at), len(echo)], "<u4").tobytes() + b"".join(np.ascontiguousarray(a[at]).tobytes() for a in arrays) + echo
+def _pack_words(words: np.ndarray, counts: np.ndarray) -> bytes:
+    return np.array([len(words)], "<u4").tobytes() + words.astype("<u8").tobytes() + _planes(counts.astype("<u4"))
 
 
-def _unpack(payload: bytes, kinds: list[str]) -> tuple[list[np.ndarray], bytes]:
-    n, extra = np.frombuffer(payload, "<u4", 2).tolist()
-    at, out = 8, []
-    for kind in kinds:
-        out.append(np.frombuffer(payload, kind, n, at))
-        at += out[-1].nbytes
-    return out, payload[at : at + extra]
+def _unpack_words(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int(np.frombuffer(payload, "<u4", 1)[0])
+    return np.frombuffer(payload, "<u8", n, 4), _read_planes(payload, "<u4", n, 4 + 8 * n)[0]
 
 
 def _sums(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -139,23 +140,25 @@ def _sums(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _count_words(payloads: list[bytes]) -> list[bytes]:
-    """Adds up the training counts of each word and tells each block the counts of its words."""
-    parts = [_unpack(p, ["<u8", "<u4"])[0] for p in payloads]
-    _, where, counts = _sums(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+    """Adds up the training counts of each word and tells each block the counts of its words; last the bucket's totals.
+
+    Totals are the training tokens, the different ones, and the end marks among them.
+    """
+    parts = [_unpack_words(p) for p in payloads]
+    unique, where, counts = _sums(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
     out, at = [], 0
     for words, _ in parts:
-        got = counts[where[at : at + len(words)]]
-        out.append(np.array([len(got), 0], "<u4").tobytes() + _planes(got.astype("<i8")))
+        out.append(_planes(counts[where[at : at + len(words)]].astype("<i8")))
         at += len(words)
-    return out
+    return [*out, np.array([counts.sum(), (counts > 0).sum(), counts[unique == END].sum()], ">i8").tobytes()]
 
 
 _LOW = np.uint64((1 << SUCCESSOR_BITS) - 1)
 
 
 def _pack_grams(contexts: np.ndarray, words: np.ndarray, counts: np.ndarray, before: np.ndarray, echo: bytes) -> bytes:
-    """Grams in order of context and word: each context once with its count and number of words, words in five bytes."""
-    new = np.flatnonzero(np.concatenate(([True], contexts[1:] != contexts[:-1])))
+    """Grams with equal contexts side by side: each context once with its count and number of words, words in five bytes."""
+    new = np.flatnonzero(np.concatenate(([True], contexts[1:] != contexts[:-1]))[: len(contexts)])
     runs = np.diff(np.append(new, len(contexts)))
     low = words & _LOW
     parts = [contexts[new].astype("<u8").tobytes(), _planes(before[new].astype("<i8")), _planes(runs.astype("<u4")),
@@ -167,8 +170,12 @@ def _unpack_grams(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     n, different, extra = np.frombuffer(payload, "<u4", 3).tolist()
     at, out = 12, []
     for kind, size, flat in (("<u8", different, True), ("<i8", different, False), ("<u4", different, False), ("<u4", n, True), ("u1", n, True), ("<u4", n, False)):
-        out.append(np.frombuffer(payload, kind, size, at) if flat else _read_planes(payload, kind, size, at))
-        at += out[-1].nbytes
+        if flat:
+            out.append(np.frombuffer(payload, kind, size, at))
+            at += out[-1].nbytes
+        else:
+            got, at = _read_planes(payload, kind, size, at)
+            out.append(got)
     contexts, before, runs, low, high, counts = out
     return np.repeat(contexts, runs), low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32)), counts, np.repeat(before, runs), payload[at : at + extra]
 
@@ -195,35 +202,17 @@ def _trie(prior: float, more: bool):
         where[order] = np.cumsum(new) - 1
         out = []
         for mine, echo in zip(np.split(where, np.cumsum(sizes)[:-1]), echoes, strict=True):
-            extra = total[mine].astype("<i8").tobytes() if more else b""  # the next level's contexts need exact counts
-            out.append(np.array([len(mine), len(extra) + len(echo)], "<u4").tobytes() + codes[mine].tobytes() + extra + echo)
+            extra = _planes(total[mine].astype("<i8")) if more else b""  # the next level's contexts need exact counts
+            out.append(np.array([len(mine)], "<u4").tobytes() + _planes(codes[mine]) + extra + echo)
         return out
 
     return answer
 
 
-def _word_totals(docs: DataFrame, text: str, held: Column, buckets: int) -> tuple[int, int]:
-    """Number of training tokens, and of different ones."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, out = text_bytes(batch.column(0)), batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            n, found = 0, [np.zeros(0, np.uint64)]
-            for part in slices(texts):
-                tokens = _Tokens(texts[part], out[part])
-                n += int(tokens.trains.sum())
-                found.append(np.unique(tokens.token[tokens.trains]))
-            words = np.unique(np.concatenate(found))
-            rows = [(i, n if i == 0 else 0, words[at].tobytes()) for i, at in enumerate(blocks.by_bucket(words, buckets))]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()),
-                                              pa.array([r[2] for r in rows], pa.binary())], names=["bucket", "tokens", "words"])
-
-    def count(table: pa.Table) -> pa.Table:
-        words = np.concatenate([np.frombuffer(x, "<u8") for x in table["words"].to_pylist()])
-        return pa.table({"tokens": pa.array([sum(table["tokens"].to_pylist())], pa.int64()), "different": pa.array([len(np.unique(words))], pa.int64())})
-
-    asked = docs.select(F.col(text), held).mapInArrow(run, "bucket int, tokens long, words binary")
-    total = asked.groupBy("bucket").applyInArrow(count, "tokens long, different long").agg(F.sum("tokens"), F.sum("different")).first()
-    return total[0] or 0, total[1] or 0
+def _totals(said: DataFrame) -> tuple[int, int, int]:
+    """Training tokens, different ones, and training texts: the sums of the buckets' totals."""
+    found = said.filter("_block < 0").agg(*[F.sum(F.conv(F.hex(F.substring("reply", 1 + 8 * i, 8)), 16, 10).cast("long")) for i in range(3)]).first()
+    return tuple(x or 0 for x in found)
 
 
 def score(docs: DataFrame, held_out: Column, order: int = ORDER, prior: float = PRIOR, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -244,19 +233,20 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, prior: float =
         raise ValueError("order must be at least 1")
     held = F.coalesce(held_out, F.lit(False)).alias("held_out")
     picked = docs.select("doc_id", "text", held)
-    dealt, buckets = blocks.blocked(picked, "text", block_bytes)
+    packed, buckets = blocks.blocked(picked, "text", block_bytes)
+    packed = kept(packed, "lm_blocks")
     buckets *= 2  # a bucket's trie takes more room than a block's words
-    total, different = _word_totals(picked, "text", F.col("held_out"), buckets)
-    norm, hot = total + ADD * (different + 1), total / (4 * buckets)
 
     def tokens_of(table: pa.Table) -> _Tokens:
         return _Tokens(text_bytes(table["text"]), table["held_out"].to_numpy(zero_copy_only=False).astype(bool))
 
-    def ask_words(key: tuple, table: pa.Table) -> pa.Table:
-        tokens = tokens_of(blocks.rows(table))
-        words, _, counts = _sums(tokens.token, tokens.trains)
-        return blocks.asked([(i, key[0].as_py(), _pack([words, counts.astype("<u4")], at))
-                             for i, at in enumerate(blocks.by_bucket(words, buckets)) if len(at)])
+    def ask_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, block in enumerate(batch.column(0).to_pylist()):
+                tokens = tokens_of(blocks.rows(pa.Table.from_batches([batch.slice(row, 1)])))
+                words, _, counts = _sums(tokens.token, tokens.trains)
+                yield from blocks.asked([(i, block, _pack_words(words[at], counts[at]))
+                                         for i, at in enumerate(blocks.by_bucket(words, buckets)) if len(at)]).to_batches()
 
     def state(tokens: _Tokens, said: dict[int, bytes], upto: int):
         """Word counts, and for each level up to `upto` the probability of every token and its gram's count."""
@@ -266,16 +256,16 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, prior: float =
         for level in range(upto, 1, -1):  # the innermost echo is the words' answer
             grams, codes, extra, inner = _gram_keys(tokens, level), {}, {}, {}
             for bucket, reply in chain.items():
-                (got,), echo = _unpack(reply, ["u1"])
+                n = int(np.frombuffer(reply, "<u4", 1)[0])
+                codes[bucket], end = _read_planes(reply, "u1", n, 4)
                 if level < order:
-                    extra[bucket], echo = np.frombuffer(echo[: 8 * len(got)], "<i8"), echo[8 * len(got) :]
-                codes[bucket] = got
-                inner.update(_unchain(echo))
+                    extra[bucket], end = _read_planes(reply, "<i8", n, end)
+                inner.update(_unchain(reply[end:]))
             layers.append((grams, codes, extra))
             chain = inner
         for bucket, at in enumerate(blocks.by_bucket(words, buckets)):
             if len(at):
-                counts[at] = _read_planes(chain[bucket], "<i8", len(at), 8)
+                counts[at] = _read_planes(chain[bucket], "<i8", len(at), 0)[0]
         known = counts[where]
         p, c_gram = (known + ADD) / norm, known
         for level, (grams, codes, extra) in zip(range(2, upto + 1), reversed(layers), strict=True):
@@ -294,11 +284,11 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, prior: float =
             c_gram = c_next
         return known, p, c_gram, (words, where, counts)
 
-    total_ends = picked.filter(~F.col("held_out")).count()
-
     def _gram_keys(tokens: _Tokens, level: int):
         at, context, word = tokens.grams(level)
-        _, first, back = np.unique(joined(context, word), return_index=True, return_inverse=True)
+        different, back = np.unique(joined(context, word), return_inverse=True)
+        first = np.empty(len(different), np.int64)
+        first[back] = np.arange(len(back))
         return at, context, word, (context[first], word[first]), back
 
     def _first(values: np.ndarray, back: np.ndarray, n: int) -> np.ndarray:
@@ -308,12 +298,14 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, prior: float =
 
     def _gram_buckets(pairs: tuple[np.ndarray, np.ndarray], c_context: np.ndarray):
         """(bucket, places) of distinct grams; the bucket follows from the context, or from the gram if the context is hot."""
-        key = np.where(c_context > hot, mix(joined(pairs[0], pairs[1])), mix(pairs[0]))
-        sort = np.argsort(key, kind="stable")
-        for bucket, at in enumerate(blocks.by_bucket(key[sort], buckets)):
-            if len(at):
-                places = sort[at]
-                yield bucket, places[np.lexsort((pairs[1][places] & _LOW, pairs[0][places]))]
+        base = mix(pairs[0])
+        cuts = np.array([(i << 64) // buckets for i in range(1, buckets)], np.uint64)
+        bucket_of = np.searchsorted(cuts, np.where(c_context > hot, mix(joined(pairs[0], pairs[1])), base), "right")
+        bits = np.uint64(buckets.bit_length())
+        sort = np.argsort((bucket_of.astype(np.uint64) << (np.uint64(64) - bits)) | (base * np.uint64(END) >> bits), kind="stable")
+        ends = np.searchsorted(bucket_of[sort], np.arange(buckets + 1))
+        for bucket in np.flatnonzero(np.diff(ends)).tolist():
+            yield bucket, sort[ends[bucket] : ends[bucket + 1]]
 
     def _context_counts(tokens: _Tokens, c_gram: np.ndarray, at: np.ndarray, ends: int) -> np.ndarray:
         """The training count of each token's context: the count of the gram that ends one token before."""
@@ -330,11 +322,10 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, prior: float =
             c_context = _context_counts(tokens, c_gram, at, total_ends)
             mine = np.bincount(back, weights=tokens.trains[at], minlength=len(pairs[0])).astype("<u4")
             each = _first(c_context, back, len(pairs[0])).astype("<i8")
-            rows, left = [], said
-            for bucket, places in _gram_buckets(pairs, each):
-                rows.append((bucket, key[0].as_py(), _pack_grams(pairs[0][places], pairs[1][places], mine[places], each[places], _chain(left))))
-                left = {}
-            return blocks.asked(rows)
+            asks = list(_gram_buckets(pairs, each)) or [(key[0].as_py() % buckets, np.zeros(0, np.int64))]
+            heard = list(said.items())  # every bucket carries a share of what was said so far
+            return blocks.asked([(bucket, key[0].as_py(), _pack_grams(pairs[0][places], pairs[1][places], mine[places], each[places], _chain(heard[i :: len(asks)])))
+                                 for i, (bucket, places) in enumerate(asks)])
 
         return run
 
@@ -352,16 +343,18 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, prior: float =
     schema = T.StructType([docs.schema["doc_id"], T.StructField("held_out", T.BooleanType()), *(T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")),
                            T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
     out_schema = _arrow(schema)
-    by_block = dealt.groupBy("_block")
-    said = blocks.answers(by_block.applyInArrow(ask_words, blocks.ASK), _count_words)
+    said = kept(blocks.answers(packed.mapInArrow(ask_words, blocks.ASK), _count_words, totals=True), "lm_words")
+    total, different, total_ends = _totals(said)
+    norm, hot = total + ADD * (different + 1), total / (4 * buckets)
+    by_block, said = packed.repartition("_block").groupBy("_block"), said.filter("_block >= 0")
     for level in range(2, order + 1):
         said = blocks.answers(by_block.cogroup(said.groupBy("_block")).applyInArrow(ask_grams(level), blocks.ASK), _trie(prior, level < order))
     return by_block.cogroup(said.groupBy("_block")).applyInArrow(finish, schema)
 
 
-def _chain(replies: dict[int, bytes]) -> bytes:
+def _chain(replies: list[tuple[int, bytes]]) -> bytes:
     """Replies in one piece, to be handed on with the next question."""
-    return b"".join(np.array([k, len(v)], "<u4").tobytes() + v for k, v in replies.items())
+    return b"".join(np.array([k, len(v)], "<u4").tobytes() + v for k, v in replies)
 
 
 def _unchain(data: bytes) -> dict[int, bytes]:

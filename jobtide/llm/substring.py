@@ -105,6 +105,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, period: int = PERIOD,
         raise ValueError("the cover must hold every difference modulo the period, and the period must fit the window")
     width = window - period + 1
     dealt, buckets = blocks.blocked(docs.select("doc_id", "text"), "text", block_bytes)
+    dealt = dealt.repartition("_block")
     anchor_kinds, window_kinds = ["<u8", "u1"], ["<u8", "<u4", "u1"]
 
     def anchors(words: _Words) -> tuple[np.ndarray, np.ndarray]:

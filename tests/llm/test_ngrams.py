@@ -66,3 +66,11 @@ def test_empty_and_untrained(no_docs, docs):
     assert ngrams.score(no_docs, F.lit(False)).collect() == []
     got = ngrams.score(docs, F.lit(True)).collect()
     assert {r["train_tokens"] for r in got} == {0} and {r["n_known"] for r in got} == {0}
+
+
+def test_blocks_without_words(spark):
+    blank = spark.createDataFrame([(i, " " if i % 2 else None) for i in range(6)], "doc_id long, text string")
+    for order in (1, 2, 3):
+        got = ngrams.score(blank, F.lit(False), order, block_bytes=1).collect()
+        assert len(got) == 6 and {(r["n_tokens"], r["n_known"], r["train_tokens"]) for r in got} == {(1, 1, 6)}
+        assert len({r["score"] for r in got}) == 1
