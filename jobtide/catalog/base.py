@@ -202,7 +202,8 @@ def with_tables(sql: str, names: list[str]) -> str:
     """SQL with the derived tables it needs put in front."""
     parts = [f"{n} as ({TABLES[n]})" for n in names]
     text = sql.strip()
-    if text.lower().startswith("with "):
-        parts.append(text[5:].lstrip())
-        return "with " + ", ".join(parts)
+    for opening in ("with recursive ", "with "):
+        if text.lower().startswith(opening):
+            parts.append(text[len(opening):])
+            return opening + ", ".join(parts)
     return ("with " + ", ".join(parts) + " " if parts else "") + text

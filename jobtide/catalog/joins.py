@@ -167,10 +167,16 @@ def d9(spark, folder):
 
 
 @query("d10_new_postings", needs="vacancies", sql="""
-with b as (select id, alias || '-' || language as key, url from vacancies where date >= date '1998-01-01' and alias <> ''),
+with recursive b as (select id, alias || '-' || language as key, url from vacancies where date >= date '1998-01-01' and alias <> ''),
 s as (select distinct alias || '-' || language as key from vacancies where date < date '1998-01-01'),
-k as (select * from (select *, row_number() over (partition by key order by id) as rn from b where key not in (select key from s)) where rn = 1)
-select id, key, url from (select *, row_number() over (partition by url order by id) as r2 from k) where r2 = 1
+r as (
+  select id, key, url, false as taken from b where key not in (select key from s)
+  union all
+  select id, key, url, taken from (
+    select id, key, url, taken, max(taken) over (partition by key) as key_taken, max(taken) over (partition by url) as url_taken
+    from (select id, key, url, id = min(id) over (partition by key) and id = min(id) over (partition by url) as taken from r where not taken))
+  where taken or not (key_taken or url_taken))
+select id, key, url from r where taken
 """)
 def d10(spark, folder):
     rows = vacancies(spark, folder).select("id", F.concat_ws("-", "alias", "language").alias("key"), "url", "date")

@@ -53,8 +53,15 @@ def t1(spark, folder):
 
 
 @query("t2_new_posting_alerts", needs="views", sql="""
-with k as (select * from (select *, row_number() over (partition by entity order by event_id) as rn from views) where rn = 1)
-select event_id, entity, user_id from (select *, row_number() over (partition by user_id order by event_id) as r2 from k) where r2 = 1
+with recursive r as (
+  select event_id, entity, user_id, false as taken from views
+  union all
+  select event_id, entity, user_id, taken from (
+    select event_id, entity, user_id, taken, max(taken) over (partition by entity) as entity_taken, max(taken) over (partition by user_id) as user_taken
+    from (select event_id, entity, user_id, event_id = min(event_id) over (partition by entity) and event_id = min(event_id) over (partition by user_id) as taken
+          from r where not taken))
+  where taken or not (entity_taken or user_taken))
+select event_id, entity, user_id from r where taken
 """)
 def t2(spark, folder):
     path, checkpoint = _paths(spark, "alerts")

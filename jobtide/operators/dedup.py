@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.core import blank, lookup
 from ..functions.text import alias_equal, normalize_url
+from ..session import kept
 from .keyed import keep_first
 from .similarity import find_near_duplicates
 
@@ -80,9 +82,22 @@ def distinct_links(rows: DataFrame, link: str = "link", order: str = "id") -> Da
 
 def new_postings(batch: DataFrame, seen: DataFrame, key: str = "key", url: str = "url",
                  order: str = "id") -> DataFrame:
-    """Postings whose key was never seen, one per URL."""
-    unseen = batch.filter(~blank(key)).join(seen.select(key), key, "left_anti")
-    return keep_first(keep_first(unseen, [key], [order]), [url], [order])
+    """Postings whose key was never seen, as if taken one by one in a unique order: a posting is taken
+    unless one taken before it has its key or its URL.
+
+    A round takes every posting that is the first of its key and of its URL, and drops the others that
+    share either with a taken one. Rounds go on while postings are left; their number is the length
+    of the longest chain of postings that hide each other, not the number of postings.
+    """
+    left = kept(batch.filter(~blank(key)).join(seen.select(key), key, "left_anti"), "unseen")
+    taken = []
+    while not taken or not left.isEmpty():
+        first = [left.groupBy(c).agg(F.min(order).alias("_first")).select("_first") for c in (key, url)]
+        taken.append(kept(reduce(lambda rows, of: rows.join(of, F.col(order) == F.col("_first"), "left_semi"), first, left), "taken"))
+        urls = taken[-1].select(F.col(url).alias("_url"))
+        left = kept(left.join(taken[-1].select(key), key, "left_anti")
+                    .join(urls, F.col(url).eqNullSafe(F.col("_url")), "left_anti"), "unseen")
+    return reduce(DataFrame.unionByName, taken).select(*batch.columns)
 
 
 def append_seen(seen: DataFrame, fresh: DataFrame, key: str = "key", found_at: str = "found_at") -> DataFrame:

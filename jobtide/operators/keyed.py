@@ -7,6 +7,8 @@ holds a large share of the rows reaches its reducer as a few partial rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,22 +62,37 @@ def page_after(df: DataFrame, date: str, key: str, after: tuple, limit: int) ->
     return df.filter(later).orderBy(F.col(date).desc(), F.col(key).desc()).limit(limit)
 
 
+def _sizes_before(sizes: DataFrame, width: int, levels: int) -> DataFrame:
+    """For each `_range` the sum of `_n` over all smaller ranges; a missing range counts as the largest."""
+    order = F.col("_range").asc_nulls_last()
+    if not levels:
+        before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    wide = sizes.withColumn("_wide", F.floor(F.col("_range") / width))
+    above = _sizes_before(wide.groupBy(F.col("_wide").alias("_range")).agg(F.sum("_n").alias("_n")), width, levels - 1)
+    above = above.select(F.col("_range").alias("_upper"), F.col("_before").alias("_start"))
+    inside = Window.partitionBy("_wide").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = wide.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    return (summed.join(above, F.col("_wide").eqNullSafe(F.col("_upper")))
+            .select("_range", (F.col("_start") + F.col("_inside")).alias("_before")))
+
+
 def numbered(df: DataFrame, order: str, start: Column, out: str, width: int = 100_000) -> DataFrame:
-    """Consecutive numbers from `start + 1`, in the order of a unique whole-number column.
+    """Consecutive numbers from `start + 1`, in the order of a unique whole-number column; rows without a value come last.
 
     Rows are numbered inside ranges of `width` order values, and each range starts
-    after the sizes of the ranges before it. Only the range sizes meet in one
-    place, never the rows.
+    after the sizes of the ranges before it. The sizes are summed inside wider ranges
+    and those inside still wider ones, so that sparse 64-bit values leave some
+    thousand sums for the last step, whatever the number of rows.
     """
     ranged = df.withColumn("_range", F.floor(F.col(order) / width))
     sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    offsets = _sizes_before(sizes, width, 2).withColumnRenamed("_range", "_offset_range")
     inside = F.row_number().over(Window.partitionBy("_range").orderBy(order))
     return (
-        ranged.withColumn("_inside", inside).join(offsets, "_range")
+        ranged.withColumn("_inside", inside).join(offsets, F.col("_range").eqNullSafe(F.col("_offset_range")))
         .withColumn(out, start + F.col("_before") + F.col("_inside"))
-        .drop("_range", "_before", "_inside")
+        .drop("_range", "_offset_range", "_before", "_inside")
     )
 
 
@@ -85,14 +102,17 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
 
     `bucket` is a column that never decreases along `order` (a day, say). Rows are
     ordered per key and bucket; the last value of each bucket is handed to the
-    next one, so no key is sorted in one task.
+    next one, so no key is sorted in one task. Rows without a time come first, and
+    rows without a key form a group of their own; none is lost.
     """
     last = df.groupBy(*keys, bucket).agg(F.max_by(F.struct(value), _order(order)).alias("_last"))
-    carried = last.select(*keys, bucket, F.lag("_last").over(
+    places = [*keys, bucket]
+    carried = last.select(*[F.col(c).alias(f"_at_{c}") for c in places], F.lag("_last").over(
         Window.partitionBy(*keys).orderBy(bucket)).alias("_carry"))
     inside = F.lag(F.struct(value)).over(Window.partitionBy(*keys, bucket).orderBy(*order))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in places])
     return (
-        df.withColumn("_inside", inside).join(carried, [*keys, bucket])
+        df.withColumn("_inside", inside).join(carried, same)
         .withColumn(out, F.coalesce("_inside", "_carry")[value])
-        .drop("_inside", "_carry")
+        .drop("_inside", "_carry", *[f"_at_{c}" for c in places])
     )

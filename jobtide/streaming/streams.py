@@ -2,13 +2,17 @@
 
 Results go to Parquet under the caller's folder. A micro-batch writes into its own
 directory and overwrites it when it is run again after a failure, so a lost
-executor or driver never counts anything twice.
+executor or driver never counts anything twice. A stream that starts from a new
+checkpoint numbers its batches after those that are there.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,10 +36,36 @@ def drain(stream: DataFrame, step: BatchStep, checkpoint: str, mode: str = "upda
     query.awaitTermination()
 
 
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """A stored table, or nothing if none was written yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def batch_number(spark: SparkSession, path: str, batch_id: int) -> int:
+    """The number under which a micro-batch is stored: the same if it is run again, and after all batches of earlier checkpoints.
+
+    A stream keeps its query id as long as it keeps its checkpoint; the first number of each is noted beside the batches.
+    """
+    note = f"{path}/_runs/{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}"
+    start = _stored(spark, note)
+    if start is None:
+        log = _stored(spark, path)
+        first = 0 if log is None else (log.agg(F.max("batch")).first()[0] or 0) + 1
+        spark.range(first, first + 1, 1, 1).write.mode("overwrite").parquet(note)
+        start = spark.read.parquet(note)
+    return start.first()[0] + batch_id
+
+
 def append_to(path: str) -> BatchStep:
     """Write each micro-batch into its own directory."""
     def step(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        number = batch_number(batch.sparkSession, path, batch_id)
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return step
 
@@ -64,15 +94,16 @@ def ingest_stream(raw: DataFrame, table: str, checkpoint: str, canonical: Callab
 
     def step(batch: DataFrame, batch_id: int) -> None:
         rows = keep_first(canonical(batch), [key], [order])
-        if batch_id > 0:
-            before = (spark.read.parquet(table).filter(F.col("batch") < batch_id)
+        number = batch_number(batch.sparkSession, table, batch_id)
+        if number > 0:
+            before = (spark.read.parquet(table).filter(F.col("batch") < number)
                       .filter("kind = 'insert'").select(key))
             fresh = rows.join(before, key, "left_anti").withColumn("kind", F.lit("insert"))
             again = rows.join(before, key, "left_semi").withColumn("kind", F.lit("touch"))
             rows = fresh.unionByName(again)
         else:
             rows = rows.withColumn("kind", F.lit("insert"))
-        rows.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
+        rows.write.mode("overwrite").parquet(f"{table}/batch={number}")
 
     drain(raw, step, checkpoint, "append")
 
@@ -96,14 +127,15 @@ def alert_step(seen_path: str, alerts_path: str, key: str = "key", url: str = "u
     """Exact form of the alert stream: keys are checked against a table of all seen keys."""
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if batch_id > 0:
-            seen = spark.read.parquet(seen_path).filter(F.col("batch") < batch_id).select(key)
+        number = batch_number(spark, alerts_path, batch_id)
+        if number > 0:
+            seen = spark.read.parquet(seen_path).filter(F.col("batch") < number).select(key)
         else:
             seen = batch.select(key).limit(0)
         fresh = new_postings(batch, seen, key, url, order)
-        fresh.write.mode("overwrite").parquet(f"{alerts_path}/batch={batch_id}")
-        done = spark.read.parquet(f"{alerts_path}/batch={batch_id}")
-        done.select(key).write.mode("overwrite").parquet(f"{seen_path}/batch={batch_id}")
+        fresh.write.mode("overwrite").parquet(f"{alerts_path}/batch={number}")
+        done = spark.read.parquet(f"{alerts_path}/batch={number}")
+        done.select(key).write.mode("overwrite").parquet(f"{seen_path}/batch={number}")
 
     return step
 
@@ -140,13 +172,15 @@ def toggle_step(path: str, keys: Sequence[str], ts: str = "ts", value: str = "ac
         spark = batch.sparkSession
         rows = batch.withColumn("_hour", F.date_trunc("hour", ts))
         marked = with_previous(rows, keys, [ts, tie], value, "_hour", "_before").drop("_hour")
-        if batch_id > 0:
-            log = spark.read.parquet(path).filter(F.col("batch") < batch_id)
-            state = log.groupBy(*keys).agg(F.max_by(value, F.struct("batch", ts, tie)).alias("_state"))
-            marked = marked.join(state, list(keys), "left").withColumn(
-                "_before", F.coalesce("_before", "_state")).drop("_state")
+        number = batch_number(spark, path, batch_id)
+        if number > 0:
+            log = spark.read.parquet(path).filter(F.col("batch") < number)
+            state = log.groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys]).agg(F.max_by(value, F.struct("batch", ts, tie)).alias("_state"))
+            same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+            marked = marked.join(state, same, "left").withColumn(
+                "_before", F.coalesce("_before", "_state")).drop("_state", *[f"_of_{k}" for k in keys])
         changed = F.col("_before").isNull() | (F.col("_before") != F.col(value))
         out = marked.filter(changed).withColumn("diff", F.when(F.col(value), 1).otherwise(-1))
-        out.select(*keys, ts, tie, value, "diff").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        out.select(*keys, ts, tie, value, "diff").write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return step

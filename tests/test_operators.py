@@ -45,6 +45,37 @@ def test_previous_value_over_buckets(spark):
     assert sorted(((r.n, r.previous) for r in out.collect())) == expected
 
 
+def test_sparse_and_missing_order_values_are_numbered(spark):
+    rng = random.Random(4)
+    keys = sorted({rng.randrange(-2**62, 2**62) for _ in range(200)})
+    df = spark.createDataFrame([(k,) for k in [*keys, None]], "k long").repartition(5)
+    got = {r.k: r.id for r in keyed.numbered(df, "k", F.lit(0), "id", width=100).collect()}
+    assert got == {k: i + 1 for i, k in enumerate([*keys, None])}
+
+
+def test_previous_value_keeps_rows_without_key_or_time(spark):
+    data = [(1, 1, True, 0), (1, 2, False, 0), (None, 3, True, 0), (None, 4, False, 1), (1, None, True, None)]
+    df = spark.createDataFrame(data, "k int, n int, v boolean, b int")
+    got = {(r.k, r.n): r.previous for r in keyed.with_previous(df, ["k"], ["n"], "v", "b").collect()}
+    assert got == {(1, None): None, (1, 1): True, (1, 2): True, (None, 3): None, (None, 4): True}
+
+
+def test_new_postings_as_one_by_one(spark):
+    rng = random.Random(5)
+    data = [(i, rng.choice("ABCDEFGH "), rng.choice(["u1", "u2", "u3", "u4", "u5", None])) for i in range(60)]
+    cases = [[(1, "A", "u1"), (2, "K", "u1"), (3, "K", "u2")], [(1, "K", "u1"), (2, "K", "u2"), (3, "B", "u2")], data, []]
+    seen = spark.createDataFrame([("H",)], "key string")
+    for case in cases:
+        keys, urls, expected = {"H", " "}, set(), []
+        for i, key, url in case:
+            if key not in keys and url not in urls:
+                expected.append(i)
+                keys.add(key)
+                urls.add(url)
+        batch = spark.createDataFrame(case, "id long, key string, url string")
+        assert sorted(r.id for r in dedup.new_postings(batch, seen).collect()) == expected
+
+
 def postings(spark, data):
     return spark.createDataFrame(data, "id long, content_hash string, source_id long, external_id string, url string")
 

@@ -87,3 +87,17 @@ def test_alerts_across_batches_are_new_once(spark, tmp_path):
     step = streams.alert_step(f"{tmp_path}/seen", f"{tmp_path}/alerts", key="entity", url="event_id", order="event_id")
     streams.drain(events(spark, f"{tmp_path}/in"), step, f"{tmp_path}/cp", "append")
     assert sorted(r.entity for r in spark.read.parquet(f"{tmp_path}/alerts").collect()) == [0, 1, 2]
+
+
+def test_a_new_checkpoint_keeps_the_log(spark, tmp_path):
+    def canonical(batch):
+        return batch.select(F.col("event_id").alias("seq"), F.concat_ws("-", "user_id", "entity").alias("content_hash"), F.col("ts").alias("seen_at"))
+
+    for run, folder in enumerate(["a", "b"]):
+        start = datetime(2024, 1, 1 + run)
+        data = [(100 * run + i, start, i + run, 0, True) for i in range(4)]
+        spark.createDataFrame(data, SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/{folder}")
+        streams.ingest_stream(events(spark, f"{tmp_path}/{folder}"), f"{tmp_path}/log", f"{tmp_path}/cp_{folder}", canonical)
+    log = spark.read.parquet(f"{tmp_path}/log")
+    assert {(r.batch, r.kind, r["count"]) for r in log.groupBy("batch", "kind").count().collect()} == {(0, "insert", 4), (1, "touch", 3), (1, "insert", 1)}
+    assert streams.current_table(log).count() == 5
