@@ -132,7 +132,9 @@ PLAN_SQL = f"""
 titles(raw_title, good_title) as (values {TITLE_VALUES}),
 places(raw, city, state, state_code, country, country_code, is_remote, label) as (values {LOC_VALUES}),
 b as (select *, {URL_KEY} as u from jobs where {OLD_SQL}), r as (select *, {URL_KEY} as u from jobs where {NEW_SQL}),
-open as (select r.* from r join sources s on r.source_id = s.id where s.compliance_status <> 'prohibited'),
+gate as (select id, case when compliance_status = 'prohibited' then 'Source is PROHIBITED by terms of service'
+  when compliance_status = 'pending_review' then 'Source compliance is pending review' when not is_active then 'Source is not active' end as reason from sources),
+open as (select r.* from r join gate on r.source_id = gate.id where reason is null),
 seen as (select *, content_hash in (select content_hash from b) or (source_id, external_id) in (select source_id, external_id from b) or u in (select u from b)
   or id > min(id) over (partition by source_id, external_id) or id > min(id) over (partition by u) as dup from open),
 ok as (select seen.id, seen.source_id, good_title as title, company, description, case when coalesce(location, '') = '' then location else label end as location from seen
@@ -155,7 +157,8 @@ n as (select source_id, count(*) filter (fresh) as new_jobs, count(*) filter (no
   count(*) filter (level = 'mid') as mid_level, count(*) filter (level in ('senior', 'lead', 'staff', 'principal')) as senior_level from c group by 1),
 report as (select r.source_id, coalesce(a.total_scraped, 0) as total_scraped, coalesce(a.duplicates_skipped, 0) as duplicates_skipped, coalesce(new_jobs, 0) as new_jobs,
   coalesce(updated_jobs, 0) as updated_jobs, coalesce(entry_level, 0) as entry_level, coalesce(mid_level, 0) as mid_level, coalesce(senior_level, 0) as senior_level,
-  case when a.source_id is null then 'Source is PROHIBITED' end as error from (select distinct source_id from r) r left join a on r.source_id = a.source_id left join n on r.source_id = n.source_id)
+  case when gate.id is null then 'Source is not registered' else reason end as error
+  from (select distinct source_id from r) r left join a on r.source_id = a.source_id left join n on r.source_id = n.source_id left join gate on r.source_id = gate.id)
 """
 
 

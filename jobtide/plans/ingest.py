@@ -13,6 +13,7 @@ from ..functions.salary import annualize_salary
 from ..functions.text import content_hash
 from ..operators.aggregate import batch_statistics, run_statistics
 from ..operators.dedup import find_exact_duplicates, match_index, match_keys
+from ..operators.filters import compliance
 from ..operators.lifecycle import upsert_jobs
 from ..operators.similarity import find_near_duplicates
 
@@ -49,14 +50,16 @@ def _repeats(batch: DataFrame) -> DataFrame:
 def process(raw: DataFrame, base: DataFrame, sources: DataFrame, near: bool = False) -> DataFrame:
     """Every raw row with its `outcome` and, if accepted, its final fields.
 
-    Outcomes: blocked (source prohibited), skipped (duplicate), accepted. `raw`
-    carries its arrival order in `seq`. A row repeats an earlier one of the batch
-    when it shares the external id or URL.
+    Outcomes: blocked (the source may not be processed; `blocked_reason` says why), skipped
+    (duplicate), accepted. `raw` carries its arrival order in `seq`. A row repeats an
+    earlier one of the batch when it shares the external id or URL.
     """
-    gate = sources.select(F.col("id").alias("source_id"), (F.col("compliance_status") == "prohibited").alias("_no"))
-    rows = raw.join(gate, "source_id").withColumn("id", F.col("seq")).withColumn(
-        "content_hash", content_hash("title", "company", "location"))
-    open_rows = rows.filter("not _no")
+    gate = compliance(sources).select(F.col("id").alias("source_id"), F.coalesce("reason", F.lit("")).alias("_reason"))
+    rows = (
+        raw.join(gate, "source_id", "left")
+        .withColumn("blocked_reason", F.nullif(F.coalesce("_reason", F.lit("Source is not registered")), F.lit("")))
+        .withColumn("id", F.col("seq")).withColumn("content_hash", content_hash("title", "company", "location")))
+    open_rows = rows.filter("blocked_reason is null")
     matches = find_exact_duplicates(open_rows, base).select("duplicate_id")
     matches = matches.unionByName(_repeats(open_rows))
     if near:
@@ -64,10 +67,10 @@ def process(raw: DataFrame, base: DataFrame, sources: DataFrame, near: bool = Fa
         matches = matches.unionByName(find_near_duplicates(rest, base).select("duplicate_id"))
     matched = matches.select(F.col("duplicate_id").alias("id"), F.lit(True).alias("_dup")).distinct()
     told = rows.join(matched, "id", "left").withColumn(
-        "outcome", F.when(F.col("_no"), "blocked").when(F.col("_dup"), "skipped").otherwise("accepted"))
+        "outcome", F.when(F.col("blocked_reason").isNotNull(), "blocked").when(F.col("_dup"), "skipped").otherwise("accepted"))
     accepted = F.col("outcome") == "accepted"
     # Rejected rows keep their raw fields; their text is never looked at.
-    done = normalise(told.drop("_no", "_dup", "id"), accepted).withColumn(
+    done = normalise(told.drop("_reason", "_dup", "id"), accepted).withColumn(
         "class", F.when(accepted, classification("title", "description", "location")))
     return fill_from_class(done).withColumn("level", F.col("class.experience_level")).drop("class").withColumn(
         "content_hash", content_hash("title", "company", "location"))
@@ -89,14 +92,14 @@ def outcomes(processed: DataFrame, base: DataFrame) -> DataFrame:
 
 
 def run_report(processed: DataFrame, base: DataFrame) -> DataFrame:
-    """Statistics per source; a prohibited source shows as an error and not as a failure of the run."""
+    """Statistics per source; a source that may not be processed shows as an error and not as a failure of the run."""
     told = outcomes(processed, base)
     stats = run_statistics(told.filter("outcome <> 'blocked'"))
-    blocked = told.groupBy("source_id").agg(F.bool_and(F.col("outcome") == "blocked").alias("_blocked"))
+    blocked = told.groupBy("source_id").agg(F.max("blocked_reason").alias("error"))
     filled = [c for c in stats.columns if c != "source_id"]
     return blocked.join(stats, "source_id", "left").select(
         "source_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in filled],
-        F.when(F.col("_blocked"), "Source is PROHIBITED").alias("error"))
+        "error")
 
 
 def batch_report(report: DataFrame) -> DataFrame:
