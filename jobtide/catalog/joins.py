@@ -252,7 +252,7 @@ select duplicate_id, original_id, round(s, 6) as similarity from (select *, row_
 def d6(spark, folder):
     rows = docs(spark, folder).select("id", "source_id", "description")
     found = similarity.find_near_duplicates(rows.filter(NEW_DOCS), rows.filter(f"not ({NEW_DOCS})"),
-                                            stop_words=STOP_WORDS, strip_tags=False)
+                                            max_features=5000, min_corpus=25, min_length=50, stop_words=STOP_WORDS, strip_tags=False)
     return found.select("duplicate_id", "original_id", F.round("similarity", 6).alias("similarity"))
 
 

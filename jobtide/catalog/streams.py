@@ -81,7 +81,7 @@ def t2b(spark, folder):
 def t3(spark, folder):
     path, checkpoint = _paths(spark, "counters")
     looks = event_stream(spark, folder).filter("event_type in ('view', 'click')")
-    rows = streams.drain_to(streams.view_counter_stream(looks, "entity"), path, checkpoint, "update")
+    rows = streams.drain_to(streams.view_counter_stream(looks, "entity", "2 days"), path, checkpoint, "update")
     return streams.latest(rows, ["entity", "day"])
 
 
@@ -91,7 +91,7 @@ select entity, cast(ts as date) as day, count(distinct user_id) as viewers from
 def t4(spark, folder):
     path, checkpoint = _paths(spark, "viewers")
     looks = event_stream(spark, folder).filter("event_type in ('view', 'click')")
-    rows = streams.drain_to(streams.unique_viewer_stream(looks, "entity"), path, checkpoint, "append")
+    rows = streams.drain_to(streams.unique_viewer_stream(looks, "entity", "2 days"), path, checkpoint, "append")
     return rows.groupBy("entity", "day").agg(F.count("*").alias("viewers"))
 
 
@@ -100,7 +100,7 @@ select user_id, date_trunc('hour', ts)::timestamp as hour, max(ts) as last_seen
 """)
 def t5(spark, folder):
     path, checkpoint = _paths(spark, "online")
-    rows = streams.drain_to(streams.online_stream(event_stream(spark, folder)), path, checkpoint, "update")
+    rows = streams.drain_to(streams.online_stream(event_stream(spark, folder), "2 days"), path, checkpoint, "update")
     return streams.latest(rows, ["user_id", "hour"])
 
 

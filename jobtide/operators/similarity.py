@@ -230,14 +230,16 @@ def best_pairs(vectors: DataFrame, threshold: float, block: int = BLOCK) -> Data
 
 
 def find_near_duplicates(new: DataFrame, existing: DataFrame, *, threshold: float = 0.75,
-                         max_features: int | None = 5000, min_corpus: int = 25,
+                         max_features: int | None = None, min_corpus: int = 0,
                          stop_words: Sequence[str] = (), bigrams: bool = True,
-                         min_length: int = 50, text: str = "description",
+                         min_length: int = 0, text: str = "description",
                          fit_on_both: bool = False, strip_tags: bool = True) -> DataFrame:
     """Match table of postings whose text is close to an existing one.
 
     The vocabulary comes from the existing texts, or from both sides with
-    `fit_on_both`. Nothing matches while the corpus is smaller than `min_corpus`.
+    `fit_on_both`. All terms, texts and corpus sizes count by default: `max_features` keeps the terms that
+    occur most often, `min_length` leaves out new texts that are shorter and existing ones that are not
+    longer, and nothing matches while the corpus is smaller than `min_corpus`.
     """
     clean = strip_html(text) if strip_tags else F.coalesce(F.col(text), F.lit(""))
     refs = existing.select("id", clean.alias("text")).filter(F.length("text") > min_length)
@@ -266,7 +268,7 @@ def find_near_duplicates(new: DataFrame, existing: DataFrame, *, threshold: floa
 
 
 def match_incoming(master: DataFrame, incoming: DataFrame, known: DataFrame, *,
-                   threshold: float = 0.75, min_corpus: int = 25,
+                   threshold: float = 0.75, min_corpus: int = 0,
                    stop_words: Sequence[str] = ()) -> DataFrame:
     """Incoming rows that the master list holds, and how they were told.
 

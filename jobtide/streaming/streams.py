@@ -117,7 +117,7 @@ def current_table(log: DataFrame, key: str = "content_hash", seen: str = "seen_a
         F.count("*").alias("sightings")).select(key, "_r.*", "first_seen_at", "last_seen_at", "sightings")
 
 
-def new_posting_stream(postings: DataFrame, key: str, ts: str, delay: str = "7 days") -> DataFrame:
+def new_posting_stream(postings: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
     """Each key once; the state of a key is dropped once it is older than `delay`."""
     return postings.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
@@ -140,23 +140,23 @@ def alert_step(seen_path: str, alerts_path: str, key: str = "key", url: str = "u
     return step
 
 
-def view_counter_stream(events: DataFrame, key: str, ts: str = "ts", delay: str = "2 days") -> DataFrame:
-    """Views per entity and day, in update mode."""
+def view_counter_stream(events: DataFrame, key: str, delay: str, ts: str = "ts") -> DataFrame:
+    """Views per entity and day, in update mode; rows later than `delay` do not count."""
     return (events.withWatermark(ts, delay).groupBy(F.window(ts, "1 day").alias("w"), key)
             .agg(F.count("*").alias("views")).select(key, F.to_date("w.start").alias("day"), "views"))
 
 
-def unique_viewer_stream(events: DataFrame, key: str, user: str = "user_id", ts: str = "ts",
-                         delay: str = "2 days") -> DataFrame:
-    """Each viewer once per entity and day, in append mode: by the hour, then by the day."""
+def unique_viewer_stream(events: DataFrame, key: str, delay: str, user: str = "user_id",
+                         ts: str = "ts") -> DataFrame:
+    """Each viewer once per entity and day, in append mode: by the hour, then by the day; rows later than `delay` do not count."""
     hours = (events.withColumn("hour", F.date_trunc("hour", ts)).withWatermark("hour", delay)
              .dropDuplicates([key, "hour", user]))
     return (hours.withColumn("day", F.to_date("hour"))
             .dropDuplicatesWithinWatermark([key, "day", user]).select(key, "day", user, "hour"))
 
 
-def online_stream(events: DataFrame, user: str = "user_id", ts: str = "ts", delay: str = "2 days") -> DataFrame:
-    """Last sight of each user per hour, in update mode; the last write wins."""
+def online_stream(events: DataFrame, delay: str, user: str = "user_id", ts: str = "ts") -> DataFrame:
+    """Last sight of each user per hour, in update mode; the last write wins, rows later than `delay` do not count."""
     return (events.withWatermark(ts, delay).groupBy(F.window(ts, "1 hour").alias("w"), user)
             .agg(F.max(ts).alias("last_seen")).select(user, F.col("w.start").alias("hour"), "last_seen"))
 

@@ -155,7 +155,8 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch, max_features, big
 
 def test_small_corpus_matches_nothing(spark):
     df = spark.createDataFrame([(i, "the same long description of one and the same job posting") for i in range(5)], "id long, description string")
-    assert similarity.find_near_duplicates(df, df).count() == 0
+    assert similarity.find_near_duplicates(df, df, min_corpus=25).count() == 0
+    assert similarity.find_near_duplicates(df, df).count() == 5
 
 
 TRACKER = ("id long, seq long, link string, title string, company_id long, description string, location string, posted_date timestamp,"
