@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalog import base
-from ..session import configure
+from ..session import configure, kept
 from . import decontaminate, licenses, neighbours, ngrams, packing, pii, simhash, substring, tokens, toxicity
 
 QUERIES: dict[str, base.Query] = {}
@@ -43,7 +43,7 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every distinct length with its sums."""
-    return tokens.suffix_sums(tokens.length_histogram(table(spark, sf_dir, "documents")))
+    return tokens.suffix_sums(kept(tokens.length_histogram(table(spark, sf_dir, "documents")), "lengths"))
 
 
 @query
