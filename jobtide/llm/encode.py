@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 import types
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,11 +33,33 @@ def slices(texts: list[bytes], limit: int = 1 << 22) -> Iterator[slice]:
         yield slice(at, len(texts))
 
 
+#: Marks that a tokenizer of this kind cuts off from the letters before them; the apostrophe is not one, as it joins endings.
+MARKS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
+
+
+def _stays_letters(word: str) -> bool:
+    """Whether a word is letters alone once it is composed and lower-cased."""
+    return unicodedata.normalize("NFC", word).lower().isalpha()
+
+
+class _Words(dict):
+    """Ids by word; an unknown word is noted and gives nothing for now."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: set[bytes] = set()
+
+    def __missing__(self, word: bytes) -> bytes:
+        self.new.add(word)
+        return b""
+
+
 class Encoder:
     """Encodes texts word by word and remembers up to `memory` words.
 
     Made for tokenizers that lower-case, drop white space and part marks from letters: there, cutting a text at
-    ASCII blanks, and a word before its last full stop or comma, changes no id. Tests compare with whole texts.
+    ASCII blanks, and a word of letters before the marks that end it, changes no id. Texts that may hold a special token or
+    a combining accent are not lower-cased here, as their case matters. Tests compare with whole texts.
     """
 
     def __init__(self, path: str, memory: int = 1_500_000) -> None:
@@ -47,36 +70,63 @@ class Encoder:
 
             path = public_tokenizers.path(path)
         self.tokenizer = Tokenizer.from_file(path)
-        self.memory, self.known = memory, {}
-
-    def _encode(self, words: list[bytes]) -> None:
-        texts = [w.decode("utf-8", "replace") for w in words]
+        self.memory, self.known = memory, _Words()
+        self.cased = [b"\xcc", b"\xcd"]  # U+0300 to U+037F
+        self.cased += sorted({t.content.encode()[:2] for t in self.tokenizer.get_added_tokens_decoder().values()})
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a word
+        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each of some words of letters, told apart by the tokens that end a word."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(texts)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(texts):  # some word is more than one
+            return self._ids_by_place(texts)
+        raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def _ids_by_place(self, texts: list[str]) -> list[bytes]:
         starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
         got = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
         ids = np.array(got.ids, "<u4").tobytes()
         cuts = (4 * np.searchsorted(np.array([a for a, _ in got.offsets], np.int64), starts)).tolist()
-        self.known.update((w, ids[a:b]) for w, a, b in zip(words, cuts, cuts[1:], strict=False))
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def _learn(self, words: set[bytes]) -> None:
-        marked = {w for w in words if w[-1:] in b".," and w[-2:-1].isalpha()}
-        plain = list({w[:-1] for w in marked} | (words - marked) | {b".", b","})
-        plain = [w for w in plain if w not in self.known]
-        for at in range(0, len(plain), 4_000):
-            self._encode(plain[at : at + 4_000])
-        for w in marked:
-            self.known[w] = self.known[w[:-1]] + self.known[w[-1:]]
+        letters, other, ended = set(), set(), []
+        for word in words:
+            text = word.decode("utf-8", "replace")
+            core = text.rstrip(MARKS)
+            if not (core.isascii() or _stays_letters(core)) or not core.isalpha():
+                other.add(text)
+            elif len(core) == len(text):
+                letters.add(text)
+            else:
+                ended.append((word, core.encode(), text[len(core) :].encode()))
+                letters.add(core)
+                other.add(text[len(core) :])
+        for many, ids_of in ((letters, self._ids), (other, self._ids_by_place)):
+            many = [t for t in many if t.encode() not in self.known]
+            for at in range(0, len(many), 4_000):
+                part = many[at : at + 4_000]
+                self.known.update(zip([t.encode() for t in part], ids_of(part), strict=True))
+        self.known.update((word, self.known[core] + self.known[tail]) for word, core, tail in ended)
 
     def texts(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
         if len(self.known) > self.memory:
             self.known.clear()
-        split = [t.lower().split() for t in texts]
-        find = self.known.get
+        split = [(t if any(x in t for x in self.cased) else t.lower()).split() for t in texts]
+        find = self.known.__getitem__
         got = [list(map(find, words)) for words in split]
-        new = {w for words, ids in zip(split, got, strict=True) if None in ids for w, x in zip(words, ids, strict=True) if x is None}
-        if new:
-            self._learn(new)
-            got = [list(map(find, words)) if None in ids else ids for words, ids in zip(split, got, strict=True)]
+        if self.known.new:
+            self._learn(self.known.new)
+            for words, ids in zip(split, got, strict=True):
+                if not all(ids):
+                    for at in [i for i, x in enumerate(ids) if not x]:
+                        ids[at] = find(words[at])
+            self.known.new = set()
         return [b"".join(ids) for ids in got]
 
 
