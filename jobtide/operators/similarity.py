@@ -3,28 +3,26 @@
 Texts become unit vectors of smooth TF-IDF weights. Two vectors with cosine of
 at least `t` must share a term among the rarest terms that hold all but `t` of a
 vector's length, so only those leading terms are used to bring candidates
-together. Equal texts are collapsed before anything is compared. Leading terms are
-spread over buckets (one bucket while that ships less), and a bucket is split into
-blocks of bounded size on both sides. A block yields one best match per query, never
-a list of pairs; inside it, vectors whose leading terms leave no room for the
-threshold are not scored in full.
+together. Equal texts are collapsed before anything is compared. Texts meet in a join
+on their leading terms; pairs whose lengths leave no room for the threshold are dropped,
+and the others are scored by a join on all their terms. Everything is a DataFrame
+expression.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.core import bind
 from ..functions.text import fold, strip_html
 from ..session import kept
+from .keyed import best_match
 
 TOKEN = r"[\p{L}\p{N}_]{2,}"
-BLOCK = 1024
+WIDTH = 1024
 SLACK = 1e-9
 
 
@@ -100,133 +98,68 @@ def leading_terms(counts: DataFrame, weights: DataFrame, threshold: float) -> Da
     return vectors.withColumn("leads", leads)
 
 
-class _Block:
-    """Vectors of one side of a block, end to end, terms as ranks (rarest first)."""
-
-    def __init__(self, rows: pd.DataFrame):
-        self.docs = rows["doc"].to_numpy()
-        self.leads = rows["leads"].to_numpy()
-        sizes = rows["tids"].map(len).to_numpy()
-        self.starts = np.concatenate([[0], np.cumsum(sizes)])
-        self.tids = np.concatenate(rows["tids"].to_list())
-        self.dfs = np.concatenate(rows["dfs"].to_list())
-        self.ws = np.concatenate(rows["ws"].to_list())
-        # Squared length up to each entry, over the whole block.
-        self.mass = np.concatenate([[0.0], np.cumsum(self.ws * self.ws)])
-
-    def entries(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Entry numbers of some rows and where each row begins among them."""
-        sizes = self.starts[rows + 1] - self.starts[rows]
-        first = np.cumsum(sizes) - sizes
-        return np.repeat(self.starts[rows], sizes) + np.arange(sizes.sum()) - np.repeat(first, sizes), first
-
-
-def _rank_terms(*blocks: _Block) -> int:
-    """Give every entry the rank of its term by (document frequency, number)."""
-    tids = np.concatenate([b.tids for b in blocks])
-    dfs = np.concatenate([b.dfs for b in blocks])
-    names, first, inverse = np.unique(tids, return_index=True, return_inverse=True)
-    rank = np.empty(len(names), dtype=np.int64)
-    rank[np.lexsort((names, dfs[first]))] = np.arange(len(names))
-    ranks = rank[inverse]
-    at = 0
-    for b in blocks:
-        b.ranks = ranks[at:at + len(b.tids)]
-        b.last = b.ranks[b.starts[:-1] + b.leads - 1]
-        at += len(b.tids)
-    return len(names)
-
-
-def _block_best(threshold: float):
-    floor = threshold - SLACK
-
-    def best(queries: pd.DataFrame, refs: pd.DataFrame) -> pd.DataFrame:
-        if queries.empty or refs.empty:
-            return pd.DataFrame({"query": [], "ref": [], "score": []})
-        refs = refs.sort_values("doc", kind="stable")
-        q, r = _Block(queries), _Block(refs)
-        n_terms = _rank_terms(q, r)
-        n_refs = len(r.docs)
-        # Postings of the references' leading terms, by rank.
-        row_of = np.repeat(np.arange(n_refs), np.diff(r.starts))
-        leading = np.arange(len(r.ws)) - np.repeat(r.starts[:-1], np.diff(r.starts)) < r.leads[row_of]
-        order = np.argsort(r.ranks[leading], kind="stable")
-        owner, weight = row_of[leading][order], r.ws[leading][order]
-        offset = np.searchsorted(r.ranks[leading][order], np.arange(n_terms + 1))
-        keyed = row_of * n_terms + r.ranks
-        dense = np.zeros(n_terms)
-        found = []
-        for i, here in enumerate(queries["here"]):
-            lo, hi = q.starts[i], q.starts[i + 1]
-            ranks, ws = q.ranks[lo:hi], q.ws[lo:hi]
-            lead = ranks[:q.leads[i]]
-            sizes = offset[lead + 1] - offset[lead]
-            if not sizes.any():
-                continue
-            spot = np.repeat(offset[lead], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            shared = np.bincount(owner[spot], weight[spot] * np.repeat(ws[:q.leads[i]], sizes), n_refs)
-            inside = np.repeat(np.isin(q.tids[lo:lo + q.leads[i]], here), sizes)
-            near = np.unique(owner[spot[inside]])
-            # All shared terms up to the earlier of the two last leading terms are
-            # counted in `shared`; what follows is bounded by the lengths left.
-            edge = np.minimum(q.last[i], r.last[near])
-            mass = np.concatenate([[0.0], np.cumsum(ws * ws)])
-            q_left = 1 - mass[np.searchsorted(ranks, edge, "right")]
-            r_left = 1 - (r.mass[np.searchsorted(keyed, near * n_terms + edge, "right")] - r.mass[r.starts[near]])
-            room = np.sqrt(np.maximum(q_left, 0) * np.maximum(r_left, 0))
-            near = near[shared[near] + room >= floor - SLACK]
-            if not len(near):
-                continue
-            dense[ranks] = ws
-            entry, first = r.entries(near)
-            scores = np.round(np.add.reduceat(r.ws[entry] * dense[r.ranks[entry]], first), 12)
-            dense[ranks] = 0.0
-            top = scores.argmax()
-            if scores[top] >= floor:
-                found.append((q.docs[i], r.docs[near[top]], scores[top]))
-        return pd.DataFrame(found, columns=["query", "ref", "score"])
-
-    return best
-
-
-def best_pairs(vectors: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
-    """Best reference of each query vector with cosine of at least `threshold`.
-
-    `vectors` holds both sides (`new` and `ref`). With one bucket a vector is sent
-    to every block of the other side; with many, once per leading term. The cheaper
-    of the two is taken.
+def _entries(vectors: DataFrame) -> DataFrame:
+    """One row per term of each vector: its place, document frequency, number and weight, and the last leading term's step."""
+    edge = _level(F.element_at("dfs", F.col("leads"))).alias("edge")
+    return vectors.select("side", "doc", "leads", edge, F.posexplode(F.arrays_zip("dfs", "tids", "ws")).alias("place", "e")).select(
+        "side", "doc", "leads", "edge", "place", F.col("e.dfs").alias("df"), F.col("e.tids").alias("tid"), F.col("e.ws").alias("w"))
+
+
+def _level(df: Column) -> Column:
+    """Steps of document frequency, eight to each doubling; it never falls as the frequency grows."""
+    return F.floor(8 * F.log2(df.cast("double"))).cast("int")
+
+
+def _reach(vectors: DataFrame) -> DataFrame:
+    """The squared length that each vector has from each step onwards, up to the step of its last leading term."""
+    keys = ["side", "doc", "edge"]
+    levels = _entries(vectors).groupBy(*keys, _level(F.col("df")).alias("level")).agg(F.sum(F.col("w") * F.col("w")).alias("mass"))
+    levels = levels.groupBy(*keys).agg(F.collect_list(F.struct("level", "mass")).alias("levels"))
+    below = lambda step: F.aggregate("levels", F.lit(0.0), lambda a, x: a + F.when(x["level"] < step, x["mass"]).otherwise(0.0))
+    return levels.select("side", "doc", F.transform(F.sequence(F.lit(0), "edge"), lambda step: F.greatest(1 - below(step), F.lit(0.0))).alias("left"))
+
+
+def candidate_pairs(vectors: DataFrame, threshold: float, width: int = WIDTH) -> DataFrame:
+    """(query, ref) pairs that share a leading term and whose lengths leave room for the threshold.
+
+    `vectors` holds both sides (`new` and `ref`). Texts meet on equal leading terms; a term's queries are dealt over
+    parts of about `width`, so that no term is one task. All terms below the lower of the two last
+    steps lead in both vectors, so what they share there is counted, and the rest is bounded by the lengths left. The
+    number of rows is what an exact search has to score.
+    """
+    leading = _entries(vectors).filter("place < leads").select("side", "doc", "edge", "tid", "w", _level(F.col("df")).alias("level"))
+    held = leading.groupBy("tid").agg(F.count_if(F.col("side") == "new").alias("asked"), F.count_if(F.col("side") == "ref").alias("there"))
+    held = held.filter("asked > 0 and there > 0").select("tid", F.ceil(F.col("asked") / width).alias("parts"))
+    shared = leading.join(held, "tid")
+    asked = shared.filter("side = 'new'").select(
+        "tid", F.pmod(F.xxhash64("doc"), F.col("parts")).alias("part"), "level",
+        F.col("doc").alias("query"), F.col("edge").alias("query_edge"), F.col("w").alias("query_w"))
+    there = shared.filter("side = 'ref'").select(
+        "tid", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
+        F.col("doc").alias("ref"), F.col("edge").alias("ref_edge"), F.col("w").alias("ref_w"))
+    edge = F.least("query_edge", "ref_edge")
+    product = F.when(F.col("level") < edge, F.col("query_w") * F.col("ref_w")).otherwise(0.0)
+    met = asked.join(there, ["tid", "part"]).groupBy("query", "ref").agg(F.sum(product).alias("shared"), F.min(edge).alias("edge"))
+    reach = kept(_reach(vectors), "reach")
+    for side, key in (("new", "query"), ("ref", "ref")):
+        met = met.join(reach.filter(F.col("side") == side).select(F.col("doc").alias(key), "left"), key)
+        met = met.withColumn(f"{key}_left", F.element_at("left", F.col("edge") + 1)).drop("left")
+    room = F.sqrt(F.col("query_left") * F.col("ref_left"))
+    return met.filter(F.col("shared") + room >= threshold - 2 * SLACK).select("query", "ref")
+
+
+def best_pairs(vectors: DataFrame, threshold: float, width: int = WIDTH) -> DataFrame:
+    """Best reference of each query vector with cosine of at least `threshold`; the smaller one on ties.
+
+    Candidate pairs are scored over all their terms: a join on the reference and the term, then a sum.
     """
-    texts, leads = (vectors.agg(F.coalesce(c, F.lit(0))).scalar() for c in (F.count("*"), F.sum("leads")))
-    many = texts / block > leads / F.greatest(texts, F.lit(1))
-    sized = vectors.drop("text_hash").withColumn(
-        "buckets", F.when(many, F.ceil(leads / block)).otherwise(F.lit(1)).cast("long"))
-    lead = F.slice("tids", F.lit(1), F.col("leads"))
-    bucket_of = lambda t: F.pmod(F.xxhash64(t), F.col("buckets"))
-    spread = sized.withColumn("bucket", F.explode(F.array_distinct(F.transform(lead, bucket_of))))
-    spread = spread.withColumn("here", F.filter(lead, lambda t: bucket_of(t) == F.col("bucket"))).drop("buckets")
-    # Fresh column identities: both sides come from one table.
-    q, r = (spread.filter(F.col("side") == s).drop("side").toDF("doc", "dfs", "tids", "ws", "leads", "bucket", "here")
-            for s in ("new", "ref"))
-
-    def blocks(side: DataFrame, name: str) -> DataFrame:
-        return side.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
-
-    sizes = blocks(q, "q_blocks").join(blocks(r, "r_blocks"), "bucket")
-
-    def place(side: DataFrame, own: str, other: str, own_block: str, other_block: str) -> DataFrame:
-        return (side.join(sizes, "bucket")
-                .withColumn(own_block, F.pmod(F.xxhash64("doc"), F.col(own)).cast("int"))
-                .withColumn(other_block, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
-                .drop("q_blocks", "r_blocks"))
-
-    keys = ["bucket", "qb", "rb"]
-    found = (
-        place(q, "q_blocks", "r_blocks", "qb", "rb").groupBy(*keys)
-        .cogroup(place(r, "r_blocks", "q_blocks", "rb", "qb").groupBy(*keys))
-        .applyInPandas(_block_best(threshold), "query long, ref long, score double")
-    )
-    best = found.groupBy("query").agg(F.min(F.struct((-F.col("score")).alias("s"), "ref")).alias("_b"))
-    return best.select("query", F.col("_b.ref").alias("ref"), (-F.col("_b.s")).alias("score"))
+    terms = _entries(vectors)
+    asked = terms.filter("side = 'new'").select(F.col("doc").alias("query"), "tid", F.col("w").alias("query_w"))
+    there = terms.filter("side = 'ref'").select(F.col("doc").alias("ref"), "tid", F.col("w").alias("ref_w"))
+    pairs = kept(candidate_pairs(vectors, threshold, width), "pairs")
+    scores = pairs.join(asked, "query").join(there, ["ref", "tid"]).groupBy("query", "ref").agg(
+        F.round(F.sum(F.col("query_w") * F.col("ref_w")), 12).alias("score"))
+    return best_match(scores.filter(F.col("score") >= threshold - SLACK), "query", "ref", "score")
 
 
 def find_near_duplicates(new: DataFrame, existing: DataFrame, *, threshold: float = 0.75,

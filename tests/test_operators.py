@@ -1,7 +1,6 @@
 import random
 from datetime import date, datetime
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,8 +127,8 @@ def brute_force(new, existing, threshold, max_features, bigrams, both=False):
     return sorted(out)
 
 
-@pytest.mark.parametrize("max_features, bigrams, block", [(5000, True, 2048), (60, True, 3), (None, False, 1), (None, True, 2)])
-def test_near_duplicates_match_brute_force(spark, monkeypatch, max_features, bigrams, block):
+@pytest.mark.parametrize("max_features, bigrams, width", [(5000, True, 2048), (60, True, 3), (None, False, 1), (None, True, 2)])
+def test_near_duplicates_match_brute_force(spark, monkeypatch, max_features, bigrams, width):
     rng = random.Random(5)
     words = [f"word{i}" for i in range(80)]
     base = [[rng.choice(words) for _ in range(30)] for _ in range(12)]
@@ -144,7 +143,7 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch, max_features, big
     existing = [(i, near_copy(base[0] if i % 3 else base[i % 12]) if i % 3 != 2 else " ".join(base[0])) for i in range(40)]
     new = [(100 + i, near_copy(base[0] if i % 2 else base[i % 12])) for i in range(25)]
     new += [(200 + i, " ".join(base[0])) for i in range(8)]
-    monkeypatch.setattr(similarity.best_pairs, "__defaults__", (block,))
+    monkeypatch.setattr(similarity.best_pairs, "__defaults__", (width,))
     schema = "id long, description string"
     found = similarity.find_near_duplicates(
         spark.createDataFrame(new, schema).repartition(3), spark.createDataFrame(existing, schema).repartition(3),
@@ -251,14 +250,3 @@ def test_sitemap_default_date(spark):
     companies = spark.createDataFrame([("a",), ("b",)], "alias string")
     vacancies = spark.createDataFrame([("a", date(2024, 3, 1))], "alias string, date date")
     assert rows(sinks.sitemap_rows(companies, vacancies, "h", "go"), "lastmod") == [("2024-03-01",), ("2025-01-01",)]
-
-
-def test_block_scoring_handles_unknown_terms():
-    import pandas as pd
-    best = similarity._block_best(0.5)
-    one = np.array([1.0])
-    q = pd.DataFrame({"doc": [1], "dfs": [np.array([1, 2])], "tids": [np.array([5, 9])], "ws": [np.array([0.6, 0.8])], "leads": [2],
-                      "here": [np.array([9])]})
-    r = pd.DataFrame({"doc": [7, 3], "dfs": [np.array([2])] * 2, "tids": [np.array([9])] * 2, "ws": [one] * 2, "leads": [1, 1],
-                      "here": [np.array([9])] * 2})
-    assert best(q, r).values.tolist() == [[1, 3, 0.8]]
