@@ -257,7 +257,7 @@ def d6(spark, folder):
 
 
 @query("d7_match_incoming", needs="docs", sql="with hits as (" + TFIDF_SQL.format(
-    clean="select id, source_id, description as text from docs where id not in (select doc_id from labels where toxic = 1)", new=NEW_DOCS, least=0, stop="''",
+    clean="select id, source_id, description as text from docs where source_id % 4 <> 0 or id not in (select doc_id from labels where toxic = 1)", new=NEW_DOCS, least=0, stop="''",
     grams="ws", corpus="select * from e union all select * from n", fitted="true", top="", threshold=0.75).strip() + """)
 select duplicate_id, original_id, 'NEW_TFIDF' as match_type, similarity from hits
 union all select id, null, 'EXISTING_TFIDF', 1.0 from docs where source_id % 4 = 0 and id in (select doc_id from labels where toxic = 1)
@@ -268,11 +268,10 @@ def d7(spark, folder):
     toxic = table(spark, folder, "labels").filter("toxic = 1").select(F.col("doc_id").alias("id"))
     marked = rows.join(toxic, "id", "left_semi")
     rest = rows.join(toxic, "id", "left_anti")
-    blank = lambda df: df.withColumn("description", F.lit(""))
-    again = blank(marked.filter(f"not ({NEW_DOCS})"))
+    again = marked.filter(f"not ({NEW_DOCS})")
     # The marked rows of the master list come again with the same key.
     master = rest.filter(f"not ({NEW_DOCS})").unionByName(again)
-    incoming = rest.filter(NEW_DOCS).unionByName(again).unionByName(blank(marked.filter(NEW_DOCS)))
+    incoming = rest.filter(NEW_DOCS).unionByName(again).unionByName(marked.filter(NEW_DOCS))
     found = similarity.match_incoming(master, incoming, marked.filter(NEW_DOCS).select("key_id"))
     return found.select("duplicate_id", "original_id", "match_type", F.round("similarity", 6).alias("similarity"))
 

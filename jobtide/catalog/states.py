@@ -204,10 +204,15 @@ def u14(spark, folder):
     return lifecycle.insert_or_touch(stored.select(*TRACKER), batch.select(*TRACKER), NOW).select("id", "link", "last_seen", "action")
 
 
-@query("u15_drop_empty_sources", needs="sources jobs", sql="select id, name from sources where id in (select source_id from jobs where posted_date < timestamp '1995-01-05')")
+@query("u15_drop_empty_sources", needs="sources jobs", sql="""
+with s as (select id, name from sources union all select id + 1000, 'idle ' || name from sources)
+select id, name from s where id in (select source_id from jobs)
+""")
 def u15(spark, folder):
-    some = jobs(spark, folder).filter("posted_date < timestamp '1995-01-05'")
-    return lifecycle.drop_empty_sources(sources(spark, folder), some).select("id", "name")
+    """Every source and an idle one beside it, which has no jobs."""
+    rows = sources(spark, folder).select("id", "name")
+    idle = rows.select((F.col("id") + 1000).alias("id"), F.concat(F.lit("idle "), "name").alias("name"))
+    return lifecycle.drop_empty_sources(rows.unionByName(idle), jobs(spark, folder)).select("id", "name")
 
 
 @query("u16_switch_companies", needs="companies", sql="select id, active and not github_verified as active from companies")

@@ -194,21 +194,22 @@ LIST_COLUMNS = {"status": "case when id % 9 = 0 then 'REJECTED' else 'NEW' end",
 @query("p3_master_update", needs="docs", sql="""
 with rows as (select id, source_id, key_id, title, description, lang as company, case when id % 9 = 0 then 'REJECTED' else 'NEW' end as status,
   cast(date '2001-01-01' + cast(id * 37 % 300 as int) as timestamp) as post_date from docs),
-kept as (select * from rows where status = 'NEW' and post_date >= timestamp '2001-02-01'),
+kept as (select * from rows where status = 'NEW' and post_date >= timestamp '2001-02-01' and id % 10 <> 7),
 hits as (""" + TFIDF_SQL.format(
-    clean="select id, source_id, description as text from kept", new=NEW_DOCS, least=0, stop="''", grams="ws",
+    clean="select id, source_id, description as text from kept where not (source_id % 4 = 0 and id % 14 = 8)", new=NEW_DOCS, least=0, stop="''", grams="ws",
     corpus="select * from e union all select * from n", fitted="true", top="", threshold=0.75).strip() + """),
 offer as (select * from (select h.original_id, k.*, row_number() over (partition by h.original_id order by k.post_date desc, k.id desc) as rn from hits h join kept k on h.duplicate_id = k.id) where rn = 1)
 select m.id, case when o.post_date >= m.post_date then o.key_id else m.key_id end as key_id, m.title, greatest(m.post_date, coalesce(o.post_date, m.post_date)) as post_date,
   coalesce(o.post_date >= m.post_date, false) as updated from kept m left join offer o on m.id = o.original_id where m.source_id % 4 <> 0
-union all select id, key_id, title, post_date, false from kept where source_id % 4 = 0 and id not in (select duplicate_id from hits)
+union all select id, key_id, title, post_date, false from kept where source_id % 4 = 0 and id % 14 <> 8 and id not in (select duplicate_id from hits)
 """)
 def p3(spark, folder):
     rows = docs(spark, folder).select(
         "id", "source_id", "key_id", "title", "description", F.expr(LIST_COLUMNS["company"]).alias("company"), F.expr(LIST_COLUMNS["status"]).alias("status"),
         F.expr(LIST_COLUMNS["remoteness"]).alias("remoteness"),
         F.expr("cast(date_add(date '2001-01-01', cast(id * 37 % 300 as int)) as timestamp)").alias("post_date"))
-    blocked = rows.filter("id < 0").select("key_id", "title", "status")
+    blocked = rows.filter("id % 10 = 7").select("key_id", "title", "status")
+    known = rows.filter(f"{NEW_DOCS} and id % 14 = 8").select("key_id")
     new_list, _, _ = update_master(rows.filter(f"not ({NEW_DOCS})").drop("source_id"), rows.filter(NEW_DOCS).drop("source_id"), blocked,
-                                blocked.select("key_id"), oldest=datetime(2001, 2, 1))
+                                known, oldest=datetime(2001, 2, 1))
     return new_list.select("id", "key_id", "title", "post_date", "updated")

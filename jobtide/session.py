@@ -37,6 +37,10 @@ def local_session(cores: str = "8", **extra: str) -> SparkSession:
     return spark
 
 
+def _local(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
 
@@ -44,8 +48,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        master = spark.sparkContext.master
-        if not (master == "local" or master.startswith("local[")):
+        if not _local(spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="jobtide-")
         spark.conf.set("spark.checkpoint.dir", folder)
@@ -58,13 +61,13 @@ def work_path(spark: SparkSession, name: str) -> str:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Share the rows of a table of few files among the cores.
+    """Share the rows of a table among the cores of a session in one local process.
 
-    Meant for tables that costly row rules follow. A table of many files is read by
-    many tasks anyway and passes unchanged.
+    Meant for the small tables of tests and benches, which are one file each, before costly row rules. A cluster reads its
+    tables as they are.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    context = df.sparkSession.sparkContext
+    return df.repartition(context.defaultParallelism) if _local(context.master) else df
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
