@@ -1,7 +1,7 @@
 """Keyed reductions: first, last and best rows, ids, and change detection.
 
-Reductions use `min_by`/`max_by`, which combine on the map side, so a key that
-holds a large share of the rows reaches its reducer as a few partial rows.
+The first row per key is a row number of one, which Spark cuts before the shuffle as well as after it
+(a window group limit), so a key that holds a large share of the rows reaches its reducer as one row of each task.
 """
 
 from __future__ import annotations
@@ -18,16 +18,19 @@ def _order(columns: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in columns])
 
 
+def _keep(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_place", place).filter("_place = 1").drop("_place")
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key, the first in `order`."""
-    row = F.min_by(F.struct(*[F.col(c) for c in df.columns]), _order(order)).alias("_row")
-    return df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(row).select("_row.*")
+    """One row per key, the first in `order`; a missing value comes first."""
+    return _keep(df, keys, [F.col(c).asc() for c in order])
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key, the last in `order`."""
-    row = F.max_by(F.struct(*[F.col(c) for c in df.columns]), _order(order)).alias("_row")
-    return df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(row).select("_row.*")
+    """One row per key, the last in `order`; a missing value comes first."""
+    return _keep(df, keys, [F.col(c).desc() for c in order])
 
 
 def best_match(scores: DataFrame, query: str, candidate: str, score: str) -> DataFrame:

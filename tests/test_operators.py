@@ -250,3 +250,12 @@ def test_sitemap_default_date(spark):
     companies = spark.createDataFrame([("a",), ("b",)], "alias string")
     vacancies = spark.createDataFrame([("a", date(2024, 3, 1))], "alias string, date date")
     assert rows(sinks.sitemap_rows(companies, vacancies, "h", "go"), "lastmod") == [("2024-03-01",), ("2025-01-01",)]
+
+
+def test_first_per_key_is_cut_before_the_shuffle(spark):
+    df = spark.createDataFrame([(None, None, "a"), (None, 1, "b"), (1, 2, "c"), (1, None, "d"), (2, 5, "e")], "k int, o int, v string")
+    first, last = keyed.keep_first(df, ["k"], ["o"]), keyed.keep_last(df, ["k"], ["o"])
+    assert sorted(r.v for r in first.collect()) == ["a", "d", "e"]
+    assert sorted(r.v for r in last.collect()) == ["b", "c", "e"]
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "Partial" in plan and "WindowGroupLimit" in plan and "SortAggregate" not in plan
