@@ -10,6 +10,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
+from .blocks import release
+
 DEFAULT_TOKENIZER = "word_bpe_49k.json"
 
 
@@ -62,7 +64,7 @@ class Encoder:
     a combining accent are not lower-cased here, as their case matters. Tests compare with whole texts.
     """
 
-    def __init__(self, path: str, memory: int = 1_500_000) -> None:
+    def __init__(self, path: str, memory: int = 700_000) -> None:
         from tokenizers import Tokenizer
 
         if not os.path.isabs(path):
@@ -117,6 +119,7 @@ class Encoder:
         """The ids of each text as little-endian 32-bit numbers."""
         if len(self.known) > self.memory:
             self.known.clear()
+            release()
         split = [(t if any(x in t for x in self.cased) else t.lower()).split() for t in texts]
         find = self.known.__getitem__
         got = [list(map(find, words)) for words in split]
