@@ -5,6 +5,8 @@ Everything here is a DataFrame or SQL expression.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,11 +61,8 @@ RULES = [
 ]
 #: A known sentence holds at least one of these words, so texts without any are done at once.
 TRIGGERS = "licen[sc]e|permission|warranty|redistribut|copyright|rights|released"
-_CUT = chr(30)
-
-
-def normalised(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+#: Cuts after a mark, at an empty line, and before a line that looks like a new sentence but may be a wrapped one.
+_CUT, _EMPTY, _LINE = chr(30), chr(29), chr(31)
 
 
 def _plain(sentence: str) -> str:
@@ -71,16 +70,30 @@ def _plain(sentence: str) -> str:
 
 
 def known_sentences() -> dict[str, str]:
-    """Normalised sentence to identifier. A published sentence that the cutting splits is known by its pieces' first."""
+    """Normalised sentence to identifier."""
     return {_plain(s): name for name, texts in SENTENCES.items() for s in texts}
 
 
-def sentences(text: Column) -> Column:
-    """Pieces cut after a mark and a blank, at empty lines, and before a line that starts with a capital, a digit or a bullet."""
-    cut = F.regexp_replace(text, "([.!?;:])[ \t\r\n]+", f"$1{_CUT}")
-    cut = F.regexp_replace(cut, "\n[ \t\r]*\n[ \t\r\n]*", _CUT)
-    cut = F.regexp_replace(cut, "\n([A-Z0-9(*-])", f"{_CUT}$1")
-    return F.split(cut, _CUT)
+def cut(text: Column) -> Column:
+    """The normalised text with its cuts: after a mark and a blank, at empty lines, and before a line that starts with a capital, a digit or a bullet."""
+    out = F.translate(text, _EMPTY + _LINE, "__")
+    out = F.regexp_replace(out, "([.!?;:])[ \t\r\n]+", f"$1{_CUT}")
+    out = F.regexp_replace(out, "\n[ \t\r]*\n[ \t\r\n]*", _EMPTY)
+    out = F.regexp_replace(out, "\n([A-Z0-9(*-])", f"{_LINE}$1")
+    out = F.regexp_replace(F.lower(out), f"[^a-z0-9{_EMPTY}{_CUT}{_LINE}]+", " ")
+    return F.trim(F.regexp_replace(out, f" ?([{_EMPTY}{_CUT}{_LINE}]) ?", "$1"))
+
+
+def _sentence_pattern(sentence: str) -> str:
+    """A published sentence in a cut text: its own marks may cut it, and it may be wrapped before any word."""
+    pieces = re.split("(?<=[.!?;:])[ \t\r\n]+", sentence)
+    return f"[ {_CUT}{_LINE}]".join(_plain(piece).replace(" ", f"[ {_LINE}]") for piece in pieces)
+
+
+def known_pattern() -> str:
+    """Any known sentence between two cuts, the longest first."""
+    texts = sorted((s for texts in SENTENCES.values() for s in texts), key=lambda s: -len(_plain(s)))
+    return f"(?<![a-z0-9 ])(?:{'|'.join(map(_sentence_pattern, texts))})(?![a-z0-9 ])"
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -92,8 +105,9 @@ def scan(docs: DataFrame) -> DataFrame:
     known = known_sentences()
     table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
     text = F.coalesce("text", F.lit(""))
-    names = F.transform(sentences(text), lambda s: F.element_at(table, normalised(s)))
-    ids = F.when(F.lower(text).rlike(TRIGGERS), F.filter(names, lambda x: x.isNotNull())).otherwise(F.expr("cast(array() as array<string>)"))
+    hits = F.regexp_extract_all(cut(text), F.lit(known_pattern()), F.lit(0))
+    names = F.transform(hits, lambda s: F.element_at(table, F.translate(s, _CUT + _LINE, "  ")))
+    ids = F.when(F.lower(text).rlike(TRIGGERS), names).otherwise(F.expr("cast(array() as array<string>)"))
     rows = docs.select("doc_id", ids.alias("ids")).select("doc_id", F.array_join("ids", ",").alias("sentence_ids"))
     line = F.concat(F.lit(","), F.col("sentence_ids"), F.lit(","))
     licences = F.array_distinct(F.filter(F.array(*[F.when(line.rlike(_pattern(sequence)), F.lit(name)) for name, _, sequence in RULES]), lambda x: x.isNotNull()))
@@ -105,7 +119,7 @@ def _pattern(sequence: list[str]) -> str:
 
 
 def sql_twin() -> str:
-    """The scan as DuckDB SQL."""
+    """The scan as DuckDB SQL, without sentences that a mark inside them or a wrapped line cuts."""
     quoted = lambda s: "'" + s.replace("'", "''") + "'"
     known = known_sentences()
     texts, names = ("[" + ", ".join(map(quoted, x)) + "]" for x in (known, known.values()))

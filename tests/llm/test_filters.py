@@ -176,6 +176,35 @@ def test_licences(spark, docs, rows, no_docs):
     assert licenses.scan(docs).count() == len(rows) and licenses.scan(no_docs).count() == 0
 
 
+def wrapped(text, width, start=""):
+    lines, line = [], ""
+    for word in text.split():
+        if line and len(line) + len(word) >= width:
+            lines, line = [*lines, line], word
+        else:
+            line = f"{line} {word}".strip()
+    return "\n".join(start + x for x in [*lines, line])
+
+
+def test_every_licence_sentence_and_rule_plain_and_wrapped(spark):
+    shapes = [lambda s: s, lambda s: wrapped(s, 1), lambda s: wrapped(s, 30), lambda s: wrapped(s, 72), lambda s: wrapped(s, 72).replace("\n", "\r\n"),
+              lambda s: wrapped(s, 60, "// "), lambda s: wrapped(s, 60, " * "), lambda s: wrapped(s, 60, "-- "), lambda s: f"Some words\n\n{wrapped(s, 50)}\n\nand more."]
+    cases = [(shape(s), name) for name, texts in licenses.SENTENCES.items() if name not in ("apache2-use", "apache2-copy") for s in texts for shape in shapes]
+    cases += [(shape(" ".join(licenses.SENTENCES[i][-1] for i in sequence)), ",".join(sequence)) for _, _, sequence in licenses.RULES for shape in shapes]
+    got = licenses.scan(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")).collect()
+    found = {r["doc_id"]: r for r in got}
+    assert [(t, found[i]["sentence_ids"]) for i, (t, _) in enumerate(cases)] == cases
+    rules = {",".join(sequence): name for name, _, sequence in reversed(licenses.RULES)}
+    assert all(found[i]["licences"].split(",")[0] == rules[ids] for i, (_, ids) in enumerate(cases) if ids in rules)
+
+
+def test_licence_sentences_end_at_cuts(spark):
+    texts = ["Licensed under the. MIT License.", "Not Licensed under the MIT License.", "Licensed under the\n\nMIT License.", "Licensed under the MIT License. v 2",
+             "All\nRights reserved\nReleased under the MIT License", "Licensed\x1funder the MIT License.\x1dx", "x\x1eAll rights reserved\x1ey"]
+    got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r["sentence_ids"] for r in got] == ["", "", "", "mit-ref", "rights,mit-ref", "", "rights"]
+
+
 def test_known_sentences_hold_a_trigger():
     assert all(re.search(licenses.TRIGGERS, s.lower()) for name, texts in licenses.SENTENCES.items() for s in texts if name not in ("apache2-use", "apache2-copy")) and set(
         i for _, _, sequence in licenses.RULES for i in sequence) <= set(licenses.SENTENCES)
