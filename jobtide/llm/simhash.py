@@ -140,30 +140,7 @@ def _variant_links(prints: DataFrame, distance: int) -> DataFrame:
         yield _rows(none, none, none)
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending: list[tuple[np.ndarray, np.ndarray]] = []
-        for keys, values, long in _groups(batches):
-            if long:
-                if pending and pending[-1][0][-1] != keys[0]:
-                    yield from _dense(np.concatenate([p[1] for p in pending]), pending[0][0][0], distance)
-                    pending = []
-                pending.append((keys, values))
-                continue
-            if pending:
-                yield from _dense(np.concatenate([p[1] for p in pending]), pending[0][0][0], distance)
-                pending = []
-            if not len(keys):
-                continue
-            sizes = np.bincount(ranks := np.cumsum(np.concatenate(([0], keys[1:] != keys[:-1]))))
-            few = (sizes <= SMALL)[ranks]
-            for a, b, _ in _pairs_by_shift(keys[few], values[few]):
-                ok = _near(a, b, distance)
-                if ok.any():
-                    yield _rows(a[ok], b[ok], np.zeros(int(ok.sum()), np.uint64))
-            for rank in np.flatnonzero(sizes > SMALL):
-                lo, hi = np.searchsorted(ranks, [rank, rank + 1])
-                yield from _dense(values[lo:hi], keys[lo], distance)
-        if pending:
-            yield from _dense(np.concatenate([p[1] for p in pending]), pending[0][0][0], distance)
+        return _deep_links(batches, distance)
 
     schema = "a long, b long, deep long"
     keys = prints.select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(63)), lambda v: F.struct(
@@ -176,6 +153,34 @@ def _variant_links(prints: DataFrame, distance: int) -> DataFrame:
     return level.filter("deep = 0").union(more).select("a", "b")
 
 
+def _deep_links(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
+    """Links inside second-level keys, from rows sorted by key; a crowded key may end with its batch."""
+    pending: list[tuple[np.ndarray, np.ndarray]] = []
+    for keys, values, long in _groups(batches):
+        if not len(keys):
+            continue
+        if long:
+            if pending and pending[-1][0][-1] != keys[0]:
+                yield from _dense(np.concatenate([p[1] for p in pending]), pending[0][0][0], distance)
+                pending = []
+            pending.append((keys, values))
+            continue
+        if pending:
+            yield from _dense(np.concatenate([p[1] for p in pending]), pending[0][0][0], distance)
+            pending = []
+        sizes = np.bincount(ranks := np.cumsum(np.concatenate(([0], keys[1:] != keys[:-1]))))
+        few = (sizes <= SMALL)[ranks]
+        for a, b, _ in _pairs_by_shift(keys[few], values[few]):
+            ok = _near(a, b, distance)
+            if ok.any():
+                yield _rows(a[ok], b[ok], np.zeros(int(ok.sum()), np.uint64))
+        for rank in np.flatnonzero(sizes > SMALL):
+            lo, hi = np.searchsorted(ranks, [rank, rank + 1])
+            yield from _dense(values[lo:hi], keys[lo], distance)
+    if pending:
+        yield from _dense(np.concatenate([p[1] for p in pending]), pending[0][0][0], distance)
+
+
 def _dense(values: np.ndarray, key: np.uint64, distance: int) -> Iterator[pa.RecordBatch]:
     """Links inside a second-level key: the bits its fingerprints can differ in are few, so every difference is tried."""
     values = np.unique(values)

@@ -105,6 +105,17 @@ def test_runs_longer_than_a_batch():
     assert seen == list(zip(keys.tolist(), prints.tolist()))
 
 
+def test_crowded_keys_that_end_with_a_batch():
+    for sizes in ([200, 150, 3], [200, 200, 200], [5, 395, 2], [150]):
+        keys = np.repeat(np.arange(1, len(sizes) + 1), sizes)
+        prints = np.concatenate([np.arange(n) for n in sizes])
+        for rows in (50, 150, 200, 400):
+            batches = [pa.RecordBatch.from_arrays([pa.array(keys[i : i + rows]), pa.array(prints[i : i + rows])], names=["key", "f"]) for i in range(0, len(keys), rows)]
+            links = {(a, b) for batch in simhash._deep_links(iter(batches), 2) for a, b in zip(batch["a"].to_pylist(), batch["b"].to_pylist())}
+            near = {(a, b) for n in sizes for a in range(n) for b in range(a + 1, n) if (a ^ b).bit_count() <= 2}
+            assert {(min(x), max(x)) for x in links} == near
+
+
 def test_components_of_chains_and_hubs(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(-5, 300), (300, -9), (300, 300)]
     got = {r[0]: r[1] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
