@@ -20,7 +20,7 @@ from .words import Hasher, mix, text_bytes
 ORDER, PRIOR = 2, 8.0
 END = np.uint64(0x5851F42D4C957F2D)  # the end mark, beside all word hashes
 BLOCK_BYTES = 8 << 20
-STEPS, LACKING = 36.0, 255  # steps of a quantised log10 probability (one byte: to 1e-7), and the code of what a trie lacks
+STEPS, LACKING = 36.0, 65535  # steps of a quantised log10 probability (two bytes: below any count's share), and the code of what a trie lacks
 SUCCESSOR_BITS = 40
 ADD = 0.1
 
@@ -62,7 +62,7 @@ class Level:
 
     def find(self, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
         """The code of each pair, `LACKING` where the trie lacks it. Neighbours of equal context share its search."""
-        out = np.full(len(contexts), LACKING, np.uint8)
+        out = np.full(len(contexts), LACKING, np.uint16)
         if not len(contexts) or not self.contexts.n:
             return out
         new = np.concatenate(([True], contexts[1:] != contexts[:-1]))
@@ -82,7 +82,7 @@ class Level:
 
 
 def quantised(p: np.ndarray) -> np.ndarray:
-    return np.minimum(np.rint(-np.log10(p) * STEPS), LACKING - 1).astype(np.uint8)
+    return np.minimum(np.rint(-np.log10(p) * STEPS), LACKING - 1).astype(np.uint16)
 
 
 def unquantised(codes: np.ndarray) -> np.ndarray:
@@ -257,7 +257,7 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, prior: float =
             grams, codes, extra, inner = _gram_keys(tokens, level), {}, {}, {}
             for bucket, reply in chain.items():
                 n = int(np.frombuffer(reply, "<u4", 1)[0])
-                codes[bucket], end = _read_planes(reply, "u1", n, 4)
+                codes[bucket], end = _read_planes(reply, "<u2", n, 4)
                 if level < order:
                     extra[bucket], end = _read_planes(reply, "<i8", n, end)
                 inner.update(_unchain(reply[end:]))
@@ -271,7 +271,7 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, prior: float =
         for level, (grams, codes, extra) in zip(range(2, upto + 1), reversed(layers), strict=True):
             at, context, word, pairs, back = grams
             c_context = _context_counts(tokens, c_gram, at, total_ends)
-            code, full = np.full(len(pairs[0]), LACKING, np.uint8), np.zeros(len(pairs[0]), np.int64)
+            code, full = np.full(len(pairs[0]), LACKING, np.uint16), np.zeros(len(pairs[0]), np.int64)
             for bucket, places in _gram_buckets(pairs, _first(c_context, back, len(pairs[0]))):
                 code[places] = codes[bucket]
                 if bucket in extra:

@@ -62,6 +62,16 @@ def test_scores(docs, rows, order, block_bytes):
         assert g[6] == pytest.approx(e[6], rel=0.02)  # quantised
 
 
+def test_rare_words_after_a_hot_context():
+    counts = np.array([1, 2, 3, 50, 10**5, 10**8, 0], np.int64)
+    for seen in (10**8, 25 * 10**7, 10**12):
+        contexts, words = np.full(len(counts), 7, np.uint64), np.arange(len(counts), dtype=np.uint64)
+        reply = ngrams._trie(8.0, False)([ngrams._pack_grams(contexts, words, counts, np.full(len(counts), seen), b"")])[0]
+        codes = ngrams._read_planes(reply, "<u2", len(counts), 4)[0]
+        assert codes[-1] == ngrams.LACKING
+        assert ngrams.unquantised(codes[:-1]) == pytest.approx(counts[:-1] / (seen + 8.0), rel=0.04)
+
+
 def test_empty_and_untrained(no_docs, docs):
     assert ngrams.score(no_docs, F.lit(False)).collect() == []
     got = ngrams.score(docs, F.lit(True)).collect()
