@@ -17,7 +17,7 @@ from . import blocks
 from .eliasfano import EliasFano
 from .words import Hasher, mix, text_bytes
 
-ORDER, PRIOR = 2, 8.0
+ORDER, PRIOR = 3, 8.0
 END = np.uint64(0x5851F42D4C957F2D)  # the end mark, beside all word hashes
 BLOCK_BYTES = 8 << 20
 STEPS, LACKING = 36.0, 65535  # steps of a quantised log10 probability (two bytes: below any count's share), and the code of what a trie lacks

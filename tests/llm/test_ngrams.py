@@ -72,6 +72,13 @@ def test_rare_words_after_a_hot_context():
         assert ngrams.unquantised(codes[:-1]) == pytest.approx(counts[:-1] / (seen + 8.0), rel=0.04)
 
 
+def test_production_scores_two_words_of_context(docs, rows):
+    use = [(r[0], r[1], False) for r in rows]
+    got = sorted((str(r[0]), *r[2:]) for r in ngrams.score(docs, F.lit(False)).collect())
+    for g, e in zip(got, sorted((str(r[0]), *b) for r, b in zip(rows, brute(use, 3, 8.0)))):
+        assert g[:4] == e[:4] and g[5] == pytest.approx(e[5], rel=0.02)
+
+
 def test_empty_and_untrained(no_docs, docs):
     assert ngrams.score(no_docs, F.lit(False)).collect() == []
     got = ngrams.score(docs, F.lit(True)).collect()
