@@ -7,6 +7,7 @@ first, so that gaps and inserted characters leave most of the subsequences in pl
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -44,13 +45,45 @@ def _alphabet() -> tuple[bytes, bytes]:
     return bytes(table), bytes(drop)
 
 
+class _Letters(dict):
+    """What a character is read as: letters a-z where its parts or its name hold them, else one or two of the kernel's 31 codes; marks are dropped."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        if code < 256 and not c.isalpha():
+            table, drop = _alphabet()
+            self[code] = "" if code in drop else chr(table[code])
+        else:
+            self[code] = " " if c.isspace() else "".join(map(_letter, unicodedata.normalize("NFKD", c).lower()))
+        return self[code]
+
+
+def _letter(c: str) -> str:
+    if "a" <= c <= "z" or c in _LOOK_ALIKE:
+        return _LOOK_ALIKE.get(c, c)
+    kind, name, code = unicodedata.category(c), unicodedata.name(c, ""), ord(c)
+    sign = kind in ("Mc", "Mn") and not unicodedata.combining(c) and "VARIATION" not in name and "JOINER" not in name  # vowel signs
+    if kind[0] != "L" and not sign:
+        return ""
+    latin = re.match(r"LATIN SMALL (?:LETTER|LIGATURE) (?:DOTLESS )?([A-Z]{1,2})(?: WITH .*)?$", name)
+    if c == "ß" or latin:
+        return "s" if c == "ß" else latin[1].lower()
+    return ("" if code < 0x2E80 else chr(96 + code // 31 % 31)) + chr(96 + code % 31)
+
+
+_LETTERS = _Letters()
+
+
+def _plain(texts: list[bytes]) -> list[bytes]:
+    table, drop = _alphabet()
+    return [t.translate(table, drop) if t.isascii() else t.decode("utf-8", "replace").translate(_LETTERS).encode("ascii") for t in texts]
+
+
 class Words:
     """The different words of some texts as letters, and which text has which."""
 
     def __init__(self, texts: list[bytes]) -> None:
-        table, drop = _alphabet()
-        plain = [t.decode("utf-8", "replace").encode("latin-1", "replace").translate(table, drop) for t in texts]
-        data, starts, ends, hashes, first = Hasher().documents(plain)
+        data, starts, ends, hashes, first = Hasher().documents(_plain(texts))
         owner = np.repeat(np.arange(len(texts)), np.diff(first))
         _, pick, where = np.unique(hashes, return_index=True, return_inverse=True)
         raw = np.frombuffer(data, np.uint8)

@@ -104,6 +104,27 @@ def test_toxicity_learns_and_tolerates_gaps(spark, docs, no_docs):
     assert toxicity.train(no_docs, labels.limit(0), F.lit(True)).scores([b"x"])[0] < 0.5
 
 
+@pytest.mark.parametrize(("insult", "odd", "clean"), [
+    ("придурок", ["Придурок!", "п р и д у р о к", "при.дурок"], "слово погода работа город деньги книга"), ("żółćłeb", ["ŻÓŁĆŁEB", "ż.ó.ł.ć.ł.e.b", "zolcleb"], "łąka świat ręka człowiek morze šum"),
+    ("βλακας", ["ΒΛΑΚΑΣ", "βλά-κας"], "θαλασσα ημερα δρομος βιβλιο"), ("حمارغبي", ["حمار-غبي"], "كتاب مدينة شارع عمل"), ("笨蛋傻瓜", ["笨蛋傻瓜"], "天气 很好 城市 工作 朋友")])
+def test_toxic_words_of_other_scripts(insult, odd, clean):
+    rng = random.Random(3)
+    rows = []
+    for i in range(400):
+        words = [rng.choice(clean.split()) for _ in range(rng.randint(3, 12))]
+        if i % 4 == 0:
+            words.insert(rng.randrange(len(words)), insult)
+        rows.append((" ".join([*words, f"t{rng.choice('bcdfg')}x"]).encode(), i % 4 == 0))
+    model = toxicity.fit([t for t, _ in rows], np.array([x for _, x in rows]))
+    assert (model.scores([x.encode() for x in [insult, *odd]]) >= 0.5).all()
+    assert (model.scores([x.encode() for x in [clean, "", "🙂️"]]) < 0.5).all()
+
+
+def test_letters_of_words():
+    texts = ["Łódź œuvre ﬁn ｆｕｌｌ šum é ß m0ron", "a\u00a0b\u3000c ½ ´ 🙂️ \u200d", "plain T3xt!"]
+    assert toxicity._plain([t.encode() for t in texts]) == [b"lodz oeuvre fin full sum e s moron", b"a b c    ", b"plain text"]
+
+
 def test_margins_follow_the_kernel():
     words = [b"moron", b"ab", b"clownface", b"x" * 40]
     letters, sizes = np.frombuffer(b"".join(words), np.uint8), np.array([len(w) for w in words])
