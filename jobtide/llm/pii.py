@@ -19,7 +19,11 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _OCTET = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 PARTS = rf"^(?:{_OCTET}\.){{3}}{_OCTET}$".replace("0*+", "0*")
-TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+#: Candidates: tokens with a digit, an at sign in one of its forms or hex groups, and runs of digit groups with blanks.
+MARK = r"[0-9@]|[(\[](?i:at)[)\]]|:[0-9A-Fa-f]{0,4}:"
+TOKEN = rf"(?<!\S)(?:(?!{MARK})\S)*+(?:{MARK})\S*+"
+GROUPS = r"(?<![\p{L}\p{N}+@._:/()-])[+(]?[0-9](?:[\x20().-]{0,2}[0-9])++(?![\p{L}\p{N}@])"
+SPACED = r"[0-9][().-]?\x20[\x20().-]?[0-9]|[0-9][)]?\x20[\x20(]?[0-9]"
 #: What an unseen identifier of each kind must look like.
 SHAPES = [r"^[^@\s]+(?:@|\(at\)|\[at\])[^@\s]+$", r"^(?:[0-9]+[.:_-]){3}[0-9]+$|^[0-9a-f]{0,4}(?::[0-9a-f]{0,4}){3,7}$",
           r"^(?:[0-9][ -]?){12,19}$", r"^[+(]?(?:[0-9][ ().-]{0,2}){6,14}[0-9]$"]
@@ -102,10 +106,15 @@ def _found(docs: DataFrame) -> DataFrame:
         start = x["s"] + F.length(x["t"]) - F.length(head)
         return F.struct(start.alias("s"), (start + F.length(body)).alias("e"), body.alias("t"))
 
-    tokens = F.when(F.col("text").rlike("[0-9@]"), _spans(F.col("text"), TOKEN)).otherwise(_none())
-    loose = F.filter(tokens, lambda x: ~F.exists("base", lambda b: (b["s"] < x["e"]) & (b["e"] > x["s"])))
-    loose = F.filter(F.transform(loose, core), lambda x: x["e"] > x["s"])
-    rows = rows.select("doc_id", F.xxhash64("text").alias("hash"), "text", "base", loose.alias("loose"))
+    tokens = F.when(F.col("text").rlike(MARK), _spans(F.col("text"), TOKEN)).otherwise(_none())
+    free = lambda x: ~F.exists("base", lambda b: (b["s"] < x["e"]) & (b["e"] > x["s"]))
+    fits = lambda x: F.lower(x["t"]).rlike("|".join(SHAPES))
+    runs = F.when(F.col("text").rlike(SPACED), F.filter(_spans(F.col("text"), GROUPS), lambda x: x["t"].contains(" ") & fits(x) & free(x))).otherwise(_none())
+    loose = F.filter(F.transform(F.filter(tokens, free), core), lambda x: x["e"] > x["s"])
+    rows = rows.select("doc_id", F.xxhash64("text").alias("hash"), "text", "base", loose.alias("loose"), runs.alias("runs"))
+    # Pieces of a run that fit no kind by themselves are no candidates beside it.
+    whole = F.filter("loose", lambda x: ~F.exists("runs", lambda r: (r["s"] <= x["s"]) & (r["e"] >= x["e"])) | fits(x))
+    rows = rows.select("doc_id", "hash", "text", "base", F.concat(whole, "runs").alias("loose"))
     items = F.concat(F.transform("base", lambda b: item(b["k"], b["t"], b["s"], b["e"])),
                      F.transform("loose", lambda x: item(F.lit(-1), x["t"], x["s"], x["e"])))
     return rows.select("doc_id", "hash", F.transform("base", lambda b: F.struct(b["k"].alias("k"), b["s"].alias("s"), b["e"].alias("e"))).alias("base"), items.alias("items"))

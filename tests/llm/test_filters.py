@@ -60,6 +60,20 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert all(got[i].startswith("phone:12:") for i in range(12))
 
 
+def test_contexts_discover_spaced_and_at_identifiers(spark):
+    seen = [f"please dial +1 255 555 {8000 + i} today ok" for i in range(12)] + [f"write to user{i}@mail.example.com for more" for i in range(12)]
+    seen += [f"host sits on 10.0.0.{i} behind nat" for i in range(12)]
+    fresh = {"please dial 0711 4447 199 today again": "phone:0711 4447 199", "write to jo.doe(at)mail.com for more": "email:jo.doe(at)mail.com",
+             "write to jo.roe[at]mail.com for more": "email:jo.roe[at]mail.com", "host sits on fe:ab:cd:ef:ad:be:ca:da behind nat": "ip:fe:ab:cd:ef:ad:be:ca:da",
+             "the 0711 4447 198 box": "", "please dial nothing today": ""}
+    rows = list(enumerate([*seen, *fresh]))
+    got = {r["doc_id"]: r["spans"] for r in pii.digest(pii.find(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    for i, text in rows[len(seen):]:
+        kind, _, found = fresh[text].partition(":")
+        start = text.index(found)
+        assert got[i] == (f"{kind}:{start}:{start + len(found)}" if found else ""), text
+
+
 def test_redaction(spark, docs, rows):
     texts = [(1, "mail a@b.cd or 1.2.3.4!"), (1, "mail a@b.cd or 1.2.3.4!"), (2, None), (None, "x +1 255 555 8013"), (4, "+1.2.3.4 5678 é a@b.cd🙂")]
     got = pii.redact(spark.createDataFrame([(*t, 0, "s") for t in texts], "doc_id long, text string, n_chars long, _spans string"))
