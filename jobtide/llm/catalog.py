@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalog import base
 from ..session import configure, kept
-from . import decontaminate, licenses, neighbours, ngrams, packing, pii, simhash, substring, tokens, toxicity
+from . import bpe, decontaminate, licenses, merkle, neighbours, ngrams, packing, periodic, pii, simhash, substring, tokens, toxicity
 
 QUERIES: dict[str, base.Query] = {}
 ORACLES: dict[str, str] = {}
@@ -93,6 +95,31 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's runs; a tenth of the texts are made to repeat."""
+    docs = table(spark, sf_dir, "documents")
+    return periodic.digest(periodic.find_runs(docs.select("doc_id", periodic.with_repeats(F.col("doc_id"), F.col("text")).alias("text"))))
+
+
+@query
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's ids, and the text that they give."""
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof, checked against a third of the documents in lower case."""
+    docs = table(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    found = merkle.checked(merkle.manifest(docs, F.col("lang"), F.col("doc_id"), merkle.leaf(*fields, F.col("text")),
+                                           F.when(remainder(3) == 0, merkle.leaf(*fields, lower))))
+    return found.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", "verified")
+
+
 ORACLES["op10_licenses"] = licenses.sql_twin()
 
 
