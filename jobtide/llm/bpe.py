@@ -23,6 +23,8 @@ from .blocks import release
 from .encode import DEFAULT_TOKENIZER, shared, slices
 from .words import text_bytes
 
+BLANK, CUT = 32, 10  # neither is a letter of a byte-level vocabulary
+
 
 def tokenizer_file(path: str) -> str:
     """The place of a tokenizer file; a bare name is one of the public files that are installed."""
@@ -33,15 +35,40 @@ def tokenizer_file(path: str) -> str:
     return public_tokenizers.path(path)
 
 
-def joined_pairs(tokens: Iterable[str], ending: str) -> set[str]:
-    """Every pair of neighbouring bytes inside a token, in the vocabulary's own byte letters; any other pair is a certain cut."""
-    return {a + b for token in tokens for a, b in pairwise(token.removesuffix(ending))}
+class Cuts:
+    """The certain cuts of a vocabulary, as a table of the byte pairs that stand side by side inside some token."""
+
+    def __init__(self, tokens: Iterable[str], ending: str) -> None:
+        pairs = {a + b for token in tokens for a, b in pairwise(token.removesuffix(ending))}
+        at = np.array([[ord(c) for c in p] for p in pairs], np.int64).reshape(-1, 2)
+        size = int(at.max(initial=BLANK)) + 1
+        self.joined = np.zeros((size, size), bool)
+        self.joined[at[:, 0], at[:, 1]] = True
+        self.joined[BLANK] = self.joined[:, BLANK] = True  # between words; nothing to cut
+
+    def fragments(self, words: list[str]) -> list[list[str]]:
+        """The parts of each word between its certain cuts; words are in the vocabulary's own byte letters."""
+        if not words:
+            return []
+        letters = np.frombuffer(" ".join(words).encode("utf-32-le"), "<u4")
+        cuts = np.flatnonzero(~self.joined[letters[:-1], letters[1:]]) + 1
+        marked = np.insert(letters, cuts, CUT).astype("<u4").tobytes().decode("utf-32-le")
+        return [w.split("\n") for w in marked.split(" ")]
+
+
+#: Texts whose characters are single, composed and known to be letters, digits or marks: their words can be told by a pattern.
+PLAIN = re.compile("[!-~¡-įıĲ-ɏ]+")
+#: The words of such a text in the way of `RULE`.
+PLAIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[0-9²³¹¼½¾]|(?:[^\s\w]|_)+")
+#: Fixed value: how the tokenizer files of this kind tell words apart; another rule is left to the library for every text.
+RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
-def fragments(word: str, joined: set[str]) -> list[str]:
-    """The parts of a word between its certain cuts."""
-    cuts = [i for i, (a, b) in enumerate(pairwise(word), 1) if a + b not in joined]
-    return [word[a:b] for a, b in pairwise([0, *cuts, len(word)])]
+def byte_letters() -> list[str]:
+    """The letter that byte-level vocabularies write for each byte: printable ones stand for themselves, the others follow U+0100."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in shown]
+    return [chr(b) if b in shown else chr(256 + rest.index(b)) for b in range(256)]
 
 
 class ForcedEncoder:
@@ -49,10 +76,10 @@ class ForcedEncoder:
 
     The file says how words are told apart and which merges there are; merging itself is the library's, on one fragment at a time.
     It must be of the kind that drops white space and marks the end of words. Up to `memory` chunks between blanks and as many
-    fragments are remembered; what is forgotten is encoded again.
+    words are remembered; what is forgotten is encoded again.
     """
 
-    def __init__(self, path: str, memory: int = 400_000) -> None:
+    def __init__(self, path: str, memory: int = 500_000) -> None:
         from tokenizers import Tokenizer
 
         whole = Tokenizer.from_file(tokenizer_file(path))
@@ -61,42 +88,56 @@ class ForcedEncoder:
         if not self.ending:
             raise ValueError("the tokenizer file must mark the end of words")
         self.normalise, self.split = whole.normalizer.normalize_str, whole.pre_tokenizer.pre_tokenize_str
+        self.patterned = RULE in json.dumps(rules["pre_tokenizer"], ensure_ascii=False).replace("\\\\", "\\")
+        self.letters = {b: c for b, c in enumerate(byte_letters())}
         self.special = {t.content.encode(): i for i, t in whole.get_added_tokens_decoder().items()}
         self.between = re.compile(b"(" + b"|".join(re.escape(x) for x in sorted(self.special, key=len, reverse=True)) + b")") if self.special else None
-        self.joined = joined_pairs(whole.get_vocab(with_added_tokens=False), self.ending)
+        self.cuts = Cuts(whole.get_vocab(with_added_tokens=False), self.ending)
         rules |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Split", "pattern": {"String": " "}, "behavior": "Removed", "invert": False}}
         self.last = Tokenizer.from_str(json.dumps(rules))  # fragments that end a word
         rules["model"]["end_of_word_suffix"] = None
         self.inner = Tokenizer.from_str(json.dumps(rules))
-        self.chunks: dict[bytes, bytes] = {}
-        self.known: dict[tuple[str, bool], bytes] = {}
-
-    def _merge(self, parts: list[tuple[str, bool]]) -> None:
-        """Encodes fragments that are not known yet, those that end a word apart from those inside."""
-        for ends, tokenizer in ((True, self.last), (False, self.inner)):
-            todo = [f for f, e in parts if e == ends]
-            for at in range(0, len(todo), 4_000):
-                some = todo[at : at + 4_000]
-                got = tokenizer.encode(" ".join(some), add_special_tokens=False)
-                cuts = 4 * np.searchsorted(np.array(got.word_ids, np.int64), np.arange(len(some) + 1))
-                raw = np.array(got.ids, "<u4").tobytes()
-                self.known.update(((f, ends), raw[a:b]) for f, (a, b) in zip(some, pairwise(cuts.tolist()), strict=True))
+        vocabulary = whole.get_vocab(with_added_tokens=False)
+        self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closing[[i for t, i in vocabulary.items() if t.endswith(self.ending)]] = True
+        self.chunks: dict[bytes, bytes] = {}  # ids of what stands between blanks
+        self.words: dict[str, bytes] = {}  # ids of words
+
+    def _merge(self, fragments: list[str], ends: bool) -> dict[str, bytes]:
+        """The ids of some fragments, all of which end a word or all of which are inside one."""
+        out = {}
+        for at in range(0, len(fragments), 4_000):
+            some = fragments[at : at + 4_000]
+            if ends:  # told apart by the tokens that end a word, without the cost of places
+                ids = np.array(self.last.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+                cuts = [0, *(4 * (np.flatnonzero(self.closing[ids]) + 1)).tolist()]
+            else:
+                got = self.inner.encode(" ".join(some), add_special_tokens=False)
+                ids = np.array(got.ids, "<u4")
+                cuts = (4 * np.searchsorted(np.array(got.word_ids, np.int64), np.arange(len(some) + 1))).tolist()
+            raw = ids.tobytes()
+            out.update((f, raw[a:b]) for f, (a, b) in zip(some, pairwise(cuts), strict=True))
+        return out
+
+    def _told(self, chunk: str) -> list[str]:
+        """The words of a text without blanks, in byte letters."""
+        if self.patterned and PLAIN.fullmatch(chunk):
+            words = PLAIN_WORDS.findall(chunk.lower())
+            return words if chunk.isascii() else [w.encode().decode("latin-1").translate(self.letters) for w in words]
+        return [w for w, _ in self.split(self.normalise(chunk))]
 
     def _learn(self, chunks: Iterable[bytes]) -> None:
-        if len(self.known) > self.memory:
-            self.known.clear()
+        if len(self.words) > self.memory:
+            self.words.clear()
             release()
-        parts, new = {}, {}
-        for chunk in chunks:
-            words = [w for w, _ in self.split(self.normalise(chunk.decode("utf-8", "replace")))]
-            parts[chunk] = [(f, at == n) for w in words for f, at, n in self._numbered(w)]
-            new.update((p, None) for p in parts[chunk] if p not in self.known)
-        self._merge(list(new))
-        self.chunks.update((chunk, b"".join([self.known[p] for p in found])) for chunk, found in parts.items())
-
-    def _numbered(self, word: str) -> list[tuple[str, int, int]]:
-        found = fragments(word, self.joined)
-        return [(f, at, len(found)) for at, f in enumerate(found, 1)]
+        told = [(chunk, self._told(chunk.decode("utf-8", "replace"))) for chunk in chunks]
+        new = list({w: None for _, words in told for w in words if w not in self.words})
+        parts = self.cuts.fragments(new)
+        last = self._merge(list({p[-1]: None for p in parts}), True)
+        inner = self._merge(list({f: None for p in parts for f in p[:-1]}), False)
+        self.words.update((w, last[p[0]] if len(p) == 1 else b"".join([inner[f] for f in p[:-1]]) + last[p[-1]]) for w, p in zip(new, parts, strict=True))
+        known = self.words
+        self.chunks.update((chunk, known[words[0]] if len(words) == 1 else b"".join([known[w] for w in words])) for chunk, words in told)
 
     def _plain(self, texts: list[bytes]) -> list[bytes]:
         """The ids of texts that hold no special token; ASCII blanks are cuts that change nothing around them."""

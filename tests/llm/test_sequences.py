@@ -122,9 +122,25 @@ ODD = ["A.b.", "don't. I'LL, 'say !'s ''s x", "Ünï., ὈΔΟΣ. Σ J̌ K", "
 
 
 def test_no_token_spans_a_cut(whole, forced):
-    for token in whole.get_vocab(with_added_tokens=False):
-        assert len(bpe.fragments(token.removesuffix("</w>"), forced.joined)) <= 1 or token == "</w>"
-    assert bpe.fragments("qzxj", forced.joined) == ["q", "zxj"]
+    tokens = [t.removesuffix("</w>") for t in whole.get_vocab(with_added_tokens=False)]
+    assert [p for p in forced.cuts.fragments([t for t in tokens if t]) if len(p) > 1] == []
+    assert forced.cuts.fragments(["qzxj", "a", "the"]) == [["q", "zxj"], ["a"], ["the"]] and forced.patterned
+
+
+def test_byte_letters(forced):
+    from tokenizers import pre_tokenizers
+
+    assert sorted(bpe.byte_letters()) == sorted(pre_tokenizers.ByteLevel.alphabet())
+    level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    for text in ("".join(map(chr, range(33, 127))), "é ĀɏΩ日🙂\x01\x7f\xad"):
+        assert "".join(bpe.byte_letters()[b] for b in text.encode()) == "".join(w for w, _ in level.pre_tokenize_str(text))
+
+
+def test_plain_words_are_told_as_the_file_says(forced):
+    every = [chr(c) for c in range(33, 592)]
+    texts = [a + b for a in every for b in ("x", "'s", "7", "_", "é", ".")] + [b + a for a in every for b in ("x", "'", "7", "_", "²")]
+    for text in texts:
+        assert forced._told(text) == [w for w, _ in forced.split(forced.normalise(text))]
 
 
 def test_fragments_give_the_ids_of_whole_texts(whole, forced, rows):
