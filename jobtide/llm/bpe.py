@@ -79,7 +79,7 @@ class ForcedEncoder:
     words are remembered; what is forgotten is encoded again.
     """
 
-    def __init__(self, path: str, memory: int = 500_000) -> None:
+    def __init__(self, path: str, memory: int = 250_000) -> None:
         from tokenizers import Tokenizer
 
         whole = Tokenizer.from_file(tokenizer_file(path))
@@ -166,7 +166,7 @@ def encode(docs: DataFrame, tokenizer: str = DEFAULT_TOKENIZER) -> DataFrame:
         encoder = shared(f"forced_{tokenizer}", lambda: ForcedEncoder(tokenizer))
         for batch in batches:
             texts = text_bytes(batch.column(1))
-            for part in slices(texts):
+            for part in slices(texts, 1 << 21):
                 ids = encoder.texts(texts[part])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(part.start, len(ids)), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
@@ -202,7 +202,7 @@ def decode(encoded: DataFrame, tokenizer: str = DEFAULT_TOKENIZER) -> DataFrame:
         decoder = shared(f"decoder_{tokenizer}", lambda: Decoder(tokenizer))
         for batch in batches:
             ids = [x or b"" for x in batch.column(2).to_pylist()]
-            for part in slices(ids):
+            for part in slices(ids, 1 << 21):
                 texts = [decoder.text(x) for x in ids[part]]
                 kept = [c.slice(part.start, len(texts)) for c in batch.columns]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string())], names=["doc_id", "n_tokens", "ids", "decoded"])
