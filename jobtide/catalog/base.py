@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.text import content_hash
-from ..session import configure, spread
+from ..session import configure, shared
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -147,11 +147,11 @@ def jobs(spark: SparkSession, folder: str) -> DataFrame:
 
 def heavy_jobs(spark: SparkSession, folder: str) -> DataFrame:
     """Jobs for queries that spend their time on each row."""
-    return _jobs_of(spread(table(spark, folder, "orders")), spark, folder)
+    return _jobs_of(shared(table(spark, folder, "orders")), spark, folder)
 
 
 def heavy_docs(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "documents")).selectExpr(*[f"{e} as {n}" for n, e in DOCS.items()])
+    return shared(table(spark, folder, "documents")).selectExpr(*[f"{e} as {n}" for n, e in DOCS.items()])
 
 
 def _jobs_of(orders: DataFrame, spark: SparkSession, folder: str) -> DataFrame:

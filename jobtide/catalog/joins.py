@@ -6,15 +6,16 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
+from ..functions import fixed
 from ..functions.text import normalize_url
 from ..operators import dedup, joins, similarity
 from ..operators.filters import with_source
+from ..plans.ingest import NEAR
 from . import base
 from .base import companies, docs, jobs, query, sources, table, vacancies, views
-from .texts import URL_BASE, URL_QUERY
+from .texts import URL_BASE, URL_QUERY, sql_list
 
-STOP_WORDS = ["the", "and", "of", "to", "in", "is", "that", "for", "with", "on", "as", "at", "by", "an", "be", "we"]
-STOP_SQL = ", ".join(f"'{w}'" for w in STOP_WORDS)
+STOP_SQL = sql_list(fixed.STOP_WORDS)
 
 
 @query("j1_jobs_with_source", needs="jobs sources", sql="""
@@ -114,6 +115,24 @@ def j10(spark, folder):
     return out.select(F.col("vacancy_id").alias("id"), "favorite", "monthly_views")
 
 
+# Near copies among job descriptions; equal texts count once.
+
+CLEAN_SQL = "replace(replace(replace(replace(regexp_replace(coalesce(description, ''), '<[^>]+>', ' ', 'g'), '&nbsp;', ' '), '&amp;', '&'), '&lt;', '<'), '&gt;', '>')"
+NEAR_JOBS_SQL = f"""
+near_e as (select text, min(id) as id, count(*) as copies from (select id, {CLEAN_SQL} as text from ({{existing}})) where length(text) > 50 group by 1),
+near_n as (select id, {CLEAN_SQL} as text from ({{new}})),
+near_texts as (select 'e' as side, text, copies from near_e union all select distinct 'n', text, 0 from near_n where length(text) >= 50),
+near_words as (select side, text, copies, list_filter(regexp_extract_all(strip_accents(lower(text)), '[\\p{{{{L}}}}\\p{{{{N}}}}_]{{{{2,}}}}'), lambda w: w not in ({sql_list(fixed.STOP_WORDS)})) as ws from near_texts),
+near_tf as (select side, text, copies, term, count(*) as tf from (select side, text, copies, unnest(ws || list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) as term from near_words) group by all),
+near_total as (select sum(copies) as n from near_e),
+near_vocab as (select term, sum(copies) as df, sum(tf * copies) as uses from near_tf where side = 'e' group by 1 order by uses desc, term limit 5000),
+near_raw as (select side, text, t.term, tf * (ln((1 + n) / (1 + df)) + 1) as x from near_tf t join near_vocab v on t.term = v.term, near_total),
+near_vec as (select side, text, term, x / sqrt(sum(x * x) over (partition by side, text)) as w from near_raw),
+near_hits as (select a.text, round(sum(a.w * b.w), 9) as s from near_vec a join near_vec b on a.term = b.term and a.side = 'n' and b.side = 'e' group by a.text, b.text),
+near as (select id as duplicate_id from near_n where text in (select text from near_hits where s >= 0.75) and (select n from near_total) >= 25)
+"""
+
+
 # Duplicates. New rows: the later half of the jobs by date.
 
 SPLIT = datetime(1998, 1, 1)
@@ -139,13 +158,14 @@ def d4(spark, folder):
 
 @query("d5_unique_rows", needs="jobs", sql=f"""
 with n as (select *, {URL_BASE} || '?' || {URL_QUERY} as u from jobs where posted_date >= timestamp '1998-01-01'),
-e as (select *, {URL_BASE} || '?' || {URL_QUERY} as u from jobs where posted_date < timestamp '1998-01-01')
-select id, title from n where content_hash not in (select content_hash from e) and (source_id, external_id) not in (select source_id, external_id from e)
-  and u not in (select u from e)
+e as (select *, {URL_BASE} || '?' || {URL_QUERY} as u from jobs where posted_date < timestamp '1998-01-01'),
+r as (select * from n where content_hash not in (select content_hash from e) and (source_id, external_id) not in (select source_id, external_id from e)
+  and u not in (select u from e)), {NEAR_JOBS_SQL.format(new='select id, description from r', existing='select id, description from e').strip()}
+select id, title from r where id not in (select duplicate_id from near)
 """)
 def d5(spark, folder):
     new, existing = _halves(spark, folder)
-    unique, _ = dedup.find_all_duplicates(new, existing, near=False)
+    unique, _ = dedup.find_all_duplicates(new, existing, **NEAR)
     return unique.select("id", "title")
 
 
@@ -252,7 +272,7 @@ select duplicate_id, original_id, round(s, 6) as similarity from (select *, row_
 def d6(spark, folder):
     rows = docs(spark, folder).select("id", "source_id", "description")
     found = similarity.find_near_duplicates(rows.filter(NEW_DOCS), rows.filter(f"not ({NEW_DOCS})"),
-                                            max_features=5000, min_corpus=25, min_length=50, stop_words=STOP_WORDS, strip_tags=False)
+                                            max_features=5000, min_corpus=25, min_length=50, stop_words=fixed.STOP_WORDS, strip_tags=False)
     return found.select("duplicate_id", "original_id", F.round("similarity", 6).alias("similarity"))
 
 

@@ -311,9 +311,10 @@ def a29(spark, folder):
 select c.id as company_id, v.alias, c.name, v.language, v.id, v.url, v.date from vacancies v join companies c on v.alias = c.alias
 """)
 def s11(spark, folder):
+    # A profile lists a language's vacancies in parts of a range of ids, so that no company is one row.
     nested = (vacancies(spark, folder)
-              .groupBy("alias", "language").agg(F.collect_list(F.struct("id", "title", "url", "date", "remote")).alias("vacancies"))
-              .groupBy("alias").agg(F.collect_list(F.struct("language", "vacancies")).alias("languages")))
+              .groupBy("alias", "language", F.floor(F.col("id") / 1000)).agg(F.collect_list(F.struct("id", "title", "url", "date", "remote")).alias("vacancies"))
+              .select("alias", F.array(F.struct("language", "vacancies")).alias("languages")))
     rows = nested.join(companies(spark, folder).select("id", "alias", "name", "ignore"), "alias")
     return flatten_vacancies(rows).select("company_id", "alias", "name", "language", "id", "url", "date")
 

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions.classify import classify
 from ..functions.core import any_word
-from ..operators import aggregate, filters, keyed, quality
+from ..operators import aggregate, filters, keyed, quality, text_index
+from ..session import work_path
 from . import base
-from .base import companies, docs, jobs, query, sources, table, vacancies, views
+from .base import companies, docs, heavy_jobs, jobs, query, sources, table, vacancies, views
 
 AS_OF = datetime(2001, 8, 2)
 BASIC = ["id", "title", "company", "location", "source_id", "last_seen_at"]
@@ -91,6 +92,22 @@ def f2(spark, folder):
                           company="inc", location="remote", limit=100, offset=20).select(*BASIC)
 
 
+@query("f2_text_search", needs="jobs sources", sql="""
+with w as (select *, regexp_extract_all(lower(concat_ws(' ', title, description, company, location)), '[a-z0-9]+') as ws from jobs)
+select j.id, j.title, j.company, j.location, j.source_id, j.last_seen_at
+from w j join sources s on j.source_id = s.id
+where j.is_active and s.compliance_status in ('approved', 'conditional') and j.company ilike '%inc%'
+  and list_has_any(ws, ['remote', 'remotes', 'remoted']) and list_has_any(ws, ['position', 'positions', 'positioned'])
+order by j.last_seen_at desc, j.id desc limit 100
+""")
+def f2b(spark, folder):
+    """The usual job search with a text query: every word of it, by stem, anywhere in the four fields."""
+    rows = heavy_jobs(spark, folder)
+    index = text_index.create(rows, work_path(spark, "job-index"))
+    return filters.search(jobs(spark, folder).select(*BASIC, "is_active"), sources(spark, folder), company="inc",
+                          matching=index.matching("the remote positions"), limit=100).select(*BASIC)
+
+
 @query("f3_export_filter", needs="jobs sources", sql="""
 select j.id, j.company, j.experience_level, j.first_seen_at, s.name as source_name, s.scraper_type as source_type
 from jobs j join sources s on j.source_id = s.id

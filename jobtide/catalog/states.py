@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..operators import lifecycle
+from ..plans.snapshots import SnapshotTable
+from ..session import work_path
 from ..sources.registry import register_sources
 from .base import codes, companies, jobs, pick, query, sources, vacancies, views
 from .rows import master
@@ -36,6 +38,26 @@ def u1(spark, folder):
         "id", "content_hash", "first_seen_at", "last_seen_at", "is_active", "action")
 
 
+LATE_SQL = "posted_date >= timestamp '2000-01-01'"
+
+
+@query("u1_versioned_upserts", needs="jobs", sql=f"""
+with b as (select * from jobs where {OLD_SQL}), n as (select content_hash, min(seq) filter (not {LATE_SQL}) as early, min(seq) as any_seq from jobs where {NEW_SQL} group by 1),
+f as (select *, case when early is null then 1 else 0 end as batch, coalesce(early, any_seq) as seq from n where content_hash not in (select content_hash from b))
+select id, content_hash from b
+union all select (select max(id) from b) + row_number() over (order by batch, seq), content_hash from f
+""")
+def u1b(spark, folder):
+    """Two batches one after the other, each a new version of the stored snapshot."""
+    stored, batch = _tables(spark, folder)
+    late = F.col("posted_date") >= F.lit(datetime(2000, 1, 1))
+    snapshots = SnapshotTable(spark, work_path(spark, "snapshots"))
+    snapshots.replace(stored)
+    for part in (batch.filter(~late), batch.filter(late)):
+        snapshots.replace(lifecycle.upsert_jobs(snapshots.now(), part, NOW).drop("action"))
+    return snapshots.now().select("id", "content_hash")
+
+
 @query("u2_mark_inactive", needs="jobs", sql=f"""
 select id, is_active and not (source_id = 3 and last_seen_at < timestamp '2000-01-01') as is_active,
   case when is_active and source_id = 3 and last_seen_at < timestamp '2000-01-01' then {NOW_SQL} else updated_at end as updated_at,

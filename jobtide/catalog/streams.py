@@ -8,24 +8,45 @@ from pyspark.sql import functions as F
 
 from ..functions.text import content_hash
 from ..operators import aggregate
-from ..plans import ingest
+from ..plans import ingest, quarantine
 from ..plans.master import update_master
-from ..session import configure, kept, work_path
+from ..session import kept, work_path
 from ..streaming import streams
-from .base import DOCS, VIEWS, docs, heavy_jobs, query, sources
-from .joins import NEW_DOCS, TFIDF_SQL
+from .base import DOCS, VIEWS, _jobs_of, docs, heavy_jobs, query, sources, table
+from .joins import NEAR_JOBS_SQL, NEW_DOCS, TFIDF_SQL
 from .reports import DAILY_SQL
-from .states import NEW, NEW_SQL, OLD, OLD_SQL, SWITCHES
+from .states import NEW, NEW_SQL, NOW, OLD, OLD_SQL, SWITCHES
 from .texts import CLASS_SQL, LOC_VALUES
 
-EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
-DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+PARTS = 4
 
 
-def event_stream(spark, folder):
-    configure(spark)
-    rows = streams.table_stream(spark, folder, EVENT_SCHEMA, "events.parquet")
-    return rows.selectExpr(*[f"{e} as {n}" for n, e in VIEWS.items()])
+def landed(spark, folder, name: str, order: str, closing: dict | None = None):
+    """A table as it would have landed, in files of rising `order`, and as a stream of several micro-batches.
+
+    `closing` gives the columns of one last row, landed after the others, that moves a watermark past them.
+    """
+    rows = table(spark, folder, name)
+    place = F.col(order).cast("timestamp").cast("long") if order == "ts" else F.col(order)
+    cuts = rows.agg(F.percentile_approx(place, [i / PARTS for i in range(1, PARTS)], 1000)).first()[0] or []
+    part = sum((F.when(place > c, 1).otherwise(0) for c in cuts), F.lit(0))
+    path = work_path(spark, "landed")
+    for k in range(PARTS):
+        rows.filter(part == k).write.mode("append").parquet(path)
+    per_batch = -(-len(spark.read.parquet(path).inputFiles()) // PARTS)
+    if closing:
+        types = dict(rows.dtypes)
+        last = spark.range(1, numPartitions=1).select(*[F.lit(closing.get(c)).cast(types[c]).alias(c) for c in rows.columns])
+        last.write.mode("append").parquet(path)
+    return streams.table_stream(spark, path, rows.schema, per_batch=per_batch)
+
+
+#: A look at nothing, long after all others: days before it are over.
+LATER = {"ts": datetime(2100, 1, 1), "event_type": "view"}
+
+
+def event_stream(spark, folder, closing: dict | None = None):
+    return landed(spark, folder, "events", "ts", closing).selectExpr(*[f"{e} as {n}" for n, e in VIEWS.items()])
 
 
 def _paths(spark, name):
@@ -37,19 +58,41 @@ def _paths(spark, name):
 select title, min(id) as first_id, count(*) as rows, count(distinct sha256(lower(title) || '|' || lower(lang) || '|' || lower(description))) as postings from docs group by title
 """)
 def t1(spark, folder):
-    configure(spark)
-    raw = streams.table_stream(spark, folder, DOC_SCHEMA, "documents.parquet").selectExpr(
-        *[f"{e} as {n}" for n, e in DOCS.items()])
+    raw = landed(spark, folder, "documents", "doc_id").selectExpr(*[f"{e} as {n}" for n, e in DOCS.items()])
     path, checkpoint = _paths(spark, "ingest")
 
     def canonical(batch):
         return batch.select("id", "seq", "title", "lang", content_hash("title", "lang", "description").alias("content_hash"),
                             F.lit(datetime(2001, 9, 1)).alias("seen_at"))
 
-    streams.ingest_stream(raw, path, checkpoint, canonical)
-    state = streams.current_table(spark.read.parquet(path))
+    state = streams.posting_state(spark, path, "id long, seq long, title string, lang string", every=2)
+    streams.ingest_stream(raw, state, checkpoint, canonical)
     counts = docs(spark, folder).groupBy("title").agg(F.min("id").alias("first_id"), F.count("*").alias("rows"))
-    return state.groupBy("title").agg(F.count("*").alias("postings")).join(counts, "title")
+    return state.now().groupBy("title").agg(F.count("*").alias("postings")).join(counts, "title")
+
+
+POSTED = ("title string, company string, location string, source_id long, external_id string, url string, experience_level string, job_type string, "
+          "remote_type string, salary_min int, salary_max int, seq long")
+
+
+def _job_stream(spark, folder):
+    """The orders as landed postings, through the whole loop in several micro-batches."""
+    raw = _jobs_of(landed(spark, folder, "orders", "o_orderkey"), spark, folder)
+    path, checkpoint = _paths(spark, "jobs")
+    postings = streams.posting_state(spark, f"{path}/postings", POSTED, every=3)
+    keys = streams.key_state(spark, f"{path}/keys", every=3)
+    streams.job_stream(raw, sources(spark, folder), postings, keys, f"{path}/outcomes", checkpoint, F.lit(NOW))
+    return postings, spark.read.parquet(f"{path}/outcomes")
+
+
+@query("t1_job_stream", needs="jobs sources", sql=f"""
+with gate as (select id from sources where compliance_status in ('approved', 'conditional') and is_active)
+select source_id, count(*) as landed, source_id in (select id from gate) as taken from jobs group by 1
+""")
+def t1b(spark, folder):
+    """Every landed posting has one outcome; those of sources that may not be processed are blocked."""
+    _, outcomes = _job_stream(spark, folder)
+    return outcomes.groupBy("source_id").agg(F.count("*").alias("landed"), F.max(F.col("outcome") == "accepted").alias("taken"))
 
 
 @query("t2_new_posting_alerts", needs="views", sql="""
@@ -65,11 +108,21 @@ select event_id, entity, user_id from r where taken
 """)
 def t2(spark, folder):
     path, checkpoint = _paths(spark, "alerts")
-    step = streams.alert_step(f"{path}/seen", f"{path}/alerts", key="entity", url="user_id", order="event_id")
-    streams.drain(event_stream(spark, folder), step, checkpoint, "append")
+    seen = streams.seen_state(spark, f"{path}/seen", "entity", "long", every=2)
+    events = streams.table_stream(spark, folder, table(spark, folder, "events").schema, "events.parquet").selectExpr(*[f"{e} as {n}" for n, e in VIEWS.items()])
+    streams.drain(events, streams.alert_step(seen, f"{path}/alerts", url="user_id", order="event_id"), checkpoint, "append")
     return spark.read.parquet(f"{path}/alerts").select("event_id", "entity", "user_id")
 
 
+@query("t2_alerts_over_batches", needs="views", sql="select distinct entity from views")
+def t2c(spark, folder):
+    """Keys alone, in several micro-batches: each key once, however often it comes again."""
+    path, checkpoint = _paths(spark, "alerts")
+    seen = streams.seen_state(spark, f"{path}/seen", "entity", "long", every=2)
+    streams.drain(event_stream(spark, folder), streams.alert_step(seen, f"{path}/alerts", url="event_id", order="event_id"), checkpoint, "append")
+    return spark.read.parquet(f"{path}/alerts").select("entity")
+
+
 @query("t2_new_keys_in_bounded_state", needs="views", sql="select distinct entity from views")
 def t2b(spark, folder):
     path, checkpoint = _paths(spark, "new-keys")
@@ -81,8 +134,8 @@ def t2b(spark, folder):
 def t3(spark, folder):
     path, checkpoint = _paths(spark, "counters")
     looks = event_stream(spark, folder).filter("event_type in ('view', 'click')")
-    rows = streams.drain_to(streams.view_counter_stream(looks, "entity", "2 days"), path, checkpoint, "update")
-    return streams.latest(rows, ["entity", "day"])
+    state = streams.latest_state(spark, path, ["entity", "day"], "entity long, day date, views long", every=2)
+    return streams.drain_to_state(streams.view_counter_stream(looks, "entity", "2 days"), state, checkpoint)
 
 
 @query("t4_unique_viewers", needs="views", sql="""
@@ -90,9 +143,9 @@ select entity, cast(ts as date) as day, count(distinct user_id) as viewers from
 """)
 def t4(spark, folder):
     path, checkpoint = _paths(spark, "viewers")
-    looks = event_stream(spark, folder).filter("event_type in ('view', 'click')")
-    rows = streams.drain_to(streams.unique_viewer_stream(looks, "entity", "2 days"), path, checkpoint, "append")
-    return rows.groupBy("entity", "day").agg(F.count("*").alias("viewers"))
+    looks = event_stream(spark, folder, closing=LATER).filter("event_type in ('view', 'click')")
+    days = streams.drain_to(streams.daily_viewer_stream(looks, "entity", "2 days"), path, checkpoint, "append")
+    return days.filter("entity is not null").select("entity", "day", "viewers")
 
 
 @query("t5_online_users", needs="views", sql="""
@@ -100,8 +153,17 @@ select user_id, date_trunc('hour', ts)::timestamp as hour, max(ts) as last_seen
 """)
 def t5(spark, folder):
     path, checkpoint = _paths(spark, "online")
-    rows = streams.drain_to(streams.online_stream(event_stream(spark, folder), "2 days"), path, checkpoint, "update")
-    return streams.latest(rows, ["user_id", "hour"])
+    state = streams.latest_state(spark, path, ["user_id", "hour"], "user_id long, hour timestamp, last_seen timestamp", every=2)
+    return streams.drain_to_state(streams.online_stream(event_stream(spark, folder), "2 days"), state, checkpoint)
+
+
+@query("t5_minute_flushes", needs="views", sql="""
+select user_id, date_trunc('minute', ts)::timestamp as minute, max(ts) as last_seen from views group by 1, 2
+""")
+def t5b(spark, folder):
+    path, checkpoint = _paths(spark, "flushes")
+    flushed = streams.minute_flush_stream(event_stream(spark, folder, closing=LATER), "2 days")
+    return streams.drain_to(flushed, path, checkpoint, "append").filter("user_id is not null").select("user_id", "minute", "last_seen")
 
 
 @query("t6_toggles", needs="views", sql=f"""
@@ -112,7 +174,8 @@ def t6(spark, folder):
     path, checkpoint = _paths(spark, "toggles")
     events = event_stream(spark, folder).filter("event_type in ('signup', 'purchase', 'error')").selectExpr(
         "event_id", "ts", "user_id", "entity", "event_type in ('signup', 'purchase') as active")
-    streams.drain(events, streams.toggle_step(path, ["user_id", "entity"]), checkpoint, "append")
+    state = streams.toggle_state(spark, f"{path}-state", ["user_id", "entity"], "user_id long, entity long, ts timestamp, event_id long, active boolean", every=2)
+    streams.drain(events, streams.toggle_step(path, state), checkpoint, "append")
     return spark.read.parquet(path).groupBy("entity").agg(F.count("*").alias("changes"), F.sum("diff").alias("user_count"))
 
 
@@ -135,8 +198,10 @@ b as (select *, {URL_KEY} as u from jobs where {OLD_SQL}), r as (select *, {URL_
 gate as (select id, case when compliance_status = 'prohibited' then 'Source is PROHIBITED by terms of service'
   when compliance_status = 'pending_review' then 'Source compliance is pending review' when not is_active then 'Source is not active' end as reason from sources),
 open as (select r.* from r join gate on r.source_id = gate.id where reason is null),
-seen as (select *, content_hash in (select content_hash from b) or (source_id, external_id) in (select source_id, external_id from b) or u in (select u from b)
-  or id > min(id) over (partition by source_id, external_id) or id > min(id) over (partition by u) as dup from open),
+exact as (select *, content_hash in (select content_hash from b) or (source_id, external_id) in (select source_id, external_id from b) or u in (select u from b)
+  or id > min(id) over (partition by source_id, external_id) or id > min(id) over (partition by u) as same from open),
+{NEAR_JOBS_SQL.format(new='select id, description from exact where not same', existing='select id, description from b').strip()},
+seen as (select *, same or id in (select duplicate_id from near) as dup from exact),
 ok as (select seen.id, seen.source_id, good_title as title, company, description, case when coalesce(location, '') = '' then location else label end as location from seen
   join titles on seen.title = raw_title join places on coalesce(location, '') = raw where not dup),
 h as (select *, sha256(lower(title) || '|' || lower(company) || '|' || lower(coalesce(location, ''))) as hash from ok),
@@ -187,6 +252,33 @@ def p2(spark, folder):
     return aggregate.batch_statistics(ingest.run_report(processed, stored))
 
 
+LANDED = "seq long, source_id long, title string, company string, location string, url string, salary_min int"
+BROKEN = {7: "substr({0}, 1, 40)", 11: "''", 13: "replace({0}, '\"salary_min\":', '\"salary_min\":\"much\",\"was\":')", 17: "replace({0}, '\"title\":', '\"titel\":')"}
+
+
+@query("p2_quarantine", needs="jobs", sql="""
+with w as (select source_id, case when id % 7 = 0 then 'Unreadable record' when id % 11 = 0 then 'Empty record' when id % 13 = 0 and salary_min is not null then 'Unreadable record'
+  when id % 17 = 0 then 'Missing title' end as reason from jobs)
+select source_id, count(*) as landed, count(*) filter (reason is null) as readable, count(*) filter (reason = 'Empty record') as empty,
+  count(*) filter (reason = 'Unreadable record') as broken, count(*) filter (reason = 'Missing title') as untitled from w group by 1
+""")
+def p2b(spark, folder):
+    """Postings as they land, one text each, some of them broken: every record is read or set aside with its reason."""
+    fields = [f.split()[0] for f in LANDED.split(", ")]
+    rows = heavy_jobs(spark, folder).select("id", "source_id", F.to_json(F.struct(*fields)).alias("payload"))
+    case = "case " + " ".join(f"when id % {k} = 0 then {e.format('payload')}" for k, e in BROKEN.items()) + " else payload end"
+    records = quarantine.read_landed(rows.select("id", "source_id", F.expr(case).alias("payload")), LANDED)
+    good, bad = quarantine.set_aside(records, ["source_id"])
+    path = work_path(spark, "quarantine")
+    bad.write.parquet(path)
+    bad = spark.read.parquet(path)
+    counts = good.groupBy("source_id").agg(F.count("*").alias("readable")).join(
+        bad.groupBy("source_id").agg(F.count("*").alias("aside"), *[F.count_if(F.col("reason") == r).alias(n) for n, r in (
+            ("empty", "Empty record"), ("broken", "Unreadable record"), ("untitled", "Missing title"))]), "source_id", "full")
+    n = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    return counts.select("source_id", (n("readable") + n("aside")).alias("landed"), *[n(c).alias(c) for c in ("readable", "empty", "broken", "untitled")])
+
+
 LIST_COLUMNS = {"status": "case when id % 9 = 0 then 'REJECTED' else 'NEW' end", "company": "lang",
           "remoteness": "case when id % 2 = 0 then 'UNKNOWN' else 'FULLY_REMOTE' end"}
 

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from ..functions import classify, dates, fixed, normalize, salary, text
-from ..session import spread
+from ..session import shared
 from . import base
 from .base import companies, query, table, vacancies
 from .base import heavy_docs as docs
@@ -61,7 +61,7 @@ URL_QUERY = ("array_to_string(list_filter(string_split(split_part(split_part(low
 select page_id, {URL_BASE} || case when {URL_QUERY} = '' then '' else '?' || {URL_QUERY} end as normal_url from pages
 """)
 def d3(spark, folder):
-    return spread(table(spark, folder, "pages")).select("page_id", text.normalize_url("url").alias("normal_url"))
+    return shared(table(spark, folder, "pages")).select("page_id", text.normalize_url("url").alias("normal_url"))
 
 
 @query("d3_normal_url_of_jobs", needs="jobs", sql="""
@@ -100,7 +100,7 @@ def d16(spark, folder):
 select page_id, trim(regexp_replace({TAGLESS.format('html')}, '\\s+', ' ', 'g')) as plain from pages
 """)
 def n12(spark, folder):
-    return spread(table(spark, folder, "pages")).select("page_id", text.plain_text("html").alias("plain"))
+    return shared(table(spark, folder, "pages")).select("page_id", text.plain_text("html").alias("plain"))
 
 
 EMAIL_SQL = "[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{2,}"
@@ -111,7 +111,7 @@ with found as (select doc_id, regexp_extract_all(text, '{EMAIL_SQL}') as e from
 select doc_id, cast(len(e) as int) as n, nullif(array_to_string(e, ', '), '') as emails from found
 """)
 def n13(spark, folder):
-    return spread(table(spark, folder, "documents")).select(
+    return shared(table(spark, folder, "documents")).select(
         "doc_id", F.size(text.emails("text")).alias("n"), text.joined(text.emails("text")).alias("emails"))
 
 
@@ -119,7 +119,7 @@ def n13(spark, folder):
 select doc_id, case when length(text) <= 80 then text else substr(text, 1, 77) || '...' end as short from documents
 """)
 def n24(spark, folder):
-    return spread(table(spark, folder, "documents")).select("doc_id", text.truncate("text", 80).alias("short"))
+    return shared(table(spark, folder, "documents")).select("doc_id", text.truncate("text", 80).alias("short"))
 
 
 @query("n25_url_parts", sql="""
@@ -129,7 +129,7 @@ select page_id, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1)
 from pages
 """)
 def n25(spark, folder):
-    return spread(table(spark, folder, "pages")).select(
+    return shared(table(spark, folder, "pages")).select(
         "page_id", text.hostname("url").alias("host"), text.url_without_query("url").alias("bare"),
         text.second_level_domain("url").alias("domain"))
 
@@ -147,7 +147,7 @@ def n28(spark, folder):
 select doc_id, regexp_replace(text, '[^ -~\\t\\n\\r\\x0B\\x0C]', '', 'g') as printable from documents
 """)
 def n29(spark, folder):
-    return spread(table(spark, folder, "documents")).select("doc_id", text.printable("text").alias("printable"))
+    return shared(table(spark, folder, "documents")).select("doc_id", text.printable("text").alias("printable"))
 
 
 @query("n35_provider_key", needs="docs", sql="select id, lang || '_' || key_id as provider_key from docs")
@@ -238,7 +238,7 @@ select id, case word when 'Full-time' then 'fulltime' when 'Vollzeit' then 'full
   case word when 'Full-time' then 'fulltime' when 'part time' then 'parttime' when 'contractor' then 'contract' end as tracker_code from w
 """)
 def n15(spark, folder):
-    words = spread(table(spark, folder, "orders")).selectExpr("o_orderkey as id", f"{TYPE_WORDS} as word")
+    words = shared(table(spark, folder, "orders")).selectExpr("o_orderkey as id", f"{TYPE_WORDS} as word")
     return words.select("id", normalize.job_type_code("word").alias("code"),
                         normalize.tracker_job_type("word").alias("tracker_code"))
 
@@ -300,7 +300,7 @@ select o_orderkey as id, array_to_string(list_transform(string_split('software '
   lambda w: upper(w[1]) || w[2:]), ' ') as label from orders
 """)
 def n34(spark, folder):
-    codes = spread(table(spark, folder, "orders")).selectExpr(
+    codes = shared(table(spark, folder, "orders")).selectExpr(
         "o_orderkey as id", "'Iv1SOFTWARE_' || replace(split_part(o_orderpriority, '-', 2), ' ', '_') as code")
     return codes.select("id", normalize.industry_label("code").alias("label"))
 
@@ -323,7 +323,7 @@ select id, case word when '$1,234.56' then 1234.56 when '1.234,56 EUR' then 1234
   when '1500' then 1500.0 when '12.5' then 12.5 when '-7,25' then -7.25 when '1,234,567.89' then 1234567.89 end::double as number from w
 """)
 def n11(spark, folder):
-    words = spread(table(spark, folder, "orders")).selectExpr("o_orderkey as id", f"{NUMBER_TEXT} as word")
+    words = shared(table(spark, folder, "orders")).selectExpr("o_orderkey as id", f"{NUMBER_TEXT} as word")
     return words.select("id", normalize.number_text("word").alias("number"))
 
 
@@ -384,7 +384,7 @@ INTERVALS = base.pick("o_orderkey", "hourly", "daily", "weekly", "monthly", "yea
 select o_orderkey as id, round(o_totalprice * case {INTERVALS} when 'hourly' then 2080 when 'daily' then 260 when 'weekly' then 52 when 'monthly' then 12 else 1 end, 2) as yearly from orders
 """)
 def n8(spark, folder):
-    rows = spread(table(spark, folder, "orders")).selectExpr("o_orderkey as id", "o_totalprice as amount", f"{INTERVALS} as interval")
+    rows = shared(table(spark, folder, "orders")).selectExpr("o_orderkey as id", "o_totalprice as amount", f"{INTERVALS} as interval")
     return rows.select("id", F.round(salary.yearly_amount("amount", "interval"), 2).alias("yearly"))
 
 
@@ -420,7 +420,7 @@ select id, case r when 1 then 1000 * (40 + id % 60) when 2 then 1000 * (100 + id
 from (select o_orderkey as id, o_orderkey % 12 as r from orders)
 """)
 def n10(spark, folder):
-    rows = spread(table(spark, folder, "orders")).selectExpr("o_orderkey as id", f"{SALARY_TEXT} as pay")
+    rows = shared(table(spark, folder, "orders")).selectExpr("o_orderkey as id", f"{SALARY_TEXT} as pay")
     parsed = rows.select("id", salary.parse_salary_text("pay").alias("s"))
     return parsed.select("id", "s.min_salary", "s.max_salary")
 
@@ -470,7 +470,7 @@ select o_orderkey as id, case o_orderkey % 4 when 0 then 100000 * (o_orderkey %
   case o_orderkey % 4 when 0 then 100000 * (o_orderkey % 20 + 5) when 1 then 25000000 when 3 then 100000 * (o_orderkey % 9 + 2) end as max_amount from orders
 """)
 def n31(spark, folder):
-    rows = spread(table(spark, folder, "orders")).selectExpr("o_orderkey as id", f"{LAKH_TEXT} as pay")
+    rows = shared(table(spark, folder, "orders")).selectExpr("o_orderkey as id", f"{LAKH_TEXT} as pay")
     return rows.select("id", salary.indian_salary("pay").alias("s")).select("id", "s.min_amount", "s.max_amount")
 
 
@@ -480,7 +480,7 @@ select o_orderkey as id, case when o_orderkey % 2 = 0 then 'USD' else '£' end a
 """)
 def n36(spark, folder):
     sign = "case when o_orderkey % 2 = 0 then '$' else '£' end"
-    rows = spread(table(spark, folder, "orders")).selectExpr(
+    rows = shared(table(spark, folder, "orders")).selectExpr(
         "o_orderkey as id", f"{sign} || format_number(o_totalprice, 2) || ' - ' || {sign} || format_number(o_totalprice * 2, 2) as cell")
     return rows.select("id", salary.range_cell("cell").alias("s")).select("id", "s.currency", "s.min_amount", "s.max_amount")
 
@@ -498,7 +498,7 @@ select o_orderkey as id, cast(case o_orderkey % 9 when 0 then {NOW_SQL} - to_hou
   when 6 then date '1999-08-02' when 7 then {NOW_SQL} - interval 7 hours end as date) as posted from orders
 """)
 def n19(spark, folder):
-    rows = spread(table(spark, folder, "orders")).selectExpr("o_orderkey as id", f"{AGE_TEXT} as age")
+    rows = shared(table(spark, folder, "orders")).selectExpr("o_orderkey as id", f"{AGE_TEXT} as age")
     return rows.select("id", dates.relative_date("age", F.lit(NOW)).alias("posted"))
 
 
@@ -506,7 +506,7 @@ def n19(spark, folder):
 select o_orderkey as id, case when o_orderkey % 7 = 6 then null else cast(o_orderdate as timestamp) end as posted from orders
 """)
 def n20(spark, folder):
-    rows = spread(table(spark, folder, "orders")).withColumn("d", F.col("o_orderdate").cast("timestamp"))
+    rows = shared(table(spark, folder, "orders")).withColumn("d", F.col("o_orderdate").cast("timestamp"))
     forms = ["yyyy-MM-dd", "yyyy-MM-dd'T'HH:mm:ss", "MMMM d, yyyy", "d MMMM yyyy", "d MMM yyyy", "yyyy-MM-dd'T'HH:mm:ss'Z'"]
     written = F.lit("soon")
     for i, form in enumerate(forms):
@@ -566,7 +566,7 @@ select o_orderkey as id, cast(case o_orderkey % 7 when 0 then date '2001-08-02'
   when 3 then null else o_orderdate end as date) as posted from orders
 """)
 def n33(spark, folder):
-    rows = spread(table(spark, folder, "orders")).selectExpr(
+    rows = shared(table(spark, folder, "orders")).selectExpr(
         "o_orderkey as id", f"{LABEL_TEXT} as label", "unix_millis(cast(o_orderdate as timestamp)) as created")
     return rows.select("id", dates.label_date("label", "created", F.lit(NOW)).alias("posted"))
 

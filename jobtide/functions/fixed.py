@@ -266,3 +266,23 @@ DEFAULT_BOARD_URL = "https://{company}.com/careers"
 
 # Employee bands that count as large enough.
 LARGE_COMPANY_BANDS = ["10K+", "5K-10K", "1K-5K", "501-1K", "201-500", "51-200"]
+
+# English stop words of a common text search configuration.
+STOP_WORDS = [
+    "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "your", "yours", "yourself", "yourselves",
+    "he", "him", "his", "himself", "she", "her", "hers", "herself", "it", "its", "itself", "they", "them", "their",
+    "theirs", "themselves", "what", "which", "who", "whom", "this", "that", "these", "those", "am", "is", "are", "was",
+    "were", "be", "been", "being", "have", "has", "had", "having", "do", "does", "did", "doing", "a", "an", "the",
+    "and", "but", "if", "or", "because", "as", "until", "while", "of", "at", "by", "for", "with", "about", "against",
+    "between", "into", "through", "during", "before", "after", "above", "below", "to", "from", "up", "down", "in", "out",
+    "on", "off", "over", "under", "again", "further", "then", "once", "here", "there", "when", "where", "why", "how",
+    "all", "any", "both", "each", "few", "more", "most", "other", "some", "such", "no", "nor", "not", "only", "own",
+    "same", "so", "than", "too", "very", "s", "t", "can", "will", "just", "don", "should", "now",
+]
+
+# Salary ranges as they are written: in dollars, in thousands, with a currency code, with an interval by size, in lakhs.
+DOLLAR_RANGE = r"(?i)\$\s*([\d,]+)\s*(k)?\s*[-–to]+\s*\$?\s*([\d,]+)\s*(k)?\s*(?:per\s+)?(year|annual|month|hour|hr)?"
+THOUSANDS_RANGE = r"(?i)\$\s*([\d.]+)\s*(k)\s*[-–to]+\s*\$?\s*([\d.]+)\s*(k)"
+CODED_RANGE = r"(?i)([\d,]+)\s*[-–to]+\s*([\d,]+)\s*(USD|EUR|GBP|CAD)"
+INTERVAL_RANGE = r"\$(\d+(?:,\d+)?(?:\.\d+)?)([kK]?)\s*[-—–]\s*(?:\$)?(\d+(?:,\d+)?(?:\.\d+)?)([kK]?)"
+LAKH_RANGE = r"(?i)^(\d+(?:\.\d+)?)\s*-\s*(\d+(?:\.\d+)?)\s*(Lacs|Lakh|Cr)\s*(P\.A\.)?"

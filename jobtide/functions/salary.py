@@ -68,11 +68,7 @@ def extract_salary(c: ColumnOrName, honor_k: bool = True) -> Column:
     Three patterns are tried in order. With `honor_k` a `k` after a number of the
     first pattern means thousands; without it the mark is skipped over.
     """
-    text = col(c)
-    dollars = (r"(?i)\$\s*([\d,]+)\s*(k)?\s*[-–to]+\s*\$?\s*([\d,]+)\s*(k)?\s*"
-               r"(?:per\s+)?(year|annual|month|hour|hr)?")
-    thousands = r"(?i)\$\s*([\d.]+)\s*(k)\s*[-–to]+\s*\$?\s*([\d.]+)\s*(k)"
-    coded = r"(?i)([\d,]+)\s*[-–to]+\s*([\d,]+)\s*(USD|EUR|GBP|CAD)"
+    text, dollars, thousands, coded = col(c), fixed.DOLLAR_RANGE, fixed.THOUSANDS_RANGE, fixed.CODED_RANGE
 
     def times(value: Column, mark: Column) -> Column:
         return F.when(mark.isNotNull(), value * 1000).otherwise(value) if honor_k else value
@@ -106,9 +102,7 @@ def extract_salary_interval(c: ColumnOrName, annual: bool = False, lower: int =
     Struct of interval, min_amount, max_amount, currency; null when no range is
     plausible. `annual` gives yearly amounts instead of the written ones.
     """
-    text = col(c)
-    pattern = (r"\$(\d+(?:,\d+)?(?:\.\d+)?)([kK]?)\s*[-—–]\s*(?:\$)?"
-               r"(\d+(?:,\d+)?(?:\.\d+)?)([kK]?)")
+    text, pattern = col(c), fixed.INTERVAL_RANGE
     low = F.floor(_plain_number(group(text, pattern, 1))).cast("long")
     high = F.floor(_plain_number(group(text, pattern, 3))).cast("long")
     factor = F.when(group(text, pattern, 2).isNotNull() | group(text, pattern, 4).isNotNull(),
@@ -210,8 +204,7 @@ def parse_salary_text(c: ColumnOrName) -> Column:
 
 def indian_salary(c: ColumnOrName) -> Column:
     """Lakh and crore ranges in rupees; null for anything else."""
-    pattern = r"(?i)^(\d+(?:\.\d+)?)\s*-\s*(\d+(?:\.\d+)?)\s*(Lacs|Lakh|Cr)\s*(P\.A\.)?"
-    text = F.trim(col(c))
+    pattern, text = fixed.LAKH_RANGE, F.trim(col(c))
     unit = F.when(F.lower(group(text, pattern, 3)) == "cr", 10_000_000).otherwise(100_000)
     low, high = (F.floor(group(text, pattern, i).try_cast("double") * unit).cast("long") for i in (1, 2))
     return F.when(low.isNotNull(), F.struct(

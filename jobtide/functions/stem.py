@@ -1,7 +1,6 @@
 """English suffix stripping after Porter (1980), as an Arrow-batched UDF.
 
-The only per-word Python code of the package. It runs inside tasks on arrays of
-words and remembers the stems of the words of a batch.
+The only per-word Python code of the package, made for tables of distinct words.
 """
 
 from __future__ import annotations
@@ -84,13 +83,6 @@ def stem(word: str) -> str:
     return word
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def stem_words(words: pd.Series) -> pd.Series:
-    known: dict[str, str] = {}
-
-    def look_up(word: str) -> str:
-        if word not in known:
-            known[word] = stem(word)
-        return known[word]
-
-    return words.map(lambda ws: None if ws is None else [look_up(w) for w in ws])
+@F.pandas_udf(T.StringType())
+def stem_word(words: pd.Series) -> pd.Series:
+    return words.map(stem, na_action="ignore")

@@ -41,8 +41,12 @@ def find_exact_duplicates(new: DataFrame, existing: DataFrame, order: str = "id"
     Content hash counts before (source, external id), which counts before URL.
     Columns: duplicate_id, original_id, match_type, similarity.
     """
-    keys = match_keys(new, "id").withColumnRenamed("id", "duplicate_id")
-    hits = keys.join(match_index(existing, order), ["rank", "kind", "key"])
+    return match_by_keys(match_keys(new, "id"), match_index(existing, order))
+
+
+def match_by_keys(keys: DataFrame, index: DataFrame) -> DataFrame:
+    """Match table of the postings whose match keys an index holds; the strongest kind of key counts."""
+    hits = keys.withColumnRenamed("id", "duplicate_id").join(index, ["rank", "kind", "key"])
     # Plain numbers only, so that the aggregate hashes and needs no sort.
     best = hits.groupBy("duplicate_id").agg(
         F.min("rank").alias("rank"), F.min_by("original_id", "rank").alias("original_id"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.core import blank
 from ..functions.text import change_hash
+from ..session import kept
 from .keyed import keep_first, keep_last, numbered, with_previous
 
 
@@ -27,8 +28,14 @@ def _new(name: str) -> Column:
 
 def with_new_ids(fresh: DataFrame, base: DataFrame, order: str, key: str = "id") -> DataFrame:
     """Ids for rows that have none: after the largest id in use, in `order`."""
-    top = base.agg(F.coalesce(F.max(key), F.lit(0))).scalar()
-    return numbered(fresh.drop(key), order, top, key)
+    top = base.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
+    return numbered(fresh.drop(key), order, F.lit(top).cast("long"), key)
+
+
+def marked_arrivals(arrivals: DataFrame, base: DataFrame, key: str) -> DataFrame:
+    """The batch's rows, one per key, with whether the stored table has the key; written once for the steps that follow."""
+    known = base.select(key).distinct().withColumn("_known", F.lit(True))
+    return kept(arrivals.join(known, key, "left").withColumn("_known", F.coalesce("_known", F.lit(False))), "arrivals")
 
 
 def upsert_jobs(base: DataFrame, batch: DataFrame, now: datetime, order: str = "seq") -> DataFrame:
@@ -38,16 +45,15 @@ def upsert_jobs(base: DataFrame, batch: DataFrame, now: datetime, order: str = "
     next id. `action` is kept, updated or inserted.
     """
     moment = F.lit(now)
-    arrivals = keep_first(batch, ["content_hash"], [order])
-    seen = arrivals.select("content_hash").withColumn("_seen", F.lit(True))
+    arrivals = marked_arrivals(keep_first(batch, ["content_hash"], [order]), base, "content_hash")
+    seen = arrivals.filter("_known").select("content_hash").withColumn("_seen", F.lit(True))
     touched = base.join(seen, "content_hash", "left").withColumn("_seen", F.coalesce("_seen", F.lit(False)))
     stay = touched.select(*[
         {"last_seen_at": F.when(F.col("_seen"), moment).otherwise(F.col("last_seen_at")),
          "updated_at": F.when(F.col("_seen"), moment).otherwise(F.col("updated_at")),
          "is_active": F.col("_seen") | F.col("is_active")}.get(c, F.col(c)).alias(c)
         for c in base.columns], F.when(F.col("_seen"), "updated").otherwise("kept").alias("action"))
-    fresh = arrivals.join(base.select("content_hash"), "content_hash", "left_anti")
-    added = with_new_ids(fresh, base, order)
+    added = with_new_ids(arrivals.filter("not _known").drop("_known"), base, order)
     stamps = {"first_seen_at": moment, "last_seen_at": moment, "created_at": moment,
               "updated_at": moment, "is_active": F.lit(True)}
     types = dict(base.dtypes)
@@ -97,8 +103,8 @@ def sync_jobs(base: DataFrame, snapshot: DataFrame, now: datetime, order: str =
     moment = F.lit(now)
     arrivals = keep_first(snapshot.filter(~blank("link")), ["link"], [order]).withColumn(
         "content_hash", scraped_hash())
-    fresh = arrivals.join(base.select("link"), "link", "left_anti")
-    added = with_new_ids(fresh, base, order)
+    arrivals = marked_arrivals(arrivals, base, "link")
+    added = with_new_ids(arrivals.filter("not _known").drop("_known"), base, order)
     types = dict(base.dtypes)
     defaults = {"favorite": F.lit(False), "notes": F.lit(""), "archived": F.lit(False),
                 "application_status": F.lit("New"), "last_seen": moment}
@@ -106,7 +112,7 @@ def sync_jobs(base: DataFrame, snapshot: DataFrame, now: datetime, order: str =
         defaults.get(c, F.col(c) if c in added.columns else F.lit(None)).cast(types[c]).alias(c)
         for c in base.columns], F.lit("inserted").alias("action"))
     there = base.alias("old").join(
-        arrivals.select("link", *SCRAPED, "content_hash", F.lit(True).alias("_here")).alias("new"), "link", "left")
+        arrivals.filter("_known").select("link", *SCRAPED, "content_hash", F.lit(True).alias("_here")).alias("new"), "link", "left")
     here = F.coalesce(_new("_here"), F.lit(False))
     changed = here & ~_old("content_hash").eqNullSafe(_new("content_hash"))
     user = has_user_data(_old("favorite"), _old("notes"), _old("application_status"))
@@ -139,9 +145,9 @@ def handle_stale(base: DataFrame, current: DataFrame) -> DataFrame:
     """Archive or delete unarchived rows whose link is gone; deleted rows drop out."""
     gone = base.filter(~F.col("archived")).join(current.select("link"), "link", "left_anti")
     user = has_user_data(F.col("favorite"), F.col("notes"), F.col("application_status"))
-    kept = base.filter("archived").unionByName(
+    there = base.filter("archived").unionByName(
         base.filter(~F.col("archived")).join(current.select("link"), "link", "left_semi"))
-    return kept.withColumn("action", F.lit("kept")).unionByName(
+    return there.withColumn("action", F.lit("kept")).unionByName(
         gone.filter(user).withColumn("archived", F.lit(True)).withColumn("action", F.lit("archived")))
 
 
@@ -230,12 +236,12 @@ def stable_codes(codes: DataFrame, rows: DataFrame, key: str, order: str = "seq"
 
 def insert_or_touch(base: DataFrame, batch: DataFrame, now: datetime, order: str = "seq") -> DataFrame:
     """Insert postings whose link is unknown; only the sight of the others is noted."""
-    arrivals = keep_first(batch.filter(~blank("link")), ["link"], [order])
-    seen = arrivals.select("link").withColumn("_seen", F.lit(True))
+    arrivals = marked_arrivals(keep_first(batch.filter(~blank("link")), ["link"], [order]), base, "link")
+    seen = arrivals.filter("_known").select("link").withColumn("_seen", F.lit(True))
     stay = base.join(seen, "link", "left").withColumn(
         "last_seen", F.when(F.col("_seen"), F.lit(now)).otherwise(F.col("last_seen")))
     stay = stay.select(*base.columns, F.when(F.col("_seen"), "touched").otherwise("kept").alias("action"))
-    added = with_new_ids(arrivals.join(base.select("link"), "link", "left_anti"), base, order)
+    added = with_new_ids(arrivals.filter("not _known").drop("_known"), base, order)
     types = dict(base.dtypes)
     added = added.select(*[
         (F.lit(now) if c == "last_seen" else F.col(c) if c in added.columns else F.lit(None))

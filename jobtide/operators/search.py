@@ -1,28 +1,32 @@
 """Full-text search over posting tables.
 
-An index is an ordinary table of postings (doc_id, field, term, tf, positions).
-Queries are structured arguments; a search reads only the rows of its terms, so
-store the index sorted or bucketed by term to prune files.
+An index is an ordinary table with one row per term and document (term, doc_id, tf, length, hits); `hits` holds the field and
+position of each occurrence and `length` the number of words of the document. Queries are structured arguments. `text_index`
+keeps such a table on disk, clustered by term.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from math import log
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.stem import stem, stem_words
+from ..functions.core import lookup
+from ..functions.stem import stem, stem_word
 from ..functions.text import ACCENTED, PLAIN, fold
+from ..session import kept
 
 WORD = r"[\p{L}\p{N}]+"
 K1, B = 1.2, 0.75
 LEAST_IDF = 1e-6
 
 
-def words(c: Column, stemmed: bool = True) -> Column:
-    found = F.regexp_extract_all(fold(F.coalesce(c, F.lit(""))), F.lit(WORD), F.lit(0))
-    return stem_words(found) if stemmed else found
+def words(c: Column) -> Column:
+    return F.regexp_extract_all(fold(F.coalesce(c, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
 def query_terms(text: str | Sequence[str], stemmed: bool = True) -> list[str]:
@@ -36,49 +40,65 @@ def query_terms(text: str | Sequence[str], stemmed: bool = True) -> list[str]:
 
 
 def build_index(df: DataFrame, fields: Sequence[str] = ("title", "description", "company", "location"),
-                key: str = "id", stemmed: bool = True) -> DataFrame:
-    """Postings of every word of every field.
+                key: str = "id", stemmed: bool = True, stamp: str | None = None) -> DataFrame:
+    """Postings of every word of every field; `stamp` names a date that is kept beside them for ordering.
 
-    Words are grouped per document, so a frequent word is never gathered in one place.
+    Words are grouped per document, so a frequent word is never gathered in one place. Stems are worked out once per distinct
+    word and joined back.
     """
-    texts = df.select(F.col(key).alias("doc_id"), F.inline(F.array(*[
-        F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields])))
-    tokens = texts.select("doc_id", "field", F.posexplode(words(F.col("text"), stemmed)).alias("pos", "term"))
-    return tokens.groupBy("doc_id", "field", "term").agg(
-        F.count("*").alias("tf"), F.sort_array(F.collect_list("pos")).alias("positions"))
+    kept_stamp = [F.col(stamp).alias("stamp")] if stamp else []
+    def tokens_of(field: str) -> Column:
+        return F.transform(words(F.col(field)), lambda w, at: F.struct(F.lit(field).alias("field"), at.alias("pos"), w.alias("term")))
+
+    tokens = F.flatten(F.array(*map(tokens_of, fields)))
+    texts = df.select(F.col(key).alias("doc_id"), *kept_stamp, tokens.alias("tokens"))
+    rows = texts.select("doc_id", *["stamp"][: len(kept_stamp)], F.size("tokens").cast("long").alias("length"), "tokens")
+    rows = rows.select(*[c for c in rows.columns if c != "tokens"], F.inline("tokens"))
+    same = [F.first(c).alias(c) for c in ("length", *["stamp"][: len(kept_stamp)])]
+    index = rows.groupBy("doc_id", "term").agg(
+        F.count("*").alias("tf"), *same, F.sort_array(F.collect_list(F.struct("field", "pos"))).alias("hits"))
+    if stemmed:
+        index = kept(index, "words")
+        stems = index.select("term").distinct().withColumn("stem", stem_word("term"))
+        index = index.join(stems, "term").groupBy("doc_id", F.col("stem").alias("term")).agg(
+            F.sum("tf").alias("tf"), *same, F.sort_array(F.flatten(F.collect_list("hits"))).alias("hits"))
+    return index.select("term", "doc_id", "tf", "length", "hits", *["stamp"][: len(kept_stamp)])
+
+
+def field_postings(index: DataFrame) -> DataFrame:
+    """Postings per document, field and term, with the positions."""
+    hits = index.select("doc_id", "term", F.inline("hits"))
+    return hits.groupBy("doc_id", "field", "term").agg(F.count("*").alias("tf"), F.sort_array(F.collect_list("pos")).alias("positions"))
 
 
 def index_lengths(index: DataFrame) -> DataFrame:
     """Number of words per document; stored beside the index."""
-    return index.groupBy("doc_id").agg(F.sum("tf").alias("length"))
+    return index.groupBy("doc_id").agg(F.max("length").alias("length"))
 
 
-def ranked_search(index: DataFrame, lengths: DataFrame, terms: Sequence[str]) -> DataFrame:
+def score_hits(hits: DataFrame, terms: Sequence[str], total: int, mean: float, found: dict[str, int]) -> DataFrame:
     """Documents holding every term, with the BM25 score (Robertson and Zaragoza, 2009).
 
-    A document is scored over all of its fields. `rank` is the negative score, so
-    the best row comes first in ascending order.
+    `hits` has the postings of the terms, `found` the number of documents of each. A posting brings all that its share of the score
+    needs, so a document's score is one sum and needs no other table. A document is scored over all of its fields. `rank` is
+    the negative score, so the best row comes first in ascending order.
     """
     terms = list(dict.fromkeys(terms))
-    hits = index.filter(F.col("term").isin(terms)).groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
-    pivoted = hits.groupBy("doc_id").agg(*[
-        F.max(F.when(F.col("term") == t, F.col("tf"))).alias(f"tf{i}") for i, t in enumerate(terms)])
-    total = lengths.agg(F.count("*")).scalar()
-    mean = lengths.agg(F.avg("length")).scalar()
-    counts = hits.groupBy("term").agg(F.count("*").alias("n"))
-    df = counts.agg(*[F.max(F.when(F.col("term") == t, F.col("n"))).alias(f"n{i}")
-                      for i, t in enumerate(terms)])
-    held = F.lit(True)
-    for i in range(len(terms)):
-        held = held & F.col(f"tf{i}").isNotNull()
-    scored = pivoted.filter(held).join(lengths, "doc_id")
-    size = K1 * (1 - B + B * F.col("length") / mean)
-    score = F.lit(0.0)
-    for i in range(len(terms)):
-        n = df.select(f"n{i}").scalar()
-        idf = F.greatest(F.log((total - n + 0.5) / (n + 0.5)), F.lit(LEAST_IDF))
-        score = score + idf * (F.col(f"tf{i}") * (K1 + 1)) / (F.col(f"tf{i}") + size)
-    return scored.select("doc_id", (-score).alias("rank"))
+    idf = {t: max(log((total - n + 0.5) / (n + 0.5)), LEAST_IDF) for t in terms if (n := found.get(t, 0))}
+    size = K1 * (1 - B + B * F.col("length") / F.lit(mean or 1.0))
+    part = lookup(idf, F.col("term")) * (F.col("tf") * (K1 + 1)) / (F.col("tf") + size) if idf else F.lit(0.0)
+    shares = hits.filter(F.col("term").isin(terms)).withColumn("_part", part)
+    stamp = [F.max("stamp").alias("stamp")] if "stamp" in hits.columns else []
+    scored = shares.groupBy("doc_id").agg(F.count("*").alias("_n"), (-F.sum("_part")).alias("rank"), *stamp)
+    return scored.filter(F.col("_n") == len(terms)).drop("_n")
+
+
+def ranked_search(index: DataFrame, lengths: DataFrame, terms: Sequence[str]) -> DataFrame:
+    """Documents of an index table holding every term, scored by `score_hits`; sizes are counted first."""
+    total, mean = lengths.agg(F.count("*"), F.avg("length")).first()
+    hits = index.filter(F.col("term").isin(list(terms)))
+    found = {r["term"]: r["count"] for r in hits.groupBy("term").count().collect()}  # a row per query term
+    return score_hits(hits, terms, total, mean, found)
 
 
 def best_hits(hits: DataFrame, jobs: DataFrame, limit: int, key: str = "id",
@@ -89,52 +109,50 @@ def best_hits(hits: DataFrame, jobs: DataFrame, limit: int, key: str = "id",
 
 
 def boolean_search(index: DataFrame, every: Sequence[str] = (), some: Sequence[str] = (),
-                   none: Sequence[str] = ()) -> DataFrame:
-    """Documents with all of one list, any of another and none of a third."""
-    if not every and not some:
+                   none: Sequence[str] = (), groups: Sequence[Sequence[str]] = ()) -> DataFrame:
+    """Documents with all of one list, any of another, any of each further group and none of a last list."""
+    groups = [list(g) for g in (*[[t] for t in every], *([some] if some else []), *groups)]
+    if not groups:
         raise ValueError("a search needs at least one wanted term")
-    wanted = index.filter(F.col("term").isin([*every, *some, *none])).groupBy("doc_id")
-    flag = lambda t: F.bool_or(F.col("term") == t)
-    test = F.lit(True)
-    for t in every:
-        test = test & flag(t)
-    if some:
-        test = test & F.bool_or(F.col("term").isin(list(some)))
-    for t in none:
-        test = test & ~flag(t)
-    return wanted.agg(test.alias("_hit")).filter("_hit").select("doc_id")
-
-
-def _places(index: DataFrame, terms: Sequence[str]) -> DataFrame:
-    """Positions of each term side by side, per document and field."""
-    rows = index.filter(F.col("term").isin(list(set(terms)))).groupBy("doc_id", "field").agg(*[
-        F.max(F.when(F.col("term") == t, F.col("positions"))).alias(f"p{i}") for i, t in enumerate(terms)])
-    held = F.lit(True)
-    for i in range(len(terms)):
-        held = held & F.col(f"p{i}").isNotNull()
-    return rows.filter(held)
+    test = reduce(and_, [F.bool_or(F.col("term").isin(g)) for g in groups])
+    if none:
+        test = test & ~F.bool_or(F.col("term").isin(list(none)))
+    asked = sorted({t for g in groups for t in g} | set(none))
+    return index.filter(F.col("term").isin(asked)).groupBy("doc_id").agg(test.alias("_hit")).filter("_hit").select("doc_id")
+
+
+def _occurrences(index: DataFrame, terms: Sequence[str]) -> DataFrame:
+    """Field and position of every occurrence of the terms."""
+    return index.filter(F.col("term").isin(sorted(set(terms)))).select("doc_id", "term", F.inline("hits"))
 
 
 def phrase_search(index: DataFrame, terms: Sequence[str]) -> DataFrame:
-    """Documents with the terms next to each other, in order, inside one field."""
-    def follows(start: Column) -> Column:
-        test = F.lit(True)
-        for i in range(1, len(terms)):
-            test = test & F.array_contains(F.col(f"p{i}"), start + i)
-        return test
+    """Documents with the terms next to each other, in order, inside one field.
 
-    return _places(index, terms).filter(F.exists("p0", follows)).select("doc_id").distinct()
+    An occurrence of the i-th term votes for a phrase that starts i words before it; a phrase is a start with every vote. The
+    work is linear in the occurrences of the terms.
+    """
+    places = F.array_compact(F.array(*[F.when(F.col("term") == t, F.lit(i)) for i, t in enumerate(terms)]))
+    votes = _occurrences(index, terms).select("doc_id", "field", "pos", F.explode(places).alias("_place"))
+    starts = votes.groupBy("doc_id", "field", F.col("pos") - F.col("_place")).agg(F.count("*").alias("_votes"))
+    return starts.filter(F.col("_votes") == len(terms)).select("doc_id").distinct()
 
 
 def near_search(index: DataFrame, left: str, right: str, distance: int = 10) -> DataFrame:
-    """Documents with two terms at most `distance` words apart, in either order."""
-    close = F.exists("p0", lambda a: F.exists("p1", lambda b: F.abs(a - b).between(1, distance + 1)))
-    return _places(index, [left, right]).filter(close).select("doc_id").distinct()
+    """Documents with two terms at most `distance` words apart, in either order.
+
+    One sweep along the occurrences of both terms compares each with the last one of the other term.
+    """
+    before = Window.partitionBy("doc_id", "field").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    last = lambda t: F.last(F.when(F.col("term") == t, F.col("pos")), ignorenulls=True).over(before)
+    other = F.when(F.col("term") == left, last(right)).otherwise(last(left))
+    swept = _occurrences(index, [left, right]).withColumn("_apart", F.col("pos") - other)
+    return swept.filter(F.col("_apart") <= distance + 1).select("doc_id").distinct()
 
 
 def field_search(index: DataFrame, field: str, term: str) -> DataFrame:
     """Documents with a term in one field."""
-    return index.filter((F.col("field") == field) & (F.col("term") == term)).select("doc_id").distinct()
+    return index.filter((F.col("term") == term) & F.exists("hits", lambda h: h["field"] == field)).select("doc_id")
 
 
 def substring_search(jobs: DataFrame, query: str,

@@ -7,15 +7,20 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import fixed
 from ..functions.classify import classification, fill_from_class
 from ..functions.normalize import location_label, normalize_title, parse_location
 from ..functions.salary import annualize_salary
 from ..functions.text import content_hash
 from ..operators.aggregate import batch_statistics, run_statistics
-from ..operators.dedup import find_exact_duplicates, match_index, match_keys
+from ..operators.dedup import match_by_keys, match_index, match_keys
 from ..operators.filters import compliance
 from ..operators.lifecycle import upsert_jobs
 from ..operators.similarity import find_near_duplicates
+from ..session import kept
+
+#: How stored texts are compared where nothing else is said: the most used terms, a least corpus, a least length.
+NEAR = {"threshold": 0.75, "max_features": 5000, "min_corpus": 25, "min_length": 50, "stop_words": fixed.STOP_WORDS}
 
 
 def normalise(jobs: DataFrame, rows: Column | None = None) -> DataFrame:
@@ -40,42 +45,59 @@ def normalise(jobs: DataFrame, rows: Column | None = None) -> DataFrame:
         .drop("_place", "_pay"))
 
 
-def _repeats(batch: DataFrame) -> DataFrame:
+def _repeats(keys: DataFrame) -> DataFrame:
     """Rows whose external id or URL an earlier row of the batch has."""
-    owners = match_index(batch.withColumn("_back", -F.col("id")), "_back").filter("kind <> 'hash'")
-    return (match_keys(batch, "id").join(owners, ["rank", "kind", "key"]).filter("original_id < id")
-            .select(F.col("id").alias("duplicate_id")).distinct())
-
+    keys = keys.filter("kind <> 'hash'")
+    owners = keys.groupBy("rank", "kind", "key").agg(F.min("id").alias("_first"))
+    return keys.join(owners, ["rank", "kind", "key"]).filter("_first < id").select(F.col("id").alias("duplicate_id")).distinct()
 
-def process(raw: DataFrame, base: DataFrame, sources: DataFrame, near: bool = False) -> DataFrame:
-    """Every raw row with its `outcome` and, if accepted, its final fields.
 
-    Outcomes: blocked (the source may not be processed; `blocked_reason` says why), skipped
-    (duplicate), accepted. `raw` carries its arrival order in `seq`. A row repeats an
-    earlier one of the batch when it shares the external id or URL.
-    """
+def gated(raw: DataFrame, sources: DataFrame) -> DataFrame:
+    """Raw rows with an id, their hash, and why their source may not be processed, if so."""
     gate = compliance(sources).select(F.col("id").alias("source_id"), F.coalesce("reason", F.lit("")).alias("_reason"))
-    rows = (
+    return (
         raw.join(gate, "source_id", "left")
         .withColumn("blocked_reason", F.nullif(F.coalesce("_reason", F.lit("Source is not registered")), F.lit("")))
-        .withColumn("id", F.col("seq")).withColumn("content_hash", content_hash("title", "company", "location")))
-    open_rows = rows.filter("blocked_reason is null")
-    matches = find_exact_duplicates(open_rows, base).select("duplicate_id")
-    matches = matches.unionByName(_repeats(open_rows))
-    if near:
-        rest = open_rows.join(matches.select(F.col("duplicate_id").alias("id")), "id", "left_anti")
-        matches = matches.unionByName(find_near_duplicates(rest, base).select("duplicate_id"))
+        .withColumn("id", F.col("seq")).withColumn("content_hash", content_hash("title", "company", "location")).drop("_reason"))
+
+
+def exact_matches(rows: DataFrame, index: DataFrame) -> DataFrame:
+    """Ids of gated rows that a match index holds or that repeat an earlier row; match keys are made once."""
+    keys = kept(match_keys(rows.filter("blocked_reason is null"), "id"), "match-keys")
+    return match_by_keys(keys, index).select("duplicate_id").unionByName(_repeats(keys)).distinct()
+
+
+def finished(rows: DataFrame, matches: DataFrame) -> DataFrame:
+    """Gated rows with their outcome; the accepted ones get their final fields."""
     matched = matches.select(F.col("duplicate_id").alias("id"), F.lit(True).alias("_dup")).distinct()
     told = rows.join(matched, "id", "left").withColumn(
         "outcome", F.when(F.col("blocked_reason").isNotNull(), "blocked").when(F.col("_dup"), "skipped").otherwise("accepted"))
     accepted = F.col("outcome") == "accepted"
     # Rejected rows keep their raw fields; their text is never looked at.
-    done = normalise(told.drop("_reason", "_dup", "id"), accepted).withColumn(
+    done = normalise(told.drop("_dup", "id"), accepted).withColumn(
         "class", F.when(accepted, classification("title", "description", "location")))
     return fill_from_class(done).withColumn("level", F.col("class.experience_level")).drop("class").withColumn(
         "content_hash", content_hash("title", "company", "location"))
 
 
+def process(raw: DataFrame, base: DataFrame, sources: DataFrame, near: bool = True, **near_options) -> DataFrame:
+    """Every raw row with its `outcome` and, if accepted, its final fields.
+
+    Outcomes: blocked (the source may not be processed; `blocked_reason` says why), skipped
+    (duplicate), accepted. `raw` carries its arrival order in `seq`. A row repeats an
+    earlier one of the batch when it shares the external id or URL. With `near` a row whose text is close to a stored one is
+    skipped too; the options are those of `find_near_duplicates`.
+    """
+    rows = gated(raw, sources)
+    matches = exact_matches(rows, match_index(base))
+    if near:
+        matches = kept(matches, "exact-matches")
+        rest = rows.filter("blocked_reason is null").join(matches.select(F.col("duplicate_id").alias("id")), "id", "left_anti")
+        found = find_near_duplicates(rest.select("id", "description"), base.select("id", "description"), **(NEAR | near_options))
+        matches = matches.unionByName(found.select("duplicate_id"))
+    return finished(rows, matches)
+
+
 def next_table(processed: DataFrame, base: DataFrame, now: datetime) -> DataFrame:
     """Job table after the accepted rows, with an `action` per row."""
     return upsert_jobs(base, processed.filter("outcome = 'accepted'"), now)

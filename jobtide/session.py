@@ -15,6 +15,9 @@ SETTINGS = {
 }
 
 
+SMALL_PART = 128 << 20  # bytes that one core reads by itself
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the run-time settings to a session that already exists."""
     for key, value in SETTINGS.items():
@@ -60,14 +63,18 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Share the rows of a table among the cores of a session in one local process.
+def shared(df: DataFrame) -> DataFrame:
+    """Share the rows of a small table among the cores before costly row rules.
 
-    Meant for the small tables of tests and benches, which are one file each, before costly row rules. A cluster reads its
-    tables as they are.
+    A table that is read in fewer parts than the session has cores would leave the others idle; any larger one is read as it is.
     """
-    context = df.sparkSession.sparkContext
-    return df.repartition(context.defaultParallelism) if _local(context.master) else df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores and _bytes_read(df) < cores * SMALL_PART else df
+
+
+def _bytes_read(df: DataFrame) -> int:
+    """Spark's own estimate of a table's size, from its files."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:

@@ -1,12 +1,12 @@
 """Job lists and pages: HTML tables, Markdown tables, posting pages, nested profiles.
 
-Each page is taken apart inside its own row with array functions, so nothing is
-shuffled and no page needs to be ordered against another.
+Each page is taken apart inside its own row with array functions; only the company that
+a row takes over from the rows above is looked up along the rows of its page.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import plain_text, strip_html
@@ -25,16 +25,11 @@ def _label(cell: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(strip_html(cell), marks, ""), r"\s+", " "))
 
 
-def _carry_company(entries: Column) -> Column:
-    """Give rows marked as continued the company of the row above."""
-    def step(done: Column, entry: Column) -> Column:
-        above = F.try_element_at(done, F.lit(-1))["company"]
-        name = F.when(entry["company"].contains(CARRY), F.coalesce(above, entry["company"])).otherwise(entry["company"])
-        return F.concat(done, F.array(entry.withField("company", name)))
-
-    empty = F.array().cast(
-        "array<struct<pos:int,company:string,cells:array<string>,whole:string>>")
-    return F.aggregate(entries, empty, step)
+def _carry_company(rows: DataFrame) -> DataFrame:
+    """Give rows marked as continued the company of the last row above that has its own."""
+    above = Window.partitionBy("_page").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = F.when(~F.col("company").contains(CARRY), F.col("company"))
+    return rows.withColumn("company", F.coalesce(F.last(own, ignorenulls=True).over(above), "company")).drop("_page")
 
 
 def ingest_job_lists(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
@@ -46,7 +41,7 @@ def ingest_job_lists(pages: DataFrame, key: str = "page_id", html: str = "html")
     whole = F.filter(rows, lambda r: F.size(_cells(r)) >= 5)
     entries = F.transform(whole, lambda r, i: F.struct(
         i.alias("pos"), _label(_cells(r)[0]).alias("company"), _cells(r).alias("cells"), r.alias("whole")))
-    df = pages.select(key, F.inline(_carry_company(entries)))
+    df = _carry_company(pages.withColumn("_page", F.monotonically_increasing_id()).select(key, "_page", F.inline(entries)))
     cell = lambda i: F.col("cells")[i]
     places = F.filter(F.transform(F.split(F.regexp_replace(
         cell(2), r"(?is)</?details>|<summary>.*?</summary>", ""), r"(?i)</?br\s*/?>"), _label), lambda p: p != "")
@@ -68,7 +63,7 @@ def ingest_markdown_lists(texts: DataFrame, key: str = "page_id", text: str = "t
         c, r"\[([^\]]*)\]\([^)]*\)", "$1"), r"\*\*|🔒|🛂|🇺🇸", ""))
     entries = F.transform(body, lambda c, i: F.struct(
         i.alias("pos"), plain(c[0]).alias("company"), c.alias("cells"), F.array_join(c, "|").alias("whole")))
-    df = texts.select(key, F.inline(_carry_company(entries)))
+    df = _carry_company(texts.withColumn("_page", F.monotonically_increasing_id()).select(key, "_page", F.inline(entries)))
     cell = lambda i: F.col("cells")[i]
     return df.select(
         key, "pos", "company", plain(cell(1)).alias("role"),

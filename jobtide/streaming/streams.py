@@ -3,21 +3,27 @@
 Results go to Parquet under the caller's folder. A micro-batch writes into its own
 directory and overwrites it when it is run again after a failure, so a lost
 executor or driver never counts anything twice. A stream that starts from a new
-checkpoint numbers its batches after those that are there.
+checkpoint numbers its batches after those that are there. What a stream has to remember for ever is a
+`StoredState`: each batch reads the keys it touches and a bounded tail.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 from operator import and_
 
+import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
-from ..operators.dedup import new_postings
+from ..operators.dedup import match_keys, new_postings
 from ..operators.keyed import keep_first, with_previous
+from ..plans import ingest
+from .state import StoredState
 
 BatchStep = Callable[[DataFrame, int], None]
 
@@ -30,7 +36,8 @@ def table_stream(spark: SparkSession, folder: str, schema: str, files: str = "*.
 
 
 def drain(stream: DataFrame, step: BatchStep, checkpoint: str, mode: str = "update") -> None:
-    """Process everything that has arrived, then stop."""
+    """Process everything that has arrived, then stop. Operators' state is kept off the heap."""
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     query = (stream.writeStream.outputMode(mode).foreachBatch(step)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
@@ -46,16 +53,20 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def batch_number(spark: SparkSession, path: str, batch_id: int) -> int:
+def batch_number(spark: SparkSession, path: str, batch_id: int, last: Callable[[], int] | None = None) -> int:
     """The number under which a micro-batch is stored: the same if it is run again, and after all batches of earlier checkpoints.
 
-    A stream keeps its query id as long as it keeps its checkpoint; the first number of each is noted beside the batches.
+    A stream keeps its query id as long as it keeps its checkpoint; the first number of each is noted beside the batches. `last`
+    gives the number of the last stored batch, where the folder's batch directories do not tell it.
     """
     note = f"{path}/_runs/{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}"
     start = _stored(spark, note)
     if start is None:
-        log = _stored(spark, path)
-        first = 0 if log is None else (log.agg(F.max("batch")).first()[0] or 0) + 1
+        if last is None:
+            log = _stored(spark, path)
+            first = 0 if log is None else (log.agg(F.max("batch")).first()[0] or 0) + 1
+        else:
+            first = last() + 1
         spark.range(first, first + 1, 1, 1).write.mode("overwrite").parquet(note)
         start = spark.read.parquet(note)
     return start.first()[0] + batch_id
@@ -83,38 +94,87 @@ def latest(table: DataFrame, keys: Sequence[str], batch: str = "batch") -> DataF
     return table.groupBy(*keys).agg(row).select(*keys, "_r.*")
 
 
-def ingest_stream(raw: DataFrame, table: str, checkpoint: str, canonical: Callable[[DataFrame], DataFrame],
-                  key: str = "content_hash", order: str = "seq") -> None:
-    """Landed batches to canonical rows, one row per key, kept as a change log.
+def latest_state(spark: SparkSession, folder: str, keys: Sequence[str], columns: str, **options: int) -> StoredState:
+    """State that keeps the last version of each row; `columns` are the keys and the others, without the batch."""
+    def fold(rows: DataFrame) -> DataFrame:
+        rest = [c for c in rows.columns if c not in (*keys, "batch")]
+        return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_r"), F.max("batch").alias("batch")).select(*keys, "_r.*", "batch")
+
+    return StoredState(spark, folder, keys, f"{columns}, batch long", fold, **options)
+
+
+def drain_to_state(stream: DataFrame, state: StoredState, checkpoint: str, mode: str = "update") -> DataFrame:
+    """Run an update-mode stream into stored state and read what is current; the log of updates is folded as it grows."""
+    def step(batch: DataFrame, batch_id: int) -> None:
+        number = batch_number(batch.sparkSession, state.folder, batch_id, state.last)
+        state.add(batch.withColumn("batch", F.lit(number).cast("long")), number)
+
+    drain(stream, step, checkpoint, mode)
+    return state.now().drop("batch")
+
+
+def posting_state(spark: SparkSession, folder: str, columns: str, key: str = "content_hash", **options: int) -> StoredState:
+    """One row per key: its first full row, when it was first and last seen, and in how many batches.
 
-    A batch adds full rows for unknown keys and short rows for known ones, so old
-    data is never rewritten. `current_table` folds the log into the table.
+    `columns` are those of the canonical rows without the key and the time.
     """
-    spark = raw.sparkSession
+    def fold(rows: DataFrame) -> DataFrame:
+        spans = ("first_seen_at", "last_seen_at", "sightings", "batch")
+        rest = [c for c in rows.columns if c not in (key, *spans)]
+        return rows.groupBy(key).agg(
+            F.min_by(F.struct(*rest), "batch").alias("_r"), F.min("first_seen_at").alias("first_seen_at"), F.max("last_seen_at").alias("last_seen_at"),
+            F.sum("sightings").alias("sightings"), F.min("batch").alias("batch")).select(key, "_r.*", *spans)
+
+    return StoredState(spark, folder, [key], f"{key} string, {columns}, first_seen_at timestamp, last_seen_at timestamp, sightings long, batch long", fold, **options)
+
+
+def sightings(rows: DataFrame, number: int, seen: str = "seen_at") -> DataFrame:
+    """Canonical rows of a batch as changes of a posting state."""
+    time = F.col(seen).cast("timestamp")
+    return rows.withColumns({"first_seen_at": time, "last_seen_at": time, "sightings": F.lit(1).cast("long"), "batch": F.lit(number).cast("long")}).drop(seen)
+
 
+def ingest_stream(raw: DataFrame, state: StoredState, checkpoint: str, canonical: Callable[[DataFrame], DataFrame],
+                  order: str = "seq") -> None:
+    """Landed batches to canonical rows, one row per key, folded into a posting state."""
     def step(batch: DataFrame, batch_id: int) -> None:
-        rows = keep_first(canonical(batch), [key], [order])
-        number = batch_number(batch.sparkSession, table, batch_id)
-        if number > 0:
-            before = (spark.read.parquet(table).filter(F.col("batch") < number)
-                      .filter("kind = 'insert'").select(key))
-            fresh = rows.join(before, key, "left_anti").withColumn("kind", F.lit("insert"))
-            again = rows.join(before, key, "left_semi").withColumn("kind", F.lit("touch"))
-            rows = fresh.unionByName(again)
-        else:
-            rows = rows.withColumn("kind", F.lit("insert"))
-        rows.write.mode("overwrite").parquet(f"{table}/batch={number}")
+        number = batch_number(batch.sparkSession, state.folder, batch_id, state.last)
+        state.add(sightings(keep_first(canonical(batch), state.keys, [order]), number), number)
 
     drain(raw, step, checkpoint, "append")
 
 
-def current_table(log: DataFrame, key: str = "content_hash", seen: str = "seen_at") -> DataFrame:
-    """Table state of a change log: the first full row, and when it was last seen."""
-    rest = [c for c in log.columns if c not in (key, seen, "kind", "batch")]
-    first = F.min_by(F.struct(*rest), F.when(F.col("kind") == "insert", F.col("batch"))).alias("_r")
-    return log.groupBy(key).agg(
-        first, F.min(seen).alias("first_seen_at"), F.max(seen).alias("last_seen_at"),
-        F.count("*").alias("sightings")).select(key, "_r.*", "first_seen_at", "last_seen_at", "sightings")
+def key_state(spark: SparkSession, folder: str, **options: int) -> StoredState:
+    """The owner of each match key: the posting that was taken in last."""
+    def fold(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("rank", "kind", "key").agg(F.max("original_id").alias("original_id"))
+
+    return StoredState(spark, folder, ["rank", "kind", "key"], "rank int, kind string, key string, original_id long", fold, **options)
+
+
+def job_stream(raw: DataFrame, sources: DataFrame, postings: StoredState, keys: StoredState, outcomes: str, checkpoint: str, seen: Column) -> None:
+    """The whole ingestion loop as a stream: gate, match by hash, id and URL, normalise, classify, insert or touch.
+
+    `postings` and `keys` hold what was taken in so far; a batch reads the match keys that it has itself. Every raw row is
+    noted with its outcome under `outcomes`. Postings are stored before the keys: a batch that is run again sees the keys as they were
+    before it, until it is done.
+    """
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        number = batch_number(spark, outcomes, batch_id, keys.last)
+        if keys.holds(number):
+            return
+        rows = ingest.gated(batch, sources)
+        known = keys.of(match_keys(rows.filter("blocked_reason is null"), "id"), before=number)
+        done = ingest.finished(rows, ingest.exact_matches(rows, known))
+        done.write.mode("overwrite").parquet(f"{outcomes}/batch={number}")
+        done = spark.read.parquet(f"{outcomes}/batch={number}")
+        accepted = done.filter("outcome = 'accepted'").withColumn("id", F.col("seq"))
+        first = keep_first(accepted, postings.keys, ["seq"]).withColumn("seen_at", seen)
+        postings.add(sightings(first, number), number)
+        keys.add(match_keys(accepted, "id").withColumnRenamed("id", "original_id"), number)
+
+    drain(raw, step, checkpoint, "append")
 
 
 def new_posting_stream(postings: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
@@ -122,20 +182,23 @@ def new_posting_stream(postings: DataFrame, key: str, ts: str, delay: str) -> Da
     return postings.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
-def alert_step(seen_path: str, alerts_path: str, key: str = "key", url: str = "url",
-               order: str = "seq") -> BatchStep:
-    """Exact form of the alert stream: keys are checked against a table of all seen keys."""
+def seen_state(spark: SparkSession, folder: str, key: str = "key", kind: str = "string", **options: int) -> StoredState:
+    """All keys that were ever seen."""
+    return StoredState(spark, folder, [key], f"{key} {kind}", lambda rows: rows.select(key).distinct(), **options)
+
+
+def alert_step(seen: StoredState, alerts_path: str, url: str = "url", order: str = "seq") -> BatchStep:
+    """Exact form of the alert stream: the keys of a batch are looked up among all keys ever seen."""
+    (key,) = seen.keys
+
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        number = batch_number(spark, alerts_path, batch_id)
-        if number > 0:
-            seen = spark.read.parquet(seen_path).filter(F.col("batch") < number).select(key)
-        else:
-            seen = batch.select(key).limit(0)
-        fresh = new_postings(batch, seen, key, url, order)
+        number = batch_number(spark, alerts_path, batch_id, seen.last)
+        if seen.holds(number):
+            return
+        fresh = new_postings(batch, seen.of(batch, before=number), key, url, order)
         fresh.write.mode("overwrite").parquet(f"{alerts_path}/batch={number}")
-        done = spark.read.parquet(f"{alerts_path}/batch={number}")
-        done.select(key).write.mode("overwrite").parquet(f"{seen_path}/batch={number}")
+        seen.add(spark.read.parquet(f"{alerts_path}/batch={number}"), number)
 
     return step
 
@@ -155,32 +218,97 @@ def unique_viewer_stream(events: DataFrame, key: str, delay: str, user: str = "u
             .dropDuplicatesWithinWatermark([key, "day", user]).select(key, "day", user, "hour"))
 
 
+def daily_viewer_stream(events: DataFrame, key: str, delay: str, user: str = "user_id", ts: str = "ts") -> DataFrame:
+    """Distinct viewers per entity and day, in append mode: viewers once by the hour and once by the day, then counted.
+
+    Three stateful operators follow each other; a day is emitted once the watermark has passed it.
+    """
+    first = unique_viewer_stream(events, key, delay, user, ts)
+    return first.groupBy(F.window("hour", "1 day").alias("w"), key).agg(F.count("*").alias("viewers")).select(key, F.to_date("w.start").alias("day"), "viewers")
+
+
 def online_stream(events: DataFrame, delay: str, user: str = "user_id", ts: str = "ts") -> DataFrame:
     """Last sight of each user per hour, in update mode; the last write wins, rows later than `delay` do not count."""
     return (events.withWatermark(ts, delay).groupBy(F.window(ts, "1 hour").alias("w"), user)
             .agg(F.max(ts).alias("last_seen")).select(user, F.col("w.start").alias("hour"), "last_seen"))
 
 
-def toggle_step(path: str, keys: Sequence[str], ts: str = "ts", value: str = "active",
-                tie: str = "event_id") -> BatchStep:
-    """On/off events that really change a state, with +1 or -1, as a change log.
+MINUTE = 60_000
+
+
+class MinuteFlush(StatefulProcessor):
+    """Keeps a user's last sight in each minute that is not over yet; a timer hands the minute out and forgets it."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getMapState("last", "minute long", "seen long")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        past = timerValues.getCurrentWatermarkInMs()
+        for part in rows:
+            latest = part["seen"].groupby(part["seen"] // (1000 * MINUTE) * MINUTE).max()
+            for minute, seen in latest.items():
+                if minute + MINUTE <= past:
+                    continue  # too late: handed out already
+                before = self.last.getValue((minute,))
+                if before is None:
+                    self.handle.registerTimer(minute + MINUTE)
+                if before is None or before[0] < seen:
+                    self.last.updateValue((minute,), (int(seen),))
+        yield from ()
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        minute = expiredTimerInfo.getExpiryTimeInMs() - MINUTE
+        (seen,) = self.last.getValue((minute,))
+        self.last.removeKey((minute,))
+        yield pd.DataFrame({"user_id": pd.array([key[0]], "Int64"), "minute_ms": [minute], "seen": [seen]})
 
-    The state of a key is its last change in the log. Within a batch rows are
-    compared per key and hour, so a busy key is spread over tasks.
+    def close(self) -> None:
+        pass
+
+
+def minute_flush_stream(events: DataFrame, delay: str, user: str = "user_id", ts: str = "ts") -> DataFrame:
+    """Last sight of each user in each minute, handed out once the minute is over, in append mode.
+
+    The last write wins. A user's open minutes are keyed state with a timer each; rows later than `delay` do not count.
     """
+    seen = events.select(F.col(user).cast("long").alias("user_id"), F.col(ts).cast("timestamp").alias("ts")).withColumn("seen", F.unix_micros("ts"))
+    flushed = seen.withWatermark("ts", delay).groupBy("user_id").transformWithStateInPandas(
+        MinuteFlush(), "user_id long, minute_ms long, seen long", "append", "eventTime")
+    return flushed.select("user_id", F.timestamp_millis("minute_ms").alias("minute"), F.timestamp_micros("seen").alias("last_seen"))
+
+
+def toggle_state(spark: SparkSession, folder: str, keys: Sequence[str], columns: str, ts: str = "ts", value: str = "active",
+                 tie: str = "event_id", **options: int) -> StoredState:
+    """The last change of each switch; `columns` are the keys, the time, the tie and the value."""
+    def fold(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.max_by(F.struct(ts, tie, value, "batch"), F.struct("batch", ts, tie)).alias("_r")).select(*keys, "_r.*")
+
+    return StoredState(spark, folder, keys, f"{columns}, batch long", fold, **options)
+
+
+def toggle_step(path: str, state: StoredState, ts: str = "ts", value: str = "active", tie: str = "event_id") -> BatchStep:
+    """On/off events that really change a switch, with +1 or -1, as a change log.
+
+    A batch looks up the last change of its own keys. Within it rows are compared per key and hour, so a busy key is spread over
+    tasks.
+    """
+    keys = state.keys
+
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        number = batch_number(spark, path, batch_id, state.last)
+        if state.holds(number):
+            return
         rows = batch.withColumn("_hour", F.date_trunc("hour", ts))
         marked = with_previous(rows, keys, [ts, tie], value, "_hour", "_before").drop("_hour")
-        number = batch_number(spark, path, batch_id)
-        if number > 0:
-            log = spark.read.parquet(path).filter(F.col("batch") < number)
-            state = log.groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys]).agg(F.max_by(value, F.struct("batch", ts, tie)).alias("_state"))
-            same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
-            marked = marked.join(state, same, "left").withColumn(
-                "_before", F.coalesce("_before", "_state")).drop("_state", *[f"_of_{k}" for k in keys])
+        before = state.of(batch, before=number).select(*[F.col(k).alias(f"_of_{k}") for k in keys], F.col(value).alias("_state"))
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+        marked = marked.join(before, same, "left").withColumn("_before", F.coalesce("_before", "_state"))
         changed = F.col("_before").isNull() | (F.col("_before") != F.col(value))
         out = marked.filter(changed).withColumn("diff", F.when(F.col(value), 1).otherwise(-1))
         out.select(*keys, ts, tie, value, "diff").write.mode("overwrite").parquet(f"{path}/batch={number}")
+        done = spark.read.parquet(f"{path}/batch={number}").withColumn("batch", F.lit(number).cast("long"))
+        state.add(state.fold(done), number)
 
     return step
