@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .encode import slices
+from .frames import numbered, restored
 from .words import text_bytes
 
 Q, RATE = 8, 0.1
@@ -110,8 +112,11 @@ class Index:
         first = first[enough]
         return text[first], item[first], (band[first] << self.band[item[first]]) - (1 << 40)
 
-    def align(self, items: list[int], regions: list[tuple[np.ndarray, int]]) -> list[tuple[int, int, int]]:
-        """(edits, start, end) of each item's best place in its text near a diagonal: a band of cells, all pairs at once."""
+    def align(self, items: list[int], regions: list[tuple[np.ndarray, int]]) -> list[list[tuple[int, int, int]]]:
+        """(edits, start, end) of each item's places in its text near a diagonal, the best start of every end within the budget.
+
+        A band of cells per pair, all pairs at once.
+        """
         patterns, k = [_points(self.texts[i]) for i in items], self.budget[items]
         m, width, n = self.m[items], int((1 << self.band[items]).max()) + 3 * int(k.max()) + 2, len(items)
         wanted, texts = np.full((n, m.max()), -2, np.int64), np.full((n, m.max() + width), -1, np.int64)
@@ -124,7 +129,7 @@ class Index:
         ends = np.array([len(p) for p, _ in regions])[:, None]
         place = low[:, None] + x
         cells = np.where((place >= 0) & (place <= ends), place, away)  # cost above, start below
-        edge, out = np.full((n, 1), away), [(0, 0, 0)] * n
+        edge, out = np.full((n, 1), away), [[] for _ in range(n)]
         for i in range(1, int(m.max()) + 1):
             place += 1
             real = (place >= 0) & (place <= ends)
@@ -133,45 +138,79 @@ class Index:
             cells = np.minimum.accumulate(np.where(real, np.minimum(up, across), away) - x * step, axis=1) + x * step
             cells = np.where(real, cells, away)
             for row in np.flatnonzero(m == i).tolist():
-                c = int(cells[row].argmin())
-                out[row] = (int(cells[row, c] >> 32), int(cells[row, c] & (step - 1)), int(place[row, c]))
+                near = np.flatnonzero(cells[row] >> 32 <= k[row])
+                out[row] = [(int(cells[row, c] >> 32), int(cells[row, c] & (step - 1)), int(place[row, c])) for c in near]
         return out
 
     def find(self, texts: list[bytes]) -> list[tuple[int, int, int, int, int]]:
-        """(text, item, start, end, edits) of every place within an item's budget, in characters; the best of those that overlap."""
+        """(text, item, start, end, edits) of every place within an item's budget, in characters; the best of those that overlap.
+
+        Of overlapping places the one with fewer edits stays, then the one that starts, then the one that ends first. Places are taken
+        in that order, and each that overlaps none taken before is one of the result.
+        """
         plain = [folded(t.decode("utf-8", "replace")) for t in texts]
         data = b"\0".join(map(_bytes, plain))
         starts = np.cumsum([0, *(len(t) + 1 for t in plain)])
-        found: list[tuple[int, int, int, int, int]] = []
         text, item, diagonal = self.candidates(data, starts)
-        todo = []
-        for t, i, d in zip(text.tolist(), item.tolist(), diagonal.tolist(), strict=True):
-            k, m = int(self.budget[i]), int(self.m[i])
-            at = plain[t].find(self.texts[i], max(0, d - k), max(0, d + (1 << int(self.band[i])) + 2 * k + m))
-            if at >= 0:
-                found.append((t, i, at, at + m, 0))  # unchanged: nothing to align
-            else:
-                todo.append((t, i, d))
+        bands = list(zip(text.tolist(), item.tolist(), diagonal.tolist(), strict=True))
+        same = [self._unchanged(plain[t], i, d) for t, i, d in bands]
+        taken = _Places()
+        for t, i, at in sorted({(t, i, at) for (t, i, _), places in zip(bands, same, strict=True) for at in places}):
+            taken.add(t, i, at, at + int(self.m[i]), 0)
+        # Two places of one band overlap if the item is longer than the band: then a place that is taken settles it.
+        width = (1 << self.band) + 3 * self.budget
+        todo = [band for band, places in zip(bands, same, strict=True)
+                if self.m[band[1]] <= width[band[1]] or not any(taken.has(band[0], band[1], at) for at in places)]
         todo.sort(key=lambda r: self.m[r[1]])
         points = {t: _points(plain[t]) for t in {r[0] for r in todo}}
+        near = set()
         for at in range(0, len(todo), 128):
             part = todo[at : at + 128]
-            for (t, i, _), (edits, a, b) in zip(part, self.align([r[1] for r in part], [(points[r[0]], r[2]) for r in part]), strict=True):
-                if edits <= self.budget[i]:
-                    found.append((t, i, a, b, edits))
+            for (t, i, _), places in zip(part, self.align([r[1] for r in part], [(points[r[0]], r[2]) for r in part]), strict=True):
+                near.update((t, i, edits, a, b) for edits, a, b in places)
+        for t, i, edits, a, b in sorted(near):
+            taken.add(t, i, a, b, edits)
         for i in self.short:  # shorter than a q-gram: exact places
             for t, words in enumerate(plain):
                 at = words.find(self.texts[i])
                 while at >= 0:
-                    found.append((t, i, at, at + len(self.texts[i]), 0))
+                    taken.add(t, i, at, at + len(self.texts[i]), 0)
                     at = words.find(self.texts[i], at + len(self.texts[i]))
-        out: list[tuple[int, int, int, int, int]] = []
-        for row in sorted(found, key=lambda r: (r[0], r[1], r[4], r[2], r[3])):
-            if not any(o[:2] == row[:2] and row[2] < o[3] and o[2] < row[3] for o in out[-8:]):
-                out.append(row)
+        return taken.rows()
+
+    def _unchanged(self, text: str, item: int, diagonal: int) -> list[int]:
+        """Every start of an item as it is, in the reach of a band."""
+        k, m = int(self.budget[item]), int(self.m[item])
+        out, end = [], max(0, diagonal + (1 << int(self.band[item])) + 2 * k + m)
+        at = text.find(self.texts[item], max(0, diagonal - k), end)
+        while at >= 0:
+            out.append(at)
+            at = text.find(self.texts[item], at + 1, end)
         return out
 
 
+class _Places:
+    """Places by text and item, none of which overlap."""
+
+    def __init__(self) -> None:
+        self.held: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+
+    def add(self, text: int, item: int, start: int, end: int, edits: int) -> None:
+        """Takes a place if it overlaps none that is held; two of them meet a place at most on either side."""
+        held = self.held.setdefault((text, item), [])
+        at = bisect_left(held, (start,))
+        if not (at and held[at - 1][1] > start) and not (at < len(held) and held[at][0] < end):
+            held.insert(at, (start, end, edits))
+
+    def has(self, text: int, item: int, start: int) -> bool:
+        held = self.held.get((text, item), [])
+        at = bisect_left(held, (start,))
+        return at < len(held) and held[at][0] == start
+
+    def rows(self) -> list[tuple[int, int, int, int, int]]:
+        return [(*key, *place) for key, places in sorted(self.held.items()) for place in places]
+
+
 def _indexes(benchmark: DataFrame, q: int, rate: float, item_bytes: int) -> Iterator[Index]:
     """The benchmark in parts whose size is measured first, so that each is small enough to travel with a task."""
     total = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -183,7 +222,7 @@ def _indexes(benchmark: DataFrame, q: int, rate: float, item_bytes: int) -> Iter
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE, item_bytes: int = ITEM_BYTES) -> DataFrame:
-    """One row per document and place of a benchmark item: doc_id, item_id, start, end (characters), edits.
+    """One row per document and place of a benchmark item: doc_id, item_id, start, end (characters), edits; places of an item do not overlap.
 
     An item is found where it can be turned into a stretch of the text by at most `rate` edits per character, in lower case. Then the two
     share at least m + 1 - q (k + 1) q-grams on k + 1 neighbouring diagonals, so only bands that do are aligned. Items too short for the
@@ -217,7 +256,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE, item_bytes: int = ITEM_BYTES) -> DataFrame:
     """The documents in which no benchmark item is found; all columns of the input stay."""
-    at = docs.columns.index("text")
+    at, columns, docs = docs.columns.index("text"), docs.columns, numbered(docs)
     for index in _indexes(benchmark, q, rate, item_bytes):
         def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -228,4 +267,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: f
                 yield batch.filter(pa.array(clean))
 
         docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    return restored(docs, columns)

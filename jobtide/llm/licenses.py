@@ -99,8 +99,10 @@ def known_pattern() -> str:
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, sentence_ids, licences): what each document's known sentences are, in order, and what they say.
 
-    A rule that starts with the same licence as an earlier one that matched adds nothing. Needs `doc_id` and `text`; other columns are ignored.
-    Null and empty texts, and texts without a known sentence, have empty lists; repeated rows are reported each; an empty table gives no rows.
+    Rules are tried in order. A match takes the nearest sentences that complete it, and a sentence that a match has taken belongs to no
+    later rule: the text of a longer licence does not also count as a shorter one that it holds. Needs `doc_id` and `text`; other
+    columns are ignored. Null and empty texts, and texts without a known sentence, have empty lists; repeated rows are reported each;
+    an empty table gives no rows.
     """
     known = known_sentences()
     table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
@@ -108,33 +110,54 @@ def scan(docs: DataFrame) -> DataFrame:
     hits = F.regexp_extract_all(cut(text), F.lit(known_pattern()), F.lit(0))
     names = F.transform(hits, lambda s: F.element_at(table, F.translate(s, _CUT + _LINE, "  ")))
     ids = F.when(F.lower(text).rlike(TRIGGERS), names).otherwise(F.expr("cast(array() as array<string>)"))
-    rows = docs.select("doc_id", ids.alias("ids")).select("doc_id", F.array_join("ids", ",").alias("sentence_ids"))
-    line = F.concat(F.lit(","), F.col("sentence_ids"), F.lit(","))
-    licences = F.array_distinct(F.filter(F.array(*[F.when(line.rlike(_pattern(sequence)), F.lit(name)) for name, _, sequence in RULES]), lambda x: x.isNotNull()))
-    return rows.select("doc_id", "sentence_ids", F.when(F.col("sentence_ids") == "", F.lit("")).otherwise(F.array_join(licences, ",")).alias("licences"))
+    line = F.array_join(F.transform("ids", lambda s: F.concat(F.lit(","), s, F.lit(","))), "")
+    rows = docs.select("doc_id", ids.alias("ids")).select("doc_id", F.array_join("ids", ",").alias("sentence_ids"), line.alias("line"), F.lit("").alias("found"))
+    for name, _, sequence in RULES:
+        hit = F.col("line").rlike(_pattern(sequence))
+        rows = rows.select("doc_id", "sentence_ids", F.regexp_replace("line", _pattern(sequence), _others(sequence, "$")).alias("line"),
+                           F.when(hit, F.concat("found", F.lit(f"{name},"))).otherwise(F.col("found")).alias("found"))
+    licences = F.array_join(F.array_distinct(F.filter(F.split("found", ","), lambda x: x != "")), ",")
+    return rows.select("doc_id", "sentence_ids", licences.alias("licences"))
 
 
 def _pattern(sequence: list[str]) -> str:
-    return "," + ",(.*,)?".join(sequence) + ","
+    """The sentences of a rule, and as few others between them as can be."""
+    return "((?:,[^,]+,)*?)".join(f",{name}," for name in sequence)
+
+
+def _others(sequence: list[str], mark: str) -> str:
+    """What stands between the sentences of a match."""
+    return "".join(f"{mark}{i}" for i in range(1, len(sequence)))
 
 
 def sql_twin() -> str:
-    """The scan as DuckDB SQL, without sentences that a mark inside them or a wrapped line cuts."""
+    """The scan as DuckDB SQL. That dialect's patterns cannot look around, so each cut is doubled: one for either neighbour."""
     quoted = lambda s: "'" + s.replace("'", "''") + "'"
     known = known_sentences()
     texts, names = ("[" + ", ".join(map(quoted, x)) + "]" for x in (known, known.values()))
-    arms = ", ".join(f"case when regexp_matches(line, {quoted(_pattern(sequence))}) then {quoted(name)} end" for name, _, sequence in RULES)
+    cuts = {_CUT: "chr(30)", _EMPTY: "chr(29)", _LINE: "chr(31)"}
+    sentences = sorted((s for found in SENTENCES.values() for s in found), key=lambda s: -len(_plain(s)))
+    wrapped = lambda words: _plain(words).replace(" ", "(?: |\x1F\x1F)")
+    spelled = "|".join("(?: |\x1E\x1E|\x1F\x1F)".join(map(wrapped, re.split("(?<=[.!?;:])[ \t\r\n]+", s))) for s in sentences)
+    steps = "".join(f""",
+step{i} as (select doc_id, sentence_ids, regexp_replace(line, {quoted(_pattern(sequence))}, {quoted(_others(sequence, chr(92)))}, 'g') as line,
+  found || case when regexp_matches(line, {quoted(_pattern(sequence))}) then [{quoted(name)}] else [] end as found from step{i - 1})""" for i, (name, _, sequence) in enumerate(RULES, 1))
+    doubled = "cut"
+    for c in cuts.values():
+        doubled = f"replace({doubled}, {c}, {c} || {c})"
+    single = "s"
+    for c in (cuts[_CUT], cuts[_LINE]):
+        single = f"replace({single}, {c} || {c}, ' ')"
     return f"""
-with pieces as (
-  select doc_id, string_split(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''),
-      '([.!?;:])[ \\t\\r\\n]+', '\\1' || chr(30), 'g'), '\\n[ \\t\\r]*\\n[ \\t\\r\\n]*', chr(30), 'g'),
-      '\\n([A-Z0-9(*-])', chr(30) || '\\1', 'g'), chr(30)) as parts from documents),
-plain as (
-  select doc_id, list_transform(parts, lambda s: trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))) as parts from pieces),
-named as (
-  select doc_id, array_to_string(list_transform(list_filter(parts, lambda s: list_contains({texts}, s)),
-      lambda s: list_extract({names}, list_position({texts}, s))), ',') as sentence_ids from plain),
-lines as (select doc_id, coalesce(sentence_ids, '') as sentence_ids, ',' || coalesce(sentence_ids, '') || ',' as line from named),
-found as (select doc_id, sentence_ids, list_filter([{arms}], lambda x: x is not null) as all_found from lines)
-select doc_id, sentence_ids, case when sentence_ids = '' then '' else
-  coalesce(array_to_string(list_filter(all_found, lambda x, i: list_position(all_found, x) = i), ','), '') end as licences from found"""
+with marked as (
+  select doc_id, regexp_replace(regexp_replace(regexp_replace(translate(coalesce(text, ''), chr(29) || chr(31), '__'),
+      '([.!?;:])[ \t\r\n]+', '\\1' || chr(30), 'g'), '\n[ \t\r]*\n[ \t\r\n]*', chr(29), 'g'),
+      '\n([A-Z0-9(*-])', chr(31) || '\\1', 'g') as text from documents),
+cuts as (
+  select doc_id, trim(regexp_replace(regexp_replace(lower(text), '[^a-z0-9\x1D\x1E\x1F]+', ' ', 'g'), ' ?([\x1D\x1E\x1F]) ?', '\\1', 'g')) as cut from marked),
+hits as (
+  select doc_id, regexp_extract_all({doubled}, {quoted(f"(?:^|[\x1D\x1E\x1F])({spelled})(?:$|[\x1D\x1E\x1F])")}, 1) as found from cuts),
+named as (select doc_id, list_transform(found, lambda s: list_extract({names}, list_position({texts}, {single}))) as ids from hits),
+step0 as (select doc_id, coalesce(array_to_string(ids, ','), '') as sentence_ids, coalesce(array_to_string(list_transform(ids, lambda s: ',' || s || ','), ''), '') as line,
+  cast([] as varchar[]) as found from named){steps}
+select doc_id, sentence_ids, coalesce(array_to_string(list_filter(found, lambda x, i: list_position(found, x) = i), ','), '') as licences from step{len(RULES)}"""

@@ -1,4 +1,4 @@
-"""Language-model scores from an n-gram trie of Elias-Fano levels, spread over buckets of contexts."""
+"""Language-model scores from an n-gram trie of reversed contexts, spread over buckets of last context words."""
 
 from __future__ import annotations
 
@@ -8,11 +8,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import kept
+from ..session import work_path
 from . import blocks
 from .eliasfano import EliasFano
 from .words import Hasher, mix, text_bytes
@@ -21,351 +22,463 @@ ORDER, PRIOR = 3, 8.0
 END = np.uint64(0x5851F42D4C957F2D)  # the end mark, beside all word hashes
 BLOCK_BYTES = 8 << 20
 STEPS, LACKING = 36.0, 65535  # steps of a quantised log10 probability (two bytes: below any count's share), and the code of what a trie lacks
-SUCCESSOR_BITS = 40
 ADD = 0.1
 
 
-def joined(context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """The hash of a context with one more word."""
-    return mix(context * np.uint64(0xD6E8FEB86659FD93) + word)
+def quantised(p: np.ndarray) -> np.ndarray:
+    return np.minimum(np.rint(-np.log10(p) * STEPS), LACKING - 1).astype(np.uint16)
+
+
+def unquantised(codes: np.ndarray) -> np.ndarray:
+    """The probabilities; zero for what a trie lacks."""
+    return np.where(codes == LACKING, 0.0, 10.0 ** (codes.astype(np.float64) / -STEPS))
+
+
+def _firsts(*sorted_keys: np.ndarray) -> np.ndarray:
+    """Where a run of equal keys begins."""
+    new = np.ones(len(sorted_keys[0]), bool)
+    if len(new):
+        new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in sorted_keys])
+    return np.flatnonzero(new)
+
 
+def _runs(first: np.ndarray, n: int) -> np.ndarray:
+    """The run of each of n places."""
+    return np.repeat(np.arange(len(first)), np.diff(np.append(first, n)))
 
-class Level:
-    """One level of the trie: contexts, pointers to their successors, and a quantised probability for each.
 
-    The arrays lie in one memory-mapped file. A successor is stored relative to its context: after the context's
-    number, so that all successors are one monotone sequence, and it is searched inside the context's range only.
+class Children:
+    """One level of the trie: what hangs below each node of the level above, in order, with a code each.
+
+    A child's word is stored relative to its parent, after the parent's number: so all children are one monotone sequence, and a word is
+    sought as a successor inside the range that the parent's pointers name.
     """
 
-    def __init__(self, contexts: np.ndarray, words: np.ndarray, codes: np.ndarray, folder: str) -> None:
-        new = np.ones(len(contexts), bool)
-        new[1:] = contexts[1:] != contexts[:-1]
-        number = np.cumsum(new) - 1
-        first = np.append(np.flatnonzero(new), len(contexts)).astype(np.uint64)
-        self.bits = SUCCESSOR_BITS
-        stored = (number.astype(np.uint64) << np.uint64(self.bits)) | words
-        pieces = [EliasFano.of(contexts[new], 64), EliasFano.of(first, max(1, len(contexts)).bit_length() + 1),
-                  EliasFano.of(stored, self.bits + max(1, int(new.sum())).bit_length())]
-        self.path = os.path.join(folder, "level")
-        with open(self.path, "wb") as out:
-            for array in [*(a for p in pieces for a in (p.upper, p.lower)), codes]:
-                raw = np.ascontiguousarray(array).tobytes()
-                out.write(raw + bytes(-len(raw) % 8))
-            out.write(bytes(8))
-        mapped, at, views = np.memmap(self.path, np.uint8, "r"), 0, []
-        for array in [*(a for p in pieces for a in (p.upper, p.lower)), codes]:
-            views.append(mapped[at : at + array.nbytes].view(array.dtype))
-            at += array.nbytes + -array.nbytes % 8
-        self.contexts, self.pointers, self.successors = (
-            EliasFano(p.n, p.low, views[2 * i], views[2 * i + 1]) for i, p in enumerate(pieces))
-        self.codes = views[6]
-
-    def find(self, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """The code of each pair, `LACKING` where the trie lacks it. Neighbours of equal context share its search."""
-        out = np.full(len(contexts), LACKING, np.uint16)
-        if not len(contexts) or not self.contexts.n:
+    def __init__(self, parents: np.ndarray, n_parents: int, words: np.ndarray, codes: np.ndarray, word_bits: int) -> None:
+        self.bits = np.uint64(word_bits)
+        first = np.searchsorted(parents, np.arange(n_parents + 1)).astype(np.uint64)
+        self.sequences = [EliasFano.of(first, max(1, len(words)).bit_length() + 1),
+                          EliasFano.of((parents.astype(np.uint64) << self.bits) | words, word_bits + max(1, n_parents).bit_length())]
+        self.codes = codes
+
+    def arrays(self) -> list[np.ndarray]:
+        return [*(a for s in self.sequences for a in (s.upper, s.lower)), self.codes]
+
+    def mapped(self, views: list[np.ndarray]) -> None:
+        self.sequences = [EliasFano(s.n, s.low, views[2 * i], views[2 * i + 1]) for i, s in enumerate(self.sequences)]
+        self.codes = views[4]
+
+    def find(self, parents: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """The places of words below nodes (-1: no such node), -1 where there is none. Parents ascend."""
+        out = np.full(len(parents), -1, np.int64)
+        pointers, children = self.sequences
+        have = np.flatnonzero(parents >= 0)
+        if not len(have) or not children.n:
             return out
-        new = np.concatenate(([True], contexts[1:] != contexts[:-1]))
-        run, different = np.cumsum(new) - 1, contexts[new]
-        at = self.contexts.successor(different)
-        known = at < self.contexts.n
-        known[known] = self.contexts.get(at[known]) == different[known]
-        end = np.zeros(len(at), np.int64)
-        end[known] = self.pointers.get(at[known] + 1)
-        have = np.flatnonzero(known[run])
-        wanted = (at[run[have]].astype(np.uint64) << np.uint64(self.bits)) | words[have]
-        place = self.successors.successor(wanted)
-        ok = place < end[run[have]]
-        ok[ok] = self.successors.get(place[ok]) == wanted[ok]
-        out[have[ok]] = self.codes[place[ok]]
+        mine = parents[have]
+        first = _firsts(mine)
+        end = pointers.get(mine[first] + 1).astype(np.int64)[_runs(first, len(mine))]
+        wanted = (mine.astype(np.uint64) << self.bits) | words[have]
+        place = children.successor(wanted)
+        ok = place < end
+        ok[ok] = children.get(place[ok]) == wanted[ok]
+        out[have[ok]] = place[ok]
         return out
 
+    def code(self, places: np.ndarray) -> np.ndarray:
+        out = np.full(len(places), LACKING, np.uint16)
+        out[places >= 0] = self.codes[places[places >= 0]]
+        return out
 
-def quantised(p: np.ndarray) -> np.ndarray:
-    return np.minimum(np.rint(-np.log10(p) * STEPS), LACKING - 1).astype(np.uint16)
-
-
-def unquantised(codes: np.ndarray) -> np.ndarray:
-    return 10.0 ** (codes.astype(np.float64) / -STEPS)
 
+class Trie:
+    """A bucket's grams by reversed context, in one memory-mapped file of Elias-Fano sequences.
 
-class _Tokens:
-    """A block's tokens: each text's words and an end mark, with the place inside the text."""
+    The root holds the last context words. Below each are the words before it (`longer`), whose codes say what a context leaves to the
+    shorter one, and the words after it (`after`). Below each longer context are the words after that (`after_longer`). Codes of
+    words after a context are their count over the context's count and the prior.
+    """
 
-    def __init__(self, texts: list[bytes], held: np.ndarray) -> None:
-        _, _, _, hashes, first = Hasher().documents([t.lower() for t in texts])
-        self.n = np.diff(first) + 1
-        self.token = np.insert(hashes, first[1:], END)
-        self.owner = np.repeat(np.arange(len(texts)), self.n)
-        self.place = np.arange(len(self.token)) - np.repeat(np.cumsum(self.n) - self.n, self.n)
-        self.trains = ~held[self.owner]
+    def __init__(self, last: np.ndarray, before: np.ndarray, word: np.ndarray, count: np.ndarray, prior: float, bits: int, folder: str,
+                 known: dict[int, int] | None = None) -> None:
+        """Of training grams (last context word, the one before it, the word), each once and in order.
+
+        `known` has the counts of last context words whose grams are not all here.
+        """
+        roots, nodes = _firsts(last), _firsts(last, before)
+        root, node = _runs(roots, len(last)), _runs(nodes, len(last))
+        held = np.add.reduceat(count, nodes) if len(nodes) else count
+        order = np.lexsort((word, root))
+        pairs = _firsts(root[order], word[order])
+        both = np.add.reduceat(count[order], pairs) if len(pairs) else count
+        of, total = root[order][pairs], np.add.reduceat(count, roots) if len(roots) else count
+        if known is not None:
+            total = np.array([known[x] for x in last[roots].tolist()], np.int64)
+        self.roots = EliasFano.of(last[roots], bits)
+        self.longer = Children(root[nodes], len(roots), before[nodes], quantised(prior / (held + prior)), bits)
+        self.after = Children(of, len(roots), word[order][pairs], quantised(both / (total[of] + prior)), bits)
+        self.after_longer = Children(node, len(nodes), word, quantised(count / (held[node] + prior)), bits)
+        levels = [self.longer, self.after, self.after_longer]
+        arrays = [self.roots.upper, self.roots.lower, *(a for level in levels for a in level.arrays())]
+        path = os.path.join(folder, "trie")
+        with open(path, "wb") as out:
+            for array in arrays:
+                raw = np.ascontiguousarray(array).tobytes()
+                out.write(raw + bytes(-len(raw) % 8))
+            out.write(bytes(8))
+        file, at, views = np.memmap(path, np.uint8, "r"), 0, []
+        for array in arrays:
+            views.append(file[at : at + array.nbytes].view(array.dtype))
+            at += array.nbytes + -array.nbytes % 8
+        self.roots = EliasFano(self.roots.n, self.roots.low, views[0], views[1])
+        for i, level in enumerate(levels):
+            level.mapped(views[2 + 5 * i : 7 + 5 * i])
 
-    def grams(self, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Tokens that have order - 1 tokens of context (the end mark stands before a text), their contexts and places."""
-        at = np.flatnonzero(self.place >= order - 2)
-        context = np.full(len(at), END, np.uint64)
-        for back in range(order - 1, 0, -1):
-            word = np.where(self.place[at] - back >= 0, self.token[np.maximum(at - back, 0)], END)
-            context = joined(context, word)
-        return at, context, self.token[at]
+    def root(self, words: np.ndarray) -> np.ndarray:
+        """The nodes of last context words, -1 where there is none."""
+        place = self.roots.successor(words)
+        ok = place < self.roots.n
+        ok[ok] = self.roots.get(place[ok]) == words[ok]
+        return np.where(ok, place, -1)
 
 
 def _planes(numbers: np.ndarray) -> bytes:
-    """The lowest bytes of all numbers, then the next ones, compressed; small counts take little room."""
+    """The lowest bytes of all numbers, then the next ones, compressed; small numbers take little room."""
     raw = np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), numbers.itemsize).T.tobytes()
     packed = pa.compress(raw, codec="zstd", asbytes=True)
-    return np.array([len(packed)], "<u4").tobytes() + packed
-
-
-def _read_planes(data: bytes, kind: str, n: int, at: int) -> tuple[np.ndarray, int]:
-    """The numbers, and where the next piece begins."""
-    size = np.dtype(kind).itemsize
-    end = at + 4 + int(np.frombuffer(data, "<u4", 1, at)[0])
-    raw = pa.decompress(data[at + 4 : end], decompressed_size=n * size, codec="zstd", asbytes=True)
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, n).T).view(kind).reshape(n), end
-
+    return np.array([len(numbers), len(packed)], "<u4").tobytes() + packed
+
+
+def _read_planes(data: bytes, at: int, *kinds: str) -> tuple[list[np.ndarray], int]:
+    """Consecutive pieces, and where the next one begins."""
+    out = []
+    for kind in kinds:
+        n, length = np.frombuffer(data, "<u4", 2, at).tolist()
+        size, at = np.dtype(kind).itemsize, at + 8
+        raw = pa.decompress(data[at : at + length], decompressed_size=n * size, codec="zstd", asbytes=True)
+        out.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, n).T).view(kind).reshape(n))
+        at += length
+    return out, at
+
+
+class Grams:
+    """Grams (last context word, the one before it, the word, training count) in order, as they travel: every context once."""
+
+    def __init__(self, last: np.ndarray, before: np.ndarray, word: np.ndarray, count: np.ndarray) -> None:
+        self.last, self.before, self.word, self.count = last, before, word, count
+        self.roots, self.nodes = _firsts(last), _firsts(last, before)
+
+    def pack(self) -> bytes:
+        n = len(self.last)
+        root = _runs(self.roots, n)[self.nodes] if n else self.nodes
+        return b"".join(_planes(x) for x in (
+            self.last[self.roots].astype("<u8"), np.bincount(root, minlength=len(self.roots)).astype("<u4"),
+            self.before[self.nodes].astype("<u8"), np.diff(np.append(self.nodes, n)).astype("<u4"), self.word.astype("<u8"), self.count.astype("<u4")))
+
+    @classmethod
+    def unpack(cls, data: bytes, at: int = 0) -> tuple[Grams, int]:
+        (last, nodes, before, words, word, count), at = _read_planes(data, at, "<u8", "<u4", "<u8", "<u4", "<u8", "<u4")
+        return cls(np.repeat(np.repeat(last, nodes), words), np.repeat(before, words), word, count), at
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """One gram of each (last context word, word), in order of both; and which of them each gram has."""
+        order = np.lexsort((self.word, _runs(self.roots, len(self.last))))
+        first = _firsts(self.last[order], self.word[order])
+        where = np.empty(len(order), np.int64)
+        where[order] = _runs(first, len(order))
+        return order[first], where
 
-def _pack_words(words: np.ndarray, counts: np.ndarray) -> bytes:
-    return np.array([len(words)], "<u4").tobytes() + words.astype("<u8").tobytes() + _planes(counts.astype("<u4"))
 
+def _count_words(payloads: list[bytes]) -> list[bytes]:
+    """Adds up the training counts of each word and tells each block the counts of its words and their numbers; last the bucket's totals.
 
-def _unpack_words(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = int(np.frombuffer(payload, "<u4", 1)[0])
-    return np.frombuffer(payload, "<u8", n, 4), _read_planes(payload, "<u4", n, 4 + 8 * n)[0]
+    Numbers are given by falling count, so that those of frequent words are small. Totals are the training tokens, the different ones,
+    and all different tokens.
+    """
+    parts = [_read_planes(p, 0, "<u8", "<u4")[0] for p in payloads]
+    words, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    counts = np.bincount(where, weights=np.concatenate([p[1] for p in parts]), minlength=len(words)).astype(np.int64)
+    number = np.empty(len(words), "<u4")
+    number[np.argsort(-counts, kind="stable")] = np.arange(len(words))
+    out, at = [], 0
+    for mine, _ in parts:
+        here = where[at : at + len(mine)]
+        out.append(_planes(counts[here].astype("<i8")) + _planes(number[here]))
+        at += len(mine)
+    return [*out, np.array([counts.sum(), (counts > 0).sum(), len(words)], ">i8").tobytes()]
+
+
+def _look_up(trie: Trie, grams: Grams, kind: int) -> bytes:
+    """The codes of a question: of its longer contexts, its grams, and its pairs, as far as this kind of question has them."""
+    n = len(grams.last)
+    run = _runs(grams.roots, n)
+    root, out = trie.root(grams.last[grams.roots]), b""
+    if kind < 2:
+        node = trie.longer.find(root[run[grams.nodes]], grams.before[grams.nodes])
+        gram = trie.after_longer.find(node[_runs(grams.nodes, n)], grams.word)
+        out = _planes(trie.longer.code(node)) + _planes(trie.after_longer.code(gram))
+    if kind != 1:
+        pairs, _ = grams.pairs()
+        out += _planes(trie.after.code(trie.after.find(root[run[pairs]], grams.word[pairs])))
+    return out
 
 
-def _sums(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    unique, where = np.unique(keys, return_inverse=True)
-    return unique, where, np.bincount(where, weights=weights, minlength=len(unique)).astype(np.int64)
+def _answer_grams(prior: float, bits: int):
+    """Builds a bucket's tries from all blocks' training counts and looks up each block's grams in them.
 
+    A question has three kinds of grams, and each has its trie: those whose last context word is the bucket's; those whose whole context
+    is, as the last word is too frequent for one bucket; and pairs that are, for the same reason, with the counts of their contexts.
+    """
+    def answer(payloads: list[bytes]) -> list[bytes]:
+        asked: list[list[Grams]] = []
+        known = {}
+        for payload in payloads:
+            at, kinds = 0, []
+            for _ in range(3):
+                grams, at = Grams.unpack(payload, at)
+                kinds.append(grams)
+            (counts,), _ = _read_planes(payload, at, "<i8")
+            known.update(zip(kinds[2].last[kinds[2].roots].tolist(), counts.tolist(), strict=True))
+            asked.append(kinds)
+        replies: list[list[bytes]] = [[] for _ in payloads]
+        for kind in range(3):
+            last, before, word, count = (np.concatenate([getattr(q[kind], c) for q in asked]) for c in ("last", "before", "word", "count"))
+            taught = np.flatnonzero(count > 0)
+            order = taught[np.lexsort((word[taught], before[taught], last[taught]))]
+            last, before, word, count = last[order], before[order], word[order], count[order].astype(np.int64)
+            first = _firsts(last, before, word)
+            if len(first):
+                last, before, word, count = last[first], before[first], word[first], np.add.reduceat(count, first)
+            with tempfile.TemporaryDirectory() as folder:
+                trie = Trie(last, before, word, count, prior, bits, folder, known if kind == 2 else None)
+                for question, reply in zip(asked, replies, strict=True):
+                    reply.append(_look_up(trie, question[kind], kind))
+                del trie
+        return [b"".join(r) for r in replies]
 
-def _count_words(payloads: list[bytes]) -> list[bytes]:
-    """Adds up the training counts of each word and tells each block the counts of its words; last the bucket's totals.
+    return answer
 
-    Totals are the training tokens, the different ones, and the end marks among them.
-    """
-    parts = [_unpack_words(p) for p in payloads]
-    unique, where, counts = _sums(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
-    out, at = [], 0
-    for words, _ in parts:
-        out.append(_planes(counts[where[at : at + len(words)]].astype("<i8")))
-        at += len(words)
-    return [*out, np.array([counts.sum(), (counts > 0).sum(), counts[unique == END].sum()], ">i8").tobytes()]
 
+class _Block:
+    """A block's tokens as numbers of its different words, and how many each text has; an end mark closes each text."""
 
-_LOW = np.uint64((1 << SUCCESSOR_BITS) - 1)
+    def __init__(self, n: np.ndarray, where: np.ndarray, words: np.ndarray, held: np.ndarray) -> None:
+        self.n, self.where, self.words = n.astype(np.int64), where.astype(np.int64), words
+        self.owner = np.repeat(np.arange(len(n)), self.n)
+        self.trains = ~held[self.owner]
 
+    @classmethod
+    def of(cls, texts: list[bytes], held: np.ndarray) -> _Block:
+        _, _, _, hashes, first = Hasher().documents([t.lower() for t in texts])
+        words, where = np.unique(np.insert(hashes, first[1:], END), return_inverse=True)
+        return cls(np.diff(first) + 1, where, words, held)
 
-def _pack_grams(contexts: np.ndarray, words: np.ndarray, counts: np.ndarray, before: np.ndarray, echo: bytes) -> bytes:
-    """Grams with equal contexts side by side: each context once with its count and number of words, words in five bytes."""
-    new = np.flatnonzero(np.concatenate(([True], contexts[1:] != contexts[:-1]))[: len(contexts)])
-    runs = np.diff(np.append(new, len(contexts)))
-    low = words & _LOW
-    parts = [contexts[new].astype("<u8").tobytes(), _planes(before[new].astype("<i8")), _planes(runs.astype("<u4")),
-             (low & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), (low >> np.uint64(32)).astype("u1").tobytes(), _planes(counts.astype("<u4"))]
-    return np.array([len(contexts), len(new), len(echo)], "<u4").tobytes() + b"".join(parts) + echo
+    def pack(self) -> bytes:
+        return _planes(self.n.astype("<u8")) + _planes(self.where.astype("<u4")) + _planes(self.words.astype("<u8"))
 
+    @classmethod
+    def unpack(cls, data: bytes, held: np.ndarray) -> _Block:
+        return cls(*_read_planes(data, 0, "<u8", "<u4", "<u8")[0], held)
 
-def _unpack_grams(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
-    n, different, extra = np.frombuffer(payload, "<u4", 3).tolist()
-    at, out = 12, []
-    for kind, size, flat in (("<u8", different, True), ("<i8", different, False), ("<u4", different, False), ("<u4", n, True), ("u1", n, True), ("<u4", n, False)):
-        if flat:
-            out.append(np.frombuffer(payload, kind, size, at))
-            at += out[-1].nbytes
-        else:
-            got, at = _read_planes(payload, kind, size, at)
-            out.append(got)
-    contexts, before, runs, low, high, counts = out
-    return np.repeat(contexts, runs), low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32)), counts, np.repeat(before, runs), payload[at : at + extra]
 
+class _Asked:
+    """The different grams of a block, and the buckets that are asked about them.
 
-def _trie(prior: float, more: bool):
-    """Builds the level of a bucket's grams and looks up its different grams, for all blocks at once."""
-    def answer(payloads: list[bytes]) -> list[bytes]:
-        parts = [_unpack_grams(p) for p in payloads]
-        sizes, echoes = [len(p[0]) for p in parts], [p[4] for p in parts]
-        contexts, words, counts, before = (np.concatenate([p[i] for p in parts]) for i in range(4))
-        del parts
-        order = np.lexsort((words, contexts))
-        contexts, words = contexts[order], words[order]
-        new = np.concatenate(([True], (contexts[1:] != contexts[:-1]) | (words[1:] != words[:-1])))[: len(order)]
-        first = np.flatnonzero(new)
-        total = np.add.reduceat(counts[order].astype(np.int64), first)
-        contexts, words, before = contexts[first], words[first], before[order[first]]
-        seen = total > 0
-        with tempfile.TemporaryDirectory() as folder:
-            level = Level(contexts[seen], words[seen], quantised(total[seen] / (before[seen] + prior)), folder)
-            codes = level.find(contexts, words)
-            del level
-        where = np.empty(len(order), np.int64)
-        where[order] = np.cumsum(new) - 1
-        out = []
-        for mine, echo in zip(np.split(where, np.cumsum(sizes)[:-1]), echoes, strict=True):
-            extra = _planes(total[mine].astype("<i8")) if more else b""  # the next level's contexts need exact counts
-            out.append(np.array([len(mine)], "<u4").tobytes() + _planes(codes[mine]) + extra + echo)
-        return out
+    `counts` and `ids` are those of the block's words. Words take the order of their ids, so that grams in order of their words are in
+    order of their ids for every bucket.
+    """
 
-    return answer
+    def __init__(self, block: _Block, counts: np.ndarray, ids: np.ndarray, order: int, buckets: int, hot: float) -> None:
+        rank = np.empty(len(ids), np.int64)
+        by_id = np.argsort(ids)
+        rank[by_id] = np.arange(len(ids))
+        self.ids, self.counts = ids[by_id], counts[by_id]
+        token = rank[block.where]
+        place = np.arange(len(token)) - np.repeat(np.cumsum(block.n) - block.n, block.n)
+        end = rank[np.searchsorted(block.words, END)] if len(block.words) else 0
+        last = np.where(place > 0, np.roll(token, 1), end)
+        before = np.where(place > 1, np.roll(token, 2), end) + 1 if order > 2 else np.zeros(len(token), np.int64)
+        before[place == 0] = 0  # nothing stands before a text's end mark
+        width = max(1, int(len(ids)).bit_length() + 1)
+        if 3 * width < 64:
+            different, self.back = np.unique((last << 2 * width) | (before << width) | token, return_inverse=True)
+            mask = (1 << width) - 1
+            self.last, self.before, self.word = different >> 2 * width, (different >> width) & mask, different & mask
+        else:  # very many words in one text
+            sort = np.lexsort((token, before, last))
+            first = _firsts(last[sort], before[sort], token[sort])
+            self.back = np.empty(len(token), np.int64)
+            self.back[sort] = _runs(first, len(sort))
+            self.last, self.before, self.word = last[sort][first], before[sort][first], token[sort][first]
+        self.taught = np.bincount(self.back, weights=block.trains, minlength=len(self.last)).astype(np.int64)
+        frequent = self.counts[self.last] > hot if len(self.last) else np.zeros(0, bool)
+        seen = mix(self.ids.astype(np.uint64) ^ np.uint64(buckets))
+        with_before = np.concatenate((np.zeros(1, np.uint64), seen))
+        self.kinds = [self._dealt(np.flatnonzero(~frequent), seen[self.last[~frequent]], buckets)]
+        hard = np.flatnonzero(frequent)
+        self.kinds.append(self._dealt(hard, mix(seen[self.last[hard]] + with_before[self.before[hard]]), buckets))
+        by_pair = hard[np.lexsort((self.word[hard], self.last[hard]))]
+        first = _firsts(self.last[by_pair], self.word[by_pair])
+        self.pair = by_pair[first]  # a gram of each frequent pair
+        self.of_pair = np.empty(len(self.last), np.int64)
+        self.of_pair[by_pair] = _runs(first, len(by_pair))
+        self.pair_taught = np.add.reduceat(self.taught[by_pair], first) if len(first) else np.zeros(0, np.int64)
+        self.kinds.append(self._dealt(self.pair, mix(mix(seen[self.last[self.pair]]) + seen[self.word[self.pair]]), buckets))
+        self.frequent, self.hard = frequent, hard
+
+    @staticmethod
+    def _dealt(at: np.ndarray, hashes: np.ndarray, buckets: int) -> list[np.ndarray]:
+        """The places for each bucket, in order."""
+        bucket = (hashes >> np.uint64(16)) % np.uint64(buckets)
+        sort = np.argsort(bucket, kind="stable")
+        return [at[x] for x in np.split(sort, np.searchsorted(bucket[sort], np.arange(1, buckets)))]
+
+    def grams(self, bucket: int, kind: int) -> Grams:
+        at = self.kinds[kind][bucket]
+        before = np.where(self.before[at] > 0, self.ids[np.maximum(self.before[at] - 1, 0)] + 1, 0) if kind < 2 else np.zeros(len(at), np.int64)
+        count = self.taught[at] if kind < 2 else self.pair_taught[self.of_pair[at]]
+        return Grams(self.ids[self.last[at]], before, self.ids[self.word[at]], count)
+
+    def question(self, bucket: int) -> bytes:
+        kinds = [self.grams(bucket, kind) for kind in range(3)]
+        at = self.kinds[2][bucket]
+        return b"".join(g.pack() for g in kinds) + _planes(self.counts[self.last[at]][kinds[2].roots].astype("<i8"))
+
+    def probabilities(self, replies: dict[int, bytes], total: int, norm: float, prior: float, order: int) -> np.ndarray:
+        """The probability of each different gram's word."""
+        p = (self.counts[self.word] + ADD) / norm
+        if order == 1:
+            return p
+        n = len(self.last)
+        rest, after, after_longer = np.ones(n), np.zeros(n), np.zeros(n)
+        pair_code = np.zeros(len(self.pair))
+        for bucket, data in replies.items():
+            at = 0
+            for kind in range(3):
+                mine = self.kinds[kind][bucket]
+                grams = self.grams(bucket, kind)
+                if kind < 2:
+                    (longer, gram), at = _read_planes(data, at, "<u2", "<u2")
+                    share = np.where(longer == LACKING, 1.0, unquantised(longer))
+                    rest[mine], after_longer[mine] = share[_runs(grams.nodes, len(mine))], unquantised(gram)
+                if kind != 1:
+                    (code,), at = _read_planes(data, at, "<u2")
+                    if kind == 0:
+                        after[mine] = unquantised(code)[grams.pairs()[1]]
+                    else:
+                        pair_code[self.of_pair[mine]] = unquantised(code)
+        after[self.hard] = pair_code[self.of_pair[self.hard]]
+        p = after + prior / (self.counts[self.last] + prior) * p
+        if order > 2:
+            p = np.where(self.before > 0, after_longer + rest * p, p)
+        return p
 
 
 def _totals(said: DataFrame) -> tuple[int, int, int]:
-    """Training tokens, different ones, and training texts: the sums of the buckets' totals."""
-    found = said.filter("_block < 0").agg(*[F.sum(F.conv(F.hex(F.substring("reply", 1 + 8 * i, 8)), 16, 10).cast("long")) for i in range(3)]).first()
+    """Training tokens and different ones, both summed over the buckets, and the different tokens of the largest bucket."""
+    at = lambda i: F.conv(F.hex(F.substring("reply", 1 + 8 * i, 8)), 16, 10).cast("long")
+    found = said.filter("_block < 0").agg(F.sum(at(0)), F.sum(at(1)), F.max(at(2))).first()
     return tuple(x or 0 for x in found)
 
 
-def score(docs: DataFrame, held_out: Column, order: int = ORDER, prior: float = PRIOR, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Each text's log10 probability under an n-gram model of the rows that are not held out.
+STORED = "part int, _block long, _bucket int, payload binary"
+
+
+def score(docs: DataFrame, held_out: Column, order: int = ORDER, prior: float = PRIOR, block_bytes: int = BLOCK_BYTES,
+          direct: int = blocks.DIRECT) -> DataFrame:
+    """Each text's log10 probability under an n-gram model (order 1 to 3) of the rows that are not held out.
 
     Unigrams have additive smoothing; each higher order mixes its counts with the order below by a Dirichlet prior:
     p(w | h) = (c(h w) + prior * p(w | shorter h)) / (c(h) + prior). Counts cover all training rows and are never pruned.
-    Blocks of documents ask buckets of words for unigram counts, then buckets of contexts for n-grams. A bucket
-    holds its share of the trie, memory-mapped, and answers with quantised c(h w) / (c(h) + prior). A context with
-    more than a bucket's fair share of the tokens is spread over all buckets by its successors.
+
+    Blocks of documents are tokenised once and stored. They ask buckets of words for counts and numbers; then one question and one
+    answer serve all orders: a gram goes to the bucket of its last context word, which holds that part of the trie, memory-mapped, and
+    answers with quantised probabilities. The grams of a word with more than a bucket's fair share of the tokens are dealt over all
+    buckets by their whole contexts, and its pairs by themselves. With more than `direct` buckets the exchange takes two steps (see `blocks`).
 
     Needs `doc_id` and `text`; other columns are ignored. A null, empty or blank text is the end mark alone; a null
     `held_out` counts as training; repeated rows count and are scored each; an empty table gives no rows, and with no
     training token every word has the same probability. Returns doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score (unigrams alone) and score.
     """
-    if order < 1:
-        raise ValueError("order must be at least 1")
-    held = F.coalesce(held_out, F.lit(False)).alias("held_out")
-    picked = docs.select("doc_id", "text", held)
-    packed, buckets = blocks.blocked(picked, "text", block_bytes)
-    packed = kept(packed, "lm_blocks")
-    buckets *= 2  # a bucket's trie takes more room than a block's words
-
-    def tokens_of(table: pa.Table) -> _Tokens:
-        return _Tokens(text_bytes(table["text"]), table["held_out"].to_numpy(zero_copy_only=False).astype(bool))
-
-    def ask_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row, block in enumerate(batch.column(0).to_pylist()):
-                tokens = tokens_of(blocks.rows(pa.Table.from_batches([batch.slice(row, 1)])))
-                words, _, counts = _sums(tokens.token, tokens.trains)
-                yield from blocks.asked([(i, block, _pack_words(words[at], counts[at]))
-                                         for i, at in enumerate(blocks.by_bucket(words, buckets)) if len(at)]).to_batches()
-
-    def state(tokens: _Tokens, said: dict[int, bytes], upto: int):
-        """Word counts, and for each level up to `upto` the probability of every token and its gram's count."""
-        words, where = np.unique(tokens.token, return_inverse=True)
-        counts, p, c_gram, chain = np.zeros(len(words), np.int64), None, None, said
-        layers = []
-        for level in range(upto, 1, -1):  # the innermost echo is the words' answer
-            grams, codes, extra, inner = _gram_keys(tokens, level), {}, {}, {}
-            for bucket, reply in chain.items():
-                n = int(np.frombuffer(reply, "<u4", 1)[0])
-                codes[bucket], end = _read_planes(reply, "<u2", n, 4)
-                if level < order:
-                    extra[bucket], end = _read_planes(reply, "<i8", n, end)
-                inner.update(_unchain(reply[end:]))
-            layers.append((grams, codes, extra))
-            chain = inner
-        for bucket, at in enumerate(blocks.by_bucket(words, buckets)):
+    if order not in (1, 2, 3):
+        raise ValueError("order must be 1, 2 or 3")
+    spark, picked = docs.sparkSession, docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    buckets = 2 * blocks.buckets_for(docs, "text", block_bytes)  # a bucket's trie takes more room than a block's words
+    rack = blocks.rack_size(buckets, direct)
+
+    def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, parts in blocks.cut(batches, 1, block_bytes):
+            table = pa.Table.from_batches(parts)
+            held = table["held_out"].to_numpy(zero_copy_only=False).astype(bool)
+            block = _Block.of(text_bytes(table["text"]), held)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.select(["doc_id", "held_out"]).schema) as out:
+                out.write_table(table.select(["doc_id", "held_out"]))
+            rows = sink.getvalue().to_pybytes()
+            counts = np.bincount(block.where, weights=block.trains, minlength=len(block.words))
+            out = [(0, number, -1, np.array([len(rows)], "<u8").tobytes() + rows + block.pack())]
+            asked = blocks.asked([(bucket, number, _planes(block.words[at]) + _planes(counts[at].astype("<u4")))
+                                  for bucket, at in enumerate(blocks.by_bucket(block.words, buckets)) if len(at)], rack)
+            out += list(zip([1] * asked.num_rows, *(asked[c].to_pylist() for c in ("_block", "_bucket", "payload")), strict=True))
+            for row in out:  # each is large
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.int32(), pa.int64(), pa.int32(), pa.binary()), strict=True)],
+                                                 names=["part", "_block", "_bucket", "payload"])
+            blocks.release()
+
+    path = work_path(spark, "lm")
+    picked.mapInArrow(tokenise, STORED).write.partitionBy("part").parquet(f"{path}/blocks")
+    stored = spark.read.schema("_block long, _bucket int, payload binary, part int").parquet(f"{path}/blocks")
+    asked = stored.filter("part = 1").select("_bucket", "_block", "payload")
+    blocks.answered(asked, _count_words, buckets, rack, totals=True).write.parquet(f"{path}/words")
+    words = spark.read.schema(blocks.ANSWER).parquet(f"{path}/words")
+    total, different, widest = _totals(words)
+    norm, hot = total + ADD * (different + 1), total / (4 * buckets)
+    words = blocks.delivered(words.filter("_block >= 0"), rack).select("_block", F.lit(0).alias("part"), "_bucket", "reply")
+    bits = (buckets * (widest + 1) + 1).bit_length()  # of a word's id, and of one more
+
+    def opened(table: pa.Table, said: pa.Table) -> tuple[pa.Table, _Block, _Asked, dict[int, bytes]]:
+        blocks.release()
+        payload = table["payload"][0].as_buffer().to_pybytes()
+        size = int(np.frombuffer(payload, "<u8", 1)[0])
+        rows = pa.ipc.open_stream(payload[8 : 8 + size]).read_all()
+        block = _Block.unpack(payload[8 + size :], rows["held_out"].to_numpy(zero_copy_only=False).astype(bool))
+        heard = [blocks.replies(said.filter(pc.equal(said["part"], part)), rack) for part in (0, 1)]
+        counts, ids = np.zeros(len(block.words), np.int64), np.zeros(len(block.words), np.int64)
+        for bucket, at in enumerate(blocks.by_bucket(block.words, buckets)):
             if len(at):
-                counts[at] = _read_planes(chain[bucket], "<i8", len(at), 0)[0]
-        known = counts[where]
-        p, c_gram = (known + ADD) / norm, known
-        for level, (grams, codes, extra) in zip(range(2, upto + 1), reversed(layers), strict=True):
-            at, context, word, pairs, back = grams
-            c_context = _context_counts(tokens, c_gram, at, total_ends)
-            code, full = np.full(len(pairs[0]), LACKING, np.uint16), np.zeros(len(pairs[0]), np.int64)
-            for bucket, places in _gram_buckets(pairs, _first(c_context, back, len(pairs[0]))):
-                code[places] = codes[bucket]
-                if bucket in extra:
-                    full[places] = extra[bucket]
-            mine = code[back]
-            part = np.where(mine == LACKING, 0.0, unquantised(mine))
-            p, c_next = p.copy(), np.zeros(len(p), np.int64)
-            p[at] = part + prior / (c_context + prior) * p[at]
-            c_next[at] = full[back]
-            c_gram = c_next
-        return known, p, c_gram, (words, where, counts)
-
-    def _gram_keys(tokens: _Tokens, level: int):
-        at, context, word = tokens.grams(level)
-        different, back = np.unique(joined(context, word), return_inverse=True)
-        first = np.empty(len(different), np.int64)
-        first[back] = np.arange(len(back))
-        return at, context, word, (context[first], word[first]), back
-
-    def _first(values: np.ndarray, back: np.ndarray, n: int) -> np.ndarray:
-        out = np.zeros(n, np.int64)
-        out[back] = values
-        return out
+                (counts[at], number), _ = _read_planes(heard[0][bucket], 0, "<i8", "<u4")
+                ids[at] = number.astype(np.int64) * buckets + bucket
+        return rows, block, _Asked(block, counts, ids, order, buckets, hot), heard[1]
 
-    def _gram_buckets(pairs: tuple[np.ndarray, np.ndarray], c_context: np.ndarray):
-        """(bucket, places) of distinct grams; the bucket follows from the context, or from the gram if the context is hot."""
-        base = mix(pairs[0])
-        cuts = np.array([(i << 64) // buckets for i in range(1, buckets)], np.uint64)
-        bucket_of = np.searchsorted(cuts, np.where(c_context > hot, mix(joined(pairs[0], pairs[1])), base), "right")
-        bits = np.uint64(buckets.bit_length())
-        sort = np.argsort((bucket_of.astype(np.uint64) << (np.uint64(64) - bits)) | (base * np.uint64(END) >> bits), kind="stable")
-        ends = np.searchsorted(bucket_of[sort], np.arange(buckets + 1))
-        for bucket in np.flatnonzero(np.diff(ends)).tolist():
-            yield bucket, sort[ends[bucket] : ends[bucket + 1]]
-
-    def _context_counts(tokens: _Tokens, c_gram: np.ndarray, at: np.ndarray, ends: int) -> np.ndarray:
-        """The training count of each token's context: the count of the gram that ends one token before."""
-        before = np.maximum(at - 1, 0)
-        return np.where(tokens.place[at] > 0, c_gram[before], ends)
-
-    def ask_grams(level: int):
-        def run(key: tuple, table: pa.Table, got: pa.Table) -> pa.Table:
-            if not table.num_rows:
-                return blocks.asked([])
-            tokens, said = tokens_of(blocks.rows(table)), blocks.replies(got)
-            _, _, c_gram, _ = state(tokens, said, level - 1)
-            at, context, word, pairs, back = _gram_keys(tokens, level)
-            c_context = _context_counts(tokens, c_gram, at, total_ends)
-            mine = np.bincount(back, weights=tokens.trains[at], minlength=len(pairs[0])).astype("<u4")
-            each = _first(c_context, back, len(pairs[0])).astype("<i8")
-            asks = list(_gram_buckets(pairs, each)) or [(key[0].as_py() % buckets, np.zeros(0, np.int64))]
-            heard = list(said.items())  # every bucket carries a share of what was said so far
-            return blocks.asked([(bucket, key[0].as_py(), _pack_grams(pairs[0][places], pairs[1][places], mine[places], each[places], _chain(heard[i :: len(asks)])))
-                                 for i, (bucket, places) in enumerate(asks)])
-
-        return run
-
-    def finish(key: tuple, table: pa.Table, got: pa.Table) -> pa.Table:
+    def ask(key: tuple, table: pa.Table, said: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return blocks.asked([])
+        _, _, asked, _ = opened(table, said)
+        return blocks.asked([(bucket, key[0].as_py(), asked.question(bucket)) for bucket in range(buckets) if any(len(kind[bucket]) for kind in asked.kinds)], rack)
+
+    def finish(key: tuple, table: pa.Table, said: pa.Table) -> pa.Table:
         if not table.num_rows:
             return out_schema.empty_table()
-        table = blocks.rows(table)
-        tokens = tokens_of(table)
-        known, p, _, _ = state(tokens, blocks.replies(got), order)
-        base, n = np.log10((known + ADD) / norm), len(tokens.n)
-        add = lambda x: np.bincount(tokens.owner, weights=x, minlength=n)
-        return pa.Table.from_arrays([table["doc_id"], table["held_out"], pa.array(tokens.n.astype(np.int64)), pa.array(add(known > 0).astype(np.int64)),
-                                     pa.array(np.full(n, total, np.int64)), pa.array(add(base)), pa.array(add(np.log10(p)))], schema=out_schema)
+        rows, block, asked, replies = opened(table, said)
+        p, n = np.log10(asked.probabilities(replies, total, norm, prior, order)), len(block.n)
+        known = asked.counts[asked.word]
+        add = lambda x: np.bincount(block.owner, weights=x[asked.back], minlength=n)
+        return pa.Table.from_arrays([rows["doc_id"], rows["held_out"], pa.array(block.n), pa.array(add(known > 0).astype(np.int64)),
+                                     pa.array(np.full(n, total, np.int64)), pa.array(add(np.log10((known + ADD) / norm))), pa.array(add(p))], schema=out_schema)
 
     schema = T.StructType([docs.schema["doc_id"], T.StructField("held_out", T.BooleanType()), *(T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")),
                            T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
     out_schema = _arrow(schema)
-    said = kept(blocks.answers(packed.mapInArrow(ask_words, blocks.ASK), _count_words, totals=True), "lm_words")
-    total, different, total_ends = _totals(said)
-    norm, hot = total + ADD * (different + 1), total / (4 * buckets)
-    by_block, said = packed.repartition("_block").groupBy("_block"), said.filter("_block >= 0")
-    for level in range(2, order + 1):
-        said = blocks.answers(by_block.cogroup(said.groupBy("_block")).applyInArrow(ask_grams(level), blocks.ASK), _trie(prior, level < order))
+    by_block = stored.filter("part = 0").select("_block", "payload").repartition("_block").groupBy("_block")
+    said = words
+    if order > 1:
+        questions = by_block.cogroup(words.groupBy("_block")).applyInArrow(ask, blocks.ASK)
+        grams = blocks.answers(questions, _answer_grams(prior, bits), buckets, rack)
+        said = words.unionByName(grams.select("_block", F.lit(1).alias("part"), "_bucket", "reply"))
     return by_block.cogroup(said.groupBy("_block")).applyInArrow(finish, schema)
 
 
-def _chain(replies: list[tuple[int, bytes]]) -> bytes:
-    """Replies in one piece, to be handed on with the next question."""
-    return b"".join(np.array([k, len(v)], "<u4").tobytes() + v for k, v in replies)
-
-
-def _unchain(data: bytes) -> dict[int, bytes]:
-    out, at = {}, 0
-    while at < len(data):
-        k, n = np.frombuffer(data, "<u4", 2, at).tolist()
-        out[k] = data[at + 8 : at + 8 + n]
-        at += 8 + n
-    return out
-
-
 def _arrow(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 

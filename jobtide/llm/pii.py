@@ -24,8 +24,8 @@ MARK = r"[0-9@]|[(\[](?i:at)[)\]]|:[0-9A-Fa-f]{0,4}:"
 TOKEN = rf"(?<!\S)(?:(?!{MARK})\S)*+(?:{MARK})\S*+"
 GROUPS = r"(?<![\p{L}\p{N}+@._:/()-])[+(]?[0-9](?:[\x20().-]{0,2}[0-9])++(?![\p{L}\p{N}@])"
 SPACED = r"[0-9][().-]?\x20[\x20().-]?[0-9]|[0-9][)]?\x20[\x20(]?[0-9]"
-#: What an unseen identifier of each kind must look like.
-SHAPES = [r"^[^@\s]+(?:@|\(at\)|\[at\])[^@\s]+$", r"^(?:[0-9]+[.:_-]){3}[0-9]+$|^[0-9a-f]{0,4}(?::[0-9a-f]{0,4}){3,7}$",
+#: What an unseen identifier of each kind must look like; the lengths are those that addresses may have.
+SHAPES = [r"^[^@\s]{1,64}(?:@|\(at\)|\[at\])[^@\s]{1,255}$", r"^(?:[0-9]+[.:_-]){3}[0-9]+$|^[0-9a-f]{0,4}(?::[0-9a-f]{0,4}){3,7}$",
           r"^(?:[0-9][ -]?){12,19}$", r"^[+(]?(?:[0-9][ ().-]{0,2}){6,14}[0-9]$"]
 ROUNDS, SUPPORT, CONFIDENCE, BELIEF = 3, 3, 0.8, 0.9
 CONTEXT = 48

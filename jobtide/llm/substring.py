@@ -37,13 +37,13 @@ class _Words:
         return mix((sums[width:] - sums[:-width]) * self.down[: len(sums) - width] + np.uint64(width))
 
 
-def _split(keys: np.ndarray, extra: list[np.ndarray], buckets: int, block: int) -> pa.Table:
+def _split(keys: np.ndarray, extra: list[np.ndarray], buckets: int, rack: int, block: int) -> pa.Table:
     rows = []
     for bucket, at in enumerate(blocks.by_bucket(keys, buckets)):
         if len(at):
             size = np.array([len(at)], "<u4").tobytes()
             rows.append((bucket, block, size + b"".join(np.ascontiguousarray(x[at]).tobytes() for x in (keys, *extra))))
-    return blocks.asked(rows)
+    return blocks.asked(rows, rack)
 
 
 def _unsplit(payload: bytes, kinds: list[str]) -> list[np.ndarray]:
@@ -81,21 +81,22 @@ def _answer(kinds: list[str], with_keys: bool):
         twice[order] = (times >= 2)[group]
         out = []
         for part, hit in zip(parts, np.split(twice, np.cumsum(sizes)[:-1]), strict=True):
-            out.append(part[0][hit].tobytes() if with_keys else np.packbits(hit).tobytes())
+            out.append(b"".join(c[hit].tobytes() for c in part[:-1]) if with_keys else np.packbits(hit).tobytes())
         return out
 
     return answer
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, period: int = PERIOD, cover: tuple[int, ...] = COVER,
-                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                   block_bytes: int = BLOCK_BYTES, direct: int = blocks.DIRECT) -> DataFrame:
     """Each document without the words of any `window` consecutive words that also start anywhere else.
 
     Two equal windows lie at some difference of places; the cover holds two places of that difference modulo the
     period, so both windows hold an anchor at the same shift. Anchors (runs of window - period + 1 words at cover
     places only) are counted over all documents; the windows around an anchor that occurs twice are counted in turn
     by 96 bits of hash, and those that occur twice cover what is removed. Counts travel as distinct keys
-    per block, so a passage that a third of the documents share costs one key per block.
+    per block, so a passage that a third of the documents share costs one key per block. With more than `direct` buckets the exchange
+    takes two steps (see `blocks`).
 
     Needs `doc_id` and `text`; other columns are ignored. Null and blank texts have no words; texts shorter than the
     window stay whole; repeated rows are copies of each other, and both lose what repeats; an
@@ -105,7 +106,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, period: int = PERIOD,
         raise ValueError("the cover must hold every difference modulo the period, and the period must fit the window")
     width = window - period + 1
     dealt, buckets = blocks.blocked(docs.select("doc_id", "text"), "text", block_bytes)
-    dealt = dealt.repartition("_block")
+    dealt, rack = dealt.repartition("_block"), blocks.rack_size(buckets, direct)
     anchor_kinds, window_kinds = ["<u8", "u1"], ["<u8", "<u4", "u1"]
 
     def anchors(words: _Words) -> tuple[np.ndarray, np.ndarray]:
@@ -115,7 +116,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, period: int = PERIOD,
     def ask_anchors(key: tuple, table: pa.Table) -> pa.Table:
         _, hashes = anchors(_Words(text_bytes(blocks.rows(table)["text"])))
         keys, times = np.unique(hashes, return_counts=True)
-        return _split(keys, [np.minimum(times, 2).astype("u1")], buckets, key[0].as_py())
+        return _split(keys, [np.minimum(times, 2).astype("u1")], buckets, rack, key[0].as_py())
 
     def ask_windows(key: tuple, table: pa.Table, got: pa.Table) -> pa.Table:
         if not table.num_rows or not got.num_rows:
@@ -123,7 +124,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, period: int = PERIOD,
         words = _Words(text_bytes(blocks.rows(table)["text"]))
         at, hashes = anchors(words)
         keys = np.unique(hashes)
-        shared, said = np.zeros(len(keys), bool), blocks.replies(got)
+        shared, said = np.zeros(len(keys), bool), blocks.replies(got, rack)
         for bucket, places in enumerate(blocks.by_bucket(keys, buckets)):
             if bucket in said:
                 shared[places] = np.unpackbits(np.frombuffer(said[bucket], np.uint8), count=len(places)).astype(bool)
@@ -136,19 +137,25 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, period: int = PERIOD,
             return blocks.asked([])
         full, check = words.runs(window)[starts], words.runs(window, twist=1)[starts].astype("<u4")
         first, times = _repeated(full, check)
-        return _split(full[first], [check[first], np.minimum(times, 2).astype("u1")], buckets, key[0].as_py())
+        return _split(full[first], [check[first], np.minimum(times, 2).astype("u1")], buckets, rack, key[0].as_py())
 
     def cut(key: tuple, table: pa.Table, got: pa.Table) -> pa.Table:
         rows = blocks.rows(table)
         words = _Words(text_bytes(rows["text"]))
         gone = np.zeros(len(words.hashes) + 1, np.int32)
-        said = [np.frombuffer(x, "<u8") for x in got["reply"].to_pylist()]
-        twice = np.unique(np.concatenate(said)) if said else np.zeros(0, np.uint64)
+        said = [(np.frombuffer(x, "<u8", len(x) // 12), np.frombuffer(x, "<u4", len(x) // 12, len(x) // 12 * 8)) for x in blocks.replies(got, rack).values()]
+        twice, checks = (np.concatenate(x) for x in zip(*said, strict=True)) if said else (np.zeros(0, np.uint64),) * 2
         if len(twice):
+            order = np.lexsort((checks, twice))
+            twice, checks = twice[order], checks[order]
             whole = np.flatnonzero(words.room >= window)
-            hashes = words.runs(window)[whole]
-            at = np.minimum(np.searchsorted(twice, hashes), len(twice) - 1)
-            starts = whole[twice[at] == hashes]
+            hashes, proof = words.runs(window)[whole], words.runs(window, twist=1)[whole].astype("<u4")
+            at, hit = np.searchsorted(twice, hashes), np.zeros(len(whole), bool)
+            for _ in range(int(np.unique(twice, return_counts=True)[1].max())):  # one, unless windows share their first 64 bits
+                there = np.minimum(at, len(twice) - 1)
+                hit |= (twice[there] == hashes) & (checks[there] == proof) & (at < len(twice))
+                at = at + 1
+            starts = whole[hit]
             np.add.at(gone, starts, 1)
             np.add.at(gone, starts + window, -1)
         covered = np.cumsum(gone[:-1]) > 0
@@ -165,9 +172,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, period: int = PERIOD,
                                      pa.array(texts, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "kept_text"])
 
     by_block = dealt.groupBy("_block")
-    first = blocks.answers(by_block.applyInArrow(ask_anchors, blocks.ASK), _answer(anchor_kinds, False))
+    first = blocks.answers(by_block.applyInArrow(ask_anchors, blocks.ASK), _answer(anchor_kinds, False), buckets, rack)
     asked = by_block.cogroup(first.groupBy("_block")).applyInArrow(ask_windows, blocks.ASK)
-    second = blocks.answers(asked, _answer(window_kinds, True))
+    second = blocks.answers(asked, _answer(window_kinds, True), buckets, rack)
     schema = T.StructType([docs.schema["doc_id"], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
                            T.StructField("kept_text", T.StringType())])
     return by_block.cogroup(second.groupBy("_block")).applyInArrow(cut, schema)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .encode import slices
+from .frames import numbered
 from .words import Hasher, mix, text_bytes, window_hashes
 
 DECAY, SPAN = 0.6, 7
@@ -167,19 +168,14 @@ def margins(letters: np.ndarray, sizes: np.ndarray, weights: np.ndarray, bias: f
     return np.maximum.reduceat(each, np.searchsorted(word, np.arange(len(sizes))))
 
 
-def _gaps(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(word, subsequence, share) of a few words (their first windows), normalised."""
-    text, size, word = windows(np.frombuffer(b"".join(words), np.uint8), np.array([len(w) for w in words]))
-    first = np.searchsorted(word, np.arange(len(words)))
-    number = np.full(len(size), -1)
-    number[first] = np.arange(len(words))
+def _gaps(units: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(unit, subsequence, share) of a few units, normalised. A unit is a word or a window of a longer one."""
+    text, size, _ = windows(np.frombuffer(b"".join(units), np.uint8), np.array([len(w) for w in units]))
     parts = [(owner, code, np.full(len(code), weight)) for owner, code, weight in subsequences(text, size)]
     owner, code, weight = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64),) * 3
     norm = np.sqrt(np.maximum(np.bincount(owner, weights=weight * weight, minlength=len(size)), 1e-12))
-    own = number[owner]
-    order = np.flatnonzero(own >= 0)
-    order = order[np.argsort(own[order], kind="stable")]
-    yield own[order], code[order], (weight / norm[owner])[order]
+    order = np.argsort(owner, kind="stable")
+    yield owner[order], code[order], (weight / norm[owner])[order]
 
 
 def _vectors(words: list[bytes]) -> np.ndarray:
@@ -248,12 +244,49 @@ def _apart(words: Words, n_signs: int = 4) -> np.ndarray:
     return stay
 
 
+def _units(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The different units of the words as letters and sizes, and which text has which: (letters, sizes, text, unit) with each pair once.
+
+    A word is one unit, a word over `WINDOW` letters is as many as scoring looks at: all its windows.
+    """
+    text, size, word = windows(words.letters, words.sizes)
+    first = np.cumsum(size) - size
+    table = np.zeros((len(size), WINDOW), np.uint8)
+    inner = size - 2
+    table[np.repeat(np.arange(len(size)), inner), np.arange(inner.sum()) - np.repeat(np.cumsum(inner) - inner, inner)] = _flat(text, first + 1, first + 1 + inner)[0]
+    units, unit = np.unique(table.view(f"S{WINDOW}").ravel(), return_inverse=True)
+    sizes = np.char.str_len(units).astype(np.int64)
+    letters = np.frombuffer(b"".join(units.tolist()), np.uint8)
+    starts = np.searchsorted(word, np.arange(len(words.sizes) + 1))
+    n = np.diff(starts)[words.word]
+    each = np.repeat(starts[words.word] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    pairs = np.unique(np.repeat(words.owner.astype(np.int64), n) * len(units) + unit[each])
+    return letters, sizes, pairs // max(len(units), 1), pairs % max(len(units), 1)
+
+
+def _witnesses(letters: np.ndarray, sizes: np.ndarray, owner: np.ndarray, unit: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Where no unit comes again in toxic texts: of each toxic text the unit whose letter triples are found there rather than elsewhere."""
+    text, size, _ = windows(letters, sizes)
+    of, code, _ = next(subsequences(text, size), (np.zeros(0, np.int64), np.zeros(0, np.int64), 0.0))
+    first = np.searchsorted(of, np.arange(len(sizes) + 1))
+    n = np.diff(first)[unit]
+    each = np.repeat(first[unit] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    held = np.unique(np.repeat(owner, n) << 15 | code[each])
+    bad, good = (np.bincount(held[toxic[held >> 15] == t] & 0x7FFF, minlength=1 << 15) for t in (True, False))
+    odds = np.log((bad + 0.5) / (toxic.sum() + 1)) - np.log((good + 0.5) / ((~toxic).sum() + 1))
+    value = np.bincount(of, weights=np.maximum(odds[code], 0), minlength=len(sizes))
+    mine = np.flatnonzero(toxic[owner])
+    order = mine[np.lexsort((value[unit[mine]], owner[mine]))]
+    last = np.append(np.flatnonzero(owner[order][1:] != owner[order][:-1]), len(order) - 1) if len(order) else order
+    return np.unique(unit[order[last]])
+
+
 def fit(texts: list[bytes], toxic: np.ndarray) -> Model:
     """Learns from labelled texts which words mark a toxic one.
 
-    A toxic text has at least one toxic word, unknown which. Words far more frequent in toxic texts start as positives; a toxic text without
-    a word of positive margin adds its best word (its witness). Words of other texts are negatives, the worst of them found again in
-    each round. With one class only, every text gets its share of toxic labels as score.
+    A toxic text has at least one toxic unit (a word, or a window of a long one), unknown which. Units far more frequent in toxic texts start as
+    positives; a toxic text without a unit of positive margin adds its best one (its witness). Units of other texts are negatives, the
+    worst of them found again in each round. With one class only, every text gets its share of toxic labels as score.
     """
     toxic = toxic.astype(bool)
     if not toxic.any() or toxic.all():
@@ -261,21 +294,20 @@ def fit(texts: list[bytes], toxic: np.ndarray) -> Model:
         return Model(np.zeros(1 << 15), 0.0, 0.0, odds)
     words = Words(texts)
     stay = _apart(words)
-    n, first = len(words.sizes), np.cumsum(words.sizes) - words.sizes
-    spell = lambda i: words.letters[first[i] : first[i] + words.sizes[i]].tobytes()
-    pairs = np.unique(words.owner.astype(np.int64) * n + words.word)
-    owner, word = pairs // n, pairs % n
+    letters, sizes, owner, word = _units(words)
+    n, first = len(sizes), np.cumsum(sizes) - sizes
+    spell = lambda i: letters[first[i] : first[i] + sizes[i]].tobytes()
     good = np.bincount(word[~toxic[owner]], minlength=n)
     own = stay[owner]
     bad = np.bincount(word[own & toxic[owner]], minlength=n)
     rest = np.bincount(word[own & ~toxic[owner]], minlength=n)
     odds = np.log((bad + 0.05) / max(1, (stay & toxic).sum())) - np.log((rest + 0.5) / max(1, (stay & ~toxic).sum()))
-    telling = (bad >= 3) & (odds > 3) & (words.sizes >= 3)
+    telling = (bad >= 3) & (odds > 3) & (sizes >= 3)
     if not telling.any():
-        telling[np.argmax(np.where(words.sizes >= 3, bad * odds, -np.inf))] = True
+        telling[_witnesses(letters, sizes, owner, word, toxic)] = True
     clean = np.flatnonzero((good > 0) & ~telling)
     rng, hard = np.random.default_rng(0), np.zeros(0, np.int64)
-    mine = np.flatnonzero(toxic[owner] & (words.sizes[word] >= 3))
+    mine = np.flatnonzero(toxic[owner] & (sizes[word] >= 3))
     for step in range(ROUNDS):
         chosen = np.flatnonzero(telling)
         top = chosen[np.argsort(-bad[chosen], kind="stable")]
@@ -291,7 +323,7 @@ def fit(texts: list[bytes], toxic: np.ndarray) -> Model:
         cost = np.where(y > 0, 2000 * share / share[y > 0].sum(), 4000 * share / max(1.0, share[y < 0].sum()))
         w, bias = _svm(_kernel([spell(i) for i in both], marks) @ root, y, cost)
         weights = ((root @ w) @ marks).astype(np.float64)
-        value = margins(words.letters, words.sizes, weights, bias)
+        value = margins(letters, sizes, weights, bias)
         hard = clean[np.argsort(-value[clean], kind="stable")[: NEGATIVES // 2]]
         explained = np.zeros(len(texts), bool)
         np.logical_or.at(explained, owner, telling[word] | (value[word] > 0))
@@ -302,7 +334,7 @@ def fit(texts: list[bytes], toxic: np.ndarray) -> Model:
             best = word[order[last]]
             telling[best[value[best] > -0.5]] = True
     best = np.full(len(texts), min(-1.0, bias))
-    np.maximum.at(best, words.owner, value[words.word])
+    np.maximum.at(best, owner, value[word])
     return Model(weights, bias, *_line(best, toxic))
 
 
@@ -338,10 +370,10 @@ def train(docs: DataFrame, labels: DataFrame, learns: Column, sample: int = SAMP
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of a table with `text` and a `toxicity` between 0 and 1 at the end.
 
-    Any columns pass; null, empty and wordless texts get the score of a text without a telling word; repeated rows get equal scores; an empty
+    Other columns pass; a column of that name must be renamed first (see `frames.numbered`). Null, empty and wordless texts get the score of a text without a telling word; repeated rows get equal scores; an empty
     table stays empty. Every word of every text is seen.
     """
-    at = docs.columns.index("text")
+    at, rows = docs.columns.index("text"), numbered(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -350,4 +382,5 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             scores = np.concatenate(found) if found else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, "toxicity"])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("toxicity", T.DoubleType())]))
+    scored = rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("toxicity", T.DoubleType())]))
+    return scored.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns)], "toxicity")

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
                        T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())])
 #: Columns that operators use inside or return; they must not disturb anything.
-CLASHING = ["_block", "_row", "score", "fingerprint", "start", "key", "a", "_c0"]
+CLASHING = ["_block", "_row", "score", "fingerprint", "start", "key", "a", "_c0", "a.b", "lang2"]
 
 
 def sample_rows() -> list[tuple]:

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-from jobtide.llm import simhash, substring
+from jobtide.llm import blocks, simhash, substring
 from jobtide.llm.components import components
 from jobtide.llm.words import Hasher, xxh64_spans
 
@@ -136,8 +136,8 @@ def kept_words(rows, width):
 
 
 def test_repeated_windows_go(docs, rows):
-    for block_bytes in (1 << 30, 2000):  # one block, and many
-        got = substring.kept_digest(substring.remove_repeats(docs, block_bytes=block_bytes)).collect()
+    for block_bytes, direct in ((1 << 30, 9), (2000, 9999), (2000, 9)):  # one block; many; many by racks
+        got = substring.kept_digest(substring.remove_repeats(docs, block_bytes=block_bytes, direct=direct)).collect()
         assert Counter(map(tuple, got)) == kept_words(rows, 35)
 
 
@@ -148,6 +148,23 @@ def test_overlaps_inside_one_text(spark):
     assert Counter(map(tuple, got)) == kept_words(rows, 35)
 
 
+def test_windows_are_proved_by_all_their_bits():
+    """Keys of equal first 64 bits and other 32: only those held twice in whole are said to be."""
+    part = lambda keys, checks, times: substring._split(np.array(keys, np.uint64), [np.array(checks, "<u4"), np.array(times, "u1")], 1, 1, 0)["payload"][0].as_py()
+    replies = substring._answer(["<u8", "<u4", "u1"], True)([part([7, 7, 9], [1, 2, 1], [1, 1, 2]), part([7, 8], [2, 1], [1, 1])])
+    read = lambda x: list(zip(np.frombuffer(x, "<u8", len(x) // 12).tolist(), np.frombuffer(x, "<u4", len(x) // 12, len(x) // 12 * 8).tolist()))
+    assert [read(x) for x in replies] == [[(7, 2), (9, 1)], [(7, 2)]]
+
+
+def test_bundles():
+    rows = [(b, 5, bytes([b] * b)) for b in range(10)]
+    table = blocks.asked(rows, 4)
+    assert table["_bucket"].to_pylist() == [0, 1, 2]
+    assert [(k, x) for p in table["payload"].to_pylist() for k, x in blocks._unbundle(p)] == [(r[0], r[2]) for r in rows]
+    assert blocks.asked([], 4).num_rows == 0 and blocks._unbundle(blocks._bundle([])) == []
+    assert blocks.rack_size(1024) == 1 and blocks.rack_size(1 << 20) == 1 << 10
+
+
 def test_empty_tables(no_docs):
     assert simhash.near_duplicates(no_docs).collect() == []
     assert simhash.drop_near_duplicates(no_docs).collect() == []

@@ -81,6 +81,7 @@ def test_redaction(spark, docs, rows):
     assert Counter((r[0], r[1], r[2]) for r in got.collect()) == Counter({
         (1, "mail <EMAIL> or <IP>!", 21): 2, (2, None, 0): 1, (None, "x <PHONE>", 9): 1, (4, "<PHONE> é <EMAIL>🙂", 18): 1})
     assert pii.redact(docs).count() == len(rows)
+    assert pii.digest(pii.find(docs)).count() == len(rows) and pii.digest(pii.find(docs.limit(0))).collect() == []
 
 
 INSULTS = ["moron", "clownface", "scumbag"]
@@ -140,15 +141,42 @@ def test_letters_of_words():
 
 
 def test_margins_follow_the_kernel():
-    words = [b"moron", b"ab", b"clownface", b"x" * 40]
+    words = [b"moron", b"ab", b"clownface"]
     letters, sizes = np.frombuffer(b"".join(words), np.uint8), np.array([len(w) for w in words])
     marks = toxicity._vectors([b"moron", b"clown"])
     kernel = toxicity._kernel(words, marks)
     for column in range(2):
-        assert toxicity.margins(letters[:16], sizes[:3], marks[column].astype(float), 0.0) == pytest.approx(kernel[:3, column], rel=1e-4)
+        assert toxicity.margins(letters, sizes, marks[column].astype(float), 0.0) == pytest.approx(kernel[:, column], rel=1e-4)
+    long = b"abcdefghmoronijklmnopqrstuvw"  # half-overlapping windows of 16, the best of which counts
+    parts = toxicity._kernel([long[:16], long[8:24], long[16:]], marks)
+    assert toxicity.margins(np.frombuffer(long, np.uint8), np.array([len(long)]), marks[0].astype(float), 0.0) == pytest.approx(parts[:, 0].max(), rel=1e-4)
     assert kernel[0, 0] == pytest.approx(np.square(marks[0]).sum(), rel=1e-4)
 
 
+@pytest.mark.parametrize("at", [0, 13, 30, 52])
+def test_insults_anywhere_in_a_text_without_blanks(at):
+    rng, insult = random.Random(8), "笨蛋傻瓜"
+    common = [chr(0x4E00 + 37 * i) for i in range(400)]
+    rows = []
+    for i in range(600):
+        text = [rng.choice(common) for _ in range(60)]
+        if i % 2:
+            text[at : at + 4] = insult
+        rows.append(("".join(text).encode(), bool(i % 2)))
+    model = toxicity.fit([t for t, _ in rows[:400]], np.array([x for _, x in rows[:400]]))
+    found = model.scores([t for t, _ in rows[400:]]) >= 0.5
+    assert np.mean(found == [x for _, x in rows[400:]]) > 0.95
+
+
+def test_units_are_words_and_windows():
+    words = toxicity.Words([b"ab abcdefghijklmnopqrstuvwx ab", b"", b"ab qrstuvwx"])
+    letters, sizes, owner, unit = toxicity._units(words)
+    ends = np.cumsum(sizes)
+    spelled = [letters[e - n : e].tobytes() for n, e in zip(sizes, ends)]
+    assert sorted({(int(o), spelled[u]) for o, u in zip(owner, unit)}) == [(0, b"ab"), (0, b"abcdefghijklmnop"), (0, b"ijklmnopqrstuvwx"), (2, b"ab"), (2, b"qrstuvwx")]
+    assert len(owner) == 5 and len(toxicity._units(toxicity.Words([b"", b" "]))[2]) == 0
+
+
 def distance_in(item, text):
     """Least edits between the item and any stretch of the text, by the plain recursion."""
     last = [0] * (len(text) + 1)
@@ -202,6 +230,68 @@ def test_passages_within_the_budget(spark, docs, no_docs):
     assert decontaminate.find_passages(docs, none).collect() == [] and decontaminate.drop_contaminated(docs, none).count() == docs.count()
 
 
+def places_in(index, n, text):
+    """Every place within an item's budget by the whole table of edits, the best of those that overlap."""
+    item, k, step = index.texts[n], int(index.budget[n]), 1 << 32
+    last = [j for j in range(len(text) + 1)]  # cost above, start below
+    for i, a in enumerate(item, 1):
+        row = [i * step]
+        for j, b in enumerate(text, 1):
+            row.append(min(last[j - 1] + (a != b) * step, last[j] + step, row[j - 1] + step))
+        last = row
+    near = sorted((c >> 32, c & (step - 1), j) for j, c in enumerate(last) if c >> 32 <= k)
+    out = []
+    for edits, a, b in near:
+        if all(b <= s or e <= a for s, e, _ in out):
+            out.append((a, b, edits))
+    return sorted(out)
+
+
+def test_every_place_once():
+    rng = random.Random(9)
+    cases = [("ab cd ef " * 10, "ab cd ef " * 120), ("hello world ", "hello world " * 3), ("abcdefgh", "abcdefghabcdefgh abcdefgh"),
+             ("abababababababababab", "ab" * 45), ("the quick brown fox", "the quick brown fox the quikc brown fox. the quick brown fo the quick brownfox")]
+    for _ in range(40):
+        piece = "".join(rng.choice("ab ") for _ in range(rng.randint(2, 7)))
+        item = (piece * 30)[: rng.randint(9, 60)]
+        text = list("".join(rng.choice(["", "b", "aab "]) + item[: rng.randint(5, 60)] for _ in range(8)))
+        for _ in range(rng.randrange(6)):
+            text[rng.randrange(len(text))] = rng.choice(["", "a", "ab", "x"])
+        cases.append((item, "".join(text)))
+    for item, text in cases:
+        index = decontaminate.Index([(7, item)])
+        found = [r[2:] for r in index.find([b"nothing", text.encode()])]
+        assert found == places_in(index, 0, decontaminate.folded(text))
+        assert all(r[:2] == (1, 0) for r in index.find([b"nothing", text.encode()]))
+
+
+def test_licences_inside_others(spark):
+    full = {n: " ".join(licenses.SENTENCES[i][-1] for i in sequence) for n, sure, sequence in licenses.RULES if sure == "full"}
+    three, two, mit = full["BSD-3-Clause"], full["BSD-2-Clause"], full["MIT"]
+    first, *rest = [licenses.SENTENCES[i][0] for i in ("bsd-redistribute", "bsd-source", "bsd-binary")]
+    texts = [three, two, f"{three}\n\n{two}", f"{two}\n\n{three}", f"{three} {three}", f"{mit}\n\n{mit}", f"{first} {mit} {' '.join(rest)}", f"{first}\n{three}"]
+    got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r["licences"] for r in got] == ["BSD-3-Clause", "BSD-2-Clause", "BSD-3-Clause,BSD-2-Clause", "BSD-3-Clause,BSD-2-Clause", "BSD-3-Clause", "MIT", "MIT,BSD-2-Clause", "BSD-3-Clause,BSD-2-Clause"]
+
+
+def test_the_licence_twin_knows_the_same(spark):
+    """The SQL twin over cut, wrapped and combined sentences, beside the scan."""
+    import duckdb
+    import pandas as pd
+
+    texts = [None, "", "x"]
+    for name, sentences in licenses.SENTENCES.items():
+        for s in sentences:
+            texts += [s, wrapped(s, 30), wrapped(s, 30, "// "), f"a {s} b", f"\x1d{s}\x1f", s.upper(), f"{s} {licenses.SENTENCES['mit-ref'][0]}\n\n{s}"]
+    texts += [" ".join(licenses.SENTENCES[i][0] for i in sequence) + "\n" + wrapped(texts[7], 20) for _, _, sequence in licenses.RULES]
+    rows = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})
+    with duckdb.connect() as db:
+        db.register("documents", rows)
+        twin = sorted(db.sql(licenses.sql_twin()).fetchall())
+    found = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert sorted(tuple(r) for r in found.collect()) == twin and sum(bool(r[2]) for r in twin) > 100
+
+
 def test_licences(spark, docs, rows, no_docs):
     mit = "\n".join(licenses.SENTENCES[k][0] for k in ("mit-grant", "mit-notice", "mit-warranty"))
     texts = ["Licensed under CC BY-NC 4.0.\nTh ndinly", mit, mit.replace("furnished to do so", "furnished\nto do so"), "All rights reserved", "nothing here. licence", None, "",
@@ -264,6 +354,42 @@ def exact_neighbours(rows, every, k):
     return out
 
 
+def test_ties_of_different_vectors_go_to_the_smaller_id(spark):
+    """One-hot vectors are all at the same distance; copies of one direction are at none. Small shards and leaves."""
+    size = 64
+    rows = [(i, [float(j == i) for j in range(size)]) for i in range(size)]
+    rows += [(100 + i, [0.0] * size + [3.0, 1.0 + i % 2]) for i in range(40)] + [(200 + i, [0.0] * size + [2.0 ** (i % 9), 0.0]) for i in range(40)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for shard_rows in (1 << 20, 20):
+        got = neighbours.search(table, F.col("id") % 50 == 0, factor=1.0, shard_rows=shard_rows).collect()
+        found = {}
+        for r in sorted(got, key=lambda r: (r["query_id"], r["rank"])):
+            found.setdefault(r["query_id"], []).append(r["vec_id"])
+        assert found[0] == [1, 2, 3, 4, 5] and found[50] == [0, 1, 2, 3, 4]
+        assert found[100] == [102, 104, 106, 108, 110] and found[200] == [201, 202, 203, 204, 205]
+
+
+def visited(data, factor):
+    """Share of the pairs that are compared, and recall, of every fortieth row as a query."""
+    tree, queries = neighbours.Tree(data, np.arange(len(data))), data[::40]
+    true = np.argsort(-(neighbours._unit(queries) @ neighbours._unit(data).T), axis=1, kind="stable")[:, :6]
+    _, where, compared = tree.search(queries, 6, factor)
+    return compared / len(queries) / len(data), np.mean([len(set(a) & set(b)) / 6 for a, b in zip(true, where)])
+
+
+def test_pruning_and_recall():
+    """Near directions are told apart without loss; directions drawn at random, the hardest case, only by a relaxed inequality."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 16))
+    near = centres[rng.integers(40, size=4000)] + rng.normal(scale=0.1, size=(4000, 16))
+    share, recall = visited(near, 1.0)
+    assert recall == 1.0 and share < 0.5
+    apart = rng.normal(size=(8192, 64))
+    assert visited(apart, 1.0)[1] == 1.0
+    share, recall = visited(apart, neighbours.FACTOR)
+    assert recall > 0.98 and share < 0.97
+
+
 def test_neighbours_against_brute_force(spark):
     rows = vectors()
     table = spark.createDataFrame([(*r, 1.0) for r in rows], "vec_id long, embedding array<double>, score double")

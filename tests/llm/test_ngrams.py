@@ -51,25 +51,61 @@ def brute(rows, order, prior):
     return out
 
 
-@pytest.mark.parametrize(("order", "block_bytes"), [(1, 1 << 20), (2, 1 << 20), (2, 1500), (3, 3000)])
-def test_scores(docs, rows, order, block_bytes):
+@pytest.mark.parametrize(("order", "block_bytes", "direct"), [(1, 1 << 20, 9), (2, 1 << 20, 9), (2, 1500, 9999), (3, 1 << 20, 9), (3, 3000, 9999), (3, 5000, 9)])
+def test_scores(docs, rows, order, block_bytes, direct):
     use = [(r[0], r[1], r[0] is not None and r[0] % 3 == 0) for r in rows]
     expected = sorted((str(r[0]), h, *b) for r, h, b in zip(rows, (u[2] for u in use), brute(use, order, 8.0)))
-    got = sorted((str(r[0]), *r[1:]) for r in ngrams.score(docs, F.col("doc_id") % 3 == 0, order, block_bytes=block_bytes).collect())
+    got = sorted((str(r[0]), *r[1:]) for r in ngrams.score(docs, F.col("doc_id") % 3 == 0, order, block_bytes=block_bytes, direct=direct).collect())
     assert [g[:5] for g in got] == [e[:5] for e in expected]
     for g, e in zip(got, expected):
         assert g[5] == pytest.approx(e[5], rel=1e-9)
         assert g[6] == pytest.approx(e[6], rel=0.02)  # quantised
 
 
-def test_rare_words_after_a_hot_context():
-    counts = np.array([1, 2, 3, 50, 10**5, 10**8, 0], np.int64)
+def test_frequent_contexts_are_dealt_over_buckets(spark):
+    """Small blocks make many buckets, so that most words are too frequent for one."""
+    words = "the the the the of a b c d e f".split()
+    rng = np.random.default_rng(1)
+    rows = [(i, " ".join(rng.choice(words, rng.integers(0, 30))), i % 3 == 0) for i in range(60)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    for block_bytes in (200, 1 << 20):
+        got = sorted((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in ngrams.score(docs, F.col("doc_id") % 3 == 0, 3, block_bytes=block_bytes).collect())
+        for g, (i, e) in zip(got, enumerate(brute(rows, 3, 8.0))):
+            assert g[:4] == (i, *e[:3]) and g[4] == pytest.approx(e[3], rel=1e-9) and g[5] == pytest.approx(e[4], rel=0.02)
+
+
+def test_rare_words_after_a_hot_context(tmp_path):
+    counts = np.array([1, 2, 3, 50, 10**5, 10**8], np.int64)
     for seen in (10**8, 25 * 10**7, 10**12):
-        contexts, words = np.full(len(counts), 7, np.uint64), np.arange(len(counts), dtype=np.uint64)
-        reply = ngrams._trie(8.0, False)([ngrams._pack_grams(contexts, words, counts, np.full(len(counts), seen), b"")])[0]
-        codes = ngrams._read_planes(reply, "<u2", len(counts), 4)[0]
-        assert codes[-1] == ngrams.LACKING
-        assert ngrams.unquantised(codes[:-1]) == pytest.approx(counts[:-1] / (seen + 8.0), rel=0.04)
+        same = np.full(len(counts), 7, np.uint64)
+        trie = ngrams.Trie(same, 0 * same, np.arange(len(counts), dtype=np.uint64), counts, 8.0, 20, str(tmp_path), {7: seen})
+        root = trie.root(np.full(len(counts) + 1, 7, np.uint64))
+        codes = trie.after.code(trie.after.find(root, np.arange(len(counts) + 1, dtype=np.uint64)))
+        assert codes[-1] == ngrams.LACKING and ngrams.unquantised(codes)[-1] == 0
+        assert ngrams.unquantised(codes[:-1]) == pytest.approx(counts / (seen + 8.0), rel=0.04)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 6), st.integers(0, 6), st.integers(0, 6), st.integers(1, 5)), max_size=80), st.lists(st.tuples(*[st.integers(0, 8)] * 3), max_size=60))
+def test_trie_against_dictionaries(tmp_path_factory, taught, asked):
+    c = Counter()
+    for *gram, n in taught:
+        c[tuple(gram)] += n
+    rows = sorted(c)
+    columns = [np.array([g[i] for g in rows], np.uint64) for i in range(3)]
+    trie = ngrams.Trie(*columns, np.array([c[g] for g in rows], np.int64), 8.0, 5, str(tmp_path_factory.mktemp("trie")))
+    asked = sorted({*asked, *rows[::2]})
+    grams = ngrams.Grams(*[np.array([g[i] for g in asked], np.uint64) for i in range(3)], np.ones(len(asked), np.int64))
+    again, end = ngrams.Grams.unpack(grams.pack())
+    assert all((getattr(grams, x) == getattr(again, x)).all() for x in ("last", "before", "word", "count")) and end == len(grams.pack())
+    (longer, gram, pair), _ = ngrams._read_planes(ngrams._look_up(trie, again, 0), 0, "<u2", "<u2", "<u2")
+    held = lambda test: sum(n for g, n in c.items() if test(g))
+    nodes = sorted({g[:2] for g in asked})
+    near = lambda codes, values: ngrams.unquantised(codes).tolist() == pytest.approx(values, rel=0.04)
+    assert near(longer, [8 / (held(lambda g: g[:2] == x) + 8) if held(lambda g: g[:2] == x) else 0 for x in nodes])
+    assert near(gram, [c[g] / (held(lambda x: x[:2] == g[:2]) + 8) if c[g] else 0 for g in asked])
+    pairs = sorted({(g[0], g[2]) for g in asked})
+    assert near(pair, [held(lambda g: (g[0], g[2]) == x) / (held(lambda g: g[0] == x[0]) + 8) for x in pairs])
 
 
 def test_production_scores_two_words_of_context(docs, rows):

@@ -42,3 +42,18 @@ def test_stages_take_no_documents(spark):
     docs = catalog.table(spark, FOLDER, "documents").limit(0)
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert kept(stage(spark, docs, FOLDER), name).count() == 0
+
+
+def test_stages_pass_clashing_and_dotted_columns(spark):
+    """Extra columns of any name, and rows of equal id, come through every stage as they are."""
+    docs = catalog.table(spark, FOLDER, "documents")
+    names = ["toxicity", "a.b", "fingerprint", "component_id", "key", "score", "_c0", "text2", "spans"]
+    docs = docs.unionByName(docs.limit(3)).select("*", *[catalog.F.concat(catalog.F.lit(n), catalog.F.col("doc_id").cast("string")).alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = kept(stage(spark, docs, FOLDER), name)
+        assert out.columns == docs.columns
+        for n in names:
+            assert out.filter(catalog.F.col(f"`{n}`") != catalog.F.concat(catalog.F.lit(n), catalog.F.col("doc_id").cast("string"))).count() == 0
+        docs = out
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)
+    assert packed.groupBy("sequence_id").agg(catalog.F.sum("length").alias("n")).filter("n > 2048").count() == 0
