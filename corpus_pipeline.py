@@ -9,14 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import catalog, decontaminate, packing, pii, simhash, toxicity
+from jobtide.llm import catalog, decontaminate, frames, packing, pii, simhash, toxicity
 from jobtide.session import kept
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is under one half; the model learns from the labelled ones among them."""
     model = toxicity.train(docs, catalog.table(spark, sf_dir, "labels"), F.lit(True))
-    return toxicity.score(docs, model).filter(F.col("toxicity") < 0.5).select(*docs.columns)
+    scored = toxicity.score(frames.numbered(docs, "text"), model)  # no column of the input can clash with the score
+    return frames.restored(scored.filter(F.col("toxicity") < 0.5), docs.columns, "text")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
