@@ -80,10 +80,12 @@ class EliasFano:
         some = high > 0
         begin[some] = _pick(self.words, self.zeros, high[some] - 1, False) - (high[some] - 1)
         end = _pick(self.words, self.zeros, high, False) - high
-        go = np.arange(len(high))
-        while len(go):  # the numbers of equal upper half are few
+        go = np.flatnonzero(begin < end)
+        while len(go):  # halving among the numbers of equal upper half, which may be many where numbers cluster
+            middle = (begin[go] + end[go]) >> 1
+            below = self._lower(middle) < rest[go]
+            begin[go[below]] = middle[below] + 1
+            end[go[~below]] = middle[~below]
             go = go[begin[go] < end[go]]
-            go = go[self._lower(begin[go]) < rest[go]]
-            begin[go] += 1
         out[inside] = np.minimum(begin, self.n)
         return out

@@ -126,7 +126,7 @@ class Trie:
                 raw = np.ascontiguousarray(array).tobytes()
                 out.write(raw + bytes(-len(raw) % 8))
             out.write(bytes(8))
-        file, at, views = np.memmap(path, np.uint8, "r"), 0, []
+        file, at, views = np.asarray(np.memmap(path, np.uint8, "r")), 0, []
         for array in arrays:
             views.append(file[at : at + array.nbytes].view(array.dtype))
             at += array.nbytes + -array.nbytes % 8
