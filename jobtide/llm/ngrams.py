@@ -161,6 +161,9 @@ def _read_planes(data: bytes, at: int, *kinds: str) -> tuple[list[np.ndarray], i
     return out, at
 
 
+_NOTHING = bytes(4)
+
+
 class Grams:
     """Grams (last context word, the one before it, the word, training count) in order, as they travel: every context once."""
 
@@ -170,6 +173,8 @@ class Grams:
 
     def pack(self) -> bytes:
         n = len(self.last)
+        if not n:
+            return _NOTHING
         root = _runs(self.roots, n)[self.nodes] if n else self.nodes
         return b"".join(_planes(x) for x in (
             self.last[self.roots].astype("<u8"), np.bincount(root, minlength=len(self.roots)).astype("<u4"),
@@ -177,6 +182,8 @@ class Grams:
 
     @classmethod
     def unpack(cls, data: bytes, at: int = 0) -> tuple[Grams, int]:
+        if data[at : at + 4] == _NOTHING:
+            return NO_GRAMS, at + 4
         (last, nodes, before, words, word, count), at = _read_planes(data, at, "<u8", "<u4", "<u8", "<u4", "<u8", "<u4")
         return cls(np.repeat(np.repeat(last, nodes), words), np.repeat(before, words), word, count), at
 
@@ -189,6 +196,9 @@ class Grams:
         return order[first], where
 
 
+NO_GRAMS = Grams(*[np.zeros(0, kind) for kind in ("<u8", "<u8", "<u8", "<u4")])
+
+
 def _count_words(payloads: list[bytes]) -> list[bytes]:
     """Adds up the training counts of each word and tells each block the counts of its words and their numbers; last the bucket's totals.
 
@@ -208,9 +218,11 @@ def _count_words(payloads: list[bytes]) -> list[bytes]:
     return [*out, np.array([counts.sum(), (counts > 0).sum(), len(words)], ">i8").tobytes()]
 
 
-def _look_up(trie: Trie, grams: Grams, kind: int) -> bytes:
+def _look_up(trie: Trie | None, grams: Grams, kind: int) -> bytes:
     """The codes of a question: of its longer contexts, its grams, and its pairs, as far as this kind of question has them."""
     n = len(grams.last)
+    if not n:
+        return b""
     run = _runs(grams.roots, n)
     root, out = trie.root(grams.last[grams.roots]), b""
     if kind < 2:
@@ -237,11 +249,16 @@ def _answer_grams(prior: float, bits: int):
             for _ in range(3):
                 grams, at = Grams.unpack(payload, at)
                 kinds.append(grams)
-            (counts,), _ = _read_planes(payload, at, "<i8")
-            known.update(zip(kinds[2].last[kinds[2].roots].tolist(), counts.tolist(), strict=True))
+            if len(kinds[2].last):
+                (counts,), _ = _read_planes(payload, at, "<i8")
+                known.update(zip(kinds[2].last[kinds[2].roots].tolist(), counts.tolist(), strict=True))
             asked.append(kinds)
         replies: list[list[bytes]] = [[] for _ in payloads]
         for kind in range(3):
+            if not any(len(q[kind].last) for q in asked):
+                for reply in replies:
+                    reply.append(_look_up(None, NO_GRAMS, kind))
+                continue
             last, before, word, count = (np.concatenate([getattr(q[kind], c) for q in asked]) for c in ("last", "before", "word", "count"))
             taught = np.flatnonzero(count > 0)
             order = taught[np.lexsort((word[taught], before[taught], last[taught]))]
@@ -342,7 +359,8 @@ class _Asked:
     def question(self, bucket: int) -> bytes:
         kinds = [self.grams(bucket, kind) for kind in range(3)]
         at = self.kinds[2][bucket]
-        return b"".join(g.pack() for g in kinds) + _planes(self.counts[self.last[at]][kinds[2].roots].astype("<i8"))
+        known = self.counts[self.last[at]][kinds[2].roots].astype("<i8") if len(at) else np.zeros(0, "<i8")
+        return b"".join(g.pack() for g in kinds) + (_planes(known) if len(at) else b"")
 
     def probabilities(self, replies: dict[int, bytes], total: int, norm: float, prior: float, order: int) -> np.ndarray:
         """The probability of each different gram's word."""
@@ -356,6 +374,8 @@ class _Asked:
             at = 0
             for kind in range(3):
                 mine = self.kinds[kind][bucket]
+                if not len(mine):
+                    continue
                 grams = self.grams(bucket, kind)
                 if kind < 2:
                     (longer, gram), at = _read_planes(data, at, "<u2", "<u2")
@@ -404,7 +424,7 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, prior: float =
     if order not in (1, 2, 3):
         raise ValueError("order must be 1, 2 or 3")
     spark, picked = docs.sparkSession, docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    buckets = 2 * blocks.buckets_for(docs, "text", block_bytes)  # a bucket's trie takes more room than a block's words
+    buckets = blocks.buckets_for(docs, "text", block_bytes)
     rack = blocks.rack_size(buckets, direct)
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
