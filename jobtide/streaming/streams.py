@@ -9,16 +9,13 @@ checkpoint numbers its batches after those that are there. What a stream has to
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from ..operators.dedup import match_keys, new_postings
 from ..operators.keyed import keep_first, with_previous
@@ -233,49 +230,15 @@ def online_stream(events: DataFrame, delay: str, user: str = "user_id", ts: str
             .agg(F.max(ts).alias("last_seen")).select(user, F.col("w.start").alias("hour"), "last_seen"))
 
 
-MINUTE = 60_000
-
-
-class MinuteFlush(StatefulProcessor):
-    """Keeps a user's last sight in each minute that is not over yet; a timer hands the minute out and forgets it."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getMapState("last", "minute long", "seen long")
-
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        past = timerValues.getCurrentWatermarkInMs()
-        for part in rows:
-            latest = part["seen"].groupby(part["seen"] // (1000 * MINUTE) * MINUTE).max()
-            for minute, seen in latest.items():
-                if minute + MINUTE <= past:
-                    continue  # too late: handed out already
-                before = self.last.getValue((minute,))
-                if before is None:
-                    self.handle.registerTimer(minute + MINUTE)
-                if before is None or before[0] < seen:
-                    self.last.updateValue((minute,), (int(seen),))
-        yield from ()
-
-    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        minute = expiredTimerInfo.getExpiryTimeInMs() - MINUTE
-        (seen,) = self.last.getValue((minute,))
-        self.last.removeKey((minute,))
-        yield pd.DataFrame({"user_id": pd.array([key[0]], "Int64"), "minute_ms": [minute], "seen": [seen]})
-
-    def close(self) -> None:
-        pass
-
-
 def minute_flush_stream(events: DataFrame, delay: str, user: str = "user_id", ts: str = "ts") -> DataFrame:
     """Last sight of each user in each minute, handed out once the minute is over, in append mode.
 
-    The last write wins. A user's open minutes are keyed state with a timer each; rows later than `delay` do not count.
+    The last write wins. A user's open minutes are keyed state, which the watermark hands out and forgets; rows whose minute was handed out
+    do not count. Sights of a minute are reduced before the shuffle, and state is read and written once per key and batch.
     """
-    seen = events.select(F.col(user).cast("long").alias("user_id"), F.col(ts).cast("timestamp").alias("ts")).withColumn("seen", F.unix_micros("ts"))
-    flushed = seen.withWatermark("ts", delay).groupBy("user_id").transformWithStateInPandas(
-        MinuteFlush(), "user_id long, minute_ms long, seen long", "append", "eventTime")
-    return flushed.select("user_id", F.timestamp_millis("minute_ms").alias("minute"), F.timestamp_micros("seen").alias("last_seen"))
+    seen = events.select(F.col(user).cast("long").alias("user_id"), F.col(ts).cast("timestamp").alias("ts"))
+    minutes = seen.withWatermark("ts", delay).groupBy(F.window("ts", "1 minute").alias("w"), "user_id").agg(F.max("ts").alias("last_seen"))
+    return minutes.select("user_id", F.col("w.start").alias("minute"), "last_seen")
 
 
 def toggle_state(spark: SparkSession, folder: str, keys: Sequence[str], columns: str, ts: str = "ts", value: str = "active",

@@ -201,3 +201,10 @@ def test_job_stream_takes_every_posting_once(spark, tmp_path):
     taken = [data[i] for i, o in expected.items() if o == "accepted"]
     assert sorted((r["title"], r["company"], r["sightings"]) for r in postings.now().collect()) == sorted(
         (t, c, len({r[0] // 20 for r in taken if r[4:6] == (t, c)})) for t, c in {r[4:6] for r in taken})
+
+
+def test_minute_flushes_leave_no_python_per_key(spark):
+    """Sights are reduced per minute before the state is touched, not handed one by one to Python."""
+    events = spark.readStream.format("rate").load().select(F.col("timestamp").alias("ts"), F.col("value").alias("user_id"))
+    plan = streams.minute_flush_stream(events, "1 day")._jdf.queryExecution().analyzed().toString()
+    assert "Aggregate" in plan and "TransformWithState" not in plan
