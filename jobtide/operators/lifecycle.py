@@ -250,7 +250,9 @@ def insert_or_touch(base: DataFrame, batch: DataFrame, now: datetime, order: str
 
 
 def drop_empty_sources(sources: DataFrame, jobs: DataFrame) -> DataFrame:
-    return sources.join(jobs.select(F.col("source_id").alias("id")), "id", "left_semi")
+    """Sources that have jobs; each task names its sources once, so that the jobs of a large one never meet in one task."""
+    used = jobs.select(F.col("source_id").alias("id")).distinct()
+    return sources.join(used, "id", "left_semi")
 
 
 def switch_companies(companies: DataFrame, ids: DataFrame, active: bool | None) -> DataFrame:

@@ -259,3 +259,12 @@ def test_first_per_key_is_cut_before_the_shuffle(spark):
     assert sorted(r.v for r in last.collect()) == ["b", "c", "e"]
     plan = first._jdf.queryExecution().executedPlan().toString()
     assert "Partial" in plan and "WindowGroupLimit" in plan and "SortAggregate" not in plan
+
+
+def test_sources_are_told_from_a_few_rows_of_each_task(spark):
+    """No task gathers the jobs of a large source: they are reduced before any join."""
+    sources = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "id long, name string")
+    jobs = spark.range(1000).select((F.col("id") % 2 * 2).alias("source_id"))
+    kept = lifecycle.drop_empty_sources(sources, jobs)
+    assert [tuple(r) for r in kept.collect()] == [(2, "b")]
+    assert "Aggregate" in kept._jdf.queryExecution().optimizedPlan().toString()
