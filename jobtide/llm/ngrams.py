@@ -161,6 +161,15 @@ def _read_planes(data: bytes, at: int, *kinds: str) -> tuple[list[np.ndarray], i
     return out, at
 
 
+def _steps(hashes: np.ndarray) -> np.ndarray:
+    """Sorted hashes as the first and the distances between them, which have fewer bits."""
+    return np.diff(hashes.astype("<u8"), prepend=np.zeros(1, "<u8"))
+
+
+def _from_steps(steps: np.ndarray) -> np.ndarray:
+    return np.cumsum(steps, dtype="<u8")
+
+
 _NOTHING = bytes(4)
 
 
@@ -202,19 +211,20 @@ NO_GRAMS = Grams(*[np.zeros(0, kind) for kind in ("<u8", "<u8", "<u8", "<u4")])
 def _count_words(payloads: list[bytes]) -> list[bytes]:
     """Adds up the training counts of each word and tells each block the counts of its words and their numbers; last the bucket's totals.
 
-    Numbers are given by falling count, so that those of frequent words are small. Totals are the training tokens, the different ones,
+    Numbers are given by falling count, so that those of frequent words are small; counts travel in the order of the numbers, in which they fall. Totals are the training tokens, the different ones,
     and all different tokens.
     """
-    parts = [_read_planes(p, 0, "<u8", "<u4")[0] for p in payloads]
+    parts = [(_from_steps(steps), count) for (steps, count), _ in (_read_planes(p, 0, "<u8", "<u4") for p in payloads)]
     words, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
     counts = np.bincount(where, weights=np.concatenate([p[1] for p in parts]), minlength=len(words)).astype(np.int64)
     number = np.empty(len(words), "<u4")
     number[np.argsort(-counts, kind="stable")] = np.arange(len(words))
     out, at = [], 0
-    for mine, _ in parts:
-        here = where[at : at + len(mine)]
-        out.append(_planes(counts[here].astype("<i8")) + _planes(number[here]))
-        at += len(mine)
+    for hashes, _ in parts:
+        here = where[at : at + len(hashes)]
+        mine = number[here]
+        out.append(_planes(counts[here][np.argsort(mine)].astype("<i8")) + _planes(mine))
+        at += len(here)
     return [*out, np.array([counts.sum(), (counts > 0).sum(), len(words)], ">i8").tobytes()]
 
 
@@ -291,11 +301,12 @@ class _Block:
         return cls(np.diff(first) + 1, where, words, held)
 
     def pack(self) -> bytes:
-        return _planes(self.n.astype("<u8")) + _planes(self.where.astype("<u4")) + _planes(self.words.astype("<u8"))
+        return _planes(self.n.astype("<u8")) + _planes(self.where.astype("<u4")) + _planes(_steps(self.words))
 
     @classmethod
     def unpack(cls, data: bytes, held: np.ndarray) -> _Block:
-        return cls(*_read_planes(data, 0, "<u8", "<u4", "<u8")[0], held)
+        n, where, steps = _read_planes(data, 0, "<u8", "<u4", "<u8")[0]
+        return cls(n, where, _from_steps(steps), held)
 
 
 class _Asked:
@@ -438,7 +449,7 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, prior: float =
             rows = sink.getvalue().to_pybytes()
             counts = np.bincount(block.where, weights=block.trains, minlength=len(block.words))
             out = [(0, number, -1, np.array([len(rows)], "<u8").tobytes() + rows + block.pack())]
-            asked = blocks.asked([(bucket, number, _planes(block.words[at]) + _planes(counts[at].astype("<u4")))
+            asked = blocks.asked([(bucket, number, _planes(_steps(block.words[at])) + _planes(counts[at].astype("<u4")))
                                   for bucket, at in enumerate(blocks.by_bucket(block.words, buckets)) if len(at)], rack)
             out += list(zip([1] * asked.num_rows, *(asked[c].to_pylist() for c in ("_block", "_bucket", "payload")), strict=True))
             for row in out:  # each is large
@@ -467,7 +478,8 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, prior: float =
         counts, ids = np.zeros(len(block.words), np.int64), np.zeros(len(block.words), np.int64)
         for bucket, at in enumerate(blocks.by_bucket(block.words, buckets)):
             if len(at):
-                (counts[at], number), _ = _read_planes(heard[0][bucket], 0, "<i8", "<u4")
+                (falling, number), _ = _read_planes(heard[0][bucket], 0, "<i8", "<u4")
+                counts[at[np.argsort(number)]] = falling
                 ids[at] = number.astype(np.int64) * buckets + bucket
         return rows, block, _Asked(block, counts, ids, order, buckets, hot), heard[1]
 

@@ -130,3 +130,9 @@ def test_blocks_without_words(spark):
         got = ngrams.score(blank, F.lit(False), order, block_bytes=1).collect()
         assert len(got) == 6 and {(r["n_tokens"], r["n_known"], r["train_tokens"]) for r in got} == {(1, 1, 6)}
         assert len({r["score"] for r in got}) == 1
+
+
+def test_sorted_hashes_travel_as_distances():
+    hashes = np.sort(np.random.default_rng(3).integers(0, 1 << 63, 50_000, dtype=np.uint64) * np.uint64(2))
+    assert (ngrams._from_steps(ngrams._steps(hashes)) == hashes).all() and len(ngrams._from_steps(ngrams._steps(hashes[:0]))) == 0
+    assert len(ngrams._planes(ngrams._steps(hashes))) < 0.97 * len(ngrams._planes(hashes))
