@@ -1,20 +1,22 @@
 """TF-IDF near-duplicate search, exact at its threshold.
 
-Texts become unit vectors of smooth TF-IDF weights. Two vectors with cosine of
-at least `t` must share a term among the rarest terms that hold all but `t` of a
-vector's length, so only those leading terms are used to bring candidates
-together. Equal texts are collapsed before anything is compared. Texts meet in a join
-on their leading terms; pairs whose lengths leave no room for the threshold are dropped,
-and the others are scored by a join on all their terms. Everything is a DataFrame
-expression.
+Texts become unit vectors of smooth TF-IDF weights. Equal texts are collapsed before anything is compared. The vectors
+of each side are packed into blocks, and every block of new texts meets every block of existing ones: a task reads both and
+works out their cosines as arrays, rare terms first, and then the frequent ones of those pairs alone that can
+still reach the threshold. Only the best match of each text of a block leaves the task, so nothing that grows with the number of pairs is
+shuffled or written.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.core import bind
 from ..functions.text import fold, strip_html
@@ -22,7 +24,10 @@ from ..session import kept
 from .keyed import best_match
 
 TOKEN = r"[\p{L}\p{N}_]{2,}"
-WIDTH = 1024
+WIDTH = 2048  # texts of a block
+ENTRIES = 1 << 20  # terms of all texts of a block, if it has more than one
+OFTEN = 0.004  # a term is frequent in two blocks if it is shared by more than this share of their pairs
+PRODUCTS = 1 << 21  # products of weights that are worked out at once
 SLACK = 1e-9
 
 
@@ -50,13 +55,14 @@ def text_key(text: str) -> Column:
 def term_counts(texts: DataFrame, stop_words: Sequence[str], bigrams: bool) -> DataFrame:
     """Occurrences of each term in each distinct text of each side.
 
-    Equal texts become one: `doc` is their smallest key and `copies` their number.
+    Equal texts become one: `doc` is their smallest key, `copies` their number and `n` a short name for it.
     Terms are counted where the texts were collapsed, without another shuffle. A
     text without terms keeps one row with a null term.
     """
     distinct = texts.groupBy("side", text_key("text").alias("text_hash")).agg(
         F.min("id").alias("doc"), F.count("*").alias("copies"), F.first("text").alias("text"))
-    keys = ["side", "text_hash", "doc", "copies"]
+    distinct = distinct.withColumn("n", F.monotonically_increasing_id())
+    keys = ["n", "side", "text_hash", "doc", "copies"]
     words = distinct.select(*keys, F.explode_outer(terms(F.col("text"), stop_words, bigrams)).alias("term"))
     return words.groupBy(*keys, "term").agg(F.count("*").alias("tf"))
 
@@ -78,87 +84,124 @@ def term_weights(counts: DataFrame, total: Column, max_features: int | None) ->
         (F.log((1 + total) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
-def leading_terms(counts: DataFrame, weights: DataFrame, threshold: float) -> DataFrame:
-    """Unit vector of each text as arrays, with the number of its leading terms.
-
-    Terms stand rarest first. A term leads when the vector from it onwards is
-    still at least `threshold` long.
-    """
-    keys = ["side", "text_hash", "doc"]
-    rows = counts.join(weights, "term").select(*keys, "tid", "df", (F.col("tf") * F.col("idf")).alias("x"))
-    vectors = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("df", "tid", "x"))).alias("v"))
+def unit_vectors(counts: DataFrame, weights: DataFrame) -> DataFrame:
+    """Unit vector of each text by its short name `n`, as arrays of term numbers and weights."""
+    rows = counts.join(weights, "term").select("n", "tid", (F.col("tf") * F.col("idf")).alias("x"))
+    vectors = rows.groupBy("n").agg(F.sort_array(F.collect_list(F.struct("tid", "x"))).alias("v"))
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, e: a + e["x"] * e["x"]))
-    unit = bind(length, lambda n: F.transform("v", lambda e: e["x"] / n))
-    vectors = vectors.select(*keys, F.col("v.df").alias("dfs"), F.col("v.tid").alias("tids"), unit.alias("ws"))
-    spent = 1 - (threshold - SLACK) ** 2
-    start = F.struct(F.lit(0.0).alias("before"), F.lit(0).alias("n"))
-    leads = F.aggregate("ws", start, lambda a, w: F.struct(
-        (a["before"] + w * w).alias("before"),
-        F.when(a["before"] <= spent, a["n"] + 1).otherwise(a["n"]).alias("n")))["n"]
-    return vectors.withColumn("leads", leads)
-
-
-def _entries(vectors: DataFrame) -> DataFrame:
-    """One row per term of each vector: its place, document frequency, number and weight, and the last leading term's step."""
-    edge = _level(F.element_at("dfs", F.col("leads"))).alias("edge")
-    return vectors.select("side", "doc", "leads", edge, F.posexplode(F.arrays_zip("dfs", "tids", "ws")).alias("place", "e")).select(
-        "side", "doc", "leads", "edge", "place", F.col("e.dfs").alias("df"), F.col("e.tids").alias("tid"), F.col("e.ws").alias("w"))
-
-
-def _level(df: Column) -> Column:
-    """Steps of document frequency, eight to each doubling; it never falls as the frequency grows."""
-    return F.floor(8 * F.log2(df.cast("double"))).cast("int")
-
-
-def _reach(vectors: DataFrame) -> DataFrame:
-    """The squared length that each vector has from each step onwards, up to the step of its last leading term."""
-    keys = ["side", "doc", "edge"]
-    levels = _entries(vectors).groupBy(*keys, _level(F.col("df")).alias("level")).agg(F.sum(F.col("w") * F.col("w")).alias("mass"))
-    levels = levels.groupBy(*keys).agg(F.collect_list(F.struct("level", "mass")).alias("levels"))
-    below = lambda step: F.aggregate("levels", F.lit(0.0), lambda a, x: a + F.when(x["level"] < step, x["mass"]).otherwise(0.0))
-    return levels.select("side", "doc", F.transform(F.sequence(F.lit(0), "edge"), lambda step: F.greatest(1 - below(step), F.lit(0.0))).alias("left"))
-
-
-def candidate_pairs(vectors: DataFrame, threshold: float, width: int = WIDTH) -> DataFrame:
-    """(query, ref) pairs that share a leading term and whose lengths leave room for the threshold.
-
-    `vectors` holds both sides (`new` and `ref`). Texts meet on equal leading terms; a term's queries are dealt over
-    parts of about `width`, so that no term is one task. All terms below the lower of the two last
-    steps lead in both vectors, so what they share there is counted, and the rest is bounded by the lengths left. The
-    number of rows is what an exact search has to score.
-    """
-    leading = _entries(vectors).filter("place < leads").select("side", "doc", "edge", "tid", "w", _level(F.col("df")).alias("level"))
-    held = leading.groupBy("tid").agg(F.count_if(F.col("side") == "new").alias("asked"), F.count_if(F.col("side") == "ref").alias("there"))
-    held = held.filter("asked > 0 and there > 0").select("tid", F.ceil(F.col("asked") / width).alias("parts"))
-    shared = leading.join(held, "tid")
-    asked = shared.filter("side = 'new'").select(
-        "tid", F.pmod(F.xxhash64("doc"), F.col("parts")).alias("part"), "level",
-        F.col("doc").alias("query"), F.col("edge").alias("query_edge"), F.col("w").alias("query_w"))
-    there = shared.filter("side = 'ref'").select(
-        "tid", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
-        F.col("doc").alias("ref"), F.col("edge").alias("ref_edge"), F.col("w").alias("ref_w"))
-    edge = F.least("query_edge", "ref_edge")
-    product = F.when(F.col("level") < edge, F.col("query_w") * F.col("ref_w")).otherwise(0.0)
-    met = asked.join(there, ["tid", "part"]).groupBy("query", "ref").agg(F.sum(product).alias("shared"), F.min(edge).alias("edge"))
-    reach = kept(_reach(vectors), "reach")
-    for side, key in (("new", "query"), ("ref", "ref")):
-        met = met.join(reach.filter(F.col("side") == side).select(F.col("doc").alias(key), "left"), key)
-        met = met.withColumn(f"{key}_left", F.element_at("left", F.col("edge") + 1)).drop("left")
-    room = F.sqrt(F.col("query_left") * F.col("ref_left"))
-    return met.filter(F.col("shared") + room >= threshold - 2 * SLACK).select("query", "ref")
+    return vectors.select("n", F.col("v.tid").alias("tids"), bind(length, lambda n: F.transform("v", lambda e: e["x"] / n)).alias("ws"))
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of several ranges, one after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
+class _Block:
+    """Vectors of some texts, by term: the texts that hold a term and their weights lie side by side."""
+
+    KINDS = {"terms": "<i8", "starts": "<i8", "texts": "<i4", "ws": "<f8"}
+
+    def __init__(self, texts_held: int, **arrays: np.ndarray) -> None:
+        self.n = texts_held
+        self.terms, self.starts, self.texts, self.ws = (arrays[k] for k in self.KINDS)
+        self.sizes = np.diff(self.starts)
+
+    @staticmethod
+    def packed(sizes: np.ndarray, tids: np.ndarray, ws: np.ndarray) -> list[bytes]:
+        order = np.argsort(tids, kind="stable")
+        terms, starts = np.unique(tids[order], return_index=True)
+        texts = np.repeat(np.arange(len(sizes)), sizes)[order]
+        arrays = (terms, np.append(starts, len(tids)), texts, ws[order])
+        return [x.astype(kind).tobytes() for x, kind in zip(arrays, _Block.KINDS.values(), strict=True)]
+
+    @classmethod
+    def read(cls, row: dict, side: str) -> _Block:
+        return cls(len(row[f"{side}_docs"]), **{k: np.frombuffer(row[f"{side}_{k}"].as_buffer(), kind) for k, kind in cls.KINDS.items()})
+
+    def dense(self, at: np.ndarray) -> np.ndarray:
+        """One column for each of some terms."""
+        places = _ranges(self.starts[at], self.sizes[at])
+        out = np.zeros((self.n, len(at)))
+        out[self.texts[places], np.repeat(np.arange(len(at)), self.sizes[at])] = self.ws[places]
+        return out
+
+
+def _cosines(new: _Block, ref: _Block, threshold: float) -> np.ndarray:
+    """Cosine of each new text and each existing one, or less where it is under the threshold."""
+    _, at, there = np.intersect1d(new.terms, ref.terms, assume_unique=True, return_indices=True)
+    shared = new.sizes[at] * ref.sizes[there]
+    often = shared > OFTEN * new.n * ref.n
+    out = np.zeros(new.n * ref.n)
+    a, b, ends = at[~often], there[~often], np.cumsum(shared[~often])
+    lo = 0
+    while lo < len(a):
+        hi = max(lo + 1, np.searchsorted(ends, (ends[lo - 1] if lo else 0) + PRODUCTS, "right"))
+        term = np.repeat(a[lo:hi], ref.sizes[b[lo:hi]])  # one for each text of the other side that holds it
+        other = np.repeat(_ranges(ref.starts[b[lo:hi]], ref.sizes[b[lo:hi]]), new.sizes[term])
+        mine = _ranges(new.starts[term], new.sizes[term])
+        cells = new.texts[mine].astype(np.int64) * ref.n + ref.texts[other]
+        out += np.bincount(cells, new.ws[mine] * ref.ws[other], len(out))
+        lo = hi
+    out = out.reshape(new.n, ref.n)
+    if often.any():
+        x, y = new.dense(at[often]), ref.dense(there[often])
+        room = np.sqrt(np.einsum("ij,ij->i", x, x))[:, None] * np.sqrt(np.einsum("ij,ij->i", y, y))[None, :]
+        i, j = np.nonzero(out + room >= threshold - 2 * SLACK)
+        if len(i) > out.size // 16:
+            out += x @ y.T
+        else:
+            step = max(1, PRODUCTS // x.shape[1])
+            for lo in range(0, len(i), step):
+                k, m = i[lo : lo + step], j[lo : lo + step]
+                out[k, m] += np.einsum("ij,ij->i", x[k], y[m])
+    return out
+
+
+def _blocks(vectors: DataFrame, side: str, width: int) -> DataFrame:
+    """The vectors of one side in blocks of at most `width` texts, each in the order of its keys."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.take(pc.sort_indices(batch.column(0), null_placement="at_start"))
+            docs, tids, ws = batch.columns
+            sizes = pc.list_value_length(tids).to_numpy(zero_copy_only=False)
+            ends, lo = np.cumsum(sizes), 0
+            tids, ws = tids.flatten().to_numpy(zero_copy_only=False), ws.flatten().to_numpy(zero_copy_only=False)
+            while lo < len(docs):
+                first = ends[lo - 1] if lo else 0
+                hi = min(lo + width, max(lo + 1, int(np.searchsorted(ends, first + ENTRIES, "right"))))
+                parts = _Block.packed(sizes[lo:hi], tids[first : ends[hi - 1]], ws[first : ends[hi - 1]])
+                keys = pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), docs.slice(lo, hi - lo))
+                yield pa.RecordBatch.from_arrays([keys, *(pa.array([p], pa.binary()) for p in parts)], names=names)
+                lo = hi
+
+    names = [f"{side}_{k}" for k in ("docs", *_Block.KINDS)]
+    schema = T.StructType([T.StructField(names[0], T.ArrayType(vectors.schema["doc"].dataType)), *(T.StructField(n, T.BinaryType()) for n in names[1:])])
+    rows = vectors.filter((F.col("side") == side) & F.col("doc").isNotNull()).select("doc", "tids", "ws")
+    return rows.mapInArrow(run, schema)
 
 
 def best_pairs(vectors: DataFrame, threshold: float, width: int = WIDTH) -> DataFrame:
     """Best reference of each query vector with cosine of at least `threshold`; the smaller one on ties.
 
-    Candidate pairs are scored over all their terms: a join on the reference and the term, then a sum.
+    `vectors` holds both sides (`new` and `ref`). Every pair of blocks is read by one task; the memory of a task
+    is bounded by the size of two blocks, and its rows by the texts of one.
     """
-    terms = _entries(vectors)
-    asked = terms.filter("side = 'new'").select(F.col("doc").alias("query"), "tid", F.col("w").alias("query_w"))
-    there = terms.filter("side = 'ref'").select(F.col("doc").alias("ref"), "tid", F.col("w").alias("ref_w"))
-    pairs = kept(candidate_pairs(vectors, threshold, width), "pairs")
-    scores = pairs.join(asked, "query").join(there, ["ref", "tid"]).groupBy("query", "ref").agg(
-        F.round(F.sum(F.col("query_w") * F.col("ref_w")), 12).alias("score"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = {name: batch.column(name)[at] for name in batch.schema.names}
+                cosines = _cosines(_Block.read(row, "new"), _Block.read(row, "ref"), threshold)
+                found = np.flatnonzero(cosines.max(axis=1) >= threshold - 2 * SLACK)
+                scores = np.round(cosines[found], 12)
+                best = scores.argmax(axis=1)  # the first, so the smaller key
+                yield pa.RecordBatch.from_arrays([row["new_docs"].values.take(pa.array(found)), row["ref_docs"].values.take(pa.array(best)),
+                                                  pa.array(scores[np.arange(len(found)), best])], names=["query", "ref", "score"])
+
+    asked, there = (kept(_blocks(vectors, side, width), f"{side}-blocks") for side in ("new", "ref"))
+    key = vectors.schema["doc"].dataType
+    schema = T.StructType([T.StructField("query", key), T.StructField("ref", key), T.StructField("score", T.DoubleType())])
+    scores = asked.crossJoin(there).mapInArrow(run, schema)
     return best_match(scores.filter(F.col("score") >= threshold - SLACK), "query", "ref", "score")
 
 
@@ -179,13 +222,13 @@ def find_near_duplicates(new: DataFrame, existing: DataFrame, *, threshold: floa
     asked = new.select("id", clean.alias("text")).filter(F.length("text") >= max(min_length, 1))
     both = refs.withColumn("side", F.lit("ref")).unionByName(asked.withColumn("side", F.lit("new")))
     counts = kept(term_counts(both, stop_words, bigrams), "term-counts")
-    heads = counts.select("side", "text_hash", "doc", "copies").distinct()
+    heads = kept(counts.select("n", "side", "text_hash", "doc", "copies").distinct(), "heads")
     corpus = heads if fit_on_both else heads.filter("side = 'ref'")
     total = corpus.agg(F.coalesce(F.sum("copies"), F.lit(0))).scalar()
     used = counts.filter("term is not null")
     fitted = used if fit_on_both else used.filter("side = 'ref'")
-    vectors = kept(leading_terms(used, term_weights(fitted, total, max_features), threshold), "vectors")
-    vectors = vectors.filter(total >= min_corpus)
+    vectors = unit_vectors(used, term_weights(fitted, total, max_features)).join(heads.drop("copies"), "n")
+    vectors = kept(vectors, "vectors").filter(total >= min_corpus)
     asked_hashes, ref_hashes = (vectors.filter(F.col("side") == s).select("text_hash", F.col("doc").alias(n))
                                 for s, n in (("new", "query"), ("ref", "ref")))
     # Equal texts need no search: their cosine is one.

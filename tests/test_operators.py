@@ -152,6 +152,23 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch, max_features, big
     assert got == brute_force(new, existing, 0.75, max_features, bigrams)
 
 
+def test_no_table_grows_with_the_pairs(spark, monkeypatch):
+    """Every new text shares all its terms with every existing one; what is kept is as large as the texts, not as their pairs."""
+    sizes = []
+
+    def kept(df, name):
+        out = keep(df, name)
+        sizes.append(out.count())
+        return out
+
+    keep = similarity.kept
+    monkeypatch.setattr(similarity, "kept", kept)
+    say = lambda i: " ".join(w for w, n in zip(("data", "python", "scala", "remote"), (1 + i % 5, 1 + i // 5 % 5, 1 + i // 25 % 5, 3), strict=True) for _ in range(n))
+    rows = spark.range(120).select("id", F.udf(say)("id").alias("description"))
+    found = similarity.find_near_duplicates(rows.filter("id % 2 = 0"), rows.filter("id % 2 = 1"), threshold=0.3, bigrams=False)
+    assert found.count() == 60 and max(sizes) <= 120 * 4
+
+
 def test_small_corpus_matches_nothing(spark):
     df = spark.createDataFrame([(i, "the same long description of one and the same job posting") for i in range(5)], "id long, description string")
     assert similarity.find_near_duplicates(df, df, min_corpus=25).count() == 0
