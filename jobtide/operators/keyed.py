@@ -65,8 +65,11 @@ def page_after(df: DataFrame, date: str, key: str, after: tuple, limit: int) ->
     return df.filter(later).orderBy(F.col(date).desc(), F.col(key).desc()).limit(limit)
 
 
+NO_RANGE = 2**63 - 1  # the range of rows without a value: after all others
+
+
 def _sizes_before(sizes: DataFrame, width: int, levels: int) -> DataFrame:
-    """For each `_range` the sum of `_n` over all smaller ranges; a missing range counts as the largest."""
+    """For each `_range` the sum of `_n` over all smaller ranges."""
     order = F.col("_range").asc_nulls_last()
     if not levels:
         before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
@@ -88,12 +91,13 @@ def numbered(df: DataFrame, order: str, start: Column, out: str, width: int = 10
     and those inside still wider ones, so that sparse 64-bit values leave some
     thousand sums for the last step, whatever the number of rows.
     """
-    ranged = df.withColumn("_range", F.floor(F.col(order) / width))
+    # Plain equality of ranges that are never null: the rows stay where the window put them when the offsets join.
+    ranged = df.withColumn("_range", F.coalesce(F.floor(F.col(order) / width), F.lit(NO_RANGE)))
     sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
     offsets = _sizes_before(sizes, width, 2).withColumnRenamed("_range", "_offset_range")
     inside = F.row_number().over(Window.partitionBy("_range").orderBy(order))
     return (
-        ranged.withColumn("_inside", inside).join(offsets, F.col("_range").eqNullSafe(F.col("_offset_range")))
+        ranged.withColumn("_inside", inside).join(offsets, F.col("_range") == F.col("_offset_range"))
         .withColumn(out, start + F.col("_before") + F.col("_inside"))
         .drop("_range", "_offset_range", "_before", "_inside")
     )

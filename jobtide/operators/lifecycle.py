@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.core import blank
 from ..functions.text import change_hash
-from ..session import kept
+from ..session import hashed, kept
 from .keyed import keep_first, keep_last, numbered, with_previous
 
 
@@ -32,10 +32,15 @@ def with_new_ids(fresh: DataFrame, base: DataFrame, order: str, key: str = "id")
     return numbered(fresh.drop(key), order, F.lit(top).cast("long"), key)
 
 
-def marked_arrivals(arrivals: DataFrame, base: DataFrame, key: str) -> DataFrame:
-    """The batch's rows, one per key, with whether the stored table has the key; written once for the steps that follow."""
+def marked_arrivals(arrivals: DataFrame, base: DataFrame, key: str, used: Sequence[str] = ()) -> DataFrame:
+    """The batch's rows, one per key, with whether the stored table has the key; written once for the steps that follow.
+
+    Of a known row these use the key and the columns `used`; the others are left empty.
+    """
     known = base.select(key).distinct().withColumn("_known", F.lit(True))
-    return kept(arrivals.join(known, key, "left").withColumn("_known", F.coalesce("_known", F.lit(False))), "arrivals")
+    marked = arrivals.join(known, key, "left").withColumn("_known", F.coalesce("_known", F.lit(False)))
+    held = (key, "_known", *used)
+    return kept(marked.select(*[c if c in held else F.when(~F.col("_known"), F.col(c)).alias(c) for c in marked.columns]), "arrivals", compression="zstd")
 
 
 def upsert_jobs(base: DataFrame, batch: DataFrame, now: datetime, order: str = "seq") -> DataFrame:
@@ -47,7 +52,7 @@ def upsert_jobs(base: DataFrame, batch: DataFrame, now: datetime, order: str = "
     moment = F.lit(now)
     arrivals = marked_arrivals(keep_first(batch, ["content_hash"], [order]), base, "content_hash")
     seen = arrivals.filter("_known").select("content_hash").withColumn("_seen", F.lit(True))
-    touched = base.join(seen, "content_hash", "left").withColumn("_seen", F.coalesce("_seen", F.lit(False)))
+    touched = base.join(hashed(seen), "content_hash", "left").withColumn("_seen", F.coalesce("_seen", F.lit(False)))
     stay = touched.select(*[
         {"last_seen_at": F.when(F.col("_seen"), moment).otherwise(F.col("last_seen_at")),
          "updated_at": F.when(F.col("_seen"), moment).otherwise(F.col("updated_at")),
@@ -103,7 +108,7 @@ def sync_jobs(base: DataFrame, snapshot: DataFrame, now: datetime, order: str =
     moment = F.lit(now)
     arrivals = keep_first(snapshot.filter(~blank("link")), ["link"], [order]).withColumn(
         "content_hash", scraped_hash())
-    arrivals = marked_arrivals(arrivals, base, "link")
+    arrivals = marked_arrivals(arrivals, base, "link", [*SCRAPED, "content_hash"])
     added = with_new_ids(arrivals.filter("not _known").drop("_known"), base, order)
     types = dict(base.dtypes)
     defaults = {"favorite": F.lit(False), "notes": F.lit(""), "archived": F.lit(False),
@@ -238,7 +243,7 @@ def insert_or_touch(base: DataFrame, batch: DataFrame, now: datetime, order: str
     """Insert postings whose link is unknown; only the sight of the others is noted."""
     arrivals = marked_arrivals(keep_first(batch.filter(~blank("link")), ["link"], [order]), base, "link")
     seen = arrivals.filter("_known").select("link").withColumn("_seen", F.lit(True))
-    stay = base.join(seen, "link", "left").withColumn(
+    stay = base.join(hashed(seen), "link", "left").withColumn(
         "last_seen", F.when(F.col("_seen"), F.lit(now)).otherwise(F.col("last_seen")))
     stay = stay.select(*base.columns, F.when(F.col("_seen"), "touched").otherwise("kept").alias("action"))
     added = with_new_ids(arrivals.filter("not _known").drop("_known"), base, order)

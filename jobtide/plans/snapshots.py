@@ -28,7 +28,8 @@ class SnapshotTable:
         The next snapshot may read the current one, as lifecycle operators do. A writer that is lost half way leaves the old one current.
         """
         path = f"snapshots/{self.version() + 1}"
-        snapshot.write.mode("overwrite").parquet(f"{self.folder}/{path}")
+        # Hashes in hex take half the room in zstd.
+        snapshot.write.mode("overwrite").parquet(f"{self.folder}/{path}", compression="zstd")
         versions.publish(self.spark, self.folder, {"path": path})
         versions.clean(self.spark, self.folder, lambda note: [note["path"]], self.keep)
         return self.now()

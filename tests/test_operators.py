@@ -285,3 +285,38 @@ def test_sources_are_told_from_a_few_rows_of_each_task(spark):
     kept = lifecycle.drop_empty_sources(sources, jobs)
     assert [tuple(r) for r in kept.collect()] == [(2, "b")]
     assert "Aggregate" in kept._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_numbers_join_their_offsets_where_they_are(spark):
+    """The rows meet the offsets in the partitions of the window: they are shuffled once, by their range."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = keyed.numbered(spark.createDataFrame([(k, "wide") for k in (5, None, 250, 7)], "k long, text string"), "k", F.lit(0), "id", width=100)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        wide = [line for line in plan.splitlines() if "hashpartitioning(coalesce(_range" in line]
+        assert not wide, plan
+        assert rows(out.fillna(-1), "k", "id") == [(-1, 4), (5, 1), (7, 2), (250, 3)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_an_upsert_sorts_no_stored_rows_and_keeps_little_of_known_ones(spark, monkeypatch):
+    schema = "id long, seq long, content_hash string, first_seen_at timestamp, last_seen_at timestamp, created_at timestamp, updated_at timestamp, is_active boolean, title string"
+    early, now = datetime(2020, 1, 1), datetime(2021, 1, 1)
+    row = lambda i, h: (i, i, h, early, early, early, early, False, f"title {i}")
+    base = spark.createDataFrame([row(1, "a"), row(2, "a"), row(3, None), row(4, "b")], schema)
+    batch = spark.createDataFrame([row(9, "a"), row(8, "c"), row(7, "c"), row(6, None), row(5, "d")], schema)
+    arrivals, keep = [], lifecycle.kept
+    monkeypatch.setattr(lifecycle, "kept", lambda *a, **o: arrivals.append(keep(*a, **o)) or arrivals[-1])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = lifecycle.upsert_jobs(base, batch, now)
+        assert "ShuffledHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r["id"], r["content_hash"] or "", r["title"], r["is_active"], r["action"]) for r in out.collect()) == [
+            (1, "a", "title 1", True, "updated"), (2, "a", "title 2", True, "updated"), (3, "", "title 3", False, "kept"), (4, "b", "title 4", False, "kept"),
+            (5, "d", "title 5", True, "inserted"), (6, "", "title 6", True, "inserted"), (7, "c", "title 7", True, "inserted")]
+        assert {r["content_hash"]: r["title"] for r in arrivals[0].collect()} == {"a": None, "c": "title 7", None: "title 6", "d": "title 5"}
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert "ShuffledHashJoin" not in lifecycle.upsert_jobs(base, batch, now)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
