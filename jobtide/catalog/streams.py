@@ -24,6 +24,7 @@ PARTS = 4
 def landed(spark, folder, name: str, order: str, closing: dict | None = None):
     """A table as it would have landed, in files of rising `order`, and as a stream of several micro-batches.
 
+    Each part lands in one file per core: a micro-batch is then one part, and all cores read it.
     `closing` gives the columns of one last row, landed after the others, that moves a watermark past them.
     """
     rows = table(spark, folder, name)
@@ -32,7 +33,7 @@ def landed(spark, folder, name: str, order: str, closing: dict | None = None):
     part = sum((F.when(place > c, 1).otherwise(0) for c in cuts), F.lit(0))
     path = work_path(spark, "landed")
     for k in range(PARTS):
-        rows.filter(part == k).write.mode("append").parquet(path)
+        rows.filter(part == k).repartition(spark.sparkContext.defaultParallelism).write.mode("append").parquet(path)
     per_batch = -(-len(spark.read.parquet(path).inputFiles()) // PARTS)
     if closing:
         types = dict(rows.dtypes)

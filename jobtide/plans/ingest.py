@@ -61,10 +61,19 @@ def gated(raw: DataFrame, sources: DataFrame) -> DataFrame:
         .withColumn("id", F.col("seq")).withColumn("content_hash", content_hash("title", "company", "location")).drop("_reason"))
 
 
+def asked_keys(rows: DataFrame) -> DataFrame:
+    """Match keys of gated rows that are not blocked; made once for the steps that follow."""
+    return kept(match_keys(rows.filter("blocked_reason is null"), "id"), "match-keys")
+
+
+def matches_of(keys: DataFrame, index: DataFrame) -> DataFrame:
+    """Ids of the rows whose match keys an index holds or that repeat an earlier row."""
+    return match_by_keys(keys, index).select("duplicate_id").unionByName(_repeats(keys)).distinct()
+
+
 def exact_matches(rows: DataFrame, index: DataFrame) -> DataFrame:
     """Ids of gated rows that a match index holds or that repeat an earlier row; match keys are made once."""
-    keys = kept(match_keys(rows.filter("blocked_reason is null"), "id"), "match-keys")
-    return match_by_keys(keys, index).select("duplicate_id").unionByName(_repeats(keys)).distinct()
+    return matches_of(asked_keys(rows), index)
 
 
 def finished(rows: DataFrame, matches: DataFrame) -> DataFrame:

@@ -162,8 +162,8 @@ def job_stream(raw: DataFrame, sources: DataFrame, postings: StoredState, keys:
         if keys.holds(number):
             return
         rows = ingest.gated(batch, sources)
-        known = keys.of(match_keys(rows.filter("blocked_reason is null"), "id"), before=number)
-        done = ingest.finished(rows, ingest.exact_matches(rows, known))
+        asked = ingest.asked_keys(rows)
+        done = ingest.finished(rows, ingest.matches_of(asked, keys.of(asked, before=number)))
         done.write.mode("overwrite").parquet(f"{outcomes}/batch={number}")
         done = spark.read.parquet(f"{outcomes}/batch={number}")
         accepted = done.filter("outcome = 'accepted'").withColumn("id", F.col("seq"))

@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from jobtide.catalog import streams as catalog_streams
 from jobtide.operators import aggregate, lifecycle
 from jobtide.streaming import streams
 
@@ -208,3 +209,26 @@ def test_minute_flushes_leave_no_python_per_key(spark):
     events = spark.readStream.format("rate").load().select(F.col("timestamp").alias("ts"), F.col("value").alias("user_id"))
     plan = streams.minute_flush_stream(events, "1 day")._jdf.queryExecution().analyzed().toString()
     assert "Aggregate" in plan and "TransformWithState" not in plan
+
+
+def test_a_part_lands_in_one_file_per_core(spark, tmp_path, monkeypatch):
+    """A table in one file is read by all cores once it has landed, and a micro-batch is one part."""
+    spark.range(400).selectExpr("id as event_id", "timestamp_seconds(id * 60) as ts").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(catalog_streams, "work_path", lambda *_: f"{tmp_path}/landed")
+    catalog_streams.landed(spark, str(tmp_path), "events", "ts")
+    landed = spark.read.parquet(f"{tmp_path}/landed")
+    assert len(landed.inputFiles()) == catalog_streams.PARTS * spark.sparkContext.defaultParallelism
+    assert sorted(r["event_id"] for r in landed.collect()) == list(range(400))
+
+
+def test_match_keys_of_a_batch_are_made_once(spark, tmp_path):
+    """The keys are looked up from their own table, so a batch is not prepared again for each look."""
+    spark.createDataFrame([(i, 1, f"x{i}", f"https://b.example/{i}", "Data Engineer", f"Company {i}", "Berlin", None, None, None, None, None, None, None) for i in range(9)], JOB).write.parquet(f"{tmp_path}/in")
+    sources = spark.createDataFrame([(1, "a", "approved", True)], "id long, name string, compliance_status string, is_active boolean")
+    postings = streams.posting_state(spark, f"{tmp_path}/postings", "title string, company string, seq long")
+    keys, asked = streams.key_state(spark, f"{tmp_path}/keys"), []
+    look = keys.of
+    keys.of = lambda touched, before=None: asked.append(touched.inputFiles()) or look(touched, before)
+    streams.job_stream(streams.table_stream(spark, f"{tmp_path}/in", JOB), sources, postings, keys, f"{tmp_path}/out", f"{tmp_path}/cp", F.lit(datetime(2024, 1, 1)))
+    assert asked and all(files and all("match-keys" in f for f in files) for files in asked)
+    assert spark.read.parquet(f"{tmp_path}/out").filter("outcome = 'accepted'").count() == 9
