@@ -5,13 +5,23 @@ from __future__ import annotations
 import numpy as np
 
 _WORD = 64  # bits of the upper halves between two directory entries
+_PART, _NEAR = 1 << 16, 32  # places sought at a time, and up to how many bits (or an eighth as many numbers) each are unpacked for them
 
 
 def _pick(words: np.ndarray, before: np.ndarray, k: np.ndarray, one: bool) -> np.ndarray:
-    """Places of the k-th ones (or zeros): the directory gives the word, halving gives the bit."""
+    """Places of the k-th ones (or zeros): the directory gives the word, halving gives the bit.
+
+    Where the words between the first and the last are few for the places sought, all their bits are unpacked.
+    """
     out = np.empty(len(k), np.int64)
-    for at in range(0, len(k), 1 << 16):
-        part = k[at : at + (1 << 16)]
+    for at in range(0, len(k), _PART):
+        part = k[at : at + _PART]
+        first, last = (np.searchsorted(before, (part.min(), part.max()), "right") - 1).tolist()
+        if (last + 1 - first) * _WORD <= _NEAR * len(part):
+            near = words[first : last + 1] if one else ~words[first : last + 1]
+            bits = np.flatnonzero(np.unpackbits(near.view(np.uint8), bitorder="little"))
+            out[at : at + _PART] = first * _WORD + bits[part - before[first]]
+            continue
         block = np.searchsorted(before, part, "right") - 1
         left = (part - before[block]).astype(np.uint8)
         word = words[block] if one else ~words[block]
@@ -21,7 +31,7 @@ def _pick(words: np.ndarray, before: np.ndarray, k: np.ndarray, one: bool) -> np
             beyond = left >= have
             left -= have * beyond
             bit += beyond * np.uint64(half)
-        out[at : at + (1 << 16)] = block * _WORD + bit.astype(np.int64)
+        out[at : at + _PART] = block * _WORD + bit.astype(np.int64)
     return out
 
 
@@ -69,23 +79,36 @@ class EliasFano:
 
     def successor(self, x: np.ndarray) -> np.ndarray:
         """The place of the first number that is not below x, n if there is none."""
-        out = np.full(len(x), self.n, np.int64)
+        return self.seek(x)[0]
+
+    def seek(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The successors' places, and whether they are the numbers themselves. Numbers that ascend are found sooner."""
+        out, same = np.full(len(x), self.n, np.int64), np.zeros(len(x), bool)
         high = (x >> np.uint64(self.low)).astype(np.int64)
         top = 8 * len(self.upper) - self.n  # zeros there are
         inside = np.flatnonzero(high < top)
-        high, rest = high[inside], x[inside] & np.uint64((1 << self.low) - 1)
-        if not len(inside):
-            return out
+        for at in range(0, len(inside), _PART):
+            part = inside[at : at + _PART]
+            out[part], same[part] = self._seek(high[part], x[part] & np.uint64((1 << self.low) - 1))
+        return out, same
+
+    def _seek(self, high: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         begin = np.zeros(len(high), np.int64)
-        some = high > 0
+        some = np.flatnonzero(high > 0)
         begin[some] = _pick(self.words, self.zeros, high[some] - 1, False) - (high[some] - 1)
-        end = _pick(self.words, self.zeros, high, False) - high
+        beyond = _pick(self.words, self.zeros, high, False) - high
+        first, last, lower = int(begin.min()), int(beyond.max()), self._lower
+        if 8 * (last - first) <= _NEAR * len(high):  # unpacked once
+            near = self._lower(np.arange(first, last))
+            lower = lambda i: near[i - first]
+        end = beyond.copy()
         go = np.flatnonzero(begin < end)
         while len(go):  # halving among the numbers of equal upper half, which may be many where numbers cluster
             middle = (begin[go] + end[go]) >> 1
-            below = self._lower(middle) < rest[go]
+            below = lower(middle) < rest[go]
             begin[go[below]] = middle[below] + 1
             end[go[~below]] = middle[~below]
             go = go[begin[go] < end[go]]
-        out[inside] = np.minimum(begin, self.n)
-        return out
+        same = begin < beyond
+        same[same] = lower(begin[same]) == rest[same]
+        return begin, same

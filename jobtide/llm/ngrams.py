@@ -31,7 +31,8 @@ def quantised(p: np.ndarray) -> np.ndarray:
 
 def unquantised(codes: np.ndarray) -> np.ndarray:
     """The probabilities; zero for what a trie lacks."""
-    return np.where(codes == LACKING, 0.0, 10.0 ** (codes.astype(np.float64) / -STEPS))
+    by_code = np.append(10.0 ** (np.arange(LACKING, dtype=np.float64) / -STEPS), 0.0)
+    return by_code[codes]
 
 
 def _firsts(*sorted_keys: np.ndarray) -> np.ndarray:
@@ -47,6 +48,23 @@ def _runs(first: np.ndarray, n: int) -> np.ndarray:
     return np.repeat(np.arange(len(first)), np.diff(np.append(first, n)))
 
 
+def _joined(places: np.ndarray, words: np.ndarray, bits: int) -> np.ndarray:
+    """Places and words below them as single keys in the same order."""
+    out = places.astype(np.uint64)
+    out <<= np.uint64(bits)
+    out |= words.astype(np.uint64, copy=False)
+    return out
+
+
+def _different(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One place of each different key, in order of the keys; and which of them each place has."""
+    order = np.argsort(keys)
+    first = _firsts(keys[order])
+    where = np.empty(len(order), np.int32)
+    where[order] = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.append(first, len(order))))
+    return order[first], where
+
+
 class Children:
     """One level of the trie: what hangs below each node of the level above, in order, with a code each.
 
@@ -58,7 +76,7 @@ class Children:
         self.bits = np.uint64(word_bits)
         first = np.searchsorted(parents, np.arange(n_parents + 1)).astype(np.uint64)
         self.sequences = [EliasFano.of(first, max(1, len(words)).bit_length() + 1),
-                          EliasFano.of((parents.astype(np.uint64) << self.bits) | words, word_bits + max(1, n_parents).bit_length())]
+                          EliasFano.of(_joined(parents, words, word_bits), word_bits + max(1, n_parents).bit_length())]
         self.codes = codes
 
     def arrays(self) -> list[np.ndarray]:
@@ -79,9 +97,8 @@ class Children:
         first = _firsts(mine)
         end = pointers.get(mine[first] + 1).astype(np.int64)[_runs(first, len(mine))]
         wanted = (mine.astype(np.uint64) << self.bits) | words[have]
-        place = children.successor(wanted)
-        ok = place < end
-        ok[ok] = children.get(place[ok]) == wanted[ok]
+        place, ok = children.seek(wanted)
+        ok &= place < end
         out[have[ok]] = place[ok]
         return out
 
@@ -108,15 +125,16 @@ class Trie:
         roots, nodes = _firsts(last), _firsts(last, before)
         root, node = _runs(roots, len(last)), _runs(nodes, len(last))
         held = np.add.reduceat(count, nodes) if len(nodes) else count
-        order = np.lexsort((word, root))
-        pairs = _firsts(root[order], word[order])
+        keys = _joined(root, word, bits)
+        order = np.argsort(keys)
+        pairs = _firsts(keys[order])
         both = np.add.reduceat(count[order], pairs) if len(pairs) else count
-        of, total = root[order][pairs], np.add.reduceat(count, roots) if len(roots) else count
+        of, total = root[order[pairs]], np.add.reduceat(count, roots) if len(roots) else count
         if known is not None:
             total = np.array([known[x] for x in last[roots].tolist()], np.int64)
         self.roots = EliasFano.of(last[roots], bits)
         self.longer = Children(root[nodes], len(roots), before[nodes], quantised(prior / (held + prior)), bits)
-        self.after = Children(of, len(roots), word[order][pairs], quantised(both / (total[of] + prior)), bits)
+        self.after = Children(of, len(roots), word[order[pairs]], quantised(both / (total[of] + prior)), bits)
         self.after_longer = Children(node, len(nodes), word, quantised(count / (held[node] + prior)), bits)
         levels = [self.longer, self.after, self.after_longer]
         arrays = [self.roots.upper, self.roots.lower, *(a for level in levels for a in level.arrays())]
@@ -136,10 +154,8 @@ class Trie:
 
     def root(self, words: np.ndarray) -> np.ndarray:
         """The nodes of last context words, -1 where there is none."""
-        place = self.roots.successor(words)
-        ok = place < self.roots.n
-        ok[ok] = self.roots.get(place[ok]) == words[ok]
-        return np.where(ok, place, -1)
+        place, same = self.roots.seek(words)
+        return np.where(same, place, -1)
 
 
 def _planes(numbers: np.ndarray) -> bytes:
@@ -177,37 +193,74 @@ class Grams:
     """Grams (last context word, the one before it, the word, training count) in order, as they travel: every context once."""
 
     def __init__(self, last: np.ndarray, before: np.ndarray, word: np.ndarray, count: np.ndarray) -> None:
-        self.last, self.before, self.word, self.count = last, before, word, count
-        self.roots, self.nodes = _firsts(last), _firsts(last, before)
+        first = _firsts(last, before)
+        self._hold(last[first], before[first], np.diff(np.append(first, len(last))), word, count)
+
+    @classmethod
+    def of(cls, *held: np.ndarray) -> Grams:
+        """Of different contexts (last word, the one before), the number of words after each, the words and their counts."""
+        out = cls.__new__(cls)
+        out._hold(*held)
+        return out
+
+    def _hold(self, context_last: np.ndarray, context_before: np.ndarray, sizes: np.ndarray, word: np.ndarray, count: np.ndarray) -> None:
+        self.context_last, self.context_before, self.sizes, self.word, self.count = context_last, context_before, sizes, word, count
+        self.roots = _firsts(context_last)  # among the contexts
+
+    @property
+    def last(self) -> np.ndarray:
+        return np.repeat(self.context_last, self.sizes)
+
+    @property
+    def before(self) -> np.ndarray:
+        return np.repeat(self.context_before, self.sizes)
+
+    def contexts(self) -> np.ndarray:
+        """The context of each gram."""
+        return np.repeat(np.arange(len(self.sizes)), self.sizes)
 
     def pack(self) -> bytes:
-        n = len(self.last)
-        if not n:
+        if not len(self.word):
             return _NOTHING
-        root = _runs(self.roots, n)[self.nodes] if n else self.nodes
         return b"".join(_planes(x) for x in (
-            self.last[self.roots].astype("<u8"), np.bincount(root, minlength=len(self.roots)).astype("<u4"),
-            self.before[self.nodes].astype("<u8"), np.diff(np.append(self.nodes, n)).astype("<u4"), self.word.astype("<u8"), self.count.astype("<u4")))
+            self.context_last[self.roots].astype("<u8"), np.diff(np.append(self.roots, len(self.sizes))).astype("<u4"),
+            self.context_before.astype("<u8"), self.sizes.astype("<u4"), self.word.astype("<u8"), self.count.astype("<u4")))
 
     @classmethod
     def unpack(cls, data: bytes, at: int = 0) -> tuple[Grams, int]:
         if data[at : at + 4] == _NOTHING:
             return NO_GRAMS, at + 4
-        (last, nodes, before, words, word, count), at = _read_planes(data, at, "<u8", "<u4", "<u8", "<u4", "<u8", "<u4")
-        return cls(np.repeat(np.repeat(last, nodes), words), np.repeat(before, words), word, count), at
+        (last, nodes, before, sizes, word, count), at = _read_planes(data, at, "<u8", "<u4", "<u8", "<u4", "<u8", "<u4")
+        return cls.of(np.repeat(last, nodes), before, sizes, word, count), at
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """One gram of each (last context word, word), in order of both; and which of them each gram has."""
-        order = np.lexsort((self.word, _runs(self.roots, len(self.last))))
-        first = _firsts(self.last[order], self.word[order])
-        where = np.empty(len(order), np.int64)
-        where[order] = _runs(first, len(order))
-        return order[first], where
+        return _pairs(_runs(self.roots, len(self.sizes))[self.contexts()], self.word)
+
+
+def _pairs(root: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One place of each pair, in order, and the pair of each place."""
+    return _different(_joined(root, word, int(word.max()).bit_length() if len(word) else 0))
 
 
 NO_GRAMS = Grams(*[np.zeros(0, kind) for kind in ("<u8", "<u8", "<u8", "<u4")])
 
 
+def _together(questions: list[Grams], bits: int) -> tuple[Grams, np.ndarray, np.ndarray]:
+    """All different grams with their counts added up; and which of their contexts, and which of them, the questions' have in turn."""
+    width, mask = np.uint64(bits), np.uint64((1 << bits) - 1)
+    lasts, root = np.unique(np.concatenate([q.context_last for q in questions]), return_inverse=True)
+    keys = _joined(root, np.concatenate([q.context_before for q in questions]), bits)
+    one, node = _different(keys)
+    contexts = keys[one]
+    keys = _joined(np.repeat(node, np.concatenate([q.sizes for q in questions])), np.concatenate([q.word for q in questions]), bits)
+    one, gram = _different(keys)
+    keys = keys[one]
+    count = np.bincount(gram, weights=np.concatenate([q.count for q in questions]), minlength=len(keys)).astype(np.int64)
+    sizes = np.bincount((keys >> width).astype(np.int64), minlength=len(contexts))
+    return Grams.of(lasts[(contexts >> width).astype(np.int64)], contexts & mask, sizes, keys & mask, count), node, gram
+
+
 def _count_words(payloads: list[bytes]) -> list[bytes]:
     """Adds up the training counts of each word and tells each block the counts of its words and their numbers; last the bucket's totals.
 
@@ -228,59 +281,63 @@ def _count_words(payloads: list[bytes]) -> list[bytes]:
     return [*out, np.array([counts.sum(), (counts > 0).sum(), len(words)], ">i8").tobytes()]
 
 
-def _look_up(trie: Trie | None, grams: Grams, kind: int) -> bytes:
-    """The codes of a question: of its longer contexts, its grams, and its pairs, as far as this kind of question has them."""
-    n = len(grams.last)
-    if not n:
-        return b""
-    run = _runs(grams.roots, n)
-    root, out = trie.root(grams.last[grams.roots]), b""
-    if kind < 2:
-        node = trie.longer.find(root[run[grams.nodes]], grams.before[grams.nodes])
-        gram = trie.after_longer.find(node[_runs(grams.nodes, n)], grams.word)
-        out = _planes(trie.longer.code(node)) + _planes(trie.after_longer.code(gram))
-    if kind != 1:
-        pairs, _ = grams.pairs()
-        out += _planes(trie.after.code(trie.after.find(root[run[pairs]], grams.word[pairs])))
-    return out
+class _Found:
+    """The codes that a trie has for grams: of their contexts, of themselves and of their pairs, as far as this kind of question has them."""
+
+    def __init__(self, trie: Trie, grams: Grams, kind: int) -> None:
+        self.kind, context = kind, grams.contexts()
+        root = trie.root(grams.context_last[grams.roots])[_runs(grams.roots, len(grams.sizes))]
+        if kind < 2:
+            node = trie.longer.find(root, grams.context_before)
+            self.longer, self.gram = trie.longer.code(node), trie.after_longer.code(trie.after_longer.find(node[context], grams.word))
+        if kind != 1:
+            pairs, self.of_pair = grams.pairs()
+            self.pair = trie.after.code(trie.after.find(root[context[pairs]], grams.word[pairs]))
+
+    def reply(self, contexts: np.ndarray, grams: np.ndarray) -> bytes:
+        """To a question that has these contexts and grams."""
+        if not len(grams):
+            return b""
+        out = _planes(self.longer[contexts]) + _planes(self.gram[grams]) if self.kind < 2 else b""
+        if self.kind != 1:
+            pairs = np.sort(self.of_pair[grams])
+            out += _planes(self.pair[pairs[_firsts(pairs)]])
+        return out
+
+
+def _look_up(trie: Trie, grams: Grams, kind: int) -> bytes:
+    """The codes of a question by itself."""
+    return _Found(trie, grams, kind).reply(np.arange(len(grams.sizes)), np.arange(len(grams.word)))
 
 
 def _answer_grams(prior: float, bits: int):
-    """Builds a bucket's tries from all blocks' training counts and looks up each block's grams in them.
+    """Builds a bucket's tries from all blocks' training counts and looks up the blocks' grams in them, those of several blocks once.
 
     A question has three kinds of grams, and each has its trie: those whose last context word is the bucket's; those whose whole context
     is, as the last word is too frequent for one bucket; and pairs that are, for the same reason, with the counts of their contexts.
     """
     def answer(payloads: list[bytes]) -> list[bytes]:
-        asked: list[list[Grams]] = []
-        known = {}
-        for payload in payloads:
-            at, kinds = 0, []
-            for _ in range(3):
-                grams, at = Grams.unpack(payload, at)
-                kinds.append(grams)
-            if len(kinds[2].last):
-                (counts,), _ = _read_planes(payload, at, "<i8")
-                known.update(zip(kinds[2].last[kinds[2].roots].tolist(), counts.tolist(), strict=True))
-            asked.append(kinds)
-        replies: list[list[bytes]] = [[] for _ in payloads]
+        read, known, replies = [0] * len(payloads), {}, [[] for _ in payloads]
         for kind in range(3):
-            if not any(len(q[kind].last) for q in asked):
-                for reply in replies:
-                    reply.append(_look_up(None, NO_GRAMS, kind))
+            questions = []
+            for i, payload in enumerate(payloads):
+                grams, read[i] = Grams.unpack(payload, read[i])
+                questions.append(grams)
+                if kind == 2 and len(grams.word):
+                    (counts,), _ = _read_planes(payload, read[i], "<i8")
+                    known.update(zip(grams.context_last[grams.roots].tolist(), counts.tolist(), strict=True))
+            if not any(len(q.word) for q in questions):
                 continue
-            last, before, word, count = (np.concatenate([getattr(q[kind], c) for q in asked]) for c in ("last", "before", "word", "count"))
-            taught = np.flatnonzero(count > 0)
-            order = taught[np.lexsort((word[taught], before[taught], last[taught]))]
-            last, before, word, count = last[order], before[order], word[order], count[order].astype(np.int64)
-            first = _firsts(last, before, word)
-            if len(first):
-                last, before, word, count = last[first], before[first], word[first], np.add.reduceat(count, first)
+            ends = np.cumsum([[len(q.sizes), len(q.word)] for q in questions], axis=0)[:-1].T
+            grams, contexts, places = _together(questions, bits)
+            questions.clear()
+            taught = np.flatnonzero(grams.count)
             with tempfile.TemporaryDirectory() as folder:
-                trie = Trie(last, before, word, count, prior, bits, folder, known if kind == 2 else None)
-                for question, reply in zip(asked, replies, strict=True):
-                    reply.append(_look_up(trie, question[kind], kind))
+                trie = Trie(*(x[taught] for x in (grams.last, grams.before, grams.word, grams.count)), prior, bits, folder, known if kind == 2 else None)
+                found = _Found(trie, grams, kind)
                 del trie
+            for reply, *mine in zip(replies, np.split(contexts, ends[0]), np.split(places, ends[1]), strict=True):
+                reply.append(found.reply(*mine))
         return [b"".join(r) for r in replies]
 
     return answer
@@ -345,32 +402,32 @@ class _Asked:
         self.kinds = [self._dealt(np.flatnonzero(~frequent), seen[self.last[~frequent]], buckets)]
         hard = np.flatnonzero(frequent)
         self.kinds.append(self._dealt(hard, mix(seen[self.last[hard]] + with_before[self.before[hard]]), buckets))
-        by_pair = hard[np.lexsort((self.word[hard], self.last[hard]))]
-        first = _firsts(self.last[by_pair], self.word[by_pair])
-        self.pair = by_pair[first]  # a gram of each frequent pair
-        self.of_pair = np.empty(len(self.last), np.int64)
-        self.of_pair[by_pair] = _runs(first, len(by_pair))
-        self.pair_taught = np.add.reduceat(self.taught[by_pair], first) if len(first) else np.zeros(0, np.int64)
+        one, self.hard_pair = _pairs(self.last[hard], self.word[hard])
+        self.pair = hard[one]  # a gram of each frequent pair
+        self.pair_taught = np.zeros(len(self.last), np.int64)
+        self.pair_taught[self.pair] = np.bincount(self.hard_pair, weights=self.taught[hard], minlength=len(one))
         self.kinds.append(self._dealt(self.pair, mix(mix(seen[self.last[self.pair]]) + seen[self.word[self.pair]]), buckets))
-        self.frequent, self.hard = frequent, hard
+        self.seen, self.buckets, self.frequent, self.hard = seen, buckets, frequent, hard
 
     @staticmethod
     def _dealt(at: np.ndarray, hashes: np.ndarray, buckets: int) -> list[np.ndarray]:
         """The places for each bucket, in order."""
-        bucket = (hashes >> np.uint64(16)) % np.uint64(buckets)
+        bucket = ((hashes >> np.uint64(16)) % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.uint32)  # two bytes are sorted fast
         sort = np.argsort(bucket, kind="stable")
         return [at[x] for x in np.split(sort, np.searchsorted(bucket[sort], np.arange(1, buckets)))]
 
     def grams(self, bucket: int, kind: int) -> Grams:
         at = self.kinds[kind][bucket]
-        before = np.where(self.before[at] > 0, self.ids[np.maximum(self.before[at] - 1, 0)] + 1, 0) if kind < 2 else np.zeros(len(at), np.int64)
-        count = self.taught[at] if kind < 2 else self.pair_taught[self.of_pair[at]]
-        return Grams(self.ids[self.last[at]], before, self.ids[self.word[at]], count)
+        last, before = self.last[at], self.before[at] if kind < 2 else np.zeros(len(at), np.int64)
+        first = _firsts(last, before)
+        before = before[first]
+        before = np.where(before > 0, self.ids[np.maximum(before - 1, 0)] + 1, 0)
+        return Grams.of(self.ids[last[first]], before, np.diff(np.append(first, len(at))), self.ids[self.word[at]], (self.taught if kind < 2 else self.pair_taught)[at])
 
     def question(self, bucket: int) -> bytes:
         kinds = [self.grams(bucket, kind) for kind in range(3)]
         at = self.kinds[2][bucket]
-        known = self.counts[self.last[at]][kinds[2].roots].astype("<i8") if len(at) else np.zeros(0, "<i8")
+        known = self.counts[self.last[at][_firsts(self.last[at])]].astype("<i8")
         return b"".join(g.pack() for g in kinds) + (_planes(known) if len(at) else b"")
 
     def probabilities(self, replies: dict[int, bytes], total: int, norm: float, prior: float, order: int) -> np.ndarray:
@@ -379,29 +436,29 @@ class _Asked:
         if order == 1:
             return p
         n = len(self.last)
-        rest, after, after_longer = np.ones(n), np.zeros(n), np.zeros(n)
-        pair_code = np.zeros(len(self.pair))
+        codes = np.full((3, n), LACKING, np.uint16)  # of the longer contexts, the grams, and the pairs at their grams
+        easy = np.flatnonzero(~self.frequent)
+        one, easy_pair = _pairs(self.last[easy], self.word[easy])
+        easy_at = easy[one]
+        pairs = self._dealt(easy_at, self.seen[self.last[easy_at]], self.buckets)
         for bucket, data in replies.items():
             at = 0
             for kind in range(3):
                 mine = self.kinds[kind][bucket]
                 if not len(mine):
                     continue
-                grams = self.grams(bucket, kind)
                 if kind < 2:
                     (longer, gram), at = _read_planes(data, at, "<u2", "<u2")
-                    share = np.where(longer == LACKING, 1.0, unquantised(longer))
-                    rest[mine], after_longer[mine] = share[_runs(grams.nodes, len(mine))], unquantised(gram)
+                    codes[0, mine], codes[1, mine] = longer[_runs(_firsts(self.last[mine], self.before[mine]), len(mine))], gram
                 if kind != 1:
                     (code,), at = _read_planes(data, at, "<u2")
-                    if kind == 0:
-                        after[mine] = unquantised(code)[grams.pairs()[1]]
-                    else:
-                        pair_code[self.of_pair[mine]] = unquantised(code)
-        after[self.hard] = pair_code[self.of_pair[self.hard]]
+                    codes[2, pairs[bucket] if kind == 0 else mine] = code
+        after = np.empty(n)
+        after[easy], after[self.hard] = unquantised(codes[2, easy_at])[easy_pair], unquantised(codes[2, self.pair])[self.hard_pair]
         p = after + prior / (self.counts[self.last] + prior) * p
         if order > 2:
-            p = np.where(self.before > 0, after_longer + rest * p, p)
+            rest = np.where(codes[0] == LACKING, 1.0, unquantised(codes[0]))
+            p = np.where(self.before > 0, unquantised(codes[1]) + rest * p, p)
         return p
 
 

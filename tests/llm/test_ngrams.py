@@ -136,3 +136,42 @@ def test_sorted_hashes_travel_as_distances():
     hashes = np.sort(np.random.default_rng(3).integers(0, 1 << 63, 50_000, dtype=np.uint64) * np.uint64(2))
     assert (ngrams._from_steps(ngrams._steps(hashes)) == hashes).all() and len(ngrams._from_steps(ngrams._steps(hashes[:0]))) == 0
     assert len(ngrams._planes(ngrams._steps(hashes))) < 0.97 * len(ngrams._planes(hashes))
+
+
+@pytest.mark.parametrize("step", [1, 7, 5000])
+def test_numbers_near_each_other_and_far_apart(step):
+    """Many places are unpacked together, a few are sought one by one."""
+    rng = np.random.default_rng(4)
+    values = np.sort(np.concatenate([rng.integers(0, 1 << 40, 70_000), rng.integers(0, 300, 20_000)]).astype(np.uint64))
+    stored = EliasFano.of(values, 40)
+    places = rng.permutation(len(values))[::step]
+    wanted = np.concatenate([values[places], values[places] + np.uint64(1)])
+    found, same = stored.seek(wanted)
+    assert (stored.get(places) == values[places]).all()
+    assert (found == np.searchsorted(values, wanted)).all() and (same == np.isin(wanted, values)).all()
+
+
+@pytest.mark.parametrize("kind", [0, 1, 2])
+def test_a_bucket_seeks_the_grams_of_several_blocks_once(kind, tmp_path, monkeypatch):
+    rng = np.random.default_rng(5)
+    every = sorted({tuple(g) for g in rng.integers(0, [4, 6 if kind < 2 else 1, 9], (300, 3)).tolist()})
+    total, questions = Counter(), []
+    for _ in range(12):
+        mine = [g for g in every if rng.random() < 0.8]
+        counts = rng.integers(0, 3, len(mine))
+        total.update(dict(zip(mine, counts.tolist())))
+        questions.append(ngrams.Grams(*[np.array([g[i] for g in mine], np.uint64) for i in range(3)], counts))
+    seen = {w: 100 + w for w in range(4)}
+
+    def payload(grams):
+        pieces = [ngrams.NO_GRAMS.pack()] * 3
+        pieces[kind] = grams.pack()
+        return b"".join(pieces) + (ngrams._planes(np.array([seen[w] for w in np.unique(grams.last).tolist()], "<i8")) if kind == 2 else b"")
+
+    sought, find = [], ngrams.Children.find
+    monkeypatch.setattr(ngrams.Children, "find", lambda self, parents, words: (sought.append(len(words)), find(self, parents, words))[1])
+    replies = ngrams._answer_grams(8.0, 5)([payload(q) for q in questions])
+    assert sum(sought) <= 3 * len(every)  # contexts, grams and pairs
+    taught = sorted(g for g, n in total.items() if n)
+    trie = ngrams.Trie(*[np.array([g[i] for g in taught], np.uint64) for i in range(3)], np.array([total[g] for g in taught], np.int64), 8.0, 5, str(tmp_path), seen if kind == 2 else None)
+    assert replies == [ngrams._look_up(trie, q, kind) for q in questions]
