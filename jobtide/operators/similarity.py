@@ -1,15 +1,16 @@
 """TF-IDF near-duplicate search, exact at its threshold.
 
 Texts become unit vectors of smooth TF-IDF weights. Equal texts are collapsed before anything is compared. The vectors
-of each side are packed into blocks, and every block of new texts meets every block of existing ones: a task reads both and
-works out their cosines as arrays, rare terms first, and then the frequent ones of those pairs alone that can
-still reach the threshold. Only the best match of each text of a block leaves the task, so nothing that grows with the number of pairs is
+of each side are packed into blocks, and every block of new texts meets every block of existing ones. A task bounds the cosines of all
+pairs of two blocks with one product of short sketches, and measures those pairs whose bound reaches the threshold and what is known of the
+best match so far. Only the best match of each text of a block leaves the task, so nothing that grows with the number of pairs is
 shuffled or written.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +25,14 @@ from ..session import kept
 from .keyed import best_match
 
 TOKEN = r"[\p{L}\p{N}_]{2,}"
-WIDTH = 2048  # texts of a block
+WIDTH = 3072  # texts of a block
 ENTRIES = 1 << 20  # terms of all texts of a block, if it has more than one
-OFTEN = 0.004  # a term is frequent in two blocks if it is shared by more than this share of their pairs
-PRODUCTS = 1 << 21  # products of weights that are worked out at once
+OFTEN = 0.002  # a term is frequent in two blocks if it is shared by more than this share of their pairs
+COLUMNS = 1024  # frequent terms that are multiplied at once
+CELLS = 1 << 16  # pairs whose rare terms are summed at once
+PRODUCTS = 1 << 21  # terms of pairs that are sought at once
+SKETCH = 512  # lengths that bound the cosine of two texts
+ROUNDING = 1e-4  # of a bound in single precision
 SLACK = 1e-9
 
 
@@ -119,6 +124,22 @@ class _Block:
     def read(cls, row: dict, side: str) -> _Block:
         return cls(len(row[f"{side}_docs"]), **{k: np.frombuffer(row[f"{side}_{k}"].as_buffer(), kind) for k, kind in cls.KINDS.items()})
 
+    @cached_property
+    def sketch(self) -> np.ndarray:
+        """The lengths of what each text holds of each of some groups of terms: their products sum to the cosine at least."""
+        group = (self.terms.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) * SKETCH >> 24  # from the highest bits
+        squares = np.bincount(self.texts * np.int64(SKETCH) + np.repeat(group, self.sizes), self.ws * self.ws, self.n * SKETCH)
+        return np.sqrt(squares).astype(np.float32).reshape(self.n, SKETCH)
+
+    def only(self, texts: np.ndarray) -> _Block:
+        """The block of some of its texts."""
+        place = np.full(self.n, -1, np.int32)
+        place[texts] = np.arange(len(texts))
+        mine = np.flatnonzero(place[self.texts] >= 0)
+        sizes = np.bincount(np.repeat(np.arange(len(self.terms)), self.sizes)[mine], minlength=len(self.terms))
+        starts = np.append(0, np.cumsum(sizes[sizes > 0]))
+        return _Block(len(texts), terms=self.terms[sizes > 0], starts=starts, texts=place[self.texts[mine]], ws=self.ws[mine])
+
     def dense(self, at: np.ndarray) -> np.ndarray:
         """One column for each of some terms."""
         places = _ranges(self.starts[at], self.sizes[at])
@@ -126,38 +147,90 @@ class _Block:
         out[self.texts[places], np.repeat(np.arange(len(at)), self.sizes[at])] = self.ws[places]
         return out
 
+    def by_text(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, term (as a place in `at`) and weight of the entries of some terms, by text and then by place."""
+        places = _ranges(self.starts[at], self.sizes[at])
+        text = self.texts[places]
+        order = np.argsort(text.astype(np.min_scalar_type(self.n)), kind="stable")  # small numbers are sorted by their digits
+        return text[order].astype(np.int64), np.repeat(np.arange(len(at)), self.sizes[at])[order], self.ws[places[order]]
+
+
+def _shared(new: _Block, ref: _Block) -> tuple[np.ndarray, np.ndarray]:
+    """The places in either block of the terms that both hold."""
+    return np.intersect1d(new.terms, ref.terms, assume_unique=True, return_indices=True)[1:]
+
+
+def _cosines(new: _Block, ref: _Block) -> np.ndarray:
+    """Cosine of each new text and each existing one.
+
+    Terms that many pairs share are multiplied as matrices; for the rare ones, the lists of existing texts are added up text by text.
+    """
+    at, there = _shared(new, ref)
+    often = new.sizes[at] * ref.sizes[there] > OFTEN * new.n * ref.n
+    x, y = at[often], there[often]
+    out = new.dense(x[:COLUMNS]) @ ref.dense(y[:COLUMNS]).T
+    for lo in range(COLUMNS, len(x), COLUMNS):
+        out += new.dense(x[lo : lo + COLUMNS]) @ ref.dense(y[lo : lo + COLUMNS]).T
+    text, term, ws = new.by_text(at[~often])
+    starts, sizes = ref.starts[there[~often]][term], ref.sizes[there[~often]][term]
+    step = max(1, CELLS // ref.n)
+    cuts = np.searchsorted(text, np.arange(0, new.n + step, step))
+    for lo, a, b in zip(range(0, new.n, step), cuts, cuts[1:], strict=False):
+        if a < b:
+            rows, many = min(step, new.n - lo), sizes[a:b]
+            places = _ranges(starts[a:b], many)
+            cells = np.repeat((text[a:b] - lo) * ref.n, many) + ref.texts[places]
+            out[lo : lo + rows] += np.bincount(cells, np.repeat(ws[a:b], many) * ref.ws[places], rows * ref.n).reshape(rows, -1)
+    return out
 
-def _cosines(new: _Block, ref: _Block, threshold: float) -> np.ndarray:
-    """Cosine of each new text and each existing one, or less where it is under the threshold."""
-    _, at, there = np.intersect1d(new.terms, ref.terms, assume_unique=True, return_indices=True)
-    shared = new.sizes[at] * ref.sizes[there]
-    often = shared > OFTEN * new.n * ref.n
-    out = np.zeros(new.n * ref.n)
-    a, b, ends = at[~often], there[~often], np.cumsum(shared[~often])
-    lo = 0
-    while lo < len(a):
-        hi = max(lo + 1, np.searchsorted(ends, (ends[lo - 1] if lo else 0) + PRODUCTS, "right"))
-        term = np.repeat(a[lo:hi], ref.sizes[b[lo:hi]])  # one for each text of the other side that holds it
-        other = np.repeat(_ranges(ref.starts[b[lo:hi]], ref.sizes[b[lo:hi]]), new.sizes[term])
-        mine = _ranges(new.starts[term], new.sizes[term])
-        cells = new.texts[mine].astype(np.int64) * ref.n + ref.texts[other]
-        out += np.bincount(cells, new.ws[mine] * ref.ws[other], len(out))
+
+def _pairs(new: _Block, ref: _Block, j: np.ndarray) -> np.ndarray:
+    """Cosine of each new text and one existing text of its own."""
+    at, there = _shared(new, ref)
+    text, term, ws = new.by_text(at)
+    out, keys, ws = np.zeros(new.n), np.append(text * len(at) + term, np.iinfo(np.int64).max), np.append(ws, 0.0)
+    text, term, other = ref.by_text(there)
+    starts = np.searchsorted(text, j)
+    sizes = np.searchsorted(text, j, "right") - starts
+    ends, lo = np.cumsum(sizes), 0
+    while lo < new.n:
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + PRODUCTS, "right")))
+        places, pair = _ranges(starts[lo:hi], sizes[lo:hi]), np.repeat(np.arange(lo, hi), sizes[lo:hi])
+        asked = pair * len(at) + term[places]
+        found = np.searchsorted(keys, asked)
+        out[lo:hi] = np.bincount(pair - lo, np.where(keys[found] == asked, ws[found] * other[places], 0.0), hi - lo)
         lo = hi
-    out = out.reshape(new.n, ref.n)
-    if often.any():
-        x, y = new.dense(at[often]), ref.dense(there[often])
-        room = np.sqrt(np.einsum("ij,ij->i", x, x))[:, None] * np.sqrt(np.einsum("ij,ij->i", y, y))[None, :]
-        i, j = np.nonzero(out + room >= threshold - 2 * SLACK)
-        if len(i) > out.size // 16:
-            out += x @ y.T
-        else:
-            step = max(1, PRODUCTS // x.shape[1])
-            for lo in range(0, len(i), step):
-                k, m = i[lo : lo + step], j[lo : lo + step]
-                out[k, m] += np.einsum("ij,ij->i", x[k], y[m])
     return out
 
 
+def _best(new: _Block, ref: _Block, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The new texts that have a cosine of at least `least`, their best existing text, the first on ties, and its cosine.
+
+    Sketches bound the cosines of all pairs. The likeliest partner of each text is measured first; then those of all pairs
+    whose bound is not under what is known, and every such pair is.
+    """
+    bounds = new.sketch @ ref.sketch.T + np.float32(ROUNDING)
+    first = bounds.argmax(axis=1)
+    rows = np.flatnonzero(bounds[np.arange(new.n), first] >= least)
+    if not len(rows):
+        return rows, rows, np.zeros(0)
+    first, least, new = first[rows], least[rows], new.only(rows)
+    partners, at = np.unique(first, return_inverse=True)
+    scores = np.round(_pairs(new, ref.only(partners), at), 12)
+    may = bounds[rows] >= np.maximum(scores, least)[:, None]
+    may[np.arange(len(rows)), first] = False
+    more, others = np.flatnonzero(may.any(axis=1)), np.flatnonzero(may.any(axis=0))
+    if len(more):
+        cosines = np.round(_cosines(new.only(more), ref.only(others)), 12)
+        best = cosines.argmax(axis=1)
+        found = cosines[np.arange(len(more)), best]
+        best, known = others[best], scores[more]
+        better = (found > known) | (found == known) & (best < first[more])
+        first[more[better]], scores[more[better]] = best[better], found[better]
+    top = scores >= least
+    return rows[top], first[top], scores[top]
+
+
 def _blocks(vectors: DataFrame, side: str, width: int) -> DataFrame:
     """The vectors of one side in blocks of at most `width` texts, each in the order of its keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,10 +239,12 @@ def _blocks(vectors: DataFrame, side: str, width: int) -> DataFrame:
             docs, tids, ws = batch.columns
             sizes = pc.list_value_length(tids).to_numpy(zero_copy_only=False)
             ends, lo = np.cumsum(sizes), 0
+            many = max(1, -(-len(docs) // width))
+            even = -(-len(docs) // many)  # no block of a few texts is left over
             tids, ws = tids.flatten().to_numpy(zero_copy_only=False), ws.flatten().to_numpy(zero_copy_only=False)
             while lo < len(docs):
                 first = ends[lo - 1] if lo else 0
-                hi = min(lo + width, max(lo + 1, int(np.searchsorted(ends, first + ENTRIES, "right"))))
+                hi = min(lo + even, max(lo + 1, int(np.searchsorted(ends, first + ENTRIES, "right"))))
                 parts = _Block.packed(sizes[lo:hi], tids[first : ends[hi - 1]], ws[first : ends[hi - 1]])
                 keys = pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), docs.slice(lo, hi - lo))
                 yield pa.RecordBatch.from_arrays([keys, *(pa.array([p], pa.binary()) for p in parts)], names=names)
@@ -185,18 +260,21 @@ def best_pairs(vectors: DataFrame, threshold: float, width: int = WIDTH) -> Data
     """Best reference of each query vector with cosine of at least `threshold`; the smaller one on ties.
 
     `vectors` holds both sides (`new` and `ref`). Every pair of blocks is read by one task; the memory of a task
-    is bounded by the size of two blocks, and its rows by the texts of one.
+    is bounded by the size of two blocks. A text whose match is known in a task asks for better ones only.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine, new, least = None, None, None
         for batch in batches:
             for at in range(batch.num_rows):
                 row = {name: batch.column(name)[at] for name in batch.schema.names}
-                cosines = _cosines(_Block.read(row, "new"), _Block.read(row, "ref"), threshold)
-                found = np.flatnonzero(cosines.max(axis=1) >= threshold - 2 * SLACK)
-                scores = np.round(cosines[found], 12)
-                best = scores.argmax(axis=1)  # the first, so the smaller key
+                asked = [row[name] for name in row if name.startswith("new_")]
+                if mine is None or not all(x.equals(y) for x, y in zip(asked, mine, strict=True)):
+                    mine, new = asked, _Block.read(row, "new")
+                    least = np.full(new.n, threshold - SLACK)
+                found, best, scores = _best(new, _Block.read(row, "ref"), least)
+                least[found] = scores
                 yield pa.RecordBatch.from_arrays([row["new_docs"].values.take(pa.array(found)), row["ref_docs"].values.take(pa.array(best)),
-                                                  pa.array(scores[np.arange(len(found)), best])], names=["query", "ref", "score"])
+                                                  pa.array(scores)], names=["query", "ref", "score"])
 
     asked, there = (kept(_blocks(vectors, side, width), f"{side}-blocks") for side in ("new", "ref"))
     key = vectors.schema["doc"].dataType

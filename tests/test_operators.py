@@ -1,6 +1,7 @@
 import random
 from datetime import date, datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -169,6 +170,33 @@ def test_no_table_grows_with_the_pairs(spark, monkeypatch):
     assert found.count() == 60 and max(sizes) <= 120 * 4
 
 
+@pytest.mark.parametrize("spread, share", [(3000, 0.02), (60, 1.0)])
+def test_only_likely_pairs_are_measured(monkeypatch, spread, share):
+    """Texts of unlike terms are told apart by their sketches; texts of like terms are all measured. Both give the true best, the first on ties."""
+    rng, measured = np.random.default_rng(3), []
+    dense = np.zeros((2, 300, 3000))
+    for side in dense:
+        for text in side:
+            text[rng.choice(spread, 40, replace=False)] = rng.integers(1, 9, 40)
+    dense[0, :30] = dense[1, 100:130]  # near copies, some of texts that are there twice
+    dense[0, :30, 0] += 1
+    dense[1, 200:215] = dense[1, 100:115]
+    dense /= np.sqrt((dense * dense).sum(axis=2, keepdims=True))
+
+    def block(side):
+        texts, terms = np.nonzero(side)
+        parts = similarity._Block.packed(np.bincount(texts, minlength=300), terms * (1 << 40), side[texts, terms])
+        return similarity._Block(300, **{k: np.frombuffer(x, kind) for x, (k, kind) in zip(parts, similarity._Block.KINDS.items(), strict=True)})
+
+    cosines = similarity._cosines
+    monkeypatch.setattr(similarity, "_cosines", lambda new, ref: measured.append(new.n * ref.n) or cosines(new, ref))
+    found, best, scores = similarity._best(block(dense[0]), block(dense[1]), np.full(300, 0.75))
+    true = np.round(dense[0] @ dense[1].T, 12)
+    rows = np.flatnonzero(true.max(axis=1) >= 0.75)
+    assert found.tolist() == rows.tolist() and best.tolist() == true[rows].argmax(axis=1).tolist()
+    assert np.abs(scores - true[rows].max(axis=1)).max() < 1e-11 and sum(measured) <= share * 300 * 300
+
+
 def test_small_corpus_matches_nothing(spark):
     df = spark.createDataFrame([(i, "the same long description of one and the same job posting") for i in range(5)], "id long, description string")
     assert similarity.find_near_duplicates(df, df, min_corpus=25).count() == 0
