@@ -1,9 +1,11 @@
 import hashlib
+import pickle
 import random
 import re
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -404,3 +406,24 @@ def test_neighbours_against_brute_force(spark):
     hits = sum((r["vec_id"] in {i for _, i in expected[r["query_id"]]}) for r in loose)
     assert hits >= 0.95 * sum(map(len, expected.values()))
     assert neighbours.search(table.limit(0), F.col("id") % 50 == 0).collect() == []
+
+
+def test_large_rows_are_read_one_at_a_time(spark):
+    """A row group of the stored trees holds one tree, so that Spark's reader never unpacks all trees of a file together."""
+    rng = np.random.default_rng(4)
+    table = spark.createDataFrame([(i, rng.integers(-9, 9, 8).astype(float).tolist()) for i in range(400)], "vec_id long, embedding array<float>")
+    trees, shards = neighbours.build_index(table.coalesce(1), shard_rows=10)
+    files = [pq.ParquetFile(f.removeprefix("file://")) for f in trees.inputFiles()]
+    assert shards == 41 and any(f.num_row_groups > 1 for f in files)
+    assert all(f.metadata.row_group(i).num_rows <= 1 for f in files for i in range(f.num_row_groups))
+
+
+def test_stored_trees_hold_each_vector_once():
+    rng = np.random.default_rng(4)
+    single = rng.standard_normal((500, 16)).astype(np.float32).astype(np.float64)
+    for data, size in ((single, 4), (single / 3, 8)):
+        tree = neighbours.Tree(data, np.arange(500))
+        blob = pickle.dumps(tree.state(), protocol=5)
+        assert len(blob) < 500 * 16 * size + 30_000
+        again = neighbours.Tree.of(pickle.loads(blob))
+        assert all(np.array_equal(getattr(again, k), getattr(tree, k)) for k in ("unit", "exact", "norm", "order", "ties"))
